@@ -42,7 +42,7 @@ def changelog_taxa(log: DataFrame, taxon: str = "taxon", parent: str = "parent",
 def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str = "sample",
                    date: str = "sample_date", taxon: str = "taxon", label: str = "genus",
                    value: str = "value", start: str = "start_date", parent: str = "parent",
-                   level: str = "genus", sentinel: float = SENTINEL) -> DataFrame:
+                   level: str = "genus", sentinel: float = SENTINEL, log_taxon: str = "taxon") -> DataFrame:
     """R-1 in sparse long form: columns (key, label, value).
 
     ``obs`` rows must already carry the matrix ``label`` (genus, or the
@@ -58,8 +58,8 @@ def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str
       first start date is that of the lowest (sample, start) record (W-05);
     * both kinds present: larger value, null if either is null (A-05).
     """
-    aff = changelog_taxa(log, taxon, parent, level).select(
-        F.col(taxon).alias("__taxon"), F.col(start).cast("timestamp_ntz").alias("__start"))
+    aff = changelog_taxa(log, log_taxon, parent, level).select(
+        F.col(log_taxon).alias("__taxon"), F.col(start).cast("timestamp_ntz").alias("__start"))
     # The change log is a small curated dimension; AQE broadcasts it when its
     # runtime size allows, else this is a shuffle join.
     o = obs.join(aff, obs[taxon] == aff["__taxon"], "left")

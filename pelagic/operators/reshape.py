@@ -85,11 +85,20 @@ def drop_empty_taxa(df: DataFrame, taxon: str, value: str) -> DataFrame:
     return df.join(keep, taxon, "left_semi")
 
 
-def column_summary(df: DataFrame, taxon: str, value: str) -> DataFrame:
-    """A-25: per-taxon total, min, max, mean and quartiles of a long matrix."""
-    return df.groupBy(taxon).agg(
-        F.sum(value).alias("total"), F.min(value).alias("min"), F.max(value).alias("max"),
-        F.avg(value).alias("mean"),
-        F.percentile(value, 0.25).alias("q1"), F.percentile(value, 0.5).alias("median"),
-        F.percentile(value, 0.75).alias("q3"),
-    )
+def column_summary(df: DataFrame, taxon: str, value: str, quantiles: bool = True,
+                   accuracy: int = 10000) -> DataFrame:
+    """A-25: per-taxon total, min, max, mean, count and (approximate) quartiles of a long matrix.
+
+    Quartiles use ``percentile_approx`` so memory per group stays bounded
+    whatever the group size.
+    """
+    aggs = [F.sum(value).alias("total"), F.min(value).alias("min"), F.max(value).alias("max"),
+            F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n")]
+    if quantiles:
+        q = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
+        aggs.append(q.alias("__q"))
+    out = df.groupBy(taxon).agg(*aggs)
+    if quantiles:
+        out = out.select(*[c for c in out.columns if c != "__q"],
+                         F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
+    return out

@@ -1 +1,156 @@
-"""placeholder"""
+"""Sample x taxon matrix queries: change-log absence matrices, raw / group / larval matrices."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pelagic.operators import changelog as cl
+from pelagic.operators import indices as ix
+from pelagic.operators import reshape as rs
+from pelagic.plans import bindings as b
+from pelagic.plans.catalog import register
+
+_ALL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS, b.SQL_CHANGELOG)
+
+
+def _absence_sql(label_expr: str, join_expr: str, where: str, aff_cond: str, out: str) -> str:
+    """Literal SQL transcription of R-1: samples x affected labels, CASE rules, strict sum / max."""
+    return _ALL + f""",
+aff AS (SELECT taxon, start_date FROM changelog WHERE {aff_cond}),
+o AS (SELECT obs.sample, {label_expr} AS label, obs.value, aff.start_date
+      FROM obs LEFT JOIN aff ON {join_expr} = aff.taxon
+      WHERE {where}),
+b AS (SELECT sample, label, coalesce(sum(value), 0) AS v FROM o WHERE start_date IS NULL GROUP BY sample, label),
+bs AS (SELECT b.* FROM b JOIN samples USING (sample)),
+c AS (SELECT sample, start_date, label, coalesce(sum(value), 0) AS v FROM o
+      WHERE start_date IS NOT NULL GROUP BY sample, start_date, label),
+firsts AS (SELECT label, start_date AS first_start FROM (
+             SELECT label, start_date, row_number() OVER (PARTITION BY label ORDER BY sample, start_date) AS rn
+             FROM c) WHERE rn = 1),
+cl AS (SELECT s.sample, s.sample_date, f.label, f.first_start, c.start_date AS cstart, c.v
+       FROM samples s CROSS JOIN firsts f LEFT JOIN c ON c.sample = s.sample AND c.label = f.label),
+cv AS (SELECT sample, label, CASE WHEN count(*) <> count(val) THEN NULL ELSE sum(val) END AS v FROM (
+         SELECT sample, label,
+                CASE WHEN coalesce(cstart, first_start) > sample_date THEN -999.0
+                     WHEN coalesce(cstart, first_start) < sample_date AND v IS NULL THEN 0.0
+                     ELSE v END AS val
+         FROM cl) GROUP BY sample, label),
+u AS (SELECT sample, label, v FROM bs UNION ALL SELECT sample, label, v FROM cv),
+m AS (SELECT sample, label, CASE WHEN count(*) <> count(v) THEN NULL ELSE max(v) END AS value
+      FROM u GROUP BY sample, label)
+SELECT sample, label AS {out}, CAST(value AS DOUBLE) AS value FROM m WHERE value IS NULL OR value <> 0
+"""
+
+
+# ----------------------------------------------------------------- R-1 genus level
+@register("absence_matrix_genus", bench=True, sql=_absence_sql(
+    "genus", "obs.taxon", "obs.genus IS NOT NULL AND obs.genus <> ''",
+    "split_part(taxon, ' ', 1) <> split_part(parent, ' ', 1) AND taxon IS NOT NULL", "genus"))
+def absence_matrix_genus(spark, sf_dir):
+    return cl.absence_matrix(b.samples(spark, sf_dir), b.obs(spark, sf_dir), b.changelog(spark, sf_dir),
+                             key="sample", date="sample_date", taxon="taxon", label="genus",
+                             value="value", level="genus")
+
+
+# ----------------------------------------------------------------- R-1 species level
+_SPECIES_WHERE = ("obs.species IS NOT NULL AND obs.species <> 'spp.' AND obs.species <> '' "
+                  "AND NOT regexp_matches(obs.species, 'cf.') AND NOT regexp_matches(obs.species, '/')")
+
+
+@register("absence_matrix_species", sql=_absence_sql(
+    "genus || ' ' || species", "obs.genus || ' ' || obs.species", _SPECIES_WHERE, "taxon <> parent", "TaxonName"))
+def absence_matrix_species(spark, sf_dir):
+    o = ix.species_filter(b.obs(spark, sf_dir), "genus", "species", label="TaxonName",
+                          drop=("cf.", "/"), bin_complex=False).where(F.col("species") != "")
+    return cl.absence_matrix(b.samples(spark, sf_dir), o, b.changelog(spark, sf_dir),
+                             key="sample", date="sample_date", taxon="TaxonName", label="TaxonName",
+                             value="value", level="name")
+
+
+# ----------------------------------------------------------------- R-2 raw matrix (wide, fill 0)
+_RAW_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + """,
+sums AS (SELECT sample, taxon, sum(value) AS value FROM obs GROUP BY sample, taxon),
+taxa AS (SELECT DISTINCT taxon FROM sums),
+dense AS (SELECT s.sample, t.taxon, coalesce(x.value, 0.0) AS value
+          FROM samples s CROSS JOIN taxa t LEFT JOIN sums x ON x.sample = s.sample AND x.taxon = t.taxon)
+PIVOT dense ON taxon USING sum(value) GROUP BY sample
+"""
+
+
+@register("raw_matrix_wide", sql=_RAW_SQL)
+def raw_matrix_wide(spark, sf_dir):
+    s = b.samples(spark, sf_dir).select("sample")
+    sums = b.obs(spark, sf_dir).groupBy("sample", "taxon").agg(F.sum("value").alias("value"))
+    return rs.to_wide(s.join(sums, "sample", "left"), ["sample"], "taxon", "value", fill=0.0)
+
+
+# ----------------------------------------------------------------- R-2 long, densified
+@register("raw_matrix_long", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + """,
+sums AS (SELECT sample, taxon, sum(value) AS value FROM obs GROUP BY sample, taxon),
+taxa AS (SELECT DISTINCT taxon FROM sums)
+SELECT s.sample, t.taxon, coalesce(x.value, 0.0) AS value
+FROM samples s CROSS JOIN taxa t LEFT JOIN sums x ON x.sample = s.sample AND x.taxon = t.taxon
+""")
+def raw_matrix_long(spark, sf_dir):
+    return rs.densify(b.samples(spark, sf_dir), b.obs(spark, sf_dir), "sample", "taxon", "value")
+
+
+# ----------------------------------------------------------------- R-3 group matrix (wide)
+@register("group_totals_wide", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + """,
+g AS (SELECT sample, grp, sum(value) AS value FROM obs GROUP BY sample, grp),
+k AS (SELECT * FROM g WHERE grp NOT IN ('PROMO', 'ECONOMY')),
+l AS (SELECT s.sample, coalesce(k.grp, 'NONE') AS grp, coalesce(k.value, 0.0) AS value
+      FROM samples s LEFT JOIN k USING (sample))
+SELECT sample,
+       coalesce(sum(value) FILTER (WHERE grp = 'LARGE'), 0.0) AS "LARGE",
+       coalesce(sum(value) FILTER (WHERE grp = 'MEDIUM'), 0.0) AS "MEDIUM",
+       coalesce(sum(value) FILTER (WHERE grp = 'NONE'), 0.0) AS "NONE",
+       coalesce(sum(value) FILTER (WHERE grp = 'SMALL'), 0.0) AS "SMALL",
+       coalesce(sum(value) FILTER (WHERE grp = 'STANDARD'), 0.0) AS "STANDARD"
+FROM l GROUP BY sample
+""")
+def group_totals_wide(spark, sf_dir):
+    long = ix.group_totals(b.samples(spark, sf_dir), b.obs(spark, sf_dir), "sample", "grp", "value",
+                           exclude=("PROMO", "ECONOMY"), placeholder="NONE")
+    return rs.to_wide(long, ["sample"], "grp", "value", fill=0.0)
+
+
+# ----------------------------------------------------------------- R-8 larval-fish style count matrix
+@register("larval_matrix", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + """,
+c AS (SELECT s.sample, o.grp || ' ' || o.genus AS header, o.value
+      FROM samples s JOIN obs o USING (sample) WHERE regexp_matches(s.sample_type, 'F|O')),
+sums AS (SELECT sample, header, sum(value) AS value FROM c GROUP BY sample, header),
+hdr AS (SELECT DISTINCT header FROM sums),
+dense AS (SELECT s.sample, h.header, coalesce(x.value, 0.0) AS value
+          FROM (SELECT DISTINCT sample FROM c) s CROSS JOIN hdr h
+          LEFT JOIN sums x ON x.sample = s.sample AND x.header = h.header)
+PIVOT dense ON header USING sum(value) GROUP BY sample
+""")
+def larval_matrix(spark, sf_dir):
+    s = b.samples(spark, sf_dir).where(F.col("sample_type").rlike("F|O")).select("sample")
+    o = b.obs(spark, sf_dir).select("sample", F.concat_ws(" ", "grp", "genus").alias("header"), "value")
+    counts = s.join(o, "sample", "inner").groupBy("sample", "header").agg(F.sum("value").alias("value"))
+    return rs.to_wide(counts, ["sample"], "header", "value", fill=0.0)
+
+
+# ----------------------------------------------------------------- P-15 drop all-zero taxa
+@register("drop_empty_taxa", sql=b.with_ctes(b.SQL_OBS) + """,
+m AS (SELECT sample, grp, CASE WHEN grp = 'PROMO' THEN 0.0 ELSE value END AS v FROM obs),
+keep AS (SELECT grp FROM m GROUP BY grp HAVING sum(v) <> 0)
+SELECT m.* FROM m WHERE grp IN (SELECT grp FROM keep)
+""")
+def drop_empty_taxa(spark, sf_dir):
+    m = b.obs(spark, sf_dir).select(
+        "sample", "grp", F.when(F.col("grp") == "PROMO", F.lit(0.0)).otherwise(F.col("value")).alias("v"))
+    return rs.drop_empty_taxa(m, "grp", "v")
+
+
+# ----------------------------------------------------------------- A-25 column summary
+@register("column_summary", sql=b.with_ctes(b.SQL_OBS) + """
+SELECT taxon, sum(value) AS total, min(value) AS min, max(value) AS max,
+       round(avg(value), 6) + 0.0 AS mean, count(*) AS n
+FROM obs GROUP BY taxon
+""")
+def column_summary(spark, sf_dir):
+    s = rs.column_summary(b.obs(spark, sf_dir), "taxon", "value", quantiles=False)
+    return s.withColumn("mean", F.round("mean", 6) + F.lit(0.0))
