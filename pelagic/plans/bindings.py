@@ -11,7 +11,7 @@ plain SQL, independently of the operators it checks.
                 flag = l_linenumber.
 * ``changelog`` taxa of genus ``blue``/``hot`` read from part, parent
                 ``old <species>``, start date from the name.
-* ``profile``   events: cast = user + day, depth = props.k, temp = value.
+* ``profile``   events: cast = user + day, depth = props.k + quarter steps, temp = value.
 """
 
 from __future__ import annotations
@@ -107,7 +107,8 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("user_id").cast("string"), F.lit("_"), F.date_format("ts", "yyyyMMdd")).alias("cast"),
         F.col("user_id").alias("station"),
         F.col("ts").alias("cast_time"),
-        F.get_json_object("props", "$.k").cast("double").alias("depth"),
+        (F.get_json_object("props", "$.k").cast("double") + (F.col("event_id") % 4).cast("double") * 0.25).alias("depth"),
+        F.when(F.col("user_id") % 7 == 0, F.lit(5.0)).otherwise(F.lit(10.0)).alias("ref_depth"),
         F.col("value").alias("temp"),
         (F.lit(30.0) + F.col("value") / 10.0).alias("salinity"),
         F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value")).alias("chl"),
@@ -119,7 +120,8 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_PROFILE = """profile AS (
   SELECT CAST(user_id AS VARCHAR) || '_' || strftime(ts, '%Y%m%d') AS "cast",
          user_id AS station, ts AS cast_time,
-         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS depth,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) + CAST(event_id % 4 AS DOUBLE) * 0.25 AS depth,
+         CASE WHEN user_id % 7 = 0 THEN 5.0 ELSE 10.0 END AS ref_depth,
          value AS temp, 30.0 + value / 10.0 AS salinity,
          CASE WHEN event_type = 'error' THEN NULL ELSE value END AS chl,
          event_type AS kind, event_id AS row_id

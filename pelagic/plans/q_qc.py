@@ -1 +1,143 @@
-"""placeholder"""
+"""QC, replicate means, key spines, water-quality product (P-05..P-08, A-06, A-17, A-18, U-01, J-01, F-10, R-5)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pelagic.functions.labels import sample_code
+from pelagic.operators import qc
+from pelagic.plans import bindings as b
+from pelagic.plans.catalog import register, rounded
+
+
+# chemistry-like view: (trip, depth text incl. 'WC') with two flagged measures
+def chem(spark, sf_dir):
+    li = b.table(spark, sf_dir, "lineitem")
+    depth = F.when(F.col("l_linenumber") == 7, F.lit("WC")).otherwise(((F.col("l_linenumber") % 3) * 10).cast("string"))
+    return li.select(
+        F.col("l_orderkey").alias("trip"), depth.alias("depth"),
+        F.col("l_quantity").alias("silicate"), (F.col("l_partkey") % 10).cast("int").alias("silicate_flag"),
+        F.col("l_extendedprice").alias("nitrate"), (F.col("l_suppkey") % 10).cast("int").alias("nitrate_flag"),
+    )
+
+
+SQL_CHEM = """chem AS (
+  SELECT l_orderkey AS trip,
+         CASE WHEN l_linenumber = 7 THEN 'WC' ELSE CAST((l_linenumber % 3) * 10 AS VARCHAR) END AS depth,
+         l_quantity AS silicate, CAST(l_partkey % 10 AS INTEGER) AS silicate_flag,
+         l_extendedprice AS nitrate, CAST(l_suppkey % 10 AS INTEGER) AS nitrate_flag
+  FROM lineitem)"""
+
+_MASKED = """masked AS (
+  SELECT trip, depth,
+         CASE WHEN silicate_flag IS NULL OR silicate_flag NOT IN (3, 4, 9) THEN silicate END AS silicate,
+         CASE WHEN nitrate_flag IS NULL OR nitrate_flag NOT IN (3, 4, 9) THEN nitrate END AS nitrate
+  FROM chem)"""
+
+
+def _masked(spark, sf_dir):
+    return qc.mask_flags(chem(spark, sf_dir), {"silicate": "silicate_flag", "nitrate": "nitrate_flag"})
+
+
+# ----------------------------------------------------------------- P-05 + A-17
+@register("qc_mask_replicate_mean", sql=b.with_ctes(SQL_CHEM, _MASKED) + """
+SELECT trip, depth, round(avg(silicate), 6) + 0.0 AS silicate, round(avg(nitrate), 6) + 0.0 AS nitrate
+FROM masked GROUP BY trip, depth
+""")
+def qc_mask_replicate_mean(spark, sf_dir):
+    return rounded(qc.replicate_mean(_masked(spark, sf_dir), ["trip", "depth"], ["silicate", "nitrate"]))
+
+
+# ----------------------------------------------------------------- P-06
+@register("qc_keep", sql=b.with_ctes(SQL_CHEM) + """
+SELECT trip, depth, round(avg(nitrate), 6) + 0.0 AS nitrate, count(*) AS n
+FROM chem WHERE nitrate_flag IN (0, 1, 2, 5, 8) GROUP BY trip, depth
+""")
+def qc_keep(spark, sf_dir):
+    k = qc.keep_flags(chem(spark, sf_dir), "nitrate_flag")
+    return rounded(k.groupBy("trip", "depth").agg(F.avg("nitrate").alias("nitrate"), F.count(F.lit(1)).alias("n")))
+
+
+# ----------------------------------------------------------------- A-18
+@register("mean_of_means", sql=b.with_ctes(SQL_CHEM, _MASKED) + """,
+d AS (SELECT trip, depth, avg(silicate) AS silicate, avg(nitrate) AS nitrate FROM masked GROUP BY trip, depth)
+SELECT trip, round(avg(silicate), 6) + 0.0 AS silicate, round(avg(nitrate), 6) + 0.0 AS nitrate
+FROM d GROUP BY trip
+""")
+def mean_of_means(spark, sf_dir):
+    return rounded(qc.mean_of_means(_masked(spark, sf_dir), "trip", "depth", ["silicate", "nitrate"]))
+
+
+# ----------------------------------------------------------------- R-5 water quality
+SQL_PIG = """pig AS (
+  SELECT l_orderkey AS trip, CAST((l_linenumber % 2) * 20 AS VARCHAR) AS depth, l_tax * 100.0 AS chla
+  FROM lineitem WHERE l_returnflag = 'R')"""
+SQL_WC = """wc AS (SELECT o_orderkey AS trip, 'WC' AS depth, o_totalprice / 10000.0 AS secchi FROM orders)"""
+
+
+@register("water_quality", bench=True, sql=b.with_ctes(SQL_CHEM, _MASKED, SQL_PIG, SQL_WC) + """,
+c AS (SELECT trip, depth, avg(silicate) AS silicate, avg(nitrate) AS nitrate FROM masked GROUP BY trip, depth),
+p AS (SELECT trip, depth, avg(chla) AS chla FROM pig GROUP BY trip, depth),
+w AS (SELECT trip, depth, avg(secchi) AS secchi FROM wc GROUP BY trip, depth),
+k AS (SELECT trip, depth FROM c UNION SELECT trip, depth FROM p UNION SELECT trip, depth FROM w)
+SELECT k.trip, k.depth,
+       'NRS' || CAST(k.trip AS VARCHAR) || '_' ||
+         CASE WHEN regexp_full_match(k.depth, '[0-9]+') THEN
+              CASE WHEN length(k.depth) >= 3 THEN k.depth ELSE lpad(k.depth, 3, '0') END
+         ELSE k.depth END AS sample_code,
+       round(c.silicate, 6) + 0.0 AS silicate, round(c.nitrate, 6) + 0.0 AS nitrate,
+       round(p.chla, 6) + 0.0 AS chla, round(w.secchi, 6) + 0.0 AS secchi
+FROM k LEFT JOIN c ON c.trip = k.trip AND c.depth = k.depth
+       LEFT JOIN p ON p.trip = k.trip AND p.depth = k.depth
+       LEFT JOIN w ON w.trip = k.trip AND w.depth = k.depth
+""")
+def water_quality(spark, sf_dir):
+    c = qc.replicate_mean(_masked(spark, sf_dir), ["trip", "depth"], ["silicate", "nitrate"])
+    li = b.table(spark, sf_dir, "lineitem")
+    pig = li.where(F.col("l_returnflag") == "R").select(
+        F.col("l_orderkey").alias("trip"), ((F.col("l_linenumber") % 2) * 20).cast("string").alias("depth"),
+        (F.col("l_tax") * 100.0).alias("chla"))
+    p = qc.replicate_mean(pig, ["trip", "depth"], ["chla"])
+    o = b.table(spark, sf_dir, "orders")
+    wc = o.select(F.col("o_orderkey").alias("trip"), F.lit("WC").alias("depth"),
+                  (F.col("o_totalprice") / 10000.0).alias("secchi"))
+    w = qc.replicate_mean(wc, ["trip", "depth"], ["secchi"])
+    spine = qc.key_spine([c, p, w], ["trip", "depth"])
+    out = (spine.join(c, ["trip", "depth"], "left").join(p, ["trip", "depth"], "left")
+           .join(w, ["trip", "depth"], "left"))
+    out = out.withColumn("sample_code", sample_code("NRS", "trip", "depth"))
+    return rounded(out.select("trip", "depth", "sample_code", "silicate", "nitrate", "chla", "secchi"))
+
+
+# ----------------------------------------------------------------- A-06 audit
+@register("dup_audit", sql="""
+SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1
+""")
+def dup_audit(spark, sf_dir):
+    return qc.duplicate_keys(b.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey"])
+
+
+# ----------------------------------------------------------------- W-05 / W-06
+@register("first_per_key", sql="""
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
+  SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+  FROM orders) WHERE rn = 1
+""")
+def first_per_key(spark, sf_dir):
+    o = b.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return qc.first_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+
+
+# ----------------------------------------------------------------- P-07 / P-08 / P-11 / S-06
+@register("qc_filters", sql="""
+SELECT event_id, user_id, CASE WHEN value > 2.0 AND value < 40.0 THEN value END AS value
+FROM events
+WHERE props IS NOT NULL AND user_id NOT IN (3, 5, 7)
+""")
+def qc_filters(spark, sf_dir):
+    e = b.table(spark, sf_dir, "events").select("event_id", "user_id", "value", "props")
+    e = qc.drop_nulls(e, ["props"])
+    e = qc.exclude_ids(e, "user_id", [3, 5, 7])
+    e = qc.valid_range(e, "value", 2.0, 40.0)
+    return e.select("event_id", "user_id", "value")

@@ -26,7 +26,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        r = round(v, 5)
+        r = round(v, 6)
         return 0.0 if r == 0 else r
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
