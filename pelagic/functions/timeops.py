@@ -26,13 +26,25 @@ def ymd_parts(ts: str | Column) -> dict[str, Column]:
     }
 
 
-def local_to_utc(ts: str | Column, tz: str | Column) -> Column:
+def local_to_utc(ts: str | Column, tz: str | Column, ambiguous: str = "post") -> Column:
     """F-03: wall-clock local time in zone ``tz`` (per row) -> UTC wall clock.
 
-    A local time inside a spring-forward gap rolls forward (N-19).
+    A local time inside a spring-forward gap rolls forward (N-19).  A local
+    time repeated at the autumn change resolves to the later instant
+    (``ambiguous="post"``, standard time) or the earlier one (``"pre"``).
     """
     z = tz if isinstance(tz, Column) else F.lit(tz)
-    return F.to_utc_timestamp(_c(ts).cast("timestamp"), z).cast("timestamp_ntz")
+    local = _c(ts).cast("timestamp")
+    u1 = F.to_utc_timestamp(local, z)  # earlier instant on an overlap
+    if ambiguous == "post":
+        def offset_us(u: Column) -> Column:
+            return F.unix_micros(F.from_utc_timestamp(u, z)) - F.unix_micros(u)
+        # offset drop right after u1 (positive only around the end of DST)
+        delta = offset_us(u1) - offset_us(F.timestamp_add("HOUR", F.lit(3), u1))
+        u2 = F.timestamp_micros(F.unix_micros(u1) + delta)
+        repeated = (delta > 0) & (F.from_utc_timestamp(u2, z) == local)
+        u1 = F.when(repeated, u2).otherwise(u1)
+    return u1.cast("timestamp_ntz")
 
 
 def utc_to_local(ts: str | Column, tz: str | Column) -> Column:
