@@ -130,3 +130,42 @@ SQL_PROFILE = """profile AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# --------------------------------------------------------------------------- grids
+# Gridded layers derived from lineitem: product = return flag, period = ship
+# year, cell = (orderkey mod 60, partkey mod 80); value = mean quantity.
+# Axes: lat = -10 - 0.5 i (60 nodes), lon = 110 + 0.5 j (80 nodes).
+def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return (li.groupBy(F.col("l_returnflag").alias("product"),
+                       F.year("l_shipdate").cast("string").alias("period"),
+                       F.year("l_shipdate").alias("yr"),
+                       (F.col("l_orderkey") % 60).cast("int").alias("lat_idx"),
+                       (F.col("l_partkey") % 80).cast("int").alias("lon_idx"))
+            .agg(F.avg("l_quantity").alias("value")))
+
+
+SQL_GRID = """grid AS (
+  SELECT l_returnflag AS product, CAST(year(l_shipdate) AS VARCHAR) AS period,
+         CAST(year(l_shipdate) AS INTEGER) AS yr,
+         CAST(l_orderkey % 60 AS INTEGER) AS lat_idx, CAST(l_partkey % 80 AS INTEGER) AS lon_idx,
+         avg(l_quantity) AS value
+  FROM lineitem GROUP BY ALL)"""
+
+
+# Harmonic climatology coefficients per cell (same axes), from lineitem.
+def clim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return (li.groupBy((F.col("l_orderkey") % 60).cast("int").alias("lat_idx"),
+                       (F.col("l_partkey") % 80).cast("int").alias("lon_idx"))
+            .agg(F.avg("l_quantity").alias("mean"), (F.avg("l_discount") * 10).alias("an_cos"),
+                 (F.avg("l_tax") * 10).alias("an_sin"), (F.avg("l_linenumber") / 10).alias("sa_cos"),
+                 (F.avg("l_discount") * -5).alias("sa_sin")))
+
+
+SQL_CLIM = """clim AS (
+  SELECT CAST(l_orderkey % 60 AS INTEGER) AS lat_idx, CAST(l_partkey % 80 AS INTEGER) AS lon_idx,
+         avg(l_quantity) AS mean, avg(l_discount) * 10 AS an_cos, avg(l_tax) * 10 AS an_sin,
+         avg(l_linenumber) / 10 AS sa_cos, avg(l_discount) * -5 AS sa_sin
+  FROM lineitem GROUP BY ALL)"""

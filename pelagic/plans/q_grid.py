@@ -1 +1,236 @@
-"""placeholder"""
+"""Gridded-product queries: nearest / box / bilinear / edge / window lookups, climatology, regrid,
+coarsening, trend, area series and multi-product match-up."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pelagic.functions.timeops import harmonic
+from pelagic.operators import grid as gr
+from pelagic.plans import bindings as b
+from pelagic.plans.catalog import register, rounded
+
+LAT = gr.Axis(-10.0, -0.5, 60)
+LON = gr.Axis(110.0, 0.5, 80)
+
+_PTS = """pts AS (
+  SELECT sample, lat, lon, CAST(year(sample_date) AS VARCHAR) AS period, sample_date,
+         (lat - (-10.0)) / (-0.5) AS fi, (lon - 110.0) / 0.5 AS fj
+  FROM samples)"""
+_G = b.with_ctes(b.SQL_SAMPLES, b.SQL_GRID, _PTS)
+
+
+def _points(spark, sf_dir):
+    return b.samples(spark, sf_dir).withColumn("period", F.year("sample_date").cast("string"))
+
+
+def _keys(product: str):
+    return {"product": F.lit(product), "period": F.col("period")}
+
+
+# ----------------------------------------------------------------- J-07
+@register("grid_nearest", sql=_G + """,
+p AS (SELECT sample, period,
+             least(greatest(CAST(floor(fi + 0.5) AS INTEGER), 0), 59) AS lat_idx,
+             least(greatest(CAST(floor(fj + 0.5) AS INTEGER), 0), 79) AS lon_idx FROM pts)
+SELECT p.sample, p.lat_idx, p.lon_idx, g.value
+FROM p LEFT JOIN grid g ON g.product = 'N' AND g.period = p.period AND g.lat_idx = p.lat_idx AND g.lon_idx = p.lon_idx
+""")
+def grid_nearest(spark, sf_dir):
+    r = gr.grid_nearest(_points(spark, sf_dir), b.grid(spark, sf_dir), "sample", "lat", "lon", LAT, LON,
+                        keys=["product", "period"], point_keys=_keys("N"))
+    return r.select("sample", "lat_idx", "lon_idx", "value")
+
+
+# ----------------------------------------------------------------- J-09
+@register("grid_box_mean", bench=True, sql=_G + """,
+p AS (SELECT sample, period,
+             least(greatest(CAST(floor(fi + 0.5) AS INTEGER), 0), 59) - 1 AS i0,
+             least(greatest(CAST(floor(fj + 0.5) AS INTEGER), 0), 79) - 1 AS j0 FROM pts),
+c AS (SELECT sample, period, i0 + di AS li, j0 + dj AS lj FROM p, range(0, 3) a(di), range(0, 3) b(dj)
+      WHERE i0 + di BETWEEN 0 AND 59 AND j0 + dj BETWEEN 0 AND 79)
+SELECT c.sample, round(avg(g.value), 6) + 0.0 AS value
+FROM c LEFT JOIN grid g ON g.product = 'R' AND g.period = c.period AND g.lat_idx = c.li AND g.lon_idx = c.lj
+GROUP BY c.sample
+""")
+def grid_box_mean(spark, sf_dir):
+    r = gr.grid_box(_points(spark, sf_dir), b.grid(spark, sf_dir), "sample", "lat", "lon", LAT, LON, 3,
+                    keys=["product", "period"], point_keys=_keys("R"))
+    return rounded(r)
+
+
+_CORNERS = """p AS (SELECT sample, period, sample_date, CAST(floor(fi) AS INTEGER) AS i0, CAST(floor(fj) AS INTEGER) AS j0,
+             fi - floor(fi) AS ti, fj - floor(fj) AS tj FROM pts),
+c AS (SELECT sample, period, sample_date, i0 AS li, j0 AS lj, (1.0 - ti) * (1.0 - tj) AS w FROM p
+      UNION ALL SELECT sample, period, sample_date, i0, j0 + 1, (1.0 - ti) * tj FROM p WHERE tj > 0
+      UNION ALL SELECT sample, period, sample_date, i0 + 1, j0, ti * (1.0 - tj) FROM p WHERE ti > 0
+      UNION ALL SELECT sample, period, sample_date, i0 + 1, j0 + 1, ti * tj FROM p WHERE ti > 0 AND tj > 0)"""
+
+
+# ----------------------------------------------------------------- J-12 / G-08
+@register("grid_bilinear", sql=_G + "," + _CORNERS + """
+SELECT c.sample, CASE WHEN count(*) = count(g.value) THEN round(sum(c.w * g.value), 6) + 0.0 END AS value
+FROM c LEFT JOIN grid g ON g.product = 'A' AND g.period = c.period AND g.lat_idx = c.li AND g.lon_idx = c.lj
+GROUP BY c.sample
+""")
+def grid_bilinear(spark, sf_dir):
+    r = gr.grid_bilinear(_points(spark, sf_dir), b.grid(spark, sf_dir), "sample", "lat", "lon", LAT, LON,
+                         keys=["product", "period"], point_keys=_keys("A"))
+    return rounded(r)
+
+
+# ----------------------------------------------------------------- J-10
+@register("grid_edge_cell", sql=_G + """,
+p AS (SELECT sample, period, CAST(floor(fi) AS INTEGER) AS li, CAST(floor(fj) AS INTEGER) AS lj FROM pts)
+SELECT p.sample, g.value
+FROM p LEFT JOIN grid g ON g.product = 'N' AND g.period = p.period AND g.lat_idx = p.li AND g.lon_idx = p.lj
+""")
+def grid_edge_cell(spark, sf_dir):
+    return gr.grid_edge_cell(_points(spark, sf_dir), b.grid(spark, sf_dir), "sample", "lat", "lon", LAT, LON,
+                             keys=["product", "period"], point_keys=_keys("N"))
+
+
+# ----------------------------------------------------------------- J-11
+@register("grid_window_cell", sql=_G + """,
+w AS (SELECT sample, period,
+             least((lat - 0.2 - (-10.0)) / (-0.5), (lat + 0.2 - (-10.0)) / (-0.5)) AS alo,
+             greatest((lat - 0.2 - (-10.0)) / (-0.5), (lat + 0.2 - (-10.0)) / (-0.5)) AS ahi,
+             least((lon - 0.2 - 110.0) / 0.5, (lon + 0.2 - 110.0) / 0.5) AS blo,
+             greatest((lon - 0.2 - 110.0) / 0.5, (lon + 0.2 - 110.0) / 0.5) AS bhi FROM pts),
+k AS (SELECT sample, period, greatest(CAST(floor(alo) AS INTEGER) + 1, 0) AS i, ahi,
+             greatest(CAST(floor(blo) AS INTEGER) + 1, 0) AS j, bhi FROM w),
+p AS (SELECT sample, period, CASE WHEN i < ahi AND i < 60 THEN i END AS li,
+             CASE WHEN j < bhi AND j < 80 THEN j END AS lj FROM k)
+SELECT p.sample, g.value
+FROM p LEFT JOIN grid g ON g.product = 'N' AND g.period = p.period AND g.lat_idx = p.li AND g.lon_idx = p.lj
+""")
+def grid_window_cell(spark, sf_dir):
+    return gr.grid_window_cell(_points(spark, sf_dir), b.grid(spark, sf_dir), "sample", "lat", "lon", LAT, LON,
+                               0.2, keys=["product", "period"], point_keys=_keys("N"))
+
+
+# ----------------------------------------------------------------- G-06 (J-13 + F-19)
+@register("harmonic_nearest", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_CLIM) + """,
+p AS (SELECT sample, CAST(dayofyear(sample_date) AS DOUBLE) AS doy,
+             CAST(-20 - round_even(lat / 0.5, 0) AS INTEGER) AS li,
+             CAST(round_even(lon / 0.5, 0) - 220 AS INTEGER) AS lj FROM samples)
+SELECT p.sample, round(c.mean + c.an_cos * cos(p.doy * (2 * pi() / 366.0)) + c.an_sin * sin(p.doy * (2 * pi() / 366.0))
+             + c.sa_cos * cos(2 * (p.doy * (2 * pi() / 366.0))) + c.sa_sin * sin(2 * (p.doy * (2 * pi() / 366.0))), 6)
+         + 0.0 AS value
+FROM p LEFT JOIN clim c ON c.lat_idx = p.li AND c.lon_idx = p.lj
+""")
+def harmonic_nearest(spark, sf_dir):
+    s = b.samples(spark, sf_dir)
+    p = s.select("sample", F.dayofyear("sample_date").cast("double").alias("doy"),
+                 (F.lit(-20) - gr.node_key("lat", 0.5)).cast("int").alias("lat_idx"),
+                 (gr.node_key("lon", 0.5) - 220).cast("int").alias("lon_idx"))
+    j = p.join(b.clim(spark, sf_dir), ["lat_idx", "lon_idx"], "left")
+    return rounded(j.select("sample", harmonic("doy", "mean", "an_cos", "an_sin", "sa_cos", "sa_sin").alias("value")))
+
+
+# ----------------------------------------------------------------- G-07 bilinear climatology
+@register("harmonic_bilinear", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_CLIM, _PTS) + "," + _CORNERS + """,
+v AS (SELECT c.sample, c.w, CAST(dayofyear(c.sample_date) AS DOUBLE) * (2 * pi() / 366.0) AS t, k.*
+      FROM c LEFT JOIN clim k ON k.lat_idx = c.li AND k.lon_idx = c.lj)
+SELECT sample, CASE WHEN count(*) = count(lat_idx) THEN
+         round(sum(w * (mean + an_cos * cos(t) + an_sin * sin(t) + sa_cos * cos(2 * t) + sa_sin * sin(2 * t))), 6) + 0.0
+       END AS value
+FROM v GROUP BY sample
+""")
+def harmonic_bilinear(spark, sf_dir):
+    p = b.samples(spark, sf_dir).withColumn("doy", F.dayofyear("sample_date").cast("double"))
+
+    def corner():
+        return harmonic("doy", "__g_mean", "__g_an_cos", "__g_an_sin", "__g_sa_cos", "__g_sa_sin")
+
+    r = gr.grid_bilinear(p, b.clim(spark, sf_dir), "sample", "lat", "lon", LAT, LON, corner_value=corner,
+                         grid_cols=["mean", "an_cos", "an_sin", "sa_cos", "sa_sin"])
+    return rounded(r)
+
+
+# ----------------------------------------------------------------- G-13 regrid to half step
+@register("regrid", sql=b.with_ctes(b.SQL_GRID) + """,
+t AS (SELECT g.product, g.period, 2 * g.lat_idx + a AS flat, 2 * g.lon_idx + c AS flon
+      FROM grid g, range(0, 2) x(a), range(0, 2) y(c)),
+p AS (SELECT product, period, flat, flon, flat / 2.0 AS fi, flon / 2.0 AS fj FROM t),
+q AS (SELECT product, period, flat, flon, CAST(floor(fi) AS INTEGER) AS i0, CAST(floor(fj) AS INTEGER) AS j0,
+             fi - floor(fi) AS ti, fj - floor(fj) AS tj FROM p),
+c AS (SELECT product, period, flat, flon, i0 AS li, j0 AS lj, (1.0 - ti) * (1.0 - tj) AS w FROM q
+      UNION ALL SELECT product, period, flat, flon, i0, j0 + 1, (1.0 - ti) * tj FROM q WHERE tj > 0
+      UNION ALL SELECT product, period, flat, flon, i0 + 1, j0, ti * (1.0 - tj) FROM q WHERE ti > 0
+      UNION ALL SELECT product, period, flat, flon, i0 + 1, j0 + 1, ti * tj FROM q WHERE ti > 0 AND tj > 0)
+SELECT c.product, c.period, CAST(c.flat AS INTEGER) AS fine_lat_idx, CAST(c.flon AS INTEGER) AS fine_lon_idx,
+       CASE WHEN count(*) = count(g.value) THEN round(sum(c.w * g.value), 6) + 0.0 END AS value
+FROM c LEFT JOIN grid g ON g.product = c.product AND g.period = c.period AND g.lat_idx = c.li AND g.lon_idx = c.lj
+GROUP BY c.product, c.period, c.flat, c.flon
+""")
+def regrid(spark, sf_dir):
+    g = b.grid(spark, sf_dir)
+    fine_lat = gr.Axis(LAT.origin, LAT.step / 2, 2 * LAT.n)
+    fine_lon = gr.Axis(LON.origin, LON.step / 2, 2 * LON.n)
+    two = F.sequence(F.lit(0), F.lit(1))
+    t = (g.select("product", "period", "lat_idx", "lon_idx")
+         .withColumn("__a", F.explode(two)).withColumn("__c", F.explode(two))
+         .withColumn("fine_lat_idx", 2 * F.col("lat_idx") + F.col("__a"))
+         .withColumn("fine_lon_idx", 2 * F.col("lon_idx") + F.col("__c"))
+         .select("product", "period", "fine_lat_idx", "fine_lon_idx")
+         .withColumn("lat", fine_lat.value("fine_lat_idx")).withColumn("lon", fine_lon.value("fine_lon_idx"))
+         .withColumn("__id", F.struct("product", "period", "fine_lat_idx", "fine_lon_idx")))
+    r = gr.grid_bilinear(t, g, "__id", "lat", "lon", LAT, LON, keys=["product", "period"])
+    return rounded(r.select("__id.*", "value"))
+
+
+# ----------------------------------------------------------------- A-23
+@register("grid_coarsen", sql=b.with_ctes(b.SQL_GRID) + """
+SELECT product, period, CAST(floor(lat_idx / 4) AS INTEGER) AS lat_idx, CAST(floor(lon_idx / 4) AS INTEGER) AS lon_idx,
+       round(avg(value), 6) + 0.0 AS value
+FROM grid GROUP BY 1, 2, 3, 4
+""")
+def grid_coarsen(spark, sf_dir):
+    return rounded(gr.grid_coarsen(b.grid(spark, sf_dir), 4, keys=["product", "period"]))
+
+
+# ----------------------------------------------------------------- A-24
+@register("grid_trend", sql=b.with_ctes(b.SQL_GRID) + """,
+t0 AS (SELECT min(yr) AS t0 FROM grid)
+SELECT product, lat_idx, lon_idx,
+       CASE WHEN max(CASE WHEN yr = (SELECT t0 FROM t0) THEN CASE WHEN value IS NULL THEN 1 ELSE 0 END END) = 0
+            THEN round(regr_slope(value, CAST(yr AS DOUBLE)), 6) + 0.0 END AS slope
+FROM grid GROUP BY product, lat_idx, lon_idx
+""")
+def grid_trend(spark, sf_dir):
+    return rounded(gr.grid_trend(b.grid(spark, sf_dir), "yr", keys=["product"]))
+
+
+# ----------------------------------------------------------------- A-22 / P-13 / G-04
+@register("grid_area_series", sql=b.with_ctes(b.SQL_GRID) + """
+SELECT product, period, round(avg(value), 6) + 0.0 AS value, count(value) AS n_cells FROM grid
+WHERE -10.0 + CAST(lat_idx AS DOUBLE) * -0.5 BETWEEN -20.0 AND -15.0
+  AND 110.0 + CAST(lon_idx AS DOUBLE) * 0.5 BETWEEN 120.0 AND 130.0
+GROUP BY product, period
+""")
+def grid_area_series(spark, sf_dir):
+    return rounded(gr.grid_area_series(b.grid(spark, sf_dir), LAT, LON, (-20.0, -15.0), (120.0, 130.0),
+                                       keys=["product", "period"]))
+
+
+# ----------------------------------------------------------------- G-01..G-03 multi-product match-up
+@register("satellite_matchup", sql=_G + """,
+p AS (SELECT sample, period,
+             least(greatest(CAST(floor(fi + 0.5) AS INTEGER), 0), 59) - 1 AS i0,
+             least(greatest(CAST(floor(fj + 0.5) AS INTEGER), 0), 79) - 1 AS j0 FROM pts),
+c AS (SELECT sample, period, i0 + di AS li, j0 + dj AS lj FROM p, range(0, 2) a(di), range(0, 2) b(dj)
+      WHERE i0 + di BETWEEN 0 AND 59 AND j0 + dj BETWEEN 0 AND 79),
+m AS (SELECT c.sample, g.product, avg(g.value) AS v
+      FROM c JOIN grid g ON g.period = c.period AND g.lat_idx = c.li AND g.lon_idx = c.lj GROUP BY 1, 2)
+SELECT s.sample,
+       round(max(v) FILTER (WHERE product = 'A'), 6) + 0.0 AS "A",
+       round(max(v) FILTER (WHERE product = 'N'), 6) + 0.0 AS "N",
+       round(max(v) FILTER (WHERE product = 'R'), 6) + 0.0 AS "R"
+FROM samples s LEFT JOIN m USING (sample) GROUP BY s.sample
+""")
+def satellite_matchup(spark, sf_dir):
+    s = b.samples(spark, sf_dir)
+    r = gr.match_products(s, b.grid(spark, sf_dir), "sample", "lat", "lon", "sample_date", LAT, LON,
+                          ["A", "N", "R"], "1y", 2)
+    return rounded(r)
