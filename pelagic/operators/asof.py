@@ -80,8 +80,9 @@ def forward_asof(points: DataFrame, axis: DataFrame, point_key: str, axis_value:
     bk = F.floor(F.col("__k") / F.lit(bucket))
     u = (keys.select("__k", F.lit(1).alias("__side"), bk.alias("__b"))
          .unionByName(ax.select("__k", F.lit(0).alias("__side"), bk.alias("__b"))))
-    # strictly greater: at equal values the key row sorts before the axis row
-    w = Window.partitionBy("__b").orderBy(F.col("__k"), F.col("__side").desc())
+    # strictly greater: at equal values the axis row sorts before the key row,
+    # so it is not among the rows following the key
+    w = Window.partitionBy("__b").orderBy(F.col("__k"), F.col("__side"))
     nxt = F.first(F.when(F.col("__side") == 0, F.col("__k")), ignorenulls=True).over(
         w.rowsBetween(1, Window.unboundedFollowing))
     within = u.select("__k", "__b", "__side", nxt.alias("__in")).where(F.col("__side") == 1)

@@ -75,10 +75,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 def exclude_ids(df: DataFrame, col: str, ids: Iterable) -> DataFrame:
-    """P-08: drop known-bad ids (literal list; null ids kept)."""
-    return df.where(F.coalesce(~F.col(col).isin(list(ids)), F.lit(True)))
+    """P-08: drop known-bad ids (literal list; null ids kept).  Written as
+    ``isNull OR NOT IN`` so the predicate reaches the parquet reader."""
+    return df.where(F.col(col).isNull() | ~F.col(col).isin(list(ids)))
 
 
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """P-07: drop rows with a null in ``subset`` (or in any column)."""
-    return df.dropna(how="any", subset=list(subset) if subset else None)
+    """P-07: drop rows with a null in ``subset`` (or in any column), as pushable IsNotNull filters."""
+    cols = list(subset) if subset else df.columns
+    cond = None
+    for c in cols:
+        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+    return df.where(cond) if cond is not None else df
