@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from pelagic.functions.nulls import sum0
 
@@ -30,11 +31,18 @@ def pivot_values(df: DataFrame, col: str, max_columns: int = MAX_WIDE_COLUMNS) -
 
 
 def to_wide(df: DataFrame, ids: Sequence[str], col: str, value: str, values: Sequence | None = None,
-            fill=None, max_columns: int = MAX_WIDE_COLUMNS) -> DataFrame:
+            fill=None, max_columns: int = MAX_WIDE_COLUMNS, unique_cells: bool = False) -> DataFrame:
     """V-01 / V-02: long -> wide, one column per value of ``col`` (sorted, O-01).
 
     ``fill`` replaces *absent* cells only; a cell present with an explicit null
     stays null (N-15).  Without ``fill`` absent cells are null (V-02).
+
+    Cells are reduced to one value per (ids, col) (skipped when the caller
+    guarantees ``unique_cells``; map-side partial aggregation combines a hot
+    key before the shuffle), gathered per ``ids`` into a map bounded by the
+    column list, and read out with one lookup per column.  Every key gets a
+    row even when none of its cells is listed.  The aggregation buffer stays
+    one map whatever the column count, so whole-stage codegen stays on.
     """
     ids = list(ids)
     if values is None:
@@ -42,16 +50,30 @@ def to_wide(df: DataFrame, ids: Sequence[str], col: str, value: str, values: Seq
     values = list(values)
     if len(values) > max_columns:
         raise ValueError("too many pivot columns")
-    g = df.groupBy(*ids).pivot(col, values)
-    if fill is None:
-        return g.agg(F.first(value))
-    w = g.agg(F.first(value).alias("v"), F.count(F.lit(1)).alias("n"))
-    out = [F.col(c) for c in ids]
-    for v in values:
-        vname, nname = f"{v}_v", f"{v}_n"
-        out.append(F.when(F.col(f"`{nname}`") > 0, F.col(f"`{vname}`"))
-                   .otherwise(F.lit(fill)).alias(str(v)))
-    return w.select(*out)
+    cells = df if unique_cells else df.groupBy(*ids, col).agg(F.first(value, ignorenulls=True).alias(value))
+    out = [F.col(x) for x in ids]
+    if isinstance(cells.schema[value].dataType, (DoubleType, FloatType)) and len(values) <= 90:
+        # One conditional max per column (buffers stay under the codegen field
+        # limit).  Cells are unique here; an explicit null is carried as NaN
+        # (NaN never survives the scan, S-06) so "present but null" differs
+        # from "absent".
+        v = F.coalesce(F.col(value).cast("double"), F.lit(float("nan")))
+        w = cells.groupBy(*ids).agg(*[F.max(F.when(F.col(col) == F.lit(x), v)).alias(f"__v{i}")
+                                      for i, x in enumerate(values)])
+        for i, x in enumerate(values):
+            c = F.col(f"__v{i}")
+            absent = F.lit(fill) if fill is not None else F.lit(None)
+            out.append(F.when(c.isNull(), absent).when(F.isnan(c), F.lit(None)).otherwise(c).alias(str(x)))
+        return w.select(*out)
+    listed = F.col(col).isin(values)
+    m = cells.groupBy(*ids).agg(
+        F.map_from_entries(F.collect_list(F.when(listed, F.struct(col, value)))).alias("__m"))
+    for x in values:
+        cell = F.element_at(F.col("__m"), F.lit(x))
+        if fill is not None:
+            cell = F.when(F.map_contains_key(F.col("__m"), F.lit(x)), cell).otherwise(F.lit(fill))
+        out.append(cell.alias(str(x)))
+    return m.select(*out)
 
 
 def densify(spine: DataFrame, obs: DataFrame, key: str, taxon: str, value: str,
@@ -59,17 +81,20 @@ def densify(spine: DataFrame, obs: DataFrame, key: str, taxon: str, value: str,
             max_columns: int = MAX_WIDE_COLUMNS) -> DataFrame:
     """V-01 long form: every spine key x every taxon, absent cells = ``fill``.
 
-    Built without a join product: per-(key, taxon) sums are left-joined to
-    the spine, pivoted per key over the bounded, sorted taxon list and
-    unpivoted again.  Each key's row is produced by the task that owns the
-    key, so the output (the matrix itself) is spread like the spine.
+    Built without a join product: per-(key, taxon) sums are gathered per key
+    into a map (at most one entry per taxon, so bounded by the taxon list),
+    left-joined to the spine, and every key row is expanded over the bounded,
+    sorted taxon list with a map lookup.  The output (the matrix itself) is
+    produced by the tasks that own the keys.
     """
     sums = obs.groupBy(key, taxon).agg(sum0(value).alias(value))
     if values is None:
         values = pivot_values(sums, taxon, max_columns)
-    spined = spine.select(key).join(sums, key, "left")
-    wide = to_wide(spined, [key], taxon, value, values=values, fill=fill, max_columns=max_columns)
-    return melt(wide, [key], [str(v) for v in values], taxon, value, dropna=False)
+    per_key = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(taxon, value))).alias("__m"))
+    taxa = F.array(*[F.lit(x) for x in values])
+    return (spine.select(key).join(per_key, key, "left")
+            .select(key, F.explode(taxa).alias(taxon), "__m")
+            .select(key, taxon, F.coalesce(F.element_at(F.col("__m"), F.col(taxon)), F.lit(fill)).alias(value)))
 
 
 def melt(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str], var: str = "variable",

@@ -80,8 +80,11 @@ PIVOT dense ON taxon USING sum(value) GROUP BY sample
 @register("raw_matrix_wide", sql=_RAW_SQL)
 def raw_matrix_wide(spark, sf_dir):
     s = b.samples(spark, sf_dir).select("sample")
-    sums = b.obs(spark, sf_dir).groupBy("sample", "taxon").agg(F.sum("value").alias("value"))
-    return rs.to_wide(s.join(sums, "sample", "left"), ["sample"], "taxon", "value", fill=0.0)
+    o = b.obs(spark, sf_dir)
+    taxa = rs.pivot_values(o, "taxon")
+    sums = o.groupBy("sample", "taxon").agg(F.sum("value").alias("value"))
+    return rs.to_wide(s.join(sums, "sample", "left"), ["sample"], "taxon", "value", values=taxa, fill=0.0,
+                      unique_cells=True)
 
 
 # ----------------------------------------------------------------- R-2 long, densified
@@ -112,7 +115,7 @@ FROM l GROUP BY sample
 def group_totals_wide(spark, sf_dir):
     long = ix.group_totals(b.samples(spark, sf_dir), b.obs(spark, sf_dir), "sample", "grp", "value",
                            exclude=("PROMO", "ECONOMY"), placeholder="NONE")
-    return rs.to_wide(long, ["sample"], "grp", "value", fill=0.0)
+    return rs.to_wide(long, ["sample"], "grp", "value", fill=0.0, unique_cells=True)
 
 
 # ----------------------------------------------------------------- R-8 larval-fish style count matrix
@@ -130,7 +133,8 @@ def larval_matrix(spark, sf_dir):
     s = b.samples(spark, sf_dir).where(F.col("sample_type").rlike("F|O")).select("sample")
     o = b.obs(spark, sf_dir).select("sample", F.concat_ws(" ", "grp", "genus").alias("header"), "value")
     counts = s.join(o, "sample", "inner").groupBy("sample", "header").agg(F.sum("value").alias("value"))
-    return rs.to_wide(counts, ["sample"], "header", "value", fill=0.0)
+    headers = rs.pivot_values(counts, "header")
+    return rs.to_wide(counts, ["sample"], "header", "value", values=headers, fill=0.0, unique_cells=True)
 
 
 # ----------------------------------------------------------------- P-15 drop all-zero taxa
