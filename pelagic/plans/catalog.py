@@ -35,10 +35,15 @@ def register(name: str, sql: str | None = None, bench: bool = False):
     return deco
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every floating column so value hashes do not depend on summation order."""
+def rounded(df: DataFrame, places: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Round every floating column so value hashes do not depend on summation order.
+
+    ``keep`` names columns computed exactly (e.g. a quotient of integer sums),
+    left unrounded: both engines produce the same correctly rounded double,
+    while rounding could split a decimal tie differently.
+    """
     cols = {f.name: F.round(F.col(f.name), places) + F.lit(0.0)
-            for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+            for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType)) and f.name not in keep}
     return df.withColumns(cols) if cols else df
 
 
@@ -46,5 +51,5 @@ def load_all() -> None:
     """Import every plan module so its queries are registered."""
     from pelagic.plans import (  # noqa: F401
         q_indices, q_matrices, q_qc, q_profile, q_asof, q_time, q_mooring, q_grid,
-        q_regions, q_community,
+        q_regions, q_community, q_products,
     )
