@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagic.functions.nulls import _c
@@ -239,3 +239,49 @@ def match_products(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon:
     back = p.select("__pp", pid, product_col).join(box, "__pp", "left")
     wide = back.groupBy(pid).pivot(product_col, list(products)).agg(F.first(value))
     return points.select(pid).join(wide, pid, "left")
+
+
+def nearest_slice(points: DataFrame, axis: DataFrame, by: str, key: str, axis_key: str, out: str = "slice") -> DataFrame:
+    """J-08: per point the nearest available slice value (e.g. day of year) within its ``by`` layer.
+
+    Works on the distinct (layer, key) values: both sides are unioned and
+    scanned in order per layer (a layer holds at most one row per slice), the
+    previous and next slice are compared and a tie goes to the earlier one.
+    """
+    k = points.select(by, F.col(key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
+    a = axis.select(by, F.col(axis_key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
+    u = k.withColumn("__side", F.lit(1)).unionByName(a.withColumn("__side", F.lit(0)))
+    w = Window.partitionBy(by).orderBy("__k", "__side")
+    ax = F.when(F.col("__side") == 0, F.col("__k"))
+    prev = F.last(ax, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    nxt = F.first(ax, ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    m = u.select(by, "__k", "__side", prev.alias("__p"), nxt.alias("__n")).where(F.col("__side") == 1)
+    best = (F.when(F.col("__p").isNull(), F.col("__n")).when(F.col("__n").isNull(), F.col("__p"))
+            .when(F.col("__k") - F.col("__p") <= F.col("__n") - F.col("__k"), F.col("__p")).otherwise(F.col("__n")))
+    m = m.select(by, F.col("__k").alias(key), best.alias(out))
+    return points.join(m, [by, key], "left")
+
+
+def match_altimetry(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, date: str,
+                    lat_axis: Axis, lon_axis: Axis, measures: Sequence[str], n: int = 1,
+                    period: str = "period", slice_col: str = "doy") -> DataFrame:
+    """G-03: altimetry match-up: yearly layer, nearest day-of-year slice (J-08), n x n box mean of
+    every measure (nulls ignored), and the coordinates of the box origin cell.
+
+    Both box axes are shifted by floor(n/2) (D-07: the source shifts longitude twice and latitude never).
+    """
+    p = points.select(pid, lat, lon, F.year(date).cast("string").alias(period),
+                      F.dayofyear(date).alias("__doy"))
+    p = nearest_slice(p, grid.select(period, slice_col), period, "__doy", slice_col, out="__slice")
+    half = n // 2
+    offs = F.sequence(F.lit(0), F.lit(n - 1))
+    c = (p.withColumn("__i0", lat_axis.nearest(lat) - half).withColumn("__j0", lon_axis.nearest(lon) - half)
+         .withColumn("__di", F.explode(offs)).withColumn("__dj", F.explode(offs))
+         .withColumn("__lat", F.col("__i0") + F.col("__di")).withColumn("__lon", F.col("__j0") + F.col("__dj")))
+    g = grid.select(F.col(period).alias("__gp"), F.col(slice_col).alias("__gs"), F.col("lat_idx").alias("__gl"),
+                    F.col("lon_idx").alias("__go"), *[F.col(m).alias(f"__m_{m}") for m in measures])
+    j = c.join(g, (c[period] == g["__gp"]) & (c["__slice"] == g["__gs"]) & (c["__lat"] == g["__gl"])
+               & (c["__lon"] == g["__go"]), "left")
+    agg = j.groupBy(pid, "__i0", "__j0").agg(*[F.avg(f"__m_{m}").alias(m) for m in measures])
+    return agg.select(pid, *measures, lon_axis.value("__j0").alias("Longitude_Actual"),
+                      lat_axis.value("__i0").alias("Latitude_Actual"))

@@ -169,3 +169,20 @@ SQL_CLIM = """clim AS (
          avg(l_quantity) AS mean, avg(l_discount) * 10 AS an_cos, avg(l_tax) * 10 AS an_sin,
          avg(l_linenumber) / 10 AS sa_cos, avg(l_discount) * -5 AS sa_sin
   FROM lineitem GROUP BY ALL)"""
+
+
+# Daily altimetry-like layers: period = ship year, slice = day of year, four measures.
+def alt_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return (li.groupBy(F.year("l_shipdate").cast("string").alias("period"), F.dayofyear("l_shipdate").alias("doy"),
+                       (F.col("l_orderkey") % 60).cast("int").alias("lat_idx"),
+                       (F.col("l_partkey") % 80).cast("int").alias("lon_idx"))
+            .agg(F.avg("l_discount").alias("GSLA"), F.avg("l_tax").alias("GSL"),
+                 (F.avg("l_quantity") / 10).alias("UCUR"), (F.avg("l_extendedprice") / 10000).alias("VCUR")))
+
+
+SQL_ALT = """alt AS (
+  SELECT CAST(year(l_shipdate) AS VARCHAR) AS period, CAST(dayofyear(l_shipdate) AS INTEGER) AS doy,
+         CAST(l_orderkey % 60 AS INTEGER) AS lat_idx, CAST(l_partkey % 80 AS INTEGER) AS lon_idx,
+         avg(l_discount) AS GSLA, avg(l_tax) AS GSL, avg(l_quantity) / 10 AS UCUR, avg(l_extendedprice) / 10000 AS VCUR
+  FROM lineitem GROUP BY ALL)"""

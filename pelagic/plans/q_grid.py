@@ -234,3 +234,27 @@ def satellite_matchup(spark, sf_dir):
     r = gr.match_products(s, b.grid(spark, sf_dir), "sample", "lat", "lon", "sample_date", LAT, LON,
                           ["A", "N", "R"], "1y", 2)
     return rounded(r)
+
+
+# ----------------------------------------------------------------- G-03 (+ J-08) altimetry match-up
+@register("altimetry_matchup", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_ALT) + """,
+p AS (SELECT sample, CAST(year(sample_date) AS VARCHAR) AS period, CAST(dayofyear(sample_date) AS INTEGER) AS doy,
+             least(greatest(CAST(floor((lat - (-10.0)) / (-0.5) + 0.5) AS INTEGER), 0), 59) - 1 AS i0,
+             least(greatest(CAST(floor((lon - 110.0) / 0.5 + 0.5) AS INTEGER), 0), 79) - 1 AS j0 FROM samples),
+ax AS (SELECT DISTINCT period, doy AS a FROM alt),
+k AS (SELECT DISTINCT period, doy FROM p),
+nd AS (SELECT k.period, k.doy, arg_min(ax.a, abs(ax.a - k.doy) * 1000 + ax.a) AS s
+       FROM k JOIN ax USING (period) GROUP BY k.period, k.doy),
+c AS (SELECT p.sample, p.period, nd.s, p.i0, p.j0, p.i0 + di AS li, p.j0 + dj AS lj
+      FROM p LEFT JOIN nd USING (period, doy), range(0, 3) x(di), range(0, 3) y(dj))
+SELECT c.sample, round(avg(g.GSLA), 6) + 0.0 AS GSLA, round(avg(g.GSL), 6) + 0.0 AS GSL,
+       round(avg(g.UCUR), 6) + 0.0 AS UCUR, round(avg(g.VCUR), 6) + 0.0 AS VCUR,
+       round(110.0 + CAST(c.j0 AS DOUBLE) * 0.5, 6) + 0.0 AS Longitude_Actual,
+       round(-10.0 + CAST(c.i0 AS DOUBLE) * -0.5, 6) + 0.0 AS Latitude_Actual
+FROM c LEFT JOIN alt g ON g.period = c.period AND g.doy = c.s AND g.lat_idx = c.li AND g.lon_idx = c.lj
+GROUP BY c.sample, c.i0, c.j0
+""")
+def altimetry_matchup(spark, sf_dir):
+    r = gr.match_altimetry(b.samples(spark, sf_dir), b.alt_grid(spark, sf_dir), "sample", "lat", "lon",
+                           "sample_date", LAT, LON, ["GSLA", "GSL", "UCUR", "VCUR"], n=3)
+    return rounded(r)
