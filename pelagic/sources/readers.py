@@ -32,15 +32,16 @@ class SourceSpec:
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: str | StructType,
                    null_value: str = "", header: bool = True, renames: Mapping[str, str] | None = None,
                    where: str | Column | None = None, timestamp_format: str | None = None) -> DataFrame:
-    """S-01 / S-02 / S-04 / S-05: schema'd CSV scan with a per-source null token, renames, row filter.
+    """S-01 / S-02 / S-04 / S-05: typed CSV scan with a per-source null token, renames, row filter.
 
-    Malformed numbers become null instead of failing the job (N-14).
+    With a header, columns are matched to the schema *by name* (file column
+    order does not matter, extra columns are skipped as with ``col_skip``);
+    text is cast with try-semantics so malformed numbers become null instead
+    of failing the job (N-14).
     """
-    r = (spark.read.schema(schema).option("header", header).option("nullValue", null_value)
-         .option("mode", "PERMISSIVE").option("nanValue", "NaN"))
-    if timestamp_format:
-        r = r.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
-    df = r.csv(list(path) if not isinstance(path, str) else path)
+    r = spark.read.option("header", header).option("nullValue", null_value).option("mode", "PERMISSIVE")
+    raw = r.csv(list(path) if not isinstance(path, str) else path)
+    df = _typed(spark, raw, schema, header, timestamp_format)
     if renames:
         df = df.withColumnsRenamed(dict(renames))
     if where is not None:
@@ -48,17 +49,36 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: str |
     return df
 
 
+def _struct(spark: SparkSession, schema: str | StructType) -> StructType:
+    return schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+
+
+def _typed(spark: SparkSession, raw: DataFrame, schema: str | StructType, by_name: bool,
+           timestamp_format: str | None = None) -> DataFrame:
+    st = _struct(spark, schema)
+    cols = []
+    for i, f in enumerate(st.fields):
+        src = F.col(f"`{f.name}`") if by_name else F.col(raw.columns[i])
+        t = f.dataType.simpleString()
+        if timestamp_format and t.startswith("timestamp"):
+            v = F.try_to_timestamp(src, F.lit(timestamp_format)).cast(t)
+        else:
+            v = src.try_cast(t)
+        cols.append(v.alias(f.name))
+    return raw.select(*cols)
+
+
 def read_with_preamble(spark: SparkSession, path: str, skip: int, schema: str | StructType,
                        null_value: str = "", renames: Mapping[str, str] | None = None) -> DataFrame:
     """S-03: a delimited file whose first ``skip`` lines are a free-text preamble.
 
     Lines are numbered per file with ``zipWithIndex`` (ordered by split, no
     single-task gather), the preamble is dropped, and the remaining text is
-    parsed by the CSV reader with the given schema (first kept line = header).
+    parsed by the CSV reader (first kept line = header, matched by name).
     """
     lines = spark.sparkContext.textFile(path).zipWithIndex().filter(lambda t: t[1] >= skip).keys()
-    df = (spark.read.schema(schema).option("header", True).option("nullValue", null_value)
-          .option("mode", "PERMISSIVE").csv(lines))
+    raw = spark.read.option("header", True).option("nullValue", null_value).option("mode", "PERMISSIVE").csv(lines)
+    df = _typed(spark, raw, schema, True)
     return df.withColumnsRenamed(dict(renames)) if renames else df
 
 
