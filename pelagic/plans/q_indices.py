@@ -50,33 +50,37 @@ c AS (SELECT sample,
              sum(CASE WHEN grp = 'STANDARD' THEN value END) AS a,
              sum(CASE WHEN grp = 'ECONOMY' THEN value END) AS b
       FROM obs WHERE grp IN ('STANDARD', 'ECONOMY') GROUP BY sample)
-SELECT sample, round(CASE WHEN a + b <> 0 THEN a / (a + b) END, 6) + 0.0 AS ratio FROM c
+SELECT sample, CASE WHEN a + b <> 0 THEN a / (a + b) END + 0.0 AS ratio FROM c
 """)
 def ratio_two_class(spark, sf_dir):
+    # quotient of exact integer sums: identical in any engine, left unrounded
     o = b.obs(spark, sf_dir)
-    return rounded(ix.class_share(o, "sample", "grp", "value", "STANDARD", "ECONOMY", out="ratio"))
+    return rounded(ix.class_share(o, "sample", "grp", "value", "STANDARD", "ECONOMY", out="ratio"), keep=("ratio",))
 
 
 # ----------------------------------------------------------------- A-07 abundance-weighted size
 @register("mean_size", sql=_OBS + """
-SELECT sample, round(CASE WHEN sum(value) <> 0 THEN sum(size_mm * value) / sum(value) END, 6) + 0.0 AS mean_size
+SELECT sample, CASE WHEN sum(value) <> 0 THEN sum(size_mm * value) / sum(value) END + 0.0 AS mean_size
 FROM obs GROUP BY sample
 """)
 def mean_size(spark, sf_dir):
     o = b.obs(spark, sf_dir)
-    return rounded(ix.ratio_of_sums(o, "sample", F.col("size_mm") * F.col("value"), F.col("value"), "mean_size"))
+    r = ix.ratio_of_sums(o, "sample", F.col("size_mm") * F.col("value"), F.col("value"), "mean_size")
+    return rounded(r, keep=("mean_size",))  # exact integer sums -> same quotient in any engine
 
 
 # ----------------------------------------------------------------- A-08 mean cell volume
 @register("cell_volume", sql=_OBS + """,
-o AS (SELECT sample, value, CASE WHEN flag = 7 THEN NULL ELSE biovolume END AS bv FROM obs)
-SELECT sample, round(CASE WHEN sum(value) <> 0 THEN sum(bv) / sum(value) END, 6) + 0.0 AS cell_volume
+o AS (SELECT sample, value, CASE WHEN flag = 7 THEN NULL ELSE round(biovolume * 100) END AS bv FROM obs)
+SELECT sample, CASE WHEN sum(value) <> 0 THEN sum(bv) / sum(value) END + 0.0 AS cell_volume
 FROM o WHERE bv IS NOT NULL GROUP BY sample
 """)
 def cell_volume(spark, sf_dir):
+    # biovolume in hundredths (exact integers): the quotient of exact sums is the
+    # same correctly rounded double in any engine, so it is not rounded further
     o = b.obs(spark, sf_dir).withColumn(
-        "bv", F.when(F.col("flag") == 7, F.lit(None)).otherwise(F.col("biovolume")))
-    return rounded(ix.mean_cell_volume(o, "sample", "value", "bv", out="cell_volume"))
+        "bv", F.when(F.col("flag") == 7, F.lit(None)).otherwise(F.round(F.col("biovolume") * 100)))
+    return rounded(ix.mean_cell_volume(o, "sample", "value", "bv", out="cell_volume"), keep=("cell_volume",))
 
 
 # ----------------------------------------------------------------- A-10 cell carbon
@@ -103,7 +107,7 @@ def cell_carbon(spark, sf_dir):
 # ----------------------------------------------------------------- A-01/A-02/A-04/A-05
 @register("strict_sum_max", sql=_OBS + """,
 o AS (SELECT sample, CASE WHEN flag = 7 THEN NULL ELSE value END AS v FROM obs)
-SELECT sample, coalesce(sum(v), 0) AS sum0, round(avg(v), 6) + 0.0 AS mean_na,
+SELECT sample, coalesce(sum(v), 0) AS sum0, avg(v) + 0.0 AS mean_na,
        CASE WHEN count(*) <> count(v) THEN NULL ELSE sum(v) END AS strict_sum,
        CASE WHEN count(*) <> count(v) THEN NULL ELSE max(v) END AS strict_max
 FROM o GROUP BY sample
@@ -114,7 +118,7 @@ def strict_sum_max(spark, sf_dir):
     r = o.groupBy("sample").agg(
         sum0("v").cast("double").alias("sum0"), mean_na("v").alias("mean_na"),
         strict_sum("v").alias("strict_sum"), strict_max("v").alias("strict_max"))
-    return rounded(r)
+    return rounded(r, keep=("mean_na",))  # mean of whole numbers: exact sum / count
 
 
 # ----------------------------------------------------------------- A-19 / V-04 group totals
