@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pelagic.functions.timeops import days_since
 from pelagic.operators import asof
 from pelagic.plans import bindings as b
-from pelagic.plans.catalog import register
+from pelagic.plans.catalog import r6, register
 
 
 # ----------------------------------------------------------------- J-05 + F-23
@@ -30,7 +30,7 @@ def nearest_asof(spark, sf_dir):
     tol = F.when(F.col("user_id") % 5 == 0, F.lit(15.0)).otherwise(F.lit(3.0))
     r = asof.nearest_asof(p, v, "user_id", "ts", "ts", "event_id", "cast_id", tolerance_h=tol, max_tolerance_h=15.0)
     return r.select("event_id", "user_id", "ts", "match_time", "cast_id",
-                    (F.round("diff_h", 6) + F.lit(0.0)).alias("diff_h"))
+                    r6("diff_h").alias("diff_h"))
 
 
 # ----------------------------------------------------------------- J-06

@@ -8,7 +8,7 @@ from pelagic.operators import changelog as cl
 from pelagic.operators import indices as ix
 from pelagic.operators import reshape as rs
 from pelagic.plans import bindings as b
-from pelagic.plans.catalog import register
+from pelagic.plans.catalog import r6, register
 
 _ALL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS, b.SQL_CHANGELOG)
 
@@ -157,4 +157,4 @@ FROM obs GROUP BY taxon
 """)
 def column_summary(spark, sf_dir):
     s = rs.column_summary(b.obs(spark, sf_dir), "taxon", "value", quantiles=False)
-    return s.withColumn("mean", F.round("mean", 6) + F.lit(0.0))
+    return s.withColumn("mean", r6("mean"))
