@@ -92,19 +92,23 @@ def read_source(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
 
 # Schemas and null tokens of the source tables present in the
 # reference checkout (FIXTURES.md "Present"), with product column names.
+# S-07 station reference table: NRS rows only; the depth column is read by the
+# file's own name STATIONDEPTH_M (D-15).
 STATIONS = SourceSpec(
     schema=("PROJECTNAME string, STATIONCODE string, STATIONNAME string, NODE string, STATECODE string, "
             "LONGITUDE double, LATITUDE double, STATIONSTARTDATE timestamp_ntz, STATIONDEPTH_M double, "
             "SAMPLINGEFFORT string, IMCRA string, IMCRA_PB string, MANAGEMENTREGION string"),
     null_value="",
-    renames={"STATIONCODE": "Station", "STATIONNAME": "StationName", "LONGITUDE": "Longitude",
-             "LATITUDE": "Latitude", "STATIONDEPTH_M": "StationDepth_m", "STATIONSTARTDATE": "StationStartDate"},
+    renames={"STATIONNAME": "Station", "LONGITUDE": "Longitude", "LATITUDE": "Latitude",
+             "STATIONDEPTH_M": "StationDepth_m"},
     where="PROJECTNAME = 'NRS'",
 )
+# S-12 change-log loaders (phytoplankton and zooplankton logs share this layout).
 ZOOP_CHANGELOG = SourceSpec(
     schema="TAXON_NAME string, START_DATE timestamp_ntz, PARENT_NAME string",
     renames={"TAXON_NAME": "TaxonName", "START_DATE": "StartDate", "PARENT_NAME": "ParentName"},
 )
+# S-19 satellite property side table, null token "(null)".
 SATELLITE_VALUES = SourceSpec(
     schema="SAMPLE long, SST double, CHLA double, DEPTH_M double",
     null_value="(null)",

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from pelagic.functions.nulls import nan_to_null
 from pelagic.functions.labels import code_map
-from pelagic.functions.timeops import local_to_utc, ymd_parts
-from pelagic.operators.qc import mask_flags, replicate_mean
+from pelagic.functions.timeops import local_to_utc, trip_code, utc_to_local, ymd_parts
+from pelagic.operators.asof import nearest_asof
+from pelagic.operators.qc import exclude_ids, mask_flags, replicate_mean
 from pelagic.sources.readers import SourceSpec, read_source
 
 # Schemas, null tokens and renames of the sources (FIXTURES.md).
@@ -89,6 +90,89 @@ LARVAL_COUNTS = SourceSpec(
              "TAXON_COUNT": "TaxonCount"},
 )
 
+# CTD profile export (29 preamble lines, cruise_id skipped) and the
+# product names of its columns.
+CTD = SourceSpec(
+    schema=("file_id long, site_code string, time_coverage_start timestamp_ntz, LATITUDE double, LONGITUDE double, "
+            "DEPTH double, PSAL double, PSAL_quality_control double, TEMP double, TEMP_quality_control double, "
+            "DOX2 double, DOX2_quality_control double, CPHL double, CPHL_quality_control double, CHLF double, "
+            "CHLU double, CHLU_quality_control double, TURB double, TURB_quality_control double, PRES_REL double, "
+            "CNDC double, CNDC_quality_control double, DENS double, DENS_quality_control double"),
+    renames={"time_coverage_start": "CastTime_UTC", "LATITUDE": "Latitude", "LONGITUDE": "Longitude",
+             "DEPTH": "Depth_m", "PSAL": "Salinity_psu", "PSAL_quality_control": "Salinity_flag",
+             "TEMP": "Temperature_degC", "TEMP_quality_control": "Temperature_flag",
+             "DOX2": "DissolvedOxygen_umolkg", "DOX2_quality_control": "DissolvedOxygen_flag",
+             "CPHL": "Chla_mgm3", "CPHL_quality_control": "Chla_flag", "TURB": "Turbidity_NTU",
+             "TURB_quality_control": "Turbidity_flag", "PRES_REL": "Pressure_dbar", "CNDC": "Conductivity_Sm",
+             "CNDC_quality_control": "Conductivity_flag", "DENS": "WaterDensity_kgm3",
+             "DENS_quality_control": "WaterDensity_flag"},
+    skip_lines=29,
+)
+CTD_COLUMNS = ["file_id", "StationName", "CastTime_UTC", "Latitude", "Longitude", "Depth_m", "Salinity_psu",
+               "Salinity_flag", "Temperature_degC", "Temperature_flag", "DissolvedOxygen_umolkg",
+               "DissolvedOxygen_flag", "Chla_mgm3", "Chla_flag", "Turbidity_NTU", "Turbidity_flag", "Pressure_dbar",
+               "Conductivity_Sm", "Conductivity_flag", "WaterDensity_kgm3", "WaterDensity_flag"]
+
+# Fixed values of the CTD loader: site code -> station name (any other site is
+# Ningaloo); the site whose trip codes carry the cast time; known-bad cast
+# files; trips left out of matching; match tolerance in hours per station
+# (3 h elsewhere, Kangaroo Island included, D-05); the zone of the local cast time.
+CTD_STATION_NAMES = {"NRSDAR": "Darwin", "NRSYON": "Yongala", "NRSNSI": "North Stradbroke Island",
+                     "NRSPHB": "Port Hacking", "NRSMAI": "Maria Island", "NRSKAI": "Kangaroo Island",
+                     "NRSESP": "Esperance", "NRSROT": "Rottnest Island"}
+CTD_OTHER_STATION = "Ningaloo"
+CTD_TIMED_SITE = "NRSDAR"
+CTD_BAD_FILES = (2117, 2184, 2186, 2187)
+CTD_SKIP_TRIPS = "PH4"
+CTD_TOLERANCE_H = {"NSI": 15.0}
+CTD_DEFAULT_TOLERANCE_H = 3.0
+CTD_LOCAL_ZONE = "Australia/Perth"
+
+
+def load_ctd(spark: SparkSession, path: str, trips: DataFrame) -> DataFrame:
+    """S-16: CTD casts with the trip each cast belongs to.
+
+    The export is read past its preamble (S-03, H-8); only national reference
+    station sites are kept; the cast's own trip code is site + date (Darwin
+    adds the time, F-06), the station name comes from a literal map (F-07),
+    chlorophyll falls back to fluorescence (P-10), bad files are dropped
+    (P-08) and the cast time is also given in local time (F-04).
+
+    Matching (J-05, W-07): per station (first three letters of the trip code,
+    letters 4-6 of the cast's code), every trip of ``trips`` (TripCode,
+    SampleDateUTC; codes containing PH4 skipped) takes the cast time nearest
+    its sample time, ties to the earlier cast; a match beyond the station's
+    tolerance is dropped; every cast file at the matched time belongs to the
+    trip.  Casts are left-joined to those (file, trip) pairs, so a cast with
+    no trip keeps a null TripCode and a cast shared by two trips appears
+    twice.  The source's time-zone-name column (a coordinate lookup) is not
+    produced.
+    """
+    raw = read_source(spark, path, CTD).where(F.col("site_code").contains("NRS"))
+    site = F.col("site_code")
+    ctd = raw.withColumns({
+        "StationName": code_map(site, CTD_STATION_NAMES, CTD_OTHER_STATION),
+        "__cast_trip": trip_code(site, "CastTime_UTC", site == CTD_TIMED_SITE),
+        "Chla_mgm3": F.coalesce(F.col("Chla_mgm3"), F.col("CHLF")),
+        "castTime_Local": utc_to_local("CastTime_UTC", CTD_LOCAL_ZONE),
+    })
+    ctd = exclude_ids(ctd, "file_id", CTD_BAD_FILES).select(*CTD_COLUMNS, "castTime_Local", "__cast_trip")
+
+    casts = ctd.select(F.substring("__cast_trip", 4, 3).alias("__st"), "CastTime_UTC", "file_id").distinct()
+    samp = (trips.where(F.col("TripCode").isNotNull() & F.col("SampleDateUTC").isNotNull()
+                        & ~F.col("TripCode").contains(CTD_SKIP_TRIPS))
+            .select(F.substring("TripCode", 1, 3).alias("__st"), "SampleDateUTC", "TripCode").distinct()
+            .withColumn("__sid", F.concat_ws("|", "TripCode", F.col("SampleDateUTC").cast("string"))))
+    tol = F.lit(CTD_DEFAULT_TOLERANCE_H)
+    for station, hours in CTD_TOLERANCE_H.items():
+        tol = F.when(F.col("__st") == station, F.lit(hours)).otherwise(tol)
+    m = nearest_asof(samp, casts, "__st", "SampleDateUTC", "CastTime_UTC", "__sid", "file_id",
+                     tolerance_h=tol, max_tolerance_h=max([CTD_DEFAULT_TOLERANCE_H, *CTD_TOLERANCE_H.values()]))
+    pairs = m.where(F.col("file_id").isNotNull()).select(F.col("file_id").alias("__fid"), "TripCode")
+    out = ctd.drop("__cast_trip").join(pairs, F.col("file_id") == F.col("__fid"), "left")
+    return out.drop("__fid")
+
+
 # Chemistry measure -> quality flag column.
 CHEMISTRY_FLAGS = {
     "SILICATE_UMOLL": "SILICATE_FLAG", "NITRATE_UMOLL": "NITRATE_FLAG", "PHOSPHATE_UMOLL": "PHOSPHATE_FLAG",

@@ -63,3 +63,42 @@ def test_projection_helpers(spark):
     r = df.select(pj.path_part("p", 3).alias("a"), pj.strip_prefix(F.lit("NRSMAI"), 3).alias("b"),
                   pj.first_chars(F.lit("DARWIN"), 3).alias("c")).first()
     assert (r.a, r.b, r.c) == ("c", "MAI", "DAR")
+
+
+def test_ctd_loader_matches_casts_to_trips(spark, tmp_path):
+    p = tmp_path / "ctd.csv"
+    pre = "".join(f"% preamble line {i}\n" for i in range(29))
+    given = ["cruise_id", "file_id", "site_code", "time_coverage_start", "LATITUDE", "LONGITUDE", "DEPTH", "TEMP",
+             "CPHL", "CHLF"]
+    rest = [c.split()[0] for c in specs.CTD.schema.split(", ") if c.split()[0] not in given]
+    head = ",".join(given + rest) + "\n"
+    rows = [
+        "c,1,NRSMAI,2020-01-05 00:00:00,-42.6,148.2,1,12.5,,0.5",
+        "c,2,NRSMAI,2020-01-05 00:00:00,-42.6,148.2,2,12.4,0.7,0.5",
+        "c,3,NRSMAI,2020-01-20 10:00:00,-42.6,148.2,1,12.0,,",      # 4 h from its trip: no match
+        "c,4,NRSNSI,2020-02-01 10:00:00,-27.3,153.6,1,24.0,,",      # 10 h, NSI allows 15 h
+        "c,5,NRSDAR,2020-03-03 01:30:00,-12.4,130.8,1,30.0,,",
+        "c,2117,NRSMAI,2020-01-05 00:00:00,-42.6,148.2,1,1.0,,",    # known-bad file
+        "c,6,OTHER,2020-01-05 00:00:00,0,0,1,1.0,,",                 # not a reference station
+        "c,7,NRSKAI,2020-04-01 00:00:00,-35.8,136.4,1,15.0,,",      # 5 h: KAI keeps 3 h
+        "c,8,NRSROT,2020-05-01 00:00:00,-32.0,115.4,1,20.0,,",      # tie at 2 h: earlier cast wins
+        "c,9,NRSROT,2020-05-01 04:00:00,-32.0,115.4,1,20.0,,",
+        "c,10,NRSPH4,2020-01-05 00:00:00,-34.1,151.2,1,18.0,,",     # its trip is skipped
+    ]
+    p.write_text(pre + head + "\n".join(r + "," * len(rest) for r in rows) + "\n")
+    trips = spark.createDataFrame(
+        [("MAI20200105", dt.datetime(2020, 1, 5, 1, 0)), ("MAI20200120", dt.datetime(2020, 1, 20, 6, 0)),
+         ("NSI20200201", dt.datetime(2020, 2, 1, 0, 0)), ("DAR20200303", dt.datetime(2020, 3, 3, 2, 0)),
+         ("KAI20200401", dt.datetime(2020, 4, 1, 5, 0)), ("ROT20200501", dt.datetime(2020, 5, 1, 2, 0)),
+         ("PH420200105", dt.datetime(2020, 1, 5, 0, 0))],
+        "TripCode string, SampleDateUTC timestamp_ntz")
+    out = specs.load_ctd(spark, str(p), trips)
+    got = {r.file_id: r for r in out.collect()}
+    assert {k: v.TripCode for k, v in got.items()} == {
+        1: "MAI20200105", 2: "MAI20200105", 3: None, 4: "NSI20200201", 5: "DAR20200303",
+        7: None, 8: "ROT20200501", 9: None, 10: None}
+    assert got[1].Chla_mgm3 == 0.5 and got[2].Chla_mgm3 == 0.7  # fluorescence fills missing chlorophyll
+    assert got[1].StationName == "Maria Island" and got[10].StationName == "Ningaloo"
+    assert got[1].castTime_Local == dt.datetime(2020, 1, 5, 8, 0)
+    assert got[1].Depth_m == 1.0 and got[1].Temperature_degC == 12.5 and got[1].Salinity_psu is None
+    assert out.columns[:3] == ["file_id", "StationName", "CastTime_UTC"] and out.columns[-1] == "TripCode"

@@ -20,10 +20,11 @@ def test_station_source_null_token_and_filter(spark, tmp_path):
         "NRS,BBB,Beta,N2,S2,,,,,Monthly,X,Y,Z\n"
         "OTHER,CCC,Gamma,N3,S3,1,2,2010-01-01 00:00:00,-5,Monthly,X,Y,Z\n")
     df = rd.read_source(spark, str(p), rd.STATIONS)
-    rows = {r.Station: r for r in df.collect()}
+    rows = {r.STATIONCODE: r for r in df.collect()}
     assert set(rows) == {"AAA", "BBB"}
+    assert rows["AAA"].Station == "Alpha" and rows["BBB"].Station == "Beta"
     assert rows["AAA"].StationDepth_m == -88.0 and rows["BBB"].Latitude is None
-    assert rows["AAA"].StationStartDate == dt.datetime(2009, 1, 1)
+    assert rows["AAA"].STATIONSTARTDATE == dt.datetime(2009, 1, 1)
 
 
 def test_satellite_null_token(spark, tmp_path):
