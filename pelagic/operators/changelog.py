@@ -42,8 +42,9 @@ def changelog_taxa(log: DataFrame, taxon: str = "taxon", parent: str = "parent",
 def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str = "sample",
                    date: str = "sample_date", taxon: str = "taxon", label: str = "genus",
                    value: str = "value", start: str = "start_date", parent: str = "parent",
-                   level: str = "genus", sentinel: float = SENTINEL, log_taxon: str = "taxon") -> DataFrame:
-    """R-1 in sparse long form: columns (key, label, value).
+                   level: str = "genus", sentinel: float = SENTINEL, log_taxon: str = "taxon",
+                   observed_flag: bool = False) -> DataFrame:
+    """R-1 in sparse long form: columns (key, label, value[, observed_flag]).
 
     ``obs`` rows must already carry the matrix ``label`` (genus, or the
     ``Genus species`` label) and be filtered for the level (blank labels
@@ -57,6 +58,12 @@ def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str
       label's first start date, 0 after, null on the same date, where the
       first start date is that of the lowest (sample, start) record (W-05);
     * both kinds present: larger value, null if either is null (A-05).
+
+    The sentinel stays in the value, as in the source, where it takes part
+    in later strict sums and maxima (N-22).  ``observed_flag=True`` adds a
+    boolean column: false when a sentinel entered the value (the value is
+    the sentinel, or a per-start sum that includes it), true when the value
+    comes from records and true absences only, null when the value is null.
     """
     aff = changelog_taxa(log, log_taxon, parent, level).select(
         F.col(log_taxon).alias("__taxon"), F.col(start).cast("timestamp_ntz").alias("__start"))
@@ -90,6 +97,7 @@ def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str
         F.count_if(kind == "c").alias("__nc"), F.sum(F.when(kind == "c", F.col("__val"))).alias("__vc"),
         F.count_if(kind == "e").alias("__ne"), F.max(F.when(kind == "e", F.col("__val"))).alias("__ve"),
         F.count_if((kind == "e") & F.col("__val").isNull()).alias("__ne_null"),
+        *([F.count_if((kind == "c") & (F.col("__val") == sentinel)).alias("__nc_s")] if observed_flag else []),
     )
     # Labels with a first start date: a sample after it with no record is a 0.
     labels = first.select(label, F.lit(True).alias("__in_k"))
@@ -103,7 +111,14 @@ def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str
                      F.when(aff_val.isNull(), F.lit(None)).otherwise(F.greatest(F.col("__vb"), aff_val)))
               .when(aff_present, aff_val)
               .otherwise(F.col("__vb")))
-    out = agg.select(key, label, result.cast("double").alias(value))
+    cols = [key, label, result.cast("double").alias(value)]
+    if observed_flag:
+        aff_tainted = (F.when(F.col("__nc") > 0, F.col("__nc_s") > 0)
+                       .when(F.col("__ne") > 0, F.coalesce(F.col("__ve") == sentinel, F.lit(False)))
+                       .otherwise(F.lit(False)))
+        from_b = ~aff_present | ((F.col("__nb") > 0) & (F.col("__vb") >= aff_val))
+        cols.append(F.when(result.isNotNull(), ~(~from_b & aff_tainted)).alias("observed_flag"))
+    out = agg.select(*cols)
     return out.where(F.col(value).isNull() | (F.col(value) != 0))
 
 

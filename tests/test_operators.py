@@ -56,6 +56,27 @@ def test_change_log_rules(spark):
     assert {r.sample: (r.Newg, r.Oldg) for r in wide}["after"] == (0.0, 2.0)
 
 
+def test_change_log_observed_flag(spark):
+    d = dt.datetime
+    s = spark.createDataFrame([("before", d(2000, 1, 1)), ("on", d(2001, 1, 1)), ("obs_after", d(2003, 1, 1)),
+                               ("obs_before", d(1999, 1, 1)), ("mixed", d(2002, 1, 1))],
+                              "sample string, sample_date timestamp_ntz")
+    o = spark.createDataFrame([("obs_after", "Newg x", "Newg", 7.0), ("obs_before", "Newg x", "Newg", 4.0),
+                               ("mixed", "Newg x", "Newg", 3.0), ("mixed", "Newg z", "Newg", 5.0)],
+                              "sample string, taxon string, genus string, value double")
+    lg = spark.createDataFrame([("Newg x", d(2001, 1, 1), "Oldg x"), ("Newg z", d(2002, 6, 1), "Oldg z")],
+                               "taxon string, start_date timestamp_ntz, parent string")
+    out = changelog.absence_matrix(s, o, lg, label="genus", observed_flag=True)
+    m = {(r.sample, r.genus): (r.value, r.observed_flag) for r in out.collect()}
+    assert m == {("before", "Newg"): (-999.0, False),      # not looked for yet
+                 ("on", "Newg"): (None, None),
+                 ("obs_after", "Newg"): (7.0, True),
+                 ("obs_before", "Newg"): (-999.0, False),   # record before its start date
+                 ("mixed", "Newg"): (3.0 - 999.0, False)}   # one start passed, one not: sentinel summed in
+    plain = changelog.absence_matrix(s, o, lg, label="genus")
+    assert plain.columns == ["sample", "genus", "value"]
+
+
 def test_change_log_never_observed_taxon_has_no_column(spark):
     d = dt.datetime
     m = _absence(spark, [("s", d(2000, 1, 1))], [("s", "A b", "A", 1.0)], [("Z q", d(2005, 1, 1), "Y q")])
