@@ -13,11 +13,12 @@ from pelagic.plans.catalog import r6, register
 _ALL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS, b.SQL_CHANGELOG)
 
 
-def _absence_sql(label_expr: str, join_expr: str, where: str, aff_cond: str, out: str) -> str:
+def _absence_sql(label_expr: str, join_expr: str, where: str, aff_cond: str, out: str,
+                 value_expr: str = "obs.value") -> str:
     """Literal SQL transcription of R-1: samples x affected labels, CASE rules, strict sum / max."""
     return _ALL + f""",
 aff AS (SELECT taxon, start_date FROM changelog WHERE {aff_cond}),
-o AS (SELECT obs.sample, {label_expr} AS label, obs.value, aff.start_date
+o AS (SELECT obs.sample, {label_expr} AS label, {value_expr} AS value, aff.start_date
       FROM obs LEFT JOIN aff ON {join_expr} = aff.taxon
       WHERE {where}),
 b AS (SELECT sample, label, coalesce(sum(value), 0) AS v FROM o WHERE start_date IS NULL GROUP BY sample, label),
@@ -67,6 +68,22 @@ def absence_matrix_species(spark, sf_dir):
                              value="value", level="name")
 
 
+# ----------------------------------------------------------------- R-1 species level, biovolume (D-02)
+# The biovolume matrix sums biovolume for change-log taxa too (the source sums
+# cell counts there, D-02).  Biovolume is counted in hundredths, whole numbers,
+# so sums are exact in any engine.
+@register("absence_matrix_species_biovolume", sql=_absence_sql(
+    "genus || ' ' || species", "obs.genus || ' ' || obs.species", _SPECIES_WHERE, "taxon <> parent", "TaxonName",
+    value_expr="round(obs.biovolume * 100)"))
+def absence_matrix_species_biovolume(spark, sf_dir):
+    o = b.obs(spark, sf_dir).withColumn("value", F.round(F.col("biovolume") * 100))
+    o = ix.species_filter(o, "genus", "species", label="TaxonName",
+                          drop=("cf.", "/"), bin_complex=False).where(F.col("species") != "")
+    return cl.absence_matrix(b.samples(spark, sf_dir), o, b.changelog(spark, sf_dir),
+                             key="sample", date="sample_date", taxon="TaxonName", label="TaxonName",
+                             value="value", level="name")
+
+
 # ----------------------------------------------------------------- R-2 raw matrix (wide, fill 0)
 _RAW_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + """,
 sums AS (SELECT sample, taxon, sum(value) AS value FROM obs GROUP BY sample, taxon),
