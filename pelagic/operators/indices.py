@@ -31,14 +31,21 @@ CELL_CARBON_DEFAULT = (0.288, 0.811)
 
 
 def species_filter(df: DataFrame, genus: str, species: str, label: str = "TaxonName",
-                   drop: Sequence[str] = SPECIES_DROP_PATTERNS, bin_complex: bool = True) -> DataFrame:
+                   drop: Sequence[str] = SPECIES_DROP_PATTERNS, bin_complex: bool = True,
+                   include_genus_level: bool = False) -> DataFrame:
     """R-4: keep resolved species and add a ``Genus species`` label.
 
     Drops null species, ``spp.``, and species matching any of ``drop`` (regex);
     with ``bin_complex`` only the first word of the species is kept (complexes
     binned).  Null comparisons drop the row, as in the source filter.
+
+    ``include_genus_level=True`` also keeps the genus-level ``spp.`` rows
+    (label ``Genus spp.``), which the source means to add to its species
+    matrices but filters away (D-25); off by default, as executed.
     """
-    cond = F.col(species).isNotNull() & (F.col(species) != F.lit(SPECIES_UNRESOLVED))
+    cond = F.col(species).isNotNull()
+    if not include_genus_level:
+        cond = cond & (F.col(species) != F.lit(SPECIES_UNRESOLVED))
     for p in drop:
         cond = cond & ~matches(species, p)
     return df.where(cond).withColumn(label, genus_species(genus, species, bin_complex))

@@ -1,4 +1,4 @@
-"""Projection and text-part helpers (P-01, P-12, F-08)."""
+"""Projection, text-part and key-join helpers (P-01, P-12, F-08, J-01 / N-8)."""
 
 from __future__ import annotations
 
@@ -46,3 +46,30 @@ def strip_prefix(c: str | Column, n: int) -> Column:
 def first_chars(c: str | Column, n: int) -> Column:
     """F-08 / N-18: the first ``n`` characters (``substr(x, 0, n)`` in the source)."""
     return F.substring(_c(c), 1, n)
+
+
+def key_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "left",
+             null_safe: bool = False) -> DataFrame:
+    """J-01 on named keys, like ``left.join(right, keys, how)``.
+
+    ``null_safe=True`` matches a null key to a null key (``<=>``), as the
+    source's joins do (N-8); Spark plans ``<=>`` as an ordinary equi-join key,
+    so the join still shuffles or broadcasts on the keys.  All null keys land
+    in one partition, so use it only where null keys are few.  The output
+    has one copy of each key column first, then the other left and right columns.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if not null_safe:
+        return left.join(right, keys, how)
+    r = right.select(*[F.col(k).alias(f"__rk_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"__rk_{k}"])
+        cond = c if cond is None else cond & c
+    j = left.join(r, cond, how)
+    if how in ("semi", "left_semi", "leftsemi", "anti", "left_anti", "leftanti"):
+        return j
+    takes_right = how in ("right", "right_outer", "rightouter", "full", "outer", "full_outer", "fullouter")
+    key_cols = [F.coalesce(left[k], F.col(f"__rk_{k}")).alias(k) if takes_right else left[k] for k in keys]
+    return j.select(*key_cols, *[left[c] for c in left.columns if c not in keys],
+                    *[F.col(c) for c in right.columns if c not in keys])

@@ -42,6 +42,8 @@ def test_species_filter(spark):
     out = sorted(r.TaxonName for r in ix.species_filter(df, "genus", "species").collect())
     # "acfb" contains "cf" followed by a character, so the regex "cf." drops it too (N-10)
     assert out == ["G x"]
+    wide = sorted(r.TaxonName for r in ix.species_filter(df, "genus", "species", include_genus_level=True).collect())
+    assert wide == ["G spp.", "G x"]  # D-25 switch: genus-level rows kept, other drops unchanged
 
 
 def test_depth_bins_right_closed(spark):

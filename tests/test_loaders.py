@@ -102,3 +102,16 @@ def test_ctd_loader_matches_casts_to_trips(spark, tmp_path):
     assert got[1].castTime_Local == dt.datetime(2020, 1, 5, 8, 0)
     assert got[1].Depth_m == 1.0 and got[1].Temperature_degC == 12.5 and got[1].Salinity_psu is None
     assert out.columns[:3] == ["file_id", "StationName", "CastTime_UTC"] and out.columns[-1] == "TripCode"
+
+
+def test_key_join_null_safe(spark):
+    left = spark.createDataFrame([(1, "a"), (None, "b")], "k int, l string")
+    right = spark.createDataFrame([(1, "x"), (None, "y"), (3, "z")], "k int, r string")
+    plain = {x.l: x.r for x in pj.key_join(left, right, "k").collect()}
+    assert plain == {"a": "x", "b": None}                    # Spark default: null never matches
+    safe = {x.l: x.r for x in pj.key_join(left, right, "k", null_safe=True).collect()}
+    assert safe == {"a": "x", "b": "y"}                      # null key matches null key (N-8)
+    full = pj.key_join(left, right, "k", how="full", null_safe=True)
+    assert full.columns == ["k", "l", "r"]
+    assert sorted((x.k or 0, x.l or "", x.r) for x in full.collect()) == [(0, "b", "y"), (1, "a", "x"), (3, "", "z")]
+    assert pj.key_join(left, right, "k", how="anti", null_safe=True).count() == 0
