@@ -43,12 +43,19 @@ def species_filter(df: DataFrame, genus: str, species: str, label: str = "TaxonN
     (label ``Genus spp.``), which the source means to add to its species
     matrices but filters away (D-25); off by default, as executed.
     """
+    cond = species_condition(species, drop, include_genus_level)
+    return df.where(cond).withColumn(label, genus_species(genus, species, bin_complex))
+
+
+def species_condition(species: str, drop: Sequence[str] = SPECIES_DROP_PATTERNS,
+                      include_genus_level: bool = False) -> Column:
+    """The row condition of :func:`species_filter` as a Column (null counts as false)."""
     cond = F.col(species).isNotNull()
     if not include_genus_level:
         cond = cond & (F.col(species) != F.lit(SPECIES_UNRESOLVED))
     for p in drop:
         cond = cond & ~matches(species, p)
-    return df.where(cond).withColumn(label, genus_species(genus, species, bin_complex))
+    return F.coalesce(cond, F.lit(False))
 
 
 def taxon_sums(df: DataFrame, key: str | Sequence[str], taxon: str, value: str, out: str = "x") -> DataFrame:
@@ -92,16 +99,28 @@ def diversity(df: DataFrame, key: str | Sequence[str], taxon: str, value: str, d
     """
     keys = [key] if isinstance(key, str) else list(key)
     per_taxon = df.groupBy(*keys, taxon).agg(sum0(value).alias("x"), F.count(F.lit(1)).alias("__rows"))
-    xlnx = F.when(F.col("x") > 0, F.col("x") * F.ln(F.col("x"))).otherwise(F.lit(0.0))
     n = F.count(F.lit(1)) if distinct else F.sum("__rows")
-    agg = per_taxon.groupBy(*keys).agg(n.alias("__n"), F.sum("x").alias("__t"), F.sum(xlnx).alias("__s"))
+    agg = per_taxon.groupBy(*keys).agg(n.alias("__n"), *diversity_sums("x"))
+    return agg.select(*keys, *diversity_columns(prefix))
+
+
+def diversity_sums(x: str, include: Column | None = None) -> list[Column]:
+    """Second-level aggregates of A-11/A-13 over per-taxon sums ``x``: total ``__t`` and
+    ``__s`` = sum of x ln x (only rows where ``include`` holds, when given)."""
+    xc = F.col(x)
+    xlnx = F.when(xc > 0, xc * F.ln(xc)).otherwise(F.lit(0.0))
+    if include is not None:
+        xc, xlnx = F.when(include, xc), F.when(include, xlnx)
+    return [F.sum(xc).alias("__t"), F.sum(xlnx).alias("__s")]
+
+
+def diversity_columns(prefix: str = "", present: Column | None = None) -> list[Column]:
+    """n, H = ln T - S / T (+0.0; T = 0 gives 0) and evenness H / ln n from ``__n``, ``__t``, ``__s``;
+    all null where ``present`` is false."""
     h = F.when(F.col("__t") > 0, F.ln(F.col("__t")) - F.col("__s") / F.col("__t")).otherwise(F.lit(0.0)) + F.lit(0.0)
-    return agg.select(
-        *keys,
-        F.col("__n").cast("long").alias(f"{prefix}n_species"),
-        h.alias(f"{prefix}shannon"),
-        safe_div(h, F.ln(F.col("__n").cast("double"))).alias(f"{prefix}evenness"),
-    )
+    cols = {"n_species": F.col("__n").cast("long"), "shannon": h,
+            "evenness": safe_div(h, F.ln(F.col("__n").cast("double")))}
+    return [(F.when(present, c) if present is not None else c).alias(f"{prefix}{k}") for k, c in cols.items()]
 
 
 def ratio_of_sums(df: DataFrame, key: str | Sequence[str], num: Column, den: Column, out: str) -> DataFrame:

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagic.functions.nulls import safe_div, strict_sum, sum0
+from pelagic.functions.labels import genus_species
+from pelagic.functions.nulls import safe_div, sum0
 from pelagic.operators import indices as ix
 
 # Taxon groups used by the station indices.
@@ -45,34 +46,57 @@ def station_indices(trips: DataFrame, zoo: DataFrame, phyto: DataFrame, traits:
     cc = F.when(F.col("__has_cc").isNotNull(), F.col("__cc"))
     z_size = z_size.select(key, "AvgTotalLengthCopepod", safe_div(co, co + cc).alias("HerbivoreCarnivoreCopepodRatio"))
 
-    z_tot = zoo.groupBy(key).agg(
-        sum0("abund").alias("ZoopAbundance"),
-        F.max(F.when(F.col("copepod") == COPEPOD, F.lit(1))).alias("__hc"),
-        sum0(F.when(F.col("copepod") == COPEPOD, F.col("abund"))).alias("__ca"))
-    z_tot = z_tot.select(key, "ZoopAbundance", F.when(F.col("__hc").isNotNull(), F.col("__ca")).alias("CopeAbundance"))
-    z_div = ix.diversity(ix.species_filter(cope, "genus", "species"), key, "TaxonName", "abund", prefix="cope_")
+    # Totals and copepod diversity in one two-level aggregation: per (sample,
+    # species-filter flag, taxon label), then per sample.  The zooplankton
+    # table is read twice (here and in the trait join above), not once per index.
+    is_cope = F.col("copepod") == COPEPOD
+    zq = F.coalesce(is_cope, F.lit(False)) & ix.species_condition("species")
+    z1 = zoo.groupBy(key, zq.alias("__q"), F.when(zq, genus_species("genus", "species")).alias("__tn")).agg(
+        F.sum("abund").alias("__tot"),
+        F.max(F.when(is_cope, F.lit(1))).alias("__hc"),
+        F.sum(F.when(is_cope, F.col("abund"))).alias("__ca"),
+        sum0("abund").alias("__x"), F.count(F.lit(1)).alias("__rows"))
+    q = F.col("__q")
+    z_all = z1.groupBy(key).agg(
+        sum0("__tot").alias("ZoopAbundance"),
+        F.when(F.max("__hc").isNotNull(), sum0("__ca")).alias("CopeAbundance"),
+        F.count_if(q).alias("__k"), F.sum(F.when(q, F.col("__rows"))).alias("__n"), *ix.diversity_sums("__x", q))
+    z_all = z_all.select(key, "ZoopAbundance", "CopeAbundance", *ix.diversity_columns("cope_", F.col("__k") > 0))
 
+    # Phytoplankton totals, carbon, ratios, cell volume and diversity: one pass.
     p = phyto.where(F.col("group") != OTHER_GROUP)
     carbon = ix.cell_carbon_expr("group", "cells", "biovolume")
     grp = F.col("group")
     is_diatom, is_dino = grp.isin(*DIATOM_GROUPS), grp == DINOFLAGELLATE
-    p_tot = p.groupBy(key).agg(
-        strict_sum(carbon).alias("PhytoBiomassCarbon"),
-        sum0("cells").alias("AbundancePhyto"),
+    bv_ok = F.col("biovolume").isNotNull()
+    pq = ix.species_condition("species")
+    p1 = p.groupBy(key, pq.alias("__q"), F.when(pq, genus_species("genus", "species")).alias("__tn")).agg(
+        F.count_if(carbon.isNull()).alias("__c_null"), F.sum(carbon).alias("__c"),
+        F.sum("cells").alias("__cells"),
         F.max(F.when(is_diatom, F.lit(1))).alias("__hd"), F.max(F.when(is_dino, F.lit(1))).alias("__hn"),
-        sum0(F.when(is_diatom, F.col("cells"))).alias("__d"), sum0(F.when(is_dino, F.col("cells"))).alias("__n"),
-        F.count_if(F.col("biovolume").isNotNull() & F.col("cells").isNull()).alias("__cn"),
-        F.sum(F.when(F.col("biovolume").isNotNull(), F.col("biovolume"))).alias("__bv"),
-        F.sum(F.when(F.col("biovolume").isNotNull(), F.col("cells"))).alias("__bc"))
+        F.sum(F.when(is_diatom, F.col("cells"))).alias("__d"), F.sum(F.when(is_dino, F.col("cells"))).alias("__dn"),
+        F.count_if(bv_ok & F.col("cells").isNull()).alias("__cn"),
+        F.sum(F.when(bv_ok, F.col("biovolume"))).alias("__bv"), F.sum(F.when(bv_ok, F.col("cells"))).alias("__bc"),
+        sum0("cells").alias("__x"), F.count(F.lit(1)).alias("__rows"))
+    p_all = p1.groupBy(key).agg(
+        F.when(F.sum("__c_null") > 0, F.lit(None)).otherwise(F.sum("__c")).alias("PhytoBiomassCarbon"),
+        sum0("__cells").alias("AbundancePhyto"),
+        F.max("__hd").alias("__hd"), F.max("__hn").alias("__hn"), sum0("__d").alias("__d"), sum0("__dn").alias("__dn"),
+        F.sum("__cn").alias("__cn"), F.sum("__bv").alias("__bv"), F.sum("__bc").alias("__bc"),
+        F.count_if(q).alias("__k"), F.sum(F.when(q, F.col("__rows"))).alias("__n"), *ix.diversity_sums("__x", q))
     d = F.when(F.col("__hd").isNotNull(), F.col("__d"))
-    n = F.when(F.col("__hn").isNotNull(), F.col("__n"))
-    p_tot = p_tot.select(key, "PhytoBiomassCarbon", "AbundancePhyto",
+    n = F.when(F.col("__hn").isNotNull(), F.col("__dn"))
+    p_all = p_all.select(key, "PhytoBiomassCarbon", "AbundancePhyto",
                          safe_div(d, d + n).alias("DiatomDinoflagellateRatio"),
-                         F.when(F.col("__cn") == 0, safe_div(F.col("__bv"), F.col("__bc"))).alias("AvgCellVol"))
-    p_div = ix.diversity(ix.species_filter(p, "genus", "species"), key, "TaxonName", "cells", prefix="phyto_")
+                         F.when(F.col("__cn") == 0, safe_div(F.col("__bv"), F.col("__bc"))).alias("AvgCellVol"),
+                         *ix.diversity_columns("phyto_", F.col("__k") > 0))
 
     out = trips.select(key, "biomass")
-    for part in (z_tot, z_size, z_div, p_tot, p_div):
+    for part in (z_all, z_size, p_all):
         out = out.join(part, key, "left")
     # trips with no zooplankton row at all still total 0 (sum over a left join)
-    return out.withColumn("ZoopAbundance", F.coalesce(F.col("ZoopAbundance"), F.lit(0.0)))
+    out = out.withColumn("ZoopAbundance", F.coalesce(F.col("ZoopAbundance"), F.lit(0.0)))
+    return out.select(key, "biomass", "ZoopAbundance", "CopeAbundance", "AvgTotalLengthCopepod",
+                      "HerbivoreCarnivoreCopepodRatio", "cope_n_species", "cope_shannon", "cope_evenness",
+                      "PhytoBiomassCarbon", "AbundancePhyto", "DiatomDinoflagellateRatio", "AvgCellVol",
+                      "phyto_n_species", "phyto_shannon", "phyto_evenness")
