@@ -100,7 +100,9 @@ def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str
         *([F.count_if((kind == "c") & (F.col("__val") == sentinel)).alias("__nc_s")] if observed_flag else []),
     )
     # Labels with a first start date: a sample after it with no record is a 0.
-    labels = first.select(label, F.lit(True).alias("__in_k"))
+    # (reads __first, never null, so both uses of `first` keep the same columns
+    # and the planner reuses its shuffle instead of scanning the facts again)
+    labels = first.select(label, F.col("__first").isNotNull().alias("__in_k"))
     agg = agg.join(labels, label, "left")
 
     aff_val: Column = (F.when(F.col("__nc") > 0, F.col("__vc"))
