@@ -184,6 +184,26 @@ def test_polygons(spark):
     assert got == {1: "P1", 2: None, 3: "P2", 4: None, 5: "P3", 6: "P1", 7: None}
 
 
+def test_zone_by_coordinates_then_utc(spark):
+    # J-17 for free points: overlay on zone polygons (J-14), then a per-row local -> UTC (F-03)
+    from pelagic.functions.timeops import local_to_utc
+    boxes = {1: ("Australia/Perth", [(112, -36), (129, -36), (129, -13), (112, -13)]),
+             2: ("Australia/Sydney", [(129, -44), (154, -44), (154, -10), (129, -10)])}
+    V = spark.createDataFrame([(pid, 1, i, float(x), float(y)) for pid, (_, pts) in boxes.items()
+                               for i, (x, y) in enumerate(pts)],
+                              "polygon_id long, ring_id int, vertex_no int, x double, y double")
+    A = spark.createDataFrame([(pid, pid, z) for pid, (z, _) in boxes.items()], "polygon_id long, ord int, tz string")
+    P = spark.createDataFrame([(1, 115.4, -32.0, dt.datetime(2020, 7, 7, 14, 0)),
+                               (2, 148.2, -42.6, dt.datetime(2020, 1, 5, 9, 30)),
+                               (3, 0.0, 0.0, dt.datetime(2020, 1, 1, 0, 0))],
+                              "id int, lon double, lat double, local timestamp_ntz")
+    z = regions.overlay(P, "id", "lon", "lat", V, A, order="ord", attr_cols=["tz"])
+    got = {r.id: (r.tz, r.utc) for r in z.withColumn("utc", local_to_utc("local", F.col("tz"))).collect()}
+    assert got == {1: ("Australia/Perth", dt.datetime(2020, 7, 7, 6, 0)),
+                   2: ("Australia/Sydney", dt.datetime(2020, 1, 4, 22, 30)),   # daylight time, +11
+                   3: (None, None)}
+
+
 def test_bray_curtis_properties(spark):
     rows = [("a", "x", 4.0), ("a", "y", 9.0), ("b", "x", 4.0), ("b", "y", 9.0), ("c", "z", 1.0), ("d", "x", 1.0)]
     df = spark.createDataFrame(rows, "site string, taxon string, v double")
