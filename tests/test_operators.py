@@ -217,3 +217,38 @@ def test_sample_rows_exact_count(spark):
     df = spark.range(0, 1000, numPartitions=7)
     r = community.sample_rows(df, 50, seed=5)
     assert r.count() == 50
+
+
+def test_station_indices_fixture(spark):
+    from pelagic.plans import products
+    trips = spark.createDataFrame([("T0", 1.0), ("T1", 2.0), ("T2", None)], "sample string, biomass double")
+    zoo = spark.createDataFrame([
+        ("T1", "Acartia tonsa", "Acartia", "tonsa", "COPEPOD", 2.0),
+        ("T1", "Calanus spp.", "Calanus", "spp.", "COPEPOD", 3.0),      # in totals, not in diversity
+        ("T1", "Noctiluca x", "Noctiluca", "x", "NON-COPEPOD", 5.0),
+        ("T2", "Acartia tonsa", "Acartia", "tonsa", "COPEPOD", None),
+    ], "sample string, taxon string, genus string, species string, copepod string, abund double")
+    traits = spark.createDataFrame([("Acartia tonsa", 1.0, "CO"), ("Calanus spp.", 3.0, "CC")],
+                                   "taxon string, size double, diet string")
+    phyto = spark.createDataFrame([
+        ("T1", "Ceratium", "furca", "Dinoflagellate", 10.0, 1000.0),
+        ("T1", "Chaetoceros", "sp1", "Centric diatom", 30.0, 300.0),
+        ("T1", "Other", "thing", "Other", 99.0, 1.0),                     # group excluded
+        ("T2", "Strombidium", "y", "Ciliate", 5.0, None),                 # no biovolume: carbon unknown
+    ], "sample string, genus string, species string, group string, cells double, biovolume double")
+    r = {x.sample: x for x in products.station_indices(trips, zoo, phyto, traits).collect()}
+    t0, t1, t2 = r["T0"], r["T1"], r["T2"]
+    assert t0.ZoopAbundance == 0.0 and t0.CopeAbundance is None and t0.cope_n_species is None
+    assert t0.PhytoBiomassCarbon is None and t0.phyto_shannon is None
+    assert t1.ZoopAbundance == 10.0 and t1.CopeAbundance == 5.0
+    assert abs(t1.AvgTotalLengthCopepod - 11.0 / 5.0) < 1e-12 and abs(t1.HerbivoreCarnivoreCopepodRatio - 0.4) < 1e-12
+    assert (t1.cope_n_species, t1.cope_shannon, t1.cope_evenness) == (1, 0.0, None)
+    carbon = 10 * 0.76 * 100.0 ** 0.819 + 30 * 0.288 * 10.0 ** 0.811
+    assert abs(t1.PhytoBiomassCarbon - carbon) < 1e-9 and t1.AbundancePhyto == 40.0
+    assert t1.DiatomDinoflagellateRatio == 0.75 and t1.AvgCellVol == 32.5
+    h = -(0.25 * math.log(0.25) + 0.75 * math.log(0.75))
+    assert t1.phyto_n_species == 2 and abs(t1.phyto_shannon - h) < 1e-12
+    assert abs(t1.phyto_evenness - h / math.log(2)) < 1e-12
+    assert t2.ZoopAbundance == 0.0 and t2.CopeAbundance == 0.0 and t2.cope_shannon == 0.0
+    assert t2.PhytoBiomassCarbon is None and t2.AvgCellVol is None and t2.AbundancePhyto == 5.0
+    assert t2.DiatomDinoflagellateRatio is None and t2.phyto_n_species == 1
