@@ -90,7 +90,8 @@ def densify(spine: DataFrame, obs: DataFrame, key: str, taxon: str, value: str,
     sums = obs.groupBy(key, taxon).agg(sum0(value).alias(value))
     if values is None:
         values = pivot_values(sums, taxon, max_columns)
-    per_key = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(taxon, value))).alias("__m"))
+    listed = sums.where(F.col(taxon).isin(list(values)))  # map entries bounded by the column list
+    per_key = listed.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(taxon, value))).alias("__m"))
     taxa = F.array(*[F.lit(x) for x in values])
     return (spine.select(key).join(per_key, key, "left")
             .select(key, F.explode(taxa).alias(taxon), "__m")
