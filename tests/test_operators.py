@@ -252,3 +252,30 @@ def test_station_indices_fixture(spark):
     assert t2.ZoopAbundance == 0.0 and t2.CopeAbundance == 0.0 and t2.cope_shannon == 0.0
     assert t2.PhytoBiomassCarbon is None and t2.AvgCellVol is None and t2.AbundancePhyto == 5.0
     assert t2.DiatomDinoflagellateRatio is None and t2.phyto_n_species == 1
+
+
+def test_hash_rank_is_a_bijection_per_group(spark):
+    rows = [(g, i) for g in ("a", "b") for i in range(50 if g == "a" else 7)]
+    df = spark.createDataFrame(rows, "g string, i int")
+    for ranges in (1, 4, 16):
+        r = community.hash_rank(df, ["g"], F.xxhash64("g", "i", F.lit(3)), ranges, tiebreak=["i"]).collect()
+        by = {}
+        for x in r:
+            by.setdefault(x.g, []).append(x["__r"])
+        assert sorted(by["a"]) == list(range(50)) and sorted(by["b"]) == list(range(7))
+    one = {x.i: x["__r"] for x in community.hash_rank(df, ["g"], F.xxhash64("g", "i", F.lit(3)), 1,
+                                                                  tiebreak=["i"]).collect() if x.g == "a"}
+    many = {x.i: x["__r"] for x in community.hash_rank(df, ["g"], F.xxhash64("g", "i", F.lit(3)), 16,
+                                                                   tiebreak=["i"]).collect() if x.g == "a"}
+    assert one == many  # the rank is the hash order whatever the number of ranges
+
+
+def test_envfit_permutation_p_values(spark):
+    rnd = random.Random(5)
+    sc = [(f"s{i}", rnd.uniform(-1, 1), rnd.uniform(-1, 1)) for i in range(40)]
+    scores = spark.createDataFrame(sc, "site string, axis1 double, axis2 double")
+    env = spark.createDataFrame([(s, 2 * a - b, rnd.uniform(0, 1)) for s, a, b in sc], "site string, lin double, noise double")
+    r = {x.variable: x for x in community.fit_vectors_perm(scores, env, "site", ("axis1", "axis2"), ["lin", "noise"],
+                                                           perm=99, seed=2, rows_per_range=10).collect()}
+    assert abs(r["lin"].r2 - 1.0) < 1e-9 and r["lin"].p_value == 0.01   # no permutation fits as well
+    assert 0.01 <= r["noise"].p_value <= 1.0 and r["noise"].p_value > 0.01
