@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# IMOS-style quality flags.  Values carrying a "bad" flag are
+# Quality flags of the source data.  Values carrying a "bad" flag are
 # masked; "good" flags are the ones a keep-filter retains.
 BAD_FLAGS = (3, 4, 9)
 GOOD_FLAGS = (0, 1, 2, 5, 8)
