@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagic.llm import bpe_automaton, decision_list, external_shuffle, langid, pfair_mix, segment_topk, simhash_gph, url_glob
+from pelagic.llm import (
+    bpe_automaton, decision_list, external_shuffle, html_style_tree, langid, maxent_lm, pfair_mix, segment_topk, simhash_gph, url_glob,
+)
 from pelagic.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +131,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", external_shuffle.record_bytes(F.col("text")).alias("size"), F.crc32(text).alias("text_crc32"),
                       F.lit(external_shuffle.LAW).alias("law"), F.col("__shard").alias("shard"), F.col("__slot").alias("slot"),
                       external_shuffle.shard_of(F.col("doc_id").cast("string"), shards + 1, 17).alias("grown_shard"))
+
+
+@query("op1_site_style_tree")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = html_style_tree.extract_text(pages, into="text")
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op5_maxent_lm")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = crc_mod(F.col("doc_id"), 5)
+    model, counts = maxent_lm.train(docs.filter(fold != 1))
+    held_out = F.coalesce(fold == 1, F.lit(False)).alias("held_out")
+    return maxent_lm.score_texts(docs, model, counts).select(
+        "doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
