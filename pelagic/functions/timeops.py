@@ -97,9 +97,10 @@ def eight_day_composite(ts: str | Column) -> dict[str, Column]:
     """F-12: 8-day composite window of a date.
 
     day-of-year capped at 361; end = round_half_even(day/8)*8 with 0 -> 8;
-    start = end - 7 (regular composites, D-10).
+    start = end - 7 (regular composites, D-10).  A null date has no composite.
     """
-    d = F.least(F.dayofyear(_c(ts)), F.lit(361))
+    doy = F.dayofyear(_c(ts))
+    d = F.when(doy.isNotNull(), F.least(doy, F.lit(361)))
     end = (F.bround(d / F.lit(8.0), 0) * 8).cast("int")
     end = F.when(end == 0, F.lit(8)).otherwise(end)
     return {"comp_start_doy": end - 7, "comp_end_doy": end}

@@ -18,25 +18,33 @@ _US_PER_HOUR = 3_600_000_000
 
 def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str,
                  left_id: str, right_id: str, tolerance_h: Column | float = 3.0,
-                 max_tolerance_h: float = 24.0) -> DataFrame:
+                 max_tolerance_h: float | None = None) -> DataFrame:
     """J-05: for each left row, the right row(s) of the same ``by`` group nearest in time.
 
     Ties in distance go to the earlier right time; a match further than the
-    row's tolerance (hours, per-row Column allowed, at most
-    ``max_tolerance_h``) is dropped (left row kept with nulls).  All right
-    rows at the matched time are returned, as the source inner-joins on the
-    cast time.  Output: left columns + ``match_time``, ``<right_id>``, ``diff_h``.
+    row's tolerance is dropped (left row kept with nulls).  The tolerance is a
+    number of hours, or a Column with ``max_tolerance_h`` as its upper bound: a
+    row above the bound fails the job, it is never clipped; a null tolerance
+    matches nothing.  All right rows at the matched time are returned, as the
+    source inner-joins on the cast time.  Output: left columns + ``match_time``, ``<right_id>``, ``diff_h``.
 
-    Partitioning: time is cut into buckets of ``max_tolerance_h``; each
+    Partitioning: time is cut into buckets of the largest tolerance; each
     right row is copied into its own and both neighbouring buckets, so the
     nearest right row within tolerance of any left row is always in the left
     row's bucket.  Windows then run per (group, bucket).
     """
-    bucket_us = int(max_tolerance_h * _US_PER_HOUR)
-    tol = tolerance_h if isinstance(tolerance_h, Column) else F.lit(float(tolerance_h))
+    if isinstance(tolerance_h, Column):
+        if max_tolerance_h is None:
+            raise ValueError("a tolerance column needs max_tolerance_h, its upper bound")
+        too_wide = F.raise_error(F.lit(f"tolerance above max_tolerance_h = {max_tolerance_h} h")).cast("double")
+        tol = F.when(tolerance_h > F.lit(float(max_tolerance_h)), too_wide).otherwise(tolerance_h.cast("double"))
+    else:
+        max_tolerance_h = float(tolerance_h)
+        tol = F.lit(max_tolerance_h)
+    bucket_us = max(1, int(max_tolerance_h * _US_PER_HOUR))
 
     l_us = epoch_micros(left_time)
-    lt = left.withColumn("__t", l_us).withColumn("__tol", F.least(tol, F.lit(float(max_tolerance_h))))
+    lt = left.withColumn("__t", l_us).withColumn("__tol", tol)
     lk = lt.select(F.col(by).alias("__by"), "__t", F.lit(1).alias("__side"),
                    F.col(left_id).alias("__lid"), F.lit(None).cast("long").alias("__rt"),
                    F.floor(F.col("__t") / bucket_us).alias("__b"))

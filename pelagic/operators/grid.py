@@ -33,9 +33,10 @@ class Axis:
         return (_c(x) - F.lit(self.origin)) / F.lit(self.step)
 
     def nearest(self, x: str | Column) -> Column:
-        """J-07: index of the nearest node, clipped to the axis."""
-        i = F.floor(self.frac_index(x) + F.lit(0.5)).cast("int")
-        return F.least(F.greatest(i, F.lit(0)), F.lit(self.n - 1))
+        """J-07: index of the nearest node, clipped to the axis; null for a null (or NaN) coordinate."""
+        f = self.frac_index(x)
+        i = F.floor(f + F.lit(0.5)).cast("int")
+        return F.when(f.isNotNull() & ~F.isnan(f), F.least(F.greatest(i, F.lit(0)), F.lit(self.n - 1)))
 
     def floor_index(self, x: str | Column) -> Column:
         """J-10: last node at or before x in axis order (may fall outside [0, n))."""

@@ -17,7 +17,10 @@ from pelagic.functions.nulls import matches, safe_div, strict_sum, sum0
 
 # Species-level exclusion patterns of the source (regex, so the
 # dot in "cf." matches any character, N-10) and the excluded species token.
-SPECIES_DROP_PATTERNS = ("cf.", "/", "grp")
+# The indices keep complexes ("a/b", binned to their first word); the species
+# matrices drop them.
+INDEX_DROP_PATTERNS = ("cf.", "grp")
+MATRIX_DROP_PATTERNS = ("cf.", "/", "grp")
 SPECIES_UNRESOLVED = "spp."
 
 # Cell carbon C = a * V^b per taxon group (pg per cell), with a
@@ -30,8 +33,8 @@ CELL_CARBON_CONSTANT = {"Cyanobacteria": 0.2}
 CELL_CARBON_DEFAULT = (0.288, 0.811)
 
 
-def species_filter(df: DataFrame, genus: str, species: str, label: str = "TaxonName",
-                   drop: Sequence[str] = SPECIES_DROP_PATTERNS, bin_complex: bool = True,
+def species_filter(df: DataFrame, genus: str, species: str, drop: Sequence[str], label: str = "TaxonName",
+                   bin_complex: bool = True,
                    include_genus_level: bool = False) -> DataFrame:
     """R-4: keep resolved species and add a ``Genus species`` label.
 
@@ -47,7 +50,7 @@ def species_filter(df: DataFrame, genus: str, species: str, label: str = "TaxonN
     return df.where(cond).withColumn(label, genus_species(genus, species, bin_complex))
 
 
-def species_condition(species: str, drop: Sequence[str] = SPECIES_DROP_PATTERNS,
+def species_condition(species: str, drop: Sequence[str],
                       include_genus_level: bool = False) -> Column:
     """The row condition of :func:`species_filter` as a Column (null counts as false)."""
     cond = F.col(species).isNotNull()

@@ -1,8 +1,8 @@
 """Long <-> wide reshaping (V-01..V-04, P-15, A-25).
 
 The long form (key, taxon, value) is canonical.  A wide sample x taxon matrix
-is produced only at the sink (``to_wide``), with an explicit, sorted and
-bounded column list, so the planner never has to discover pivot values.
+is produced only at the sink (``to_wide``), with an explicit, sorted column
+list, so the planner never has to discover pivot values.
 """
 
 from __future__ import annotations
@@ -11,27 +11,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
 from pelagic.functions.nulls import sum0
 
-MAX_WIDE_COLUMNS = 5000
 
-
-def pivot_values(df: DataFrame, col: str, max_columns: int = MAX_WIDE_COLUMNS) -> list:
-    """Sorted distinct non-null values of ``col``; fails if there are more than ``max_columns``.
-
-    Only a bounded number of values (at most ``max_columns + 1``) reaches the driver.
-    """
-    vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct()
-            .orderBy(col).limit(max_columns + 1).collect()]
-    if len(vals) > max_columns:
-        raise ValueError(f"{col} has more than {max_columns} distinct values; keep the long form")
-    return vals
+def pivot_values(df: DataFrame, col: str) -> list:
+    """Sorted distinct non-null values of ``col``: the column list of a wide table, which its schema needs on the driver."""
+    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
 
 
 def to_wide(df: DataFrame, ids: Sequence[str], col: str, value: str, values: Sequence | None = None,
-            fill=None, max_columns: int = MAX_WIDE_COLUMNS, unique_cells: bool = False) -> DataFrame:
+            fill=None, unique_cells: bool = False) -> DataFrame:
     """V-01 / V-02: long -> wide, one column per value of ``col`` (sorted, O-01).
 
     ``fill`` replaces *absent* cells only; a cell present with an explicit null
@@ -41,33 +31,15 @@ def to_wide(df: DataFrame, ids: Sequence[str], col: str, value: str, values: Seq
     guarantees ``unique_cells``; map-side partial aggregation combines a hot
     key before the shuffle), gathered per ``ids`` into a map bounded by the
     column list, and read out with one lookup per column.  Every key gets a
-    row even when none of its cells is listed.  The aggregation buffer stays
-    one map whatever the column count, so whole-stage codegen stays on.
+    row even when none of its cells is listed.  One form serves any number of
+    columns and any value type.
     """
     ids = list(ids)
-    if values is None:
-        values = pivot_values(df, col, max_columns)
-    values = list(values)
-    if len(values) > max_columns:
-        raise ValueError("too many pivot columns")
+    values = list(pivot_values(df, col) if values is None else values)
     cells = df if unique_cells else df.groupBy(*ids, col).agg(F.first(value, ignorenulls=True).alias(value))
-    out = [F.col(x) for x in ids]
-    if isinstance(cells.schema[value].dataType, (DoubleType, FloatType)) and len(values) <= 90:
-        # One conditional max per column (buffers stay under the codegen field
-        # limit).  Cells are unique here; an explicit null is carried as NaN
-        # (NaN never survives the scan, S-06) so "present but null" differs
-        # from "absent".
-        v = F.coalesce(F.col(value).cast("double"), F.lit(float("nan")))
-        w = cells.groupBy(*ids).agg(*[F.max(F.when(F.col(col) == F.lit(x), v)).alias(f"__v{i}")
-                                      for i, x in enumerate(values)])
-        for i, x in enumerate(values):
-            c = F.col(f"__v{i}")
-            absent = F.lit(fill) if fill is not None else F.lit(None)
-            out.append(F.when(c.isNull(), absent).when(F.isnan(c), F.lit(None)).otherwise(c).alias(str(x)))
-        return w.select(*out)
-    listed = F.col(col).isin(values)
     m = cells.groupBy(*ids).agg(
-        F.map_from_entries(F.collect_list(F.when(listed, F.struct(col, value)))).alias("__m"))
+        F.map_from_entries(F.collect_list(F.when(F.col(col).isin(values), F.struct(col, value)))).alias("__m"))
+    out = [F.col(x) for x in ids]
     for x in values:
         cell = F.element_at(F.col("__m"), F.lit(x))
         if fill is not None:
@@ -76,26 +48,13 @@ def to_wide(df: DataFrame, ids: Sequence[str], col: str, value: str, values: Seq
     return m.select(*out)
 
 
-def densify(spine: DataFrame, obs: DataFrame, key: str, taxon: str, value: str,
-            values: Sequence | None = None, fill: float = 0.0,
-            max_columns: int = MAX_WIDE_COLUMNS) -> DataFrame:
-    """V-01 long form: every spine key x every taxon, absent cells = ``fill``.
+def sparse_matrix(obs: DataFrame, key: str, taxon: str, value: str) -> DataFrame:
+    """V-01 in canonical long form: the sum per (key, taxon) that has records.
 
-    Built without a join product: per-(key, taxon) sums are gathered per key
-    into a map (at most one entry per taxon, so bounded by the taxon list),
-    left-joined to the spine, and every key row is expanded over the bounded,
-    sorted taxon list with a map lookup.  The output (the matrix itself) is
-    produced by the tasks that own the keys.
+    Absent cells stay absent (they are zero by definition); zeros are written
+    only by a wide sink (``to_wide`` with ``fill``), never as rows.
     """
-    sums = obs.groupBy(key, taxon).agg(sum0(value).alias(value))
-    if values is None:
-        values = pivot_values(sums, taxon, max_columns)
-    listed = sums.where(F.col(taxon).isin(list(values)))  # map entries bounded by the column list
-    per_key = listed.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(taxon, value))).alias("__m"))
-    taxa = F.array(*[F.lit(x) for x in values])
-    return (spine.select(key).join(per_key, key, "left")
-            .select(key, F.explode(taxa).alias(taxon), "__m")
-            .select(key, taxon, F.coalesce(F.element_at(F.col("__m"), F.col(taxon)), F.lit(fill)).alias(value)))
+    return obs.groupBy(key, taxon).agg(sum0(value).alias(value))
 
 
 def melt(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str], var: str = "variable",
@@ -111,20 +70,14 @@ def drop_empty_taxa(df: DataFrame, taxon: str, value: str) -> DataFrame:
     return df.join(keep, taxon, "left_semi")
 
 
-def column_summary(df: DataFrame, taxon: str, value: str, quantiles: bool = True,
-                   accuracy: int = 10000) -> DataFrame:
-    """A-25: per-taxon total, min, max, mean, count and (approximate) quartiles of a long matrix.
+def column_summary(df: DataFrame, taxon: str, value: str, quantiles: bool = True) -> DataFrame:
+    """A-25: per-taxon total, min, max, mean, count and exact interpolated quartiles of a long matrix.
 
-    Quartiles use ``percentile_approx`` so memory per group stays bounded
-    whatever the group size.
+    Quartiles use the exact ``percentile``, whose buffer holds one counter per
+    distinct value of a taxon, combined before the shuffle.
     """
     aggs = [F.sum(value).alias("total"), F.min(value).alias("min"), F.max(value).alias("max"),
             F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n")]
     if quantiles:
-        q = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
-        aggs.append(q.alias("__q"))
-    out = df.groupBy(taxon).agg(*aggs)
-    if quantiles:
-        out = out.select(*[c for c in out.columns if c != "__q"],
-                         F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
-    return out
+        aggs += [F.percentile(value, q).alias(name) for name, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]
+    return df.groupBy(taxon).agg(*aggs)

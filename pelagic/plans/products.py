@@ -50,7 +50,7 @@ def station_indices(trips: DataFrame, zoo: DataFrame, phyto: DataFrame, traits:
     # species-filter flag, taxon label), then per sample.  The zooplankton
     # table is read twice (here and in the trait join above), not once per index.
     is_cope = F.col("copepod") == COPEPOD
-    zq = F.coalesce(is_cope, F.lit(False)) & ix.species_condition("species")
+    zq = F.coalesce(is_cope, F.lit(False)) & ix.species_condition("species", ix.INDEX_DROP_PATTERNS)
     z1 = zoo.groupBy(key, zq.alias("__q"), F.when(zq, genus_species("genus", "species")).alias("__tn")).agg(
         F.sum("abund").alias("__tot"),
         F.max(F.when(is_cope, F.lit(1))).alias("__hc"),
@@ -69,7 +69,7 @@ def station_indices(trips: DataFrame, zoo: DataFrame, phyto: DataFrame, traits:
     grp = F.col("group")
     is_diatom, is_dino = grp.isin(*DIATOM_GROUPS), grp == DINOFLAGELLATE
     bv_ok = F.col("biovolume").isNotNull()
-    pq = ix.species_condition("species")
+    pq = ix.species_condition("species", ix.INDEX_DROP_PATTERNS)
     p1 = p.groupBy(key, pq.alias("__q"), F.when(pq, genus_species("genus", "species")).alias("__tn")).agg(
         F.count_if(carbon.isNull()).alias("__c_null"), F.sum(carbon).alias("__c"),
         F.sum("cells").alias("__cells"),

@@ -15,7 +15,7 @@ _OBS = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS)
 # ----------------------------------------------------------------- A-11..A-13 (+ R-4, F-09)
 def shannon_evenness_df(spark, sf_dir):
     s = b.samples(spark, sf_dir)
-    o = ix.species_filter(b.obs(spark, sf_dir), "genus", "species", label="TaxonName")
+    o = ix.species_filter(b.obs(spark, sf_dir), "genus", "species", ix.INDEX_DROP_PATTERNS, label="TaxonName")
     d = ix.diversity(o, "sample", "TaxonName", "value")
     return rounded(s.select("sample").join(d, "sample", "left"))
 
@@ -23,8 +23,7 @@ def shannon_evenness_df(spark, sf_dir):
 register("shannon_evenness", bench=True, sql=_OBS + """,
 f AS (SELECT sample, genus || ' ' || split_part(species, ' ', 1) AS tn, value FROM obs
       WHERE species IS NOT NULL AND species <> 'spp.'
-        AND NOT regexp_matches(species, 'cf.') AND NOT regexp_matches(species, '/')
-        AND NOT regexp_matches(species, 'grp')),
+        AND NOT regexp_matches(species, 'cf.') AND NOT regexp_matches(species, 'grp')),
 n AS (SELECT sample, count(*) AS n FROM f GROUP BY sample),
 x AS (SELECT sample, tn, sum(value) AS x FROM f GROUP BY sample, tn),
 t AS (SELECT sample, sum(x) AS t FROM x GROUP BY sample),

@@ -42,7 +42,7 @@ def recorder_indices(spark, sf_dir):
 # ----------------------------------------------------------------- R-12 (O-04 + G-01 + G-03), random: rows only
 @register("matchup_job")
 def matchup_job(spark, sf_dir):
-    pts = cm.sample_rows(b.samples(spark, sf_dir), 20, seed=20).select("__draw", "sample", "lat", "lon", "sample_date")
+    pts = cm.sample_rows(b.samples(spark, sf_dir), 20, "sample", seed=20).select("__draw", "sample", "lat", "lon", "sample_date")
     pts = pts.withColumn("pid", F.col("__draw"))
     colour = gr.match_products(pts, b.grid(spark, sf_dir), "pid", "lat", "lon", "sample_date", LAT, LON,
                                ["A", "N", "R"], "1y", 10)

@@ -85,12 +85,22 @@ def absence_matrix_species_biovolume(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- R-2 raw matrix (wide, fill 0)
+# Fixed values of the binding: the words that make up part names, and the part types.
+_COLOURS = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
+_THINGS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
+_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
+def _in(labels) -> str:
+    return "IN (" + ", ".join(f"'{x}'" for x in sorted(labels)) + ")"
+
+
 _RAW_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + """,
 sums AS (SELECT sample, taxon, sum(value) AS value FROM obs GROUP BY sample, taxon),
 taxa AS (SELECT DISTINCT taxon FROM sums),
 dense AS (SELECT s.sample, t.taxon, coalesce(x.value, 0.0) AS value
           FROM samples s CROSS JOIN taxa t LEFT JOIN sums x ON x.sample = s.sample AND x.taxon = t.taxon)
-PIVOT dense ON taxon USING sum(value) GROUP BY sample
+PIVOT dense ON taxon """ + _in(f"{c} {t}" for c in _COLOURS for t in _THINGS) + """ USING sum(value) GROUP BY sample
 """
 
 
@@ -104,15 +114,14 @@ def raw_matrix_wide(spark, sf_dir):
                       unique_cells=True)
 
 
-# ----------------------------------------------------------------- R-2 long, densified
+# ----------------------------------------------------------------- R-2 long, sparse (zeros belong to the wide sink)
 @register("raw_matrix_long", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + """,
-sums AS (SELECT sample, taxon, sum(value) AS value FROM obs GROUP BY sample, taxon),
-taxa AS (SELECT DISTINCT taxon FROM sums)
-SELECT s.sample, t.taxon, coalesce(x.value, 0.0) AS value
-FROM samples s CROSS JOIN taxa t LEFT JOIN sums x ON x.sample = s.sample AND x.taxon = t.taxon
+x AS (SELECT o.sample, o.taxon, o.value FROM samples s JOIN obs o USING (sample))
+SELECT sample, taxon, coalesce(sum(value), 0.0) AS value FROM x GROUP BY sample, taxon
 """)
 def raw_matrix_long(spark, sf_dir):
-    return rs.densify(b.samples(spark, sf_dir), b.obs(spark, sf_dir), "sample", "taxon", "value")
+    o = b.obs(spark, sf_dir).join(b.samples(spark, sf_dir).select("sample"), "sample", "left_semi")
+    return rs.sparse_matrix(o, "sample", "taxon", "value")
 
 
 # ----------------------------------------------------------------- R-3 group matrix (wide)
@@ -144,7 +153,7 @@ hdr AS (SELECT DISTINCT header FROM sums),
 dense AS (SELECT s.sample, h.header, coalesce(x.value, 0.0) AS value
           FROM (SELECT DISTINCT sample FROM c) s CROSS JOIN hdr h
           LEFT JOIN sums x ON x.sample = s.sample AND x.header = h.header)
-PIVOT dense ON header USING sum(value) GROUP BY sample
+PIVOT dense ON header """ + _in(f"{g} {c}" for g in _TYPES for c in _COLOURS) + """ USING sum(value) GROUP BY sample
 """)
 def larval_matrix(spark, sf_dir):
     s = b.samples(spark, sf_dir).where(F.col("sample_type").rlike("F|O")).select("sample")
@@ -169,9 +178,10 @@ def drop_empty_taxa(spark, sf_dir):
 # ----------------------------------------------------------------- A-25 column summary
 @register("column_summary", sql=b.with_ctes(b.SQL_OBS) + """
 SELECT taxon, sum(value) AS total, min(value) AS min, max(value) AS max,
-       round(avg(value), 6) + 0.0 AS mean, count(*) AS n
+       round(avg(value), 6) + 0.0 AS mean, count(*) AS n, round(quantile_cont(value, 0.25), 6) + 0.0 AS q1,
+       round(quantile_cont(value, 0.5), 6) + 0.0 AS median, round(quantile_cont(value, 0.75), 6) + 0.0 AS q3
 FROM obs GROUP BY taxon
 """)
 def column_summary(spark, sf_dir):
-    s = rs.column_summary(b.obs(spark, sf_dir), "taxon", "value", quantiles=False)
-    return s.withColumn("mean", r6("mean"))
+    s = rs.column_summary(b.obs(spark, sf_dir), "taxon", "value")
+    return s.withColumns({c: r6(c) for c in ("mean", "q1", "median", "q3")})

@@ -70,16 +70,35 @@ def _typed(spark: SparkSession, raw: DataFrame, schema: str | StructType, by_nam
 
 def read_with_preamble(spark: SparkSession, path: str, skip: int, schema: str | StructType,
                        null_value: str = "", renames: Mapping[str, str] | None = None) -> DataFrame:
-    """S-03: a delimited file whose first ``skip`` lines are a free-text preamble.
+    """S-03: delimited files that start with a free-text preamble of ``skip`` lines.
 
-    Lines are numbered per file with ``zipWithIndex`` (ordered by split, no
-    single-task gather), the preamble is dropped, and the remaining text is
-    parsed by the CSV reader (first kept line = header, matched by name).
+    ``path`` may be a folder of exports, each with its own preamble and column
+    order.  Lines are scanned as text; a file's header is its first line that
+    names every column of the schema, and its data lines are those with as many
+    fields as the header, but the header itself.  All of it runs in the JVM.
+    ``skip`` documents the layout; a preamble of another length reads the same.
     """
-    lines = spark.sparkContext.textFile(path).zipWithIndex().filter(lambda t: t[1] >= skip).keys()
-    raw = spark.read.option("header", True).option("nullValue", null_value).option("mode", "PERMISSIVE").csv(lines)
-    df = _typed(spark, raw, schema, True)
-    return df.withColumnsRenamed(dict(renames)) if renames else df
+    names = _struct(spark, schema).fieldNames()
+    lines = spark.read.text(path).select(F.col("value").alias("__line"), F.col("_metadata.file_path").alias("__file"))
+    fields = F.split("__line", ",", -1)
+    bare = F.transform(fields, lambda x: F.trim(F.regexp_replace(x, '"', "")))
+    is_header = F.lit(True)
+    for n in names:
+        is_header = is_header & F.array_contains(bare, n)
+    heads = (lines.where(is_header).groupBy("__file").agg(F.min("__line").alias("__head")))  # one row per file
+    layouts = [r[0] for r in heads.select("__head").distinct().collect()]  # one per export format
+    out = None
+    for head in layouts:
+        cols = [c.strip().strip('"') for c in head.split(",")]
+        st = ", ".join(f"`{c}` string" for c in cols)
+        own = lines.join(heads.where(F.col("__head") == head), "__file").where(F.col("__line") != head)
+        own = own.select(F.from_csv("__line", F.lit(st), {"nullValue": null_value, "mode": "PERMISSIVE"}).alias("r"),
+                         F.size(F.split("__line", ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)).alias("__n"))
+        part = _typed(spark, own.where(F.col("__n") == len(cols)).select("r.*"), schema, True)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = spark.createDataFrame([], _struct(spark, schema))
+    return out.withColumnsRenamed(dict(renames)) if renames else out
 
 
 def read_source(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
@@ -139,21 +158,22 @@ def read_grid(spark: SparkSession, path: str, products: Sequence[str] | None = N
 
 def read_registry(spark: SparkSession, registry: DataFrame, station: str = "station", path: str = "path",
                   fmt: str = "parquet", schema: str | None = None) -> DataFrame:
-    """S-24: one scan over every source listed in a (station, path) registry, station as a column.
+    """S-24: every source listed in a (station, path) registry, station as a column.
 
-    The registry is a small driver-side list of file paths (bounded by the
-    number of sources); the data itself is read in parallel by Spark.
+    The registry is a list of sources (one row each); a path is a file or a
+    folder.  Each source is scanned with its station as a literal, so no data
+    row is compared with a path.
     """
-    rows = registry.select(station, path).collect()
-    paths = [r[1] for r in rows]
-    reader = spark.read.format(fmt)
-    if schema:
-        reader = reader.schema(schema)
-    df = reader.load(paths).withColumn("__file", F.input_file_name())
-    reg = spark.createDataFrame([(r[0], r[1]) for r in rows], f"{station} string, __path string")
-    # input_file_name is a URI; match on the path suffix
-    return (df.join(F.broadcast(reg), F.col("__file").endswith(F.col("__path")), "inner")
-            .drop("__file", "__path"))
+    out = None
+    for name, where in [tuple(r) for r in registry.select(station, path).collect()]:
+        reader = spark.read.format(fmt)
+        if schema:
+            reader = reader.schema(schema)
+        part = reader.load(where).withColumn(station, F.lit(name).cast("string"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("the registry lists no source")
+    return out
 
 
 def read_vertices(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

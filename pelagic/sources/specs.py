@@ -53,7 +53,7 @@ CHEMISTRY = SourceSpec(
     schema=("TRIP_CODE string, SAMPLEDEPTH_M string, SILICATE_UMOLL double, NITRATE_UMOLL double, "
             "PHOSPHATE_UMOLL double, AMMONIUM_UMOLL double, NITRITE_UMOLL double, OXYGEN_UMOLL double, "
             "DIC_UMOLKG double, TALKALINITY_UMOLKG double, SALINITY_PSU double, SILICATE_FLAG int, NITRATE_FLAG int, "
-            "PHOSPHATE_FLAG int, AMMONIUM_FLAG int, NITRITE_FLAG int, OXYGEN_FLAG int, CARBON_FLAG int, "
+            "PHOSPHATE_FLAG int, AMMONIUM_FLAG int, NITRITE_FLAG int, OXYGEN_FLAG int, CARBON_FLAG int, ALKALINITY_FLAG int, "
             "SALINITY_FLAG int"),
     renames={"TRIP_CODE": "TripCode", "SAMPLEDEPTH_M": "SampleDepth_m"},
 )
@@ -177,7 +177,7 @@ def load_ctd(spark: SparkSession, path: str, trips: DataFrame) -> DataFrame:
 CHEMISTRY_FLAGS = {
     "SILICATE_UMOLL": "SILICATE_FLAG", "NITRATE_UMOLL": "NITRATE_FLAG", "PHOSPHATE_UMOLL": "PHOSPHATE_FLAG",
     "AMMONIUM_UMOLL": "AMMONIUM_FLAG", "NITRITE_UMOLL": "NITRITE_FLAG", "OXYGEN_UMOLL": "OXYGEN_FLAG",
-    "DIC_UMOLKG": "CARBON_FLAG", "TALKALINITY_UMOLKG": "CARBON_FLAG", "SALINITY_PSU": "SALINITY_FLAG",
+    "DIC_UMOLKG": "CARBON_FLAG", "TALKALINITY_UMOLKG": "ALKALINITY_FLAG", "SALINITY_PSU": "SALINITY_FLAG",
 }
 
 

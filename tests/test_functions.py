@@ -39,10 +39,10 @@ def test_not_in_keeps_null(spark):
 def test_species_filter(spark):
     rows = [("G", "spp."), ("G", None), ("G", "cf. x"), ("G", "a/b"), ("G", "x grp"), ("G", "acfb"), ("G", "x y")]
     df = spark.createDataFrame(rows, "genus string, species string")
-    out = sorted(r.TaxonName for r in ix.species_filter(df, "genus", "species").collect())
+    out = sorted(r.TaxonName for r in ix.species_filter(df, "genus", "species", ix.MATRIX_DROP_PATTERNS).collect())
     # "acfb" contains "cf" followed by a character, so the regex "cf." drops it too (N-10)
     assert out == ["G x"]
-    wide = sorted(r.TaxonName for r in ix.species_filter(df, "genus", "species", include_genus_level=True).collect())
+    wide = sorted(r.TaxonName for r in ix.species_filter(df, "genus", "species", ix.MATRIX_DROP_PATTERNS, include_genus_level=True).collect())
     assert wide == ["G spp.", "G x"]  # D-25 switch: genus-level rows kept, other drops unchanged
 
 

@@ -207,16 +207,21 @@ def test_zone_by_coordinates_then_utc(spark):
 def test_bray_curtis_properties(spark):
     rows = [("a", "x", 4.0), ("a", "y", 9.0), ("b", "x", 4.0), ("b", "y", 9.0), ("c", "z", 1.0), ("d", "x", 1.0)]
     df = spark.createDataFrame(rows, "site string, taxon string, v double")
-    got = {(r.site_i, r.site_j): r.bc for r in community.bray_curtis(df, "site", "taxon", "v", block_size=2).collect()}
-    assert len(got) == 6
+    pairs = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "d"), ("a", "d"), ("x", "y")], "site_i string, site_j string")
+    got = {(r.site_i, r.site_j): r.bc for r in community.bray_curtis(df, pairs, "site", "taxon", "v").collect()}
+    assert len(got) == 4 and got[("x", "y")] is None
     assert got[("a", "b")] == 0.0 and got[("a", "c")] == 1.0
     assert abs(got[("a", "d")] - (1 - 2 * 1 / (5 + 1))) < 1e-12
 
 
 def test_sample_rows_exact_count(spark):
     df = spark.range(0, 1000, numPartitions=7)
-    r = community.sample_rows(df, 50, seed=5)
-    assert r.count() == 50
+    r = sorted((x["__draw"], x.id) for x in community.sample_rows(df, 50, "id", seed=5).collect())
+    assert [d for d, _ in r] == list(range(50))
+    again = community.sample_rows(df.repartition(3), 50, "id", seed=5)
+    assert sorted((x["__draw"], x.id) for x in again.collect()) == r  # the layout does not matter
+    once = community.sample_rows(df, 50, "id", seed=5, replace=False)
+    assert len({x.id for x in once.collect()}) == 50
 
 
 def test_station_indices_fixture(spark):
@@ -258,14 +263,14 @@ def test_hash_rank_is_a_bijection_per_group(spark):
     rows = [(g, i) for g in ("a", "b") for i in range(50 if g == "a" else 7)]
     df = spark.createDataFrame(rows, "g string, i int")
     for ranges in (1, 4, 16):
-        r = community.hash_rank(df, ["g"], F.xxhash64("g", "i", F.lit(3)), ranges, tiebreak=["i"]).collect()
+        r = community.hash_rank(df, ["g"], community.md5_key(F.lit(3), "g", "i"), ranges, tiebreak=["i"]).collect()
         by = {}
         for x in r:
             by.setdefault(x.g, []).append(x["__r"])
         assert sorted(by["a"]) == list(range(50)) and sorted(by["b"]) == list(range(7))
-    one = {x.i: x["__r"] for x in community.hash_rank(df, ["g"], F.xxhash64("g", "i", F.lit(3)), 1,
+    one = {x.i: x["__r"] for x in community.hash_rank(df, ["g"], community.md5_key(F.lit(3), "g", "i"), 1,
                                                                   tiebreak=["i"]).collect() if x.g == "a"}
-    many = {x.i: x["__r"] for x in community.hash_rank(df, ["g"], F.xxhash64("g", "i", F.lit(3)), 16,
+    many = {x.i: x["__r"] for x in community.hash_rank(df, ["g"], community.md5_key(F.lit(3), "g", "i"), 16,
                                                                    tiebreak=["i"]).collect() if x.g == "a"}
     assert one == many  # the rank is the hash order whatever the number of ranges
 
@@ -276,6 +281,59 @@ def test_envfit_permutation_p_values(spark):
     scores = spark.createDataFrame(sc, "site string, axis1 double, axis2 double")
     env = spark.createDataFrame([(s, 2 * a - b, rnd.uniform(0, 1)) for s, a, b in sc], "site string, lin double, noise double")
     r = {x.variable: x for x in community.fit_vectors_perm(scores, env, "site", ("axis1", "axis2"), ["lin", "noise"],
-                                                           perm=99, seed=2, rows_per_range=10).collect()}
+                                                           perm=99, seed=2, ranges=5).collect()}
     assert abs(r["lin"].r2 - 1.0) < 1e-9 and r["lin"].p_value == 0.01   # no permutation fits as well
     assert 0.01 <= r["noise"].p_value <= 1.0 and r["noise"].p_value > 0.01
+
+
+def test_nearest_asof_never_clips_the_tolerance(spark):
+    from pelagic.operators import asof
+
+    t0 = dt.datetime(2020, 1, 1)
+    left = spark.createDataFrame([(1, "s", t0), (2, "s", t0 + dt.timedelta(hours=100))], "id int, st string, ts timestamp_ntz")
+    right = spark.createDataFrame([(9, "s", t0 + dt.timedelta(hours=36))], "cast int, st string, ts timestamp_ntz")
+    near = lambda **k: {r.id: r.cast for r in asof.nearest_asof(left, right, "st", "ts", "ts", "id", "cast", **k).collect()}
+    assert near(tolerance_h=48.0) == {1: 9, 2: None}
+    assert near(tolerance_h=35.0) == {1: None, 2: None}
+    by_row = F.when(F.col("id") == 1, F.lit(48.0))
+    assert near(tolerance_h=by_row, max_tolerance_h=72.0) == {1: 9, 2: None}  # a null tolerance matches nothing
+    with pytest.raises(ValueError):
+        near(tolerance_h=by_row)
+    with pytest.raises(Exception, match="tolerance above"):
+        near(tolerance_h=by_row, max_tolerance_h=24.0)
+
+
+def test_null_coordinate_and_null_date_stay_null(spark):
+    from pelagic.functions.timeops import eight_day_composite
+    from pelagic.operators.grid import Axis
+
+    df = spark.createDataFrame([(None, None), (-50.0, dt.date(2020, 1, 1)), (float("nan"), dt.date(2020, 12, 31))], "x double, d date")
+    assert [r[0] for r in df.select(Axis(0.0, 1.0, 5).nearest("x")).collect()] == [None, 0, None]
+    c = eight_day_composite("d")
+    assert [tuple(r) for r in df.select(c["comp_start_doy"], c["comp_end_doy"]).collect()] == [(None, None), (1, 8), (353, 360)]
+
+
+def test_wide_has_one_form_for_any_width(spark):
+    from pelagic.operators import reshape as rs
+
+    for n in (3, 150):
+        rows = [("k", f"c{i}", float(i)) for i in range(n)] + [("k", "c0", 5.0), ("j", "c1", None), ("j", "c2", float("nan"))]
+        df = spark.createDataFrame(rows, "key string, col string, v double")
+        w = rs.to_wide(df.where("col <> 'c0'"), ["key"], "col", "v", fill=0.0)
+        assert len(w.columns) == n
+        j = {r.key: r for r in w.collect()}["j"]
+        assert j.c1 is None and math.isnan(j.c2)
+
+
+def test_exact_quartiles(spark):
+    from pelagic.operators import reshape as rs
+
+    df = spark.createDataFrame([("a", float(x)) for x in (1, 2, 3, 10)], "t string, v double")
+    r = rs.column_summary(df, "t", "v").first()
+    assert (r.q1, r.median, r.q3) == (1.75, 2.5, 4.75)
+
+
+def test_index_keeps_complexes_and_matrix_drops_them(spark):
+    df = spark.createDataFrame([("G", "a/b"), ("G", "x y"), ("G", "spp."), ("G", "cf. z"), ("G", "w grp")], "genus string, species string")
+    names = lambda drop: sorted(r.TaxonName for r in indices.species_filter(df, "genus", "species", drop).collect())
+    assert names(indices.INDEX_DROP_PATTERNS) == ["G a/b", "G x"] and names(indices.MATRIX_DROP_PATTERNS) == ["G x"]

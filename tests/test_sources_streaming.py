@@ -41,6 +41,11 @@ def test_preamble_skip(spark, tmp_path):
     df = rd.read_with_preamble(spark, str(p), 29, "file_id long, site_code string, TEMP double")
     got = sorted((r.file_id, r.TEMP) for r in df.where(F.col("site_code").rlike("NRS")).collect())
     assert got == [(1, 12.5), (2, None)]
+    # a folder of exports: each file has its own preamble and column order
+    (tmp_path / "ctd2.csv").write_text(pre + "TEMP,site_code,file_id\n7.5,NRSMAI,4\n")
+    both = rd.read_with_preamble(spark, str(tmp_path), 29, "file_id long, site_code string, TEMP double")
+    assert sorted((r.file_id, r.site_code, r.TEMP) for r in both.collect()) == [
+        (1, "NRSMAI", 12.5), (2, "NRSKAI", None), (3, "OTHER", 9.0), (4, "NRSMAI", 7.5)]
 
 
 def test_registry_read_and_sinks(spark, tmp_path):
@@ -52,6 +57,8 @@ def test_registry_read_and_sinks(spark, tmp_path):
     df = rd.read_registry(spark, reg)
     got = sorted((r.station, r.temp) for r in df.collect())
     assert got == [("S1", 1.0), ("S1", 2.0), ("S2", 5.0)]
+    folders = spark.createDataFrame([("S1", str(a)), ("S2", str(b))], "station string, path string")
+    assert sorted((r.station, r.temp) for r in rd.read_registry(spark, folders).collect()) == got
     out = tmp_path / "prod"
     prod = sk.prepare_product(df.withColumn("t", F.lit(dt.datetime(2020, 1, 2, 3, 4, 5))),
                               text_ts=["t"], order_by=[F.col("temp").desc()])
