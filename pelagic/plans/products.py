@@ -9,10 +9,12 @@ the sample key for the joins.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagic.functions.labels import genus_species
+from pelagic.functions.labels import genus_species, sample_code
 from pelagic.functions.nulls import safe_div, sum0
 from pelagic.operators import indices as ix
 
@@ -24,6 +26,25 @@ DINOFLAGELLATE = "Dinoflagellate"
 OTHER_GROUP = "Other"
 
 
+def water_quality(trips: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str]]], trip: str = "trip",
+                  depth: str = "depth", attributes: Sequence[str] = ()) -> DataFrame:
+    """R-5: replicate means of every source per (trip, depth), with the trip's attributes and the sample code.
+
+    ``sources``: (frame, value columns) pairs, each frame with the key columns.
+    The sources are stacked, each filling its own columns, and averaged by one
+    aggregation: the key spine is its group key and each source is scanned
+    once.  A key found in any source is kept, also without a trip row.
+    """
+    stacked = None
+    for frame, values in sources:
+        part = frame.select(trip, depth, *[F.col(v).cast("double").alias(v) for v in values])
+        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
+    columns = [v for _, values in sources for v in values]
+    means = stacked.groupBy(trip, depth).agg(*[F.avg(v).alias(v) for v in columns])
+    out = means.join(trips.select(trip, *attributes), trip, "left") if attributes else means
+    return out.select(trip, depth, sample_code("NRS", trip, depth).alias("sample_code"), *attributes, *columns)
+
+
 def station_indices(trips: DataFrame, zoo: DataFrame, phyto: DataFrame, traits: DataFrame,
                     key: str = "sample") -> DataFrame:
     """R-6: per-trip zooplankton and phytoplankton indices, left-joined to every trip.

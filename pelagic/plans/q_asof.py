@@ -51,3 +51,23 @@ def forward_asof_week(spark, sf_dir):
     ax = (li.where(F.dayofweek("l_shipdate") == 1)
           .select(F.round(days_since("l_shipdate", "1800-01-01"), 0).cast("long").alias("a")))
     return asof.forward_asof(pts, ax, "tt", "a").select("o_orderkey", "tt", "next_value")
+
+
+# ----------------------------------------------------------------- J-05, scalar tolerance of two days
+@register("nearest_asof_wide", sql="""
+WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+v AS (SELECT event_id AS cast_id, user_id, ts FROM events WHERE event_type = 'view'),
+cand AS (SELECT p.event_id, v.ts AS vts,
+                abs(epoch_us(v.ts) - epoch_us(p.ts)) / 3600000000.0 AS d,
+                row_number() OVER (PARTITION BY p.event_id ORDER BY abs(epoch_us(v.ts) - epoch_us(p.ts)), v.ts) AS rn
+         FROM p JOIN v ON p.user_id = v.user_id),
+best AS (SELECT event_id, vts, d FROM cand WHERE rn = 1 AND d <= 48.0)
+SELECT p.event_id, p.user_id, p.ts, v.ts AS match_time, v.cast_id, round(best.d, 6) + 0.0 AS diff_h
+FROM p LEFT JOIN best USING (event_id) LEFT JOIN v ON v.user_id = p.user_id AND v.ts = best.vts
+""")
+def nearest_asof_wide(spark, sf_dir):
+    e = b.table(spark, sf_dir, "events")
+    p = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    v = e.where(F.col("event_type") == "view").select(F.col("event_id").alias("cast_id"), "user_id", "ts")
+    r = asof.nearest_asof(p, v, "user_id", "ts", "ts", "event_id", "cast_id", tolerance_h=48.0)
+    return r.select("event_id", "user_id", "ts", "match_time", "cast_id", r6("diff_h").alias("diff_h"))

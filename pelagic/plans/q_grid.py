@@ -42,6 +42,22 @@ def grid_nearest(spark, sf_dir):
     return r.select("sample", "lat_idx", "lon_idx", "value")
 
 
+# ----------------------------------------------------------------- J-07, some coordinates unknown
+@register("grid_nearest_nulls", sql=_G + """,
+p AS (SELECT sample, period,
+             CASE WHEN sample % 11 <> 0 THEN least(greatest(CAST(floor(fi + 0.5) AS INTEGER), 0), 59) END AS lat_idx,
+             CASE WHEN sample % 7 <> 0 THEN least(greatest(CAST(floor(fj + 0.5) AS INTEGER), 0), 79) END AS lon_idx FROM pts)
+SELECT p.sample, p.lat_idx, p.lon_idx, g.value
+FROM p LEFT JOIN grid g ON g.product = 'N' AND g.period = p.period AND g.lat_idx = p.lat_idx AND g.lon_idx = p.lon_idx
+""")
+def grid_nearest_nulls(spark, sf_dir):
+    p = _points(spark, sf_dir).withColumns({"lat": F.when(F.col("sample") % 11 != 0, F.col("lat")),
+                                            "lon": F.when(F.col("sample") % 7 != 0, F.col("lon"))})
+    r = gr.grid_nearest(p, b.grid(spark, sf_dir), "sample", "lat", "lon", LAT, LON,
+                        keys=["product", "period"], point_keys=_keys("N"))
+    return r.select("sample", "lat_idx", "lon_idx", "value")
+
+
 # ----------------------------------------------------------------- J-09
 @register("grid_box_mean", bench=True, sql=_G + """,
 p AS (SELECT sample, period,

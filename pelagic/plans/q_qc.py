@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pelagic.functions.labels import sample_code
 from pelagic.operators import qc
 from pelagic.plans import bindings as b
+from pelagic.plans import products as pr
 from pelagic.plans.catalog import register, rounded
 
 
@@ -73,40 +73,55 @@ SQL_PIG = """pig AS (
   SELECT l_orderkey AS trip, CAST((l_linenumber % 2) * 20 AS VARCHAR) AS depth, l_tax * 100.0 AS chla
   FROM lineitem WHERE l_returnflag = 'R')"""
 SQL_WC = """wc AS (SELECT o_orderkey AS trip, 'WC' AS depth, o_totalprice / 10000.0 AS secchi FROM orders)"""
+SQL_PICO = """pico AS (
+  SELECT l_orderkey AS trip, CAST((l_linenumber % 3) * 25 AS VARCHAR) AS depth, l_quantity AS prochlorococcus
+  FROM lineitem WHERE l_returnflag = 'A')"""
+SQL_TSS = """tss AS (
+  SELECT l_orderkey AS trip, CAST((l_linenumber % 2) * 20 AS VARCHAR) AS depth, l_discount * 100.0 AS solids
+  FROM lineitem WHERE l_returnflag = 'N')"""
 
 
-@register("water_quality", bench=True, sql=b.with_ctes(SQL_CHEM, _MASKED, SQL_PIG, SQL_WC) + """,
+@register("water_quality", bench=True, sql=b.with_ctes(b.SQL_SAMPLES, SQL_CHEM, _MASKED, SQL_PIG, SQL_WC, SQL_PICO, SQL_TSS) + """,
 c AS (SELECT trip, depth, avg(silicate) AS silicate, avg(nitrate) AS nitrate FROM masked GROUP BY trip, depth),
 p AS (SELECT trip, depth, avg(chla) AS chla FROM pig GROUP BY trip, depth),
 w AS (SELECT trip, depth, avg(secchi) AS secchi FROM wc GROUP BY trip, depth),
-k AS (SELECT trip, depth FROM c UNION SELECT trip, depth FROM p UNION SELECT trip, depth FROM w)
+q AS (SELECT trip, depth, avg(prochlorococcus) AS prochlorococcus FROM pico GROUP BY trip, depth),
+t AS (SELECT trip, depth, avg(solids) AS solids FROM tss GROUP BY trip, depth),
+k AS (SELECT trip, depth FROM c UNION SELECT trip, depth FROM p UNION SELECT trip, depth FROM w
+      UNION SELECT trip, depth FROM q UNION SELECT trip, depth FROM t)
 SELECT k.trip, k.depth,
        'NRS' || CAST(k.trip AS VARCHAR) || '_' ||
          CASE WHEN regexp_full_match(k.depth, '[0-9]+') THEN
               CASE WHEN length(k.depth) >= 3 THEN k.depth ELSE lpad(k.depth, 3, '0') END
-         ELSE k.depth END AS sample_code,
+         ELSE k.depth END AS sample_code, s.station, s.sample_date, s.lat, s.lon,
        round(c.silicate, 6) + 0.0 AS silicate, round(c.nitrate, 6) + 0.0 AS nitrate,
-       round(p.chla, 6) + 0.0 AS chla, round(w.secchi, 6) + 0.0 AS secchi
+       round(p.chla, 6) + 0.0 AS chla, round(w.secchi, 6) + 0.0 AS secchi,
+       round(q.prochlorococcus, 6) + 0.0 AS prochlorococcus, round(t.solids, 6) + 0.0 AS solids
 FROM k LEFT JOIN c ON c.trip = k.trip AND c.depth = k.depth
        LEFT JOIN p ON p.trip = k.trip AND p.depth = k.depth
        LEFT JOIN w ON w.trip = k.trip AND w.depth = k.depth
+       LEFT JOIN q ON q.trip = k.trip AND q.depth = k.depth
+       LEFT JOIN t ON t.trip = k.trip AND t.depth = k.depth
+       LEFT JOIN samples s ON s.sample = k.trip
 """)
 def water_quality(spark, sf_dir):
-    c = qc.replicate_mean(_masked(spark, sf_dir), ["trip", "depth"], ["silicate", "nitrate"])
     li = b.table(spark, sf_dir, "lineitem")
-    pig = li.where(F.col("l_returnflag") == "R").select(
-        F.col("l_orderkey").alias("trip"), ((F.col("l_linenumber") % 2) * 20).cast("string").alias("depth"),
-        (F.col("l_tax") * 100.0).alias("chla"))
-    p = qc.replicate_mean(pig, ["trip", "depth"], ["chla"])
-    o = b.table(spark, sf_dir, "orders")
-    wc = o.select(F.col("o_orderkey").alias("trip"), F.lit("WC").alias("depth"),
-                  (F.col("o_totalprice") / 10000.0).alias("secchi"))
-    w = qc.replicate_mean(wc, ["trip", "depth"], ["secchi"])
-    spine = qc.key_spine([c, p, w], ["trip", "depth"])
-    out = (spine.join(c, ["trip", "depth"], "left").join(p, ["trip", "depth"], "left")
-           .join(w, ["trip", "depth"], "left"))
-    out = out.withColumn("sample_code", sample_code("NRS", "trip", "depth"))
-    return rounded(out.select("trip", "depth", "sample_code", "silicate", "nitrate", "chla", "secchi"))
+
+    def of(flag, step, every, name, value):
+        return li.where(F.col("l_returnflag") == flag).select(
+            F.col("l_orderkey").alias("trip"), ((F.col("l_linenumber") % every) * step).cast("string").alias("depth"),
+            value.alias(name))
+
+    wc = b.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("trip"), F.lit("WC").alias("depth"), (F.col("o_totalprice") / 10000.0).alias("secchi"))
+    trips = b.samples(spark, sf_dir).withColumnRenamed("sample", "trip")
+    return rounded(pr.water_quality(trips, [
+        (_masked(spark, sf_dir), ["silicate", "nitrate"]),
+        (of("R", 20, 2, "chla", F.col("l_tax") * 100.0), ["chla"]),
+        (wc, ["secchi"]),
+        (of("A", 25, 3, "prochlorococcus", F.col("l_quantity")), ["prochlorococcus"]),
+        (of("N", 20, 2, "solids", F.col("l_discount") * 100.0), ["solids"]),
+    ], attributes=["station", "sample_date", "lat", "lon"]), keep=("lat", "lon"))
 
 
 # ----------------------------------------------------------------- A-06 audit
