@@ -48,22 +48,21 @@ def mixed_layer(df: DataFrame, cast: str = "cast", depth: str = "depth", temp: s
     rd = F.col(ref_depth) if isinstance(ref_depth, str) else ref_depth
     base = df.withColumn("__rd", rd)
     ref = reference_row(base, cast, depth, "__rd", [temp, salinity], order)
-    below = base.join(ref, cast, "inner").where(F.col(depth) > F.col(f"__ref_{depth}"))
+    rows = base.join(ref, cast, "left").withColumn("__below", F.col(depth) > F.col(f"__ref_{depth}"))
+    below = F.col("__below")
     ties = [F.col(depth)] + ([F.col(order)] if order else [])
     t_diff = F.abs(F.col(temp) - (F.col(f"__ref_{temp}") - F.lit(dt)))
     s_diff = F.abs(F.col(salinity) - (F.col(f"__ref_{salinity}") - F.lit(ds)))
-    aggs = [F.min_by(F.col(depth), _nulls_last_key(t_diff, *ties)).alias("MLD_temp"),
-            F.min_by(F.col(depth), _nulls_last_key(s_diff, *ties)).alias("MLD_sal")]
-    if chl:
-        c = F.col(chl)
-        aggs += [F.count_if(c.isNull()).alias("__chl_nulls"), F.max(c).alias("__chl_max"),
-                 F.max_by(F.col(depth), F.struct(c, -F.col(depth))).alias("__dcm")]
-    m = below.groupBy(cast).agg(*aggs)
-    if chl:
-        dcm = F.when((F.col("__chl_nulls") == 0) & (F.col("__chl_max") > 0), F.col("__dcm"))
-        m = m.select(cast, "MLD_temp", "MLD_sal", dcm.alias("DCM"))
-    casts = df.select(cast).distinct()
-    return casts.join(m, cast, "left")
+    # rows not below the reference have a null order, which min_by / max_by pass over
+    aggs = [F.min_by(F.col(depth), F.when(below, _nulls_last_key(t_diff, *ties))).alias("MLD_temp"),
+            F.min_by(F.col(depth), F.when(below, _nulls_last_key(s_diff, *ties))).alias("MLD_sal")]
+    if not chl:
+        return rows.groupBy(cast).agg(*aggs)
+    c = F.col(chl)
+    aggs += [F.count_if(below & c.isNull()).alias("__chl_nulls"), F.max(F.when(below, c)).alias("__chl_max"),
+             F.max_by(F.col(depth), F.when(below, F.struct(c, -F.col(depth)))).alias("__dcm")]
+    dcm = F.when((F.col("__chl_nulls") == 0) & (F.col("__chl_max") > 0), F.col("__dcm"))
+    return rows.groupBy(cast).agg(*aggs).select(cast, "MLD_temp", "MLD_sal", dcm.alias("DCM"))
 
 
 def surface_mean(df: DataFrame, key: str, depth: str, values: Sequence[str], max_depth: float,
