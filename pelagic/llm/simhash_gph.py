@@ -14,9 +14,10 @@ choice changes the cost, never the answer.
 Probing is symmetric: a fingerprint files itself under each way of blanking t_i
 bits of part i, so two that agree to t_i bits share a bucket.  Buckets above
 ``hot_bucket`` are refined: their members differ by at most max_distance outside the
-part, so max_distance + 1 pieces of the remaining bits form finer buckets, again
-and again while bits remain.  Inside a bucket every pair is verified and a
-spanning forest of the links goes out, never all pairs.
+part, so max_distance + 1 pieces of the remaining bits form finer buckets, and
+again once more; what is still hot is cut into slices that meet two by two.
+Inside a bucket every pair is verified and a spanning forest of the links goes
+out, never all pairs.
 
 Equal fingerprints are one node throughout.  Components come from alternating
 large and small stars over the links, checkpointed each round.  A document's
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagic.llm.common import WORD, checkpointed, text_batches
+from pelagic.llm.common import WORD, checkpointed, small_broadcast, text_batches
 
 WORDS = re.compile(WORD)
 UPPER_RUN = re.compile("[A-Z]+")
@@ -218,42 +219,46 @@ def bucket_links(max_distance: int):
     return run
 
 
-def near_links(fps: DataFrame, max_distance: int, *, sample_rows: int = 2048, hot_bucket: int = 20_000) -> DataFrame:
+def near_links(fps: DataFrame, max_distance: int, *, sample_rows: int = 2048, hot_bucket: int = 20_000, depth: int = 2) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fps`` (column fp) that connect all within ``max_distance``."""
     sample = np.array([r[0] for r in fps.orderBy(F.xxhash64(F.lit(1), "fp"), "fp").limit(sample_rows).collect()],
                       dtype=np.int64).view(np.uint64)
     masks = probe_masks(sample, fps.count(), max_distance)
-    rows, cold = filed(fps, masks), []
-    masks = sorted(set(masks))
-    while True:
-        hot = checkpointed(rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_bucket).select("key"))
+    rows, done = filed(fps, masks), []
+    for level in range(depth + 1):
+        hot = checkpointed(rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_bucket))
         n_hot = hot.count()
         if not n_hot:
             break
-        # a bucket whose free bits allow no more than hot_bucket values is bounded as it is
-        small = [signed(m) for m in masks if BITS - m.bit_count() <= max(math.log2(hot_bucket), max_distance)]
-        hint = F.broadcast(hot) if n_hot <= 50_000 else hot
-        stay = rows.join(hint, "key", "left_anti")
-        over = rows.join(hint, "key", "left_semi")
-        cold += [stay, over.filter(F.col("mask").isin(small))] if small else [stay]
-        masks = [m for m in masks if signed(m) not in small]
-        if not masks:
-            rows = None
+        hint = small_broadcast(hot, n_hot, 50_000)
+        done.append(rows.join(hint, "key", "left_anti").select("key", "fp"))
+        over = rows.join(hint, "key")
+        if level == depth:
+            rows = sliced(over, hot_bucket)
             break
-        finer = {m: refined(m, max_distance + 1) for m in masks}
+        finer = {m: refined(m, max_distance + 1) for m in set(masks)}
         lookup = fps.sparkSession.createDataFrame(
             [(signed(m), [(signed(x), signed(m | x)) for x in xs]) for m, xs in finer.items()],
             "mask long, finer array<struct<bits:long,mask:long>>")
         over = over.join(F.broadcast(lookup), "mask").select("key", "fp", F.posexplode("finer").alias("i", "x"))
         rows = checkpointed(over.select(F.xxhash64("key", "i", F.col("fp").bitwiseAND(F.col("x.bits"))).alias("key"),
                                         F.col("x.mask").alias("mask"), "fp"))
-        masks = sorted({m | x for m, xs in finer.items() for x in xs})
-    for c in cold:
-        rows = c if rows is None else rows.unionByName(c)
-    ordered = rows.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
+        masks = [m | x for m, xs in finer.items() for x in xs]
+    rows = rows.select("key", "fp")
+    for d in done:
+        rows = rows.unionByName(d)
+    ordered = rows.repartition("key").sortWithinPartitions("key", "fp")
     return ordered.mapInPandas(bucket_links(max_distance), "a long, b long")
 
 
+def sliced(over: DataFrame, hot_bucket: int) -> DataFrame:
+    """Buckets that stay hot are cut into slices of ``hot_bucket`` rows, and every two slices meet in a bucket of their own."""
+    n = F.ceil(F.col("n") / hot_bucket).cast("int")
+    own = over.select("key", "fp", n.alias("n"), F.pmod(F.xxhash64(F.lit(2), "fp"), n).cast("int").alias("i"))
+    met = own.select("key", "fp", "i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+    return met.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("key"), "fp")
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) of every linked node, root the smallest of its component; by alternating stars."""
     def large(e: DataFrame) -> DataFrame:
