@@ -30,52 +30,49 @@ scored apart.  Rows are numbered by input partition: give it a stable input
 from __future__ import annotations
 
 import math
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagic.llm.common import WORD, checkpointed, text_batches
+from pelagic.llm.common import checkpointed, text_batches
 
-WORDS = re.compile(WORD)
-UPPER_RUN = re.compile("[A-Z]+")
 END = "\n"  # no word holds white space
 WINDOW = 1 << 16  # tokens of one numpy batch
-FLUSH = 200_000  # distinct tokens counted before they are sent on
 BLOCKS = 32  # pieces of the weight vector
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def tokens(text: str | None) -> list[str]:
-    if not text:
-        return [END]
-    words = WORDS.findall(text.lower() if text.isascii() else UPPER_RUN.sub(lambda m: m.group().lower(), text))
-    words.append(END)
-    return words
+def split_tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts, A-Z lower-cased, and the text each belongs to (end tokens are left to the caller)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, owner = pc.list_flatten(lists), pc.list_parent_indices(lists).to_numpy()
+    some = pc.not_equal(words, "")
+    if pc.all(some).as_py() is False:
+        words, owner = words.filter(some), owner[some.to_numpy(zero_copy_only=False)]
+    return words, owner
 
 
 def token_counts(docs: DataFrame, text: str) -> DataFrame:
-    """(token, c) over all texts; each task counts ahead of the shuffle."""
+    """(token, c) over all texts; batches and tasks count ahead of the shuffle."""
     text_batches(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        for pdf in batches:
-            for t in pdf["text"]:
-                seen.update(tokens(t))
-                if len(seen) > FLUSH:
-                    yield pd.DataFrame({"token": list(seen), "c": list(seen.values())})
-                    seen = Counter()
-        yield pd.DataFrame({"token": pd.Series(list(seen), dtype=object), "c": pd.Series(list(seen.values()), dtype="int64")})
-
-    return (docs.select(F.col(text).alias("text")).mapInPandas(run, "token string, c long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                seen = pc.value_counts(split_tokens(b.column(0))[0])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([seen.field("values"), pa.array([END])]),
+                     pa.concat_arrays([seen.field("counts"), pa.array([b.num_rows], pa.int64())])], names=["token", "c"])
+
+    return (docs.select(F.col(text).alias("text")).mapInArrow(run, "token string, c long")
             .groupBy("token").agg(F.sum("c").alias("c")))
 
 
@@ -97,7 +94,9 @@ class MaxEnt:
     def __init__(self, head: list[tuple[str, int]], n: int, v: int, shape: Shape):
         head = sorted(head, key=lambda x: (-x[1], x[0]))
         self.shape, self.n, self.v = shape, n, v
-        self.ids = {w: i for i, (w, _) in enumerate(head)}
+        self.vocab = pa.array([w for w, _ in head], pa.string())
+        self.end = next((i for i, (w, _) in enumerate(head) if w == END), None)
+        self.start = len(head) + shape.suffix_codes  # the code before a text
         c = np.array([x for _, x in head], dtype=float)
         m = self.model_words = min(shape.model_words, len(head))
         s = shape.class_size
@@ -120,26 +119,30 @@ class MaxEnt:
         k = self.class_rows * self.width
         return weights[:k].reshape(self.class_rows, self.width), weights[k:].reshape(self.word_rows, self.shape.class_size)
 
-    def code(self, texts) -> tuple[np.ndarray, np.ndarray, list[Counter]]:
-        """Token codes of all texts, three start codes before each; the text of each code; tokens outside the head."""
-        start = len(self.ids) + self.shape.suffix_codes
-        flat, owner_len, rest = [], [], []
-        get, first, n = self.ids.get, len(self.ids), self.shape.suffix_codes
-        for t in texts:
-            words = tokens(t)
-            codes = list(map(get, words))
-            out: Counter = Counter()
-            if None in codes:
-                for i, k in enumerate(codes):
-                    if k is None:
-                        w = words[i]
-                        out[w] += 1
-                        codes[i] = first + zlib.crc32(w[-3:].encode("utf-8", "surrogatepass")) % n
-            flat += (start, start, start)
-            flat += codes
-            owner_len.append(len(codes) + 3)
-            rest.append(out)
-        return np.array(flat, dtype=np.int64), np.repeat(np.arange(len(owner_len)), owner_len), rest
+    def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+        """Token codes of all texts, three start codes before each; the text of each code; (doc, token, times) outside the head."""
+        words, owner = split_tokens(texts)
+        d, h = len(texts), len(self.vocab)
+        own = pc.fill_null(pc.index_in(words, value_set=self.vocab), -1).to_numpy().astype(np.int64)
+        out = own < 0
+        rare = words.filter(pa.array(out))
+        ends = pc.utf8_slice_codeunits(rare, start=-3, stop=1 << 30).dictionary_encode()
+        codes_of = np.array([h + self.suffix(x) for x in ends.dictionary.to_pylist()], dtype=np.int64)
+        if len(codes_of):
+            own[out] = codes_of[ends.indices.to_numpy()]
+        n = np.bincount(owner, minlength=d)
+        first = np.cumsum(n + 4) - (n + 4)
+        codes = np.full(int((n + 4).sum()), self.start, dtype=np.int64)
+        codes[np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first + 3, n)] = own
+        codes[first + 3 + n] = h + self.suffix(END) if self.end is None else self.end
+        rest = pa.table({"doc": owner[out], "token": rare})
+        if self.end is None:
+            rest = pa.concat_tables([rest, pa.table({"doc": np.arange(d), "token": pa.array([END] * d, pa.string())})])
+        rest = rest.group_by(["doc", "token"]).aggregate([([], "count_all")])
+        return codes, np.repeat(np.arange(d), n + 4), rest
+
+    def suffix(self, ending: str) -> int:
+        return zlib.crc32(ending.encode("utf-8", "surrogatepass")) % self.shape.suffix_codes
 
     @staticmethod
     def hashed(salt: int, bits: int, *parts: np.ndarray) -> np.ndarray:
@@ -151,8 +154,7 @@ class MaxEnt:
 
     def windows(self, codes: np.ndarray) -> Iterator[tuple]:
         """(positions, target codes, class features, class) of windows of the target tokens."""
-        start = len(self.ids) + self.shape.suffix_codes
-        at = np.flatnonzero(codes != start)
+        at = np.flatnonzero(codes != self.start)
         for lo in range(0, len(at), WINDOW):
             p = at[lo:lo + WINDOW]
             w1, w2, w3 = codes[p - 1], codes[p - 2], codes[p - 3]
@@ -215,7 +217,7 @@ class MaxEnt:
     @staticmethod
     def _update(table: np.ndarray, square: np.ndarray, feats: np.ndarray, g: np.ndarray, rate: float) -> None:
         rows, width = table.shape
-        flat, total = g.ravel(), np.zeros(rows * width)
+        flat, total = g.astype(float).ravel(), np.zeros(rows * width)
         for f in feats:
             total += np.bincount((f[:, None] * width + np.arange(width)).ravel(), weights=flat, minlength=rows * width)
         total = total.reshape(rows, width).astype(np.float32)
@@ -257,29 +259,29 @@ def _round(docs: DataFrame, text: str, model: MaxEnt, rate: float) -> np.ndarray
     shared = docs.sparkSession.sparkContext.broadcast(model)
     edges = block_edges(len(model.weights))
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: MaxEnt = shared.value
         weights, square, n = m.weights.copy(), np.zeros_like(m.weights), 0
-        for pdf in batches:
-            codes, _, _ = m.code(pdf["text"])
-            n += m.step(weights, square, codes, rate)
+        for b in batches:
+            if b.num_rows:
+                n += m.step(weights, square, m.code(b.column(0))[0], rate)
         if n:
             change = (weights - m.weights) * np.float32(n)
-            yield pd.DataFrame({"block": range(BLOCKS), "n": n,
-                                "change": [change[a:b].tobytes() for a, b in zip(edges, edges[1:])]})
+            yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "n": pa.array([n] * BLOCKS, pa.int64()),
+                                              "change": [change[a:b].tobytes() for a, b in zip(edges, edges[1:])]})
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[int, list] = {}
         for pdf in batches:
-            for b, n, raw in zip(pdf["block"], pdf["n"], pdf["change"]):
+            for k, n, raw in zip(pdf["block"], pdf["n"], pdf["change"]):
                 x = np.frombuffer(raw, dtype=np.float32)
-                had = total.setdefault(b, [0, np.zeros(len(x))])
+                had = total.setdefault(k, [0, np.zeros(len(x))])
                 had[0] += n
                 had[1] += x
-        for b, (n, x) in total.items():
-            yield pd.DataFrame({"block": [b], "n": [n], "change": [(x / n).astype(np.float32).tobytes()]})
+        for k, (n, x) in total.items():
+            yield pd.DataFrame({"block": [k], "n": [n], "change": [(x / n).astype(np.float32).tobytes()]})
 
-    changes = docs.select(F.col(text).alias("text")).mapInPandas(learn, "block int, n long, change binary")
+    changes = docs.select(F.col(text).alias("text")).mapInArrow(learn, "block int, n long, change binary")
     summed = changes.repartition(BLOCKS, "block").mapInPandas(add, "block int, n long, change binary").collect()
     out = np.zeros(len(model.weights), dtype=np.float32)
     for r in summed:
@@ -296,35 +298,38 @@ def score_texts(docs: DataFrame, model: MaxEnt, counts: DataFrame, text: str = "
     sums = ["n_tokens", "n_known", "base", "score"]
     schema = f"row long, token string, times long, id {kept.schema['id'].dataType.simpleString()}, n_tokens long, n_known long, base double, score double"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: MaxEnt = shared.value
-        first = TaskContext.get().partitionId() << 40
-        h = len(m.ids)
-        for pdf in batches:
-            codes, owner, rest = m.code(pdf["text"])
-            d = len(rest)
+        first, h = TaskContext.get().partitionId() << 40, len(m.vocab)
+        for b in batches:
+            d = b.num_rows
+            if not d:
+                continue
+            codes, owner, rest = m.code(b.column(1))
             total = m.score(codes) / math.log(10)
             in_head = codes < h
-            head = codes[in_head]
+            head, whose = codes[in_head], owner[in_head]
             other = head >= m.model_words
-            score = np.bincount(owner, weights=total, minlength=d)
-            score += np.bincount(owner[in_head][other], weights=m.rest_log[head[other]], minlength=d)
-            row = first + np.arange(d)
+            score = np.bincount(owner, weights=total, minlength=d).astype(float)
+            score += np.bincount(whose[other], weights=m.rest_log[head[other]], minlength=d)
+            row, names = first + np.arange(d), ["row", "token", "times", "id", *sums]
             # one row with the document's sums, whose token no text holds, then one per token outside the head
-            yield pd.DataFrame({"row": row, "token": [f" {r}" for r in row], "times": 0, "id": pdf["id"],
-                                "n_tokens": np.bincount(owner, minlength=d) - 3,
-                                "n_known": np.bincount(owner[in_head], minlength=d),
-                                "base": np.bincount(owner[in_head], weights=m.base_log[head], minlength=d), "score": score})
-            out = pd.DataFrame({"row": np.repeat(row, [len(r) for r in rest]), "token": [t for r in rest for t in r],
-                                "times": [n for r in rest for n in r.values()]}, columns=["row", "token", "times"])
-            if len(out):
-                yield out.assign(id=None, **dict.fromkeys(sums))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(row), pa.array([f" {r}" for r in row]), pa.array(np.zeros(d, np.int64)), b.column(0),
+                pa.array(np.bincount(owner, minlength=d) - 3), pa.array(np.bincount(whose, minlength=d)),
+                pa.array(np.bincount(whose, weights=m.base_log[head], minlength=d).astype(float)), pa.array(score.astype(float))], names=names)
+            k = rest.num_rows
+            if k:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(row[rest["doc"].to_numpy()]), rest["token"].combine_chunks(), rest["count_all"].combine_chunks(),
+                    pa.nulls(k, b.column(0).type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()),
+                    pa.nulls(k, pa.float64())], names=names)
             first += d
 
     c = F.coalesce("c", F.lit(0))
     base_log = F.log10((c + 0.5) / F.lit(model.n + 0.5 * (model.v + 1)))
     rest_log = F.log10((c + 0.5) / F.lit(model.rest_n + 0.5 * (model.rest_v + 1)))
-    parts = kept.mapInPandas(run, schema).join(counts, "token", "left")
+    parts = kept.mapInArrow(run, schema).join(counts, "token", "left")
     summed = parts.groupBy("row").agg(
         F.max("id").alias(id_col), *[F.max(x).alias(x) for x in sums], F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("known"),
         F.sum(F.col("times") * base_log).alias("base_rest"), F.sum(F.col("times") * rest_log).alias("score_rest"))
