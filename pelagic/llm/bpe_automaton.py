@@ -15,7 +15,7 @@ state plus a list of cuts, so the table keeps for each state its origin
 (``right``), its birth (``rank``) and the cuts (``cut``), which is linear in the
 rules; ``has_arc`` reads an arc off that table and remembers it.  ``encode``
 walks a word through vocabulary trie and automaton together, left to right:
-each prefix of the word is reached by one arc only.  ``decode`` emits the arc
+each prefix of the word is reached by one path only.  ``decode`` emits the arc
 labels of a path.
 
 Splitting (fixed by the tokenizer file): NFC, lower case, white space dropped,
@@ -46,7 +46,7 @@ SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 CHUNK = re.compile(f"[^{SPACE}]+")
 ENCODED = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 PATH = "n_tokens long, token_ids array<int>"
-CACHED_CHUNKS = 250_000
+CACHED_CHUNKS = 200_000
 
 
 def byte_symbols() -> list[str]:
@@ -78,13 +78,15 @@ class MergeAutomaton:
                     spelled[vocab[t]] = (vocab[t],)
         for k, (a, b) in enumerate(merges):
             self._gadget(k, vocab[a], vocab[b], vocab[a + b], spelled)
-        self.trie: dict = {}
+        # trie over symbols; a node is (token that ends here or -1, children by symbol)
+        self.trie: dict[int, list] = {}
         for i, path in enumerate(spelled):
-            if path:
-                node = self.trie
-                for s in path[:-1]:
-                    node = node.setdefault(s, {})
-                node.setdefault(path[-1], {})[None] = i
+            kids, node = self.trie, None
+            for s in path:
+                node = kids.setdefault(s, [-1, {}])
+                kids = node[1]
+            if node is not None:
+                node[0] = i
         sym = byte_symbols()
         self.inner = [vocab.get(s, -1) for s in sym]
         self.final = [vocab.get(s + suffix, -1) for s in sym]
@@ -143,30 +145,43 @@ class MergeAutomaton:
         return got
 
     def encode_piece(self, piece: str) -> list[int]:
-        """Token path of one pre-split piece."""
+        """Token path of one pre-split piece.
+
+        Longest arcs are tried first.  A position is reached by one path only, so
+        one that leads nowhere is dead for good and no position is tried twice.
+        """
         raw = piece.encode("utf-8")
+        n = len(raw)
         syms = [self.inner[x] for x in raw]
         syms[-1] = self.final[raw[-1]]
-        n = len(syms)
-        last, back = [-1] * (n + 1), [0] * (n + 1)
-        for i in range(n):
-            a = last[i]
-            if a < 0 and i:
-                continue
-            node = self.trie
-            for j in range(i, n):
-                node = node.get(syms[j])
-                if node is None:
+        has_arc, trie = self.has_arc, self.trie
+        path: list[int] = []
+        at, open_, dead = [0], [], set()
+        while True:
+            i = at[-1]
+            if len(open_) < len(at):
+                ends, kids = [], trie
+                for j in range(i, n):
+                    node = kids.get(syms[j])
+                    if node is None:
+                        break
+                    t, kids = node
+                    if t >= 0:
+                        ends.append((t, j + 1))
+                open_.append(ends)
+            ends = open_[-1]
+            while ends:
+                t, j = ends.pop()
+                if j not in dead and (not path or has_arc(path[-1], t)):
+                    path.append(t)
+                    if j == n:
+                        return path
+                    at.append(j)
                     break
-                t = node.get(None)
-                if t is not None and last[j + 1] < 0 and (i == 0 or self.has_arc(a, t)):
-                    last[j + 1], back[j + 1] = t, i
-        out, j = [], n
-        while j:
-            out.append(last[j])
-            j = back[j]
-        out.reverse()
-        return out
+            else:
+                dead.add(at.pop())
+                open_.pop()
+                path.pop()
 
     def chunks(self, text: str) -> Iterator[str | int]:
         """Lower-cased white-space chunks of a text, and ids of special tokens, in order."""
@@ -182,6 +197,8 @@ class MergeAutomaton:
     def encode_chunk(self, chunk: str | int) -> list[int]:
         if isinstance(chunk, int):
             return [chunk]
+        if chunk.isalpha():
+            return self.encode_piece(chunk)
         return [t for p in self.pieces.findall(chunk) for t in self.encode_piece(p)]
 
     def encode(self, text: str) -> list[int]:
@@ -202,21 +219,23 @@ def encode_columns(spark: SparkSession, text: Column, path: str) -> Column:
     @F.pandas_udf(ENCODED)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m, cache = shared.value, worker_cache(name, CACHED_CHUNKS)
+        get = cache.get
+
+        def new(c: str | int) -> tuple[str, str, int]:
+            got = cache.recall(c)
+            if got is None:
+                ids = m.encode_chunk(c)
+                cache[c] = got = (" ".join(map(str, ids)), m.decode(ids), len(ids))
+            return got
+
         for texts in batches:
             rows = []
             for t in texts:
-                ids, labels, n = [], [], 0
-                for c in m.chunks(t) if t else ():
-                    got = cache.get(c)
-                    if got is None:
-                        path_ = m.encode_chunk(c)
-                        got = cache[c] = (" ".join(map(str, path_)), m.decode(path_), len(path_))
-                    if got[2]:
-                        ids.append(got[0])
-                        labels.append(got[1])
-                        n += got[2]
-                rows.append((n, hashlib.sha256(" ".join(ids).encode()).hexdigest(),
-                             hashlib.sha256(" ".join(labels).encode()).hexdigest()))
+                parts = [get(c) or new(c) for c in m.chunks(t)] if t else []
+                if not all(p[2] for p in parts):
+                    parts = [p for p in parts if p[2]]  # chunks of unassigned signs have no token
+                rows.append((sum([p[2] for p in parts]), hashlib.sha256(" ".join([p[0] for p in parts]).encode()).hexdigest(),
+                             hashlib.sha256(" ".join([p[1] for p in parts]).encode()).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run.asNondeterministic()(text)
@@ -238,7 +257,9 @@ def bpe_encode(docs: DataFrame, path: str, text: str = "text", into: str = "toke
                 for c in m.chunks(t) if t else ():
                     got = cache.get(c)
                     if got is None:
-                        got = cache[c] = m.encode_chunk(c)
+                        got = cache.recall(c)
+                        if got is None:
+                            got = cache[c] = m.encode_chunk(c)
                     ids += got
                 rows.append(ids)
             yield pd.Series(rows, dtype=object)

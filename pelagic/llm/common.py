@@ -77,16 +77,28 @@ def worker_cache(name: str, limit: int) -> "BoundedCache":
 
 
 class BoundedCache(dict):
-    """A dict emptied when it reaches ``limit`` entries: bounded memory, same answers."""
+    """A dict of two generations of ``limit`` entries: bounded memory, same answers.
+
+    When the young one is full it becomes the old one; ``recall`` brings an old
+    entry back, so what is used often is never computed twice.
+    """
 
     def __init__(self, limit: int):
         super().__init__()
-        self.limit = limit
+        self.limit, self.old = limit, {}
 
     def __setitem__(self, k, v):
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
         super().__setitem__(k, v)
 
+    def recall(self, k, default=None):
+        """The old generation's entry, made young again."""
+        got = self.old.get(k, default)
+        if got is not default:
+            self[k] = got
+        return got
+
 
 _CACHES: dict[str, BoundedCache] = {}

@@ -37,12 +37,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pelagic.llm.common import checkpointed, text_batches, worker_cache
+from pelagic.llm.common import BoundedCache, checkpointed, text_batches, worker_cache
 
 LETTERS = re.compile(r"[^\W\d_]+")
 ORDERS = (6, 5, 4, 3, 2, 1)
 UNDETERMINED = "und"
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 MISSING = object()
 
 
@@ -65,7 +65,7 @@ class Model:
                 return self.gram_cost[at].mean(axis=0)
         return None
 
-    def predict(self, text: str | None, cache: dict, evidence: int) -> tuple[str, float]:
+    def predict(self, text: str | None, cache: BoundedCache, evidence: int) -> tuple[str, float]:
         counts = Counter(LETTERS.findall(text.lower())) if text else None
         if not counts or not self.langs:
             return UNDETERMINED, 0.0
@@ -80,7 +80,9 @@ class Model:
                 continue
             cost = cache.get(w, MISSING)
             if cost is MISSING:
-                cost = cache[w] = self.unseen(w)
+                cost = cache.recall(w, MISSING)
+                if cost is MISSING:
+                    cost = cache[w] = self.unseen(w)
             if cost is not None:
                 total += cost * c
                 n += c
