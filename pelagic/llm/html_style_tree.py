@@ -76,7 +76,7 @@ TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)", re.S)
 ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
-DIGITS = re.compile(r"\d+")
+DIGITS = re.compile(r"\d{3,}")  # numbers of single pages, not of layout
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
