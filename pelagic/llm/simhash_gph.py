@@ -223,7 +223,7 @@ def near_links(fps: DataFrame, max_distance: int, *, sample_rows: int = 2048, ho
     """Links (a, b) between distinct fingerprints ``fps`` (column fp) that connect all within ``max_distance``."""
     sample = np.array([r[0] for r in fps.orderBy(F.xxhash64(F.lit(1), "fp"), "fp").limit(sample_rows).collect()],
                       dtype=np.int64).view(np.uint64)
-    masks = probe_masks(sample, fps.count(), max_distance)
+    masks = probe_masks(sample, max(1, fps.count()), max_distance)
     rows, done = filed(fps, masks), []
     for level in range(depth + 1):
         hot = checkpointed(rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_bucket))
