@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pelagic.llm import bpe_automaton, catalog, decision_list, langid, maxent_lm
+from pelagic.llm.common import BoundedCache
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -103,13 +104,13 @@ def test_language_backoff_and_edges(spark):
     df = spark.createDataFrame([*train, (99, None, "en"), (98, "und the", None)], "doc_id long, text string, lang string")
     m = langid.train(df)
     assert m.langs == ["de", "en"]
-    p = lambda t: m.predict(t, {}, 20)
+    p = lambda t: m.predict(t, BoundedCache(9), 20)
     assert p("die katze")[0] == "de" and p("the cat")[0] == "en"
     assert p("hundkatze")[0] == "de" and p("dogcat")[0] == "en"  # unseen words: by their n-grams
     assert p(None) == p("") == p("123 !!") == ("und", 0.0)
     assert p("жжж")[1] == 0.5  # nothing known: a tie, smaller name
     empty = langid.train(df.limit(0))
-    assert empty.predict("the", {}, 20) == ("und", 0.0)
+    assert empty.predict("the", BoundedCache(9), 20) == ("und", 0.0)
     out = langid.predict_language(spark.createDataFrame([(1, "the", "a"), (1, "the", "a"), (None, None, None)], "doc_id long, text string, score string"), m)
     assert out.columns == ["doc_id", "text", "score", "language"] and out.count() == 3
 
@@ -169,10 +170,14 @@ def test_rules_without_labels_keep(spark):
     assert [r["base_failed"] for r in out] == [True, True, False]
 
 
+def lm_tokens(text):
+    return [*decision_list.WORDS.findall("".join(c.lower() if c.isascii() else c for c in text or "")), maxent_lm.END]
+
+
 def naive_base(texts, train):
-    c = Counter(w for t in train for w in maxent_lm.tokens(t))
+    c = Counter(w for t in train for w in lm_tokens(t))
     n, v = sum(c.values()), len(c)
-    return [(len(toks := maxent_lm.tokens(t)), sum(c[w] > 0 for w in toks), n,
+    return [(len(toks := lm_tokens(t)), sum(c[w] > 0 for w in toks), n,
              sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in toks)) for t in texts]
 
 
@@ -197,12 +202,12 @@ def test_lm_is_a_distribution():
     n, v = sum(c for _, c in head), len(head)
     m = maxent_lm.MaxEnt(head, n, v, maxent_lm.Shape(model_words=16, class_size=4))
     m.weights = np.random.default_rng(0).normal(0, 0.5, len(m.weights)).astype(np.float32)
-    start, total = len(m.ids) + m.shape.suffix_codes, 0.0
-    for k in range(len(m.ids)):
-        codes = np.array([start, start, start, m.ids["w3"], m.ids["w20"], k])
+    ids, start, total = {w: i for i, (w, _) in enumerate(head)}, m.start, 0.0
+    for k in range(len(ids)):
+        codes = np.array([start, start, start, ids["w3"], ids["w20"], k])
         p = math.exp(m.score(codes)[-1])
         total += p * (10 ** m.rest_log[k] if k >= m.model_words else 1)
-    codes[-1] = len(m.ids)
+    codes[-1] = len(ids)
     total += math.exp(m.score(codes)[-1]) * 0.5 / (m.rest_n + 0.5 * (m.rest_v + 1))
     assert abs(total - 1) < 1e-4
 
@@ -218,3 +223,13 @@ def test_lm_without_training_texts(spark):
     model, counts = maxent_lm.train(docs.limit(0))
     rows = maxent_lm.score_texts(docs, model, counts).orderBy("doc_id").collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in rows] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
+
+
+def test_cache_is_bounded_and_keeps_what_is_used():
+    c = BoundedCache(10)
+    for i in range(1000):
+        if c.get("hot") is None and c.recall("hot") is None:
+            assert i == 0
+            c["hot"] = 1
+        c[i] = i
+        assert len(c) + len(c.old) <= 20
