@@ -4,11 +4,12 @@ Lee, Wolberg & Shin (1997): at level k a cubic B-spline control lattice of
 (m_x 2^k + 3) x (m_y 2^k + 3) nodes is fitted to the residuals of the
 previous levels; the surface is the sum of the level functions.
 
-Distributed form, per level: every point fans out to its 16 control nodes
-with weights B_a(s) B_b(t) (bounded fan-out), the lattice is one
-``groupBy(node)`` of the weighted contributions, and the residual update is
-a 16-node equi-join back to the points.  The iteration cuts lineage once per
-level with a reliable checkpoint into the shared checkpoint folder.
+Distributed form, per level: points are summed per lattice *cell* (16 pairs of
+numerator and denominator, combined map-side, so only cells are shuffled);
+the small cell table fans out to its 16 control nodes; and points look up
+their cell's 16 node values by one equi-join, the residual being an expression.
+The iteration cuts lineage once per level with a reliable checkpoint into the
+shared checkpoint folder.
 Everything can be keyed by ``by`` (e.g. one surface per station).
 """
 
@@ -32,23 +33,46 @@ def _basis(t: Column, a: int) -> Column:
     return F.pow(t, 3) / 6.0
 
 
-def _fan_out(df: DataFrame, u: str, v: str, mx: int, my: int) -> DataFrame:
-    """Lattice coordinates -> 16 rows (node_i, node_j, w) per input row; ``u``/``v`` in [0, mx] x [0, my].
-
-    Also carries ``__w2`` = sum of the 16 squared weights, which factorises
-    as (sum_a B_a(s)^2)(sum_c B_c(t)^2), so no per-point regrouping is needed.
-    """
+def _in_cell(df: DataFrame, u: str, v: str, mx: int, my: int) -> DataFrame:
+    """Lattice coordinates (``u``/``v`` in [0, mx] x [0, my]) -> first node (__ci, __cj) of the cell and place (__s, __t) in it."""
     fu = F.least(F.floor(F.col(u)), F.lit(mx - 1))
     fv = F.least(F.floor(F.col(v)), F.lit(my - 1))
-    s, t = F.col(u) - fu, F.col(v) - fv
-    terms = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(c).alias("c"),
-                               (_basis(s, a) * _basis(t, c)).alias("w")) for a in range(4) for c in range(4)])
+    return df.withColumns({"__ci": fu.cast("int") - 1, "__cj": fv.cast("int") - 1,
+                           "__s": F.col(u) - fu, "__t": F.col(v) - fv}).drop(u, v)
+
+
+def _weights() -> list[Column]:
+    """The 16 tensor-product weights of a place in its cell; number 4 a + c belongs to node (ci + a, cj + c)."""
+    s, t = F.col("__s"), F.col("__t")
+    return [_basis(s, a) * _basis(t, c) for a in range(4) for c in range(4)]
+
+
+def _lattice(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """BA step: phi_c = w z / sum(w^2); node = sum(w^2 phi_c) / sum(w^2), null where no point has weight."""
+    s, t = F.col("__s"), F.col("__t")
     w2 = sum(_basis(s, a) ** 2 for a in range(4)) * sum(_basis(t, c) ** 2 for c in range(4))
-    return (df.withColumn("__i0", fu.cast("int") - 1).withColumn("__j0", fv.cast("int") - 1)
-            .withColumn("__w2", w2)
-            .withColumn("__t", F.explode(terms))
-            .withColumn("__ni", F.col("__i0") + F.col("__t.a")).withColumn("__nj", F.col("__j0") + F.col("__t.c"))
-            .withColumn("__w", F.col("__t.w")).drop("__t", "__i0", "__j0"))
+    w = _weights()
+    cells = rows.groupBy(*by, "__ci", "__cj").agg(
+        *[F.sum(w[k] ** 3 * F.col("__r") / w2).alias(f"__num{k}") for k in range(16)],
+        *[F.sum(w[k] ** 2).alias(f"__den{k}") for k in range(16)])
+    nodes = F.inline(F.array(*[F.struct((F.col("__ci") + k // 4).alias("__ni"), (F.col("__cj") + k % 4).alias("__nj"),
+                                        F.col(f"__num{k}").alias("__num"), F.col(f"__den{k}").alias("__den")) for k in range(16)]))
+    return (cells.select(*by, nodes).groupBy(*by, "__ni", "__nj")
+            .agg(F.try_divide(F.sum("__num"), F.sum("__den")).alias("__node")))
+
+
+def _value(rows: DataFrame, lattice: DataFrame, by: Sequence[str], out: str) -> DataFrame:
+    """``rows`` (placed in cells) with the surface value of ``lattice`` at their place; the place columns go."""
+    keys = [*by, "__ci", "__cj"]
+    places = F.inline(F.array(*[F.struct(F.lit(k).alias("__k"), (F.col("__ci") + k // 4).alias("__ni"),
+                                         (F.col("__cj") + k % 4).alias("__nj")) for k in range(16)]))
+    fan = rows.select(*keys).distinct().select(*keys, places).join(lattice, [*by, "__ni", "__nj"])
+    cells = fan.groupBy(*keys).agg(*[F.max(F.when(F.col("__k") == k, F.col("__node"))).alias(f"__n{k}") for k in range(16)])
+    w = _weights()
+    value = sum((w[k] * F.coalesce(F.col(f"__n{k}"), F.lit(0.0)) for k in range(1, 16)),
+                w[0] * F.coalesce(F.col("__n0"), F.lit(0.0)))
+    return (rows.join(cells, keys, "left").withColumn(out, value)
+            .drop("__ci", "__cj", "__s", "__t", *[f"__n{k}" for k in range(16)]))
 
 
 def _scaled(df: DataFrame, bbox: DataFrame | tuple, by: Sequence[str], x: str, y: str, mx: int, my: int) -> DataFrame:
@@ -95,49 +119,32 @@ def bspline_surface(df: DataFrame, x: str, y: str, z: str, by: Sequence[str] = (
             .withColumn("__y", F.col("__ymin") + (F.col("__ymax") - F.col("__ymin")) * F.col("gy") / max(ny - 1, 1))
             .select(*by, "gx", "gy", "__x", "__y"))
     checkpoint_dir(df.sparkSession)
-    keys = [*by, "__ni", "__nj"]
     # Levels run over the data rows only (residual update); each level's
     # lattice is kept (small: one row per control node) and the grid is
     # evaluated once at the end against all levels in a single join.
-    rows = _cut(pts.withColumn("__pid", F.monotonically_increasing_id()))
-    cached = [rows]
+    rows = pts
     lattices = []
     for k in range(levels):
         kx, ky = mx * 2 ** k, my * 2 ** k
-        fan = _fan_out(_scaled(rows, box, by, "__x", "__y", kx, ky), "__u", "__v", kx, ky)
-        # BA step: phi_c = w z / sum(w^2); node = sum(w^2 phi_c) / sum(w^2)
-        phi = F.col("__w") * F.col("__r") / F.col("__w2")
-        lattice = (fan.groupBy(*keys)
-                   .agg(F.try_divide(F.sum(F.col("__w") ** 2 * phi), F.sum(F.col("__w") ** 2))
-                        .alias("__node")))  # a node touched only with zero weight stays 0
-        lattice = _cut(lattice)  # reused by the residual update and the final refinement
-        cached.append(lattice)
-        lattices.append(lattice.withColumn("__lvl", F.lit(k)))
-        if k + 1 == levels:
-            break
-        ev = (fan.select("__pid", *keys, "__w").join(lattice, keys, "left")
-              .groupBy("__pid").agg(F.sum(F.col("__w") * F.coalesce(F.col("__node"), F.lit(0.0))).alias("__f")))
-        rows = (rows.join(ev, "__pid", "left")
-                .withColumn("__r", F.col("__r") - F.coalesce(F.col("__f"), F.lit(0.0))).drop("__f"))
-        if checkpoint_every and (k + 1) % checkpoint_every == 0:
-            rows = _cut(rows)
-            cached.append(rows)
+        placed = _in_cell(_scaled(rows, box, by, "__x", "__y", kx, ky), "__u", "__v", kx, ky)
+        lattice = _cut(_lattice(placed, by))  # reused by the residual update and the final refinement
+        lattices.append(lattice)
+        if k + 1 < levels:
+            rows = _value(placed, lattice, by, "__f").withColumn("__r", F.col("__r") - F.col("__f")).drop("__f")
+            if checkpoint_every and (k + 1) % checkpoint_every == 0:
+                rows = _cut(rows)
     # B-spline refinement folds all levels into the finest lattice exactly
     # (each coarse node feeds 5 x 5 fine nodes), so the grid is evaluated once.
-    total = lattices[0].drop("__lvl")
+    total = lattices[0]
     for k in range(1, levels):
         kx, ky = mx * 2 ** k, my * 2 ** k
         fine = _refine(total, by, kx, ky)
-        total = (fine.unionByName(lattices[k].drop("__lvl"))
-                 .groupBy(*keys).agg(F.sum("__node").alias("__node")))
+        total = fine.unionByName(lattices[k]).groupBy(*by, "__ni", "__nj").agg(F.sum("__node").alias("__node"))
         if k % 3 == 0:
             total = _cut(total)
     kx, ky = mx * 2 ** (levels - 1), my * 2 ** (levels - 1)
-    g = _fan_out(_scaled(grid, box, by, "__x", "__y", kx, ky), "__u", "__v", kx, ky)
-    surf = (g.select(*by, "gx", "gy", "__ni", "__nj", "__w").join(total, keys, "left")
-            .groupBy(*by, "gx", "gy").agg(F.sum(F.col("__w") * F.coalesce(F.col("__node"), F.lit(0.0))).alias(z)))
-    return grid.join(surf, [*by, "gx", "gy"], "left").select(
-        *by, "gx", "gy", F.col("__x").alias(x), F.col("__y").alias(y), z)
+    g = _in_cell(_scaled(grid, box, by, "__x", "__y", kx, ky), "__u", "__v", kx, ky)
+    return _value(g, total, by, z).select(*by, "gx", "gy", F.col("__x").alias(x), F.col("__y").alias(y), z)
 
 
 def _refine(lat: DataFrame, by: Sequence[str], kx: int, ky: int) -> DataFrame:
@@ -157,5 +164,5 @@ def _refine(lat: DataFrame, by: Sequence[str], kx: int, ky: int) -> DataFrame:
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (shared folder); cached first so the rows are computed once."""
-    return df.cache().checkpoint(eager=True)
+    """Reliable checkpoint in the shared folder: computed once, survives lost executors, nothing stays cached."""
+    return df.checkpoint(eager=True)
