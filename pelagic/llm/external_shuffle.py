@@ -52,7 +52,7 @@ def record_bytes(text: Column) -> Column:
 
 
 def external_shuffle(docs: DataFrame, shards: int, *, id_col: str = "doc_id", text: str = "text", seed: int = 17,
-                     bucket_bytes: int = 32 << 20) -> DataFrame:
+                     bucket_bytes: int = 16 << 20) -> DataFrame:
     """All columns of ``docs`` plus ``__shard``, ``__bucket`` and ``__slot`` (gapless from 0 in each shard)."""
     key = F.col(id_col).cast("string")
     total = docs.agg(F.sum(record_bytes(F.col(text)))).first()[0] or 0
