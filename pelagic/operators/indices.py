@@ -107,22 +107,22 @@ def diversity(df: DataFrame, key: str | Sequence[str], taxon: str, value: str, d
     return agg.select(*keys, *diversity_columns(prefix))
 
 
-def diversity_sums(x: str, include: Column | None = None) -> list[Column]:
+def diversity_sums(x: str, include: Column | None = None, suffix: str = "") -> list[Column]:
     """Second-level aggregates of A-11/A-13 over per-taxon sums ``x``: total ``__t`` and
     ``__s`` = sum of x ln x (only rows where ``include`` holds, when given)."""
     xc = F.col(x)
     xlnx = F.when(xc > 0, xc * F.ln(xc)).otherwise(F.lit(0.0))
     if include is not None:
         xc, xlnx = F.when(include, xc), F.when(include, xlnx)
-    return [F.sum(xc).alias("__t"), F.sum(xlnx).alias("__s")]
+    return [F.sum(xc).alias(f"__t{suffix}"), F.sum(xlnx).alias(f"__s{suffix}")]
 
 
-def diversity_columns(prefix: str = "", present: Column | None = None) -> list[Column]:
-    """n, H = ln T - S / T (+0.0; T = 0 gives 0) and evenness H / ln n from ``__n``, ``__t``, ``__s``;
-    all null where ``present`` is false."""
-    h = F.when(F.col("__t") > 0, F.ln(F.col("__t")) - F.col("__s") / F.col("__t")).otherwise(F.lit(0.0)) + F.lit(0.0)
-    cols = {"n_species": F.col("__n").cast("long"), "shannon": h,
-            "evenness": safe_div(h, F.ln(F.col("__n").cast("double")))}
+def diversity_columns(prefix: str = "", present: Column | None = None, suffix: str = "") -> list[Column]:
+    """n, H = ln T - S / T (+0.0; T = 0 gives 0) and evenness H / ln n from ``__n``, ``__t``, ``__s`` (with
+    ``suffix``); all null where ``present`` is false."""
+    n, t, s = (F.col(f"__{c}{suffix}") for c in "nts")
+    h = F.when(t > 0, F.ln(t) - s / t).otherwise(F.lit(0.0)) + F.lit(0.0)
+    cols = {"n_species": n.cast("long"), "shannon": h, "evenness": safe_div(h, F.ln(n.cast("double")))}
     return [(F.when(present, c) if present is not None else c).alias(f"{prefix}{k}") for k, c in cols.items()]
 
 

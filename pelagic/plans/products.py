@@ -46,9 +46,12 @@ def water_quality(trips: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[
 
 
 def station_indices(trips: DataFrame, zoo: DataFrame, phyto: DataFrame, traits: DataFrame,
-                    key: str = "sample") -> DataFrame:
+                    key: str = "sample", water: Sequence[DataFrame] = ()) -> DataFrame:
     """R-6: per-trip zooplankton and phytoplankton indices, left-joined to every trip.
 
+    ``water``: further per-trip frames (nutrient means, surface pigment, mixed
+    layer depths), each with ``key`` and one row per trip; their columns follow.
+
     ``trips``: (key, biomass); ``zoo``: (key, taxon, genus, species, copepod, abund);
     ``phyto``: (key, genus, species, group, cells, biovolume); ``traits``: (taxon, size, diet).
     """
@@ -98,26 +101,34 @@ def station_indices(trips: DataFrame, zoo: DataFrame, phyto: DataFrame, traits:
         F.sum(F.when(is_diatom, F.col("cells"))).alias("__d"), F.sum(F.when(is_dino, F.col("cells"))).alias("__dn"),
         F.count_if(bv_ok & F.col("cells").isNull()).alias("__cn"),
         F.sum(F.when(bv_ok, F.col("biovolume"))).alias("__bv"), F.sum(F.when(bv_ok, F.col("cells"))).alias("__bc"),
-        sum0("cells").alias("__x"), F.count(F.lit(1)).alias("__rows"))
+        sum0("cells").alias("__x"), F.count(F.lit(1)).alias("__rows"),
+        sum0(F.when(is_diatom, F.col("cells"))).alias("__xd"), F.count_if(is_diatom).alias("__rd"),
+        sum0(F.when(is_dino, F.col("cells"))).alias("__xn"), F.count_if(is_dino).alias("__rn"))
+    qd, qn = q & (F.col("__rd") > 0), q & (F.col("__rn") > 0)
     p_all = p1.groupBy(key).agg(
         F.when(F.sum("__c_null") > 0, F.lit(None)).otherwise(F.sum("__c")).alias("PhytoBiomassCarbon"),
         sum0("__cells").alias("AbundancePhyto"),
         F.max("__hd").alias("__hd"), F.max("__hn").alias("__hn"), sum0("__d").alias("__d"), sum0("__dn").alias("__dn"),
         F.sum("__cn").alias("__cn"), F.sum("__bv").alias("__bv"), F.sum("__bc").alias("__bc"),
-        F.count_if(q).alias("__k"), F.sum(F.when(q, F.col("__rows"))).alias("__n"), *ix.diversity_sums("__x", q))
+        F.count_if(q).alias("__k"), F.sum(F.when(q, F.col("__rows"))).alias("__n"), *ix.diversity_sums("__x", q),
+        F.sum(F.when(qd, F.col("__rd"))).alias("__n_d"), *ix.diversity_sums("__xd", qd, "_d"),
+        F.sum(F.when(qn, F.col("__rn"))).alias("__n_n"), *ix.diversity_sums("__xn", qn, "_n"))
     d = F.when(F.col("__hd").isNotNull(), F.col("__d"))
     n = F.when(F.col("__hn").isNotNull(), F.col("__dn"))
     p_all = p_all.select(key, "PhytoBiomassCarbon", "AbundancePhyto",
                          safe_div(d, d + n).alias("DiatomDinoflagellateRatio"),
                          F.when(F.col("__cn") == 0, safe_div(F.col("__bv"), F.col("__bc"))).alias("AvgCellVol"),
-                         *ix.diversity_columns("phyto_", F.col("__k") > 0))
+                         *ix.diversity_columns("phyto_", F.col("__k") > 0),
+                         *ix.diversity_columns("diatom_", F.col("__n_d") > 0, "_d"),
+                         *ix.diversity_columns("dino_", F.col("__n_n") > 0, "_n"))
 
     out = trips.select(key, "biomass")
-    for part in (z_all, z_size, p_all):
+    for part in (z_all, z_size, p_all, *water):
         out = out.join(part, key, "left")
     # trips with no zooplankton row at all still total 0 (sum over a left join)
     out = out.withColumn("ZoopAbundance", F.coalesce(F.col("ZoopAbundance"), F.lit(0.0)))
     return out.select(key, "biomass", "ZoopAbundance", "CopeAbundance", "AvgTotalLengthCopepod",
                       "HerbivoreCarnivoreCopepodRatio", "cope_n_species", "cope_shannon", "cope_evenness",
                       "PhytoBiomassCarbon", "AbundancePhyto", "DiatomDinoflagellateRatio", "AvgCellVol",
-                      "phyto_n_species", "phyto_shannon", "phyto_evenness")
+                      *[f"{p}_{c}" for p in ("phyto", "diatom", "dino") for c in ("n_species", "shannon", "evenness")],
+                      *[c for w in water for c in w.columns if c != key])

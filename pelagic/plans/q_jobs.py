@@ -30,7 +30,7 @@ def _recorder_sql() -> str:
 @register("recorder_indices", sql=_recorder_sql())
 def recorder_indices(spark, sf_dir):
     trips, zoo, phyto, traits = qp._inputs(spark, sf_dir)
-    ind = rounded(pr.station_indices(trips, zoo, phyto, traits), keep=("AvgCellVol",))
+    ind = rounded(pr.station_indices(trips, zoo, phyto, traits, water=qp._water(spark, sf_dir)), keep=("AvgCellVol",))
     s = b.samples(spark, sf_dir).select("sample", "lat", "lon")
     attrs = b.table(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("long").alias("polygon_id"), F.col("r_name").alias("region"))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pelagic.operators import qc
+from pelagic.operators.profile import surface_mean
 from pelagic.plans import bindings as b
 from pelagic.plans import products as pr
+from pelagic.plans import q_qc as qq
 from pelagic.plans.catalog import register, rounded
 
 # Fixed values of the binding: part type -> plankton taxon group.
@@ -33,7 +36,23 @@ def _inputs(spark, sf_dir):
     return b.samples(spark, sf_dir), zoo, phyto, traits
 
 
-_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + f""",
+def _water(spark, sf_dir):
+    """Per-trip nutrient means over the depth means, and the mean pigment of the upper 10 m."""
+    nutrients = qc.mean_of_means(qq._masked(spark, sf_dir), "trip", "depth", ["silicate", "nitrate"])
+    pig = qq.pigments(spark, sf_dir).withColumn("depth", F.col("depth").cast("double"))
+    pigment = surface_mean(pig, "trip", "depth", ["chla"], 10.0, inclusive=True)
+    return [w.withColumnRenamed("trip", "sample") for w in (nutrients, pigment)]
+
+
+def _diversity_sql(name: str, where: str) -> str:
+    """CTEs ``<name>n`` (records), ``<name>x`` (taxon sums) and ``<name>h`` (Shannon) of the filtered records ``pf``."""
+    return f"""{name}n AS (SELECT sample, count(*) AS n FROM pf WHERE {where} GROUP BY sample),
+{name}x AS (SELECT sample, tn, sum(v) AS x FROM pf WHERE {where} GROUP BY sample, tn),
+{name}h AS (SELECT sample, -sum(CASE WHEN x > 0 THEN x / t * ln(x / t) ELSE 0 END) + 0.0 AS h
+       FROM {name}x JOIN (SELECT sample, sum(x) AS t FROM {name}x GROUP BY sample) USING (sample) GROUP BY sample)"""
+
+
+_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS, qq.SQL_CHEM, qq._MASKED, qq.SQL_PIG) + f""",
 zoo AS (SELECT sample, taxon, genus, species, CASE WHEN grp = 'STANDARD' THEN 'COPEPOD' ELSE 'NON-COPEPOD' END AS copepod,
                value AS abund FROM obs WHERE flag % 2 = 1),
 phyto AS (SELECT sample, genus, species, {_GROUP_SQL} AS grp2, value AS cells,
@@ -67,12 +86,15 @@ pc AS (SELECT sample,
                                     WHEN grp2 = 'Cyanobacteria' THEN 0.2
                                     ELSE 0.288 * pow(biovolume / cells, 0.811) END AS c FROM p) GROUP BY sample),
 cv AS (SELECT sample, sum(biovolume) / sum(cells) AS AvgCellVol FROM p WHERE biovolume IS NOT NULL GROUP BY sample),
-pf AS (SELECT sample, genus || ' ' || split_part(species, ' ', 1) AS tn, cells AS v FROM p
+pf AS (SELECT sample, grp2, genus || ' ' || split_part(species, ' ', 1) AS tn, cells AS v FROM p
        WHERE species IS NOT NULL AND species <> 'spp.' AND NOT regexp_matches(species, 'cf.') AND NOT regexp_matches(species, 'grp')),
-pn AS (SELECT sample, count(*) AS n FROM pf GROUP BY sample),
-px AS (SELECT sample, tn, sum(v) AS x FROM pf GROUP BY sample, tn),
-ph AS (SELECT sample, -sum(CASE WHEN x > 0 THEN x / t * ln(x / t) ELSE 0 END) + 0.0 AS h
-       FROM px JOIN (SELECT sample, sum(x) AS t FROM px GROUP BY sample) USING (sample) GROUP BY sample)
+{_diversity_sql("p", "true")},
+{_diversity_sql("d", "grp2 IN ('Centric diatom', 'Pennate diatom')")},
+{_diversity_sql("f", "grp2 = 'Dinoflagellate'")},
+nutrients AS (SELECT trip AS sample, avg(silicate) AS silicate, avg(nitrate) AS nitrate FROM (
+                SELECT trip, depth, avg(silicate) AS silicate, avg(nitrate) AS nitrate FROM masked GROUP BY trip, depth)
+              GROUP BY trip),
+pigment AS (SELECT trip AS sample, avg(chla) AS chla FROM pig WHERE CAST(depth AS DOUBLE) <= 10 GROUP BY trip)
 SELECT s.sample, round(s.biomass, 6) + 0.0 AS biomass, round(tz.ZoopAbundance, 6) + 0.0 AS ZoopAbundance,
        round(tc.CopeAbundance, 6) + 0.0 AS CopeAbundance,
        round(sz.AvgTotalLengthCopepod, 6) + 0.0 AS AvgTotalLengthCopepod,
@@ -83,14 +105,22 @@ SELECT s.sample, round(s.biomass, 6) + 0.0 AS biomass, round(tz.ZoopAbundance, 6
        round(pc.dia / (pc.dia + pc.dino), 6) + 0.0 AS DiatomDinoflagellateRatio,
        cv.AvgCellVol + 0.0 AS AvgCellVol,
        pn.n AS phyto_n_species, round(ph.h, 6) + 0.0 AS phyto_shannon,
-       round(CASE WHEN pn.n > 1 THEN ph.h / ln(pn.n) END, 6) + 0.0 AS phyto_evenness
+       round(CASE WHEN pn.n > 1 THEN ph.h / ln(pn.n) END, 6) + 0.0 AS phyto_evenness,
+       dn.n AS diatom_n_species, round(dh.h, 6) + 0.0 AS diatom_shannon,
+       round(CASE WHEN dn.n > 1 THEN dh.h / ln(dn.n) END, 6) + 0.0 AS diatom_evenness,
+       fn.n AS dino_n_species, round(fh.h, 6) + 0.0 AS dino_shannon,
+       round(CASE WHEN fn.n > 1 THEN fh.h / ln(fn.n) END, 6) + 0.0 AS dino_evenness,
+       round(nutrients.silicate, 6) + 0.0 AS silicate, round(nutrients.nitrate, 6) + 0.0 AS nitrate,
+       round(pigment.chla, 6) + 0.0 AS chla
 FROM samples s LEFT JOIN tz USING (sample) LEFT JOIN tc USING (sample) LEFT JOIN sz USING (sample)
      LEFT JOIN hc USING (sample) LEFT JOIN zn USING (sample) LEFT JOIN zh USING (sample)
      LEFT JOIN pc USING (sample) LEFT JOIN cv USING (sample) LEFT JOIN pn USING (sample) LEFT JOIN ph USING (sample)
+     LEFT JOIN dn USING (sample) LEFT JOIN dh USING (sample) LEFT JOIN fn USING (sample) LEFT JOIN fh USING (sample)
+     LEFT JOIN nutrients USING (sample) LEFT JOIN pigment USING (sample)
 """
 
 
 @register("station_indices", bench=True, sql=_SQL)
 def station_indices(spark, sf_dir):
     trips, zoo, phyto, traits = _inputs(spark, sf_dir)
-    return rounded(pr.station_indices(trips, zoo, phyto, traits), keep=("AvgCellVol",))
+    return rounded(pr.station_indices(trips, zoo, phyto, traits, water=_water(spark, sf_dir)), keep=("AvgCellVol",))

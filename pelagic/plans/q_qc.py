@@ -72,6 +72,14 @@ def mean_of_means(spark, sf_dir):
 SQL_PIG = """pig AS (
   SELECT l_orderkey AS trip, CAST((l_linenumber % 2) * 20 AS VARCHAR) AS depth, l_tax * 100.0 AS chla
   FROM lineitem WHERE l_returnflag = 'R')"""
+
+
+def pigments(spark, sf_dir):
+    return b.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select(
+        F.col("l_orderkey").alias("trip"), ((F.col("l_linenumber") % 2) * 20).cast("string").alias("depth"),
+        (F.col("l_tax") * 100.0).alias("chla"))
+
+
 SQL_WC = """wc AS (SELECT o_orderkey AS trip, 'WC' AS depth, o_totalprice / 10000.0 AS secchi FROM orders)"""
 SQL_PICO = """pico AS (
   SELECT l_orderkey AS trip, CAST((l_linenumber % 3) * 25 AS VARCHAR) AS depth, l_quantity AS prochlorococcus
@@ -117,7 +125,7 @@ def water_quality(spark, sf_dir):
     trips = b.samples(spark, sf_dir).withColumnRenamed("sample", "trip")
     return rounded(pr.water_quality(trips, [
         (_masked(spark, sf_dir), ["silicate", "nitrate"]),
-        (of("R", 20, 2, "chla", F.col("l_tax") * 100.0), ["chla"]),
+        (pigments(spark, sf_dir), ["chla"]),
         (wc, ["secchi"]),
         (of("A", 25, 3, "prochlorococcus", F.col("l_quantity")), ["prochlorococcus"]),
         (of("N", 20, 2, "solids", F.col("l_discount") * 100.0), ["solids"]),
