@@ -226,20 +226,27 @@ def period_key(date: str | Column, res: str) -> Column:
 
 def match_products(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, date: str,
                    lat_axis: Axis, lon_axis: Axis, products: Sequence[str], res: str, n: int,
-                   product_col: str = "product", period_col: str = "period", value: str = "value") -> DataFrame:
-    """G-01 / G-02 / G-03: box-mean match-up of every point for each product, one column per product.
-
-    A missing layer gives null (unmatched join) instead of an error.  The
-    product list is the bounded pivot list.
+                   product_col: str = "product", period_col: str = "period", value: str = "value",
+                   named: bool = False) -> DataFrame:
+    """G-01 / G-02: box-mean match-up of every point for each product, one column per product.
+
+    Points fan out to their n x n cells once; one join on (period, cell) meets
+    every product's layer, and one conditional aggregation per point makes the
+    columns.  A missing layer gives null (unmatched join) instead of an error.
+    ``named`` calls the columns ``<product>_<resolution>`` (F-21).
     """
-    prods = F.array(*[F.lit(p) for p in products])
-    p = (points.select(pid, lat, lon, date).withColumn(product_col, F.explode(prods))
-         .withColumn(period_col, period_key(date, res)).withColumn("__pp", F.concat_ws("|", pid, product_col)))
-    g = grid.select(product_col, period_col, "lat_idx", "lon_idx", value)
-    box = grid_box(p, g, "__pp", lat, lon, lat_axis, lon_axis, n, keys=[product_col, period_col], value=value)
-    back = p.select("__pp", pid, product_col).join(box, "__pp", "left")
-    wide = back.groupBy(pid).pivot(product_col, list(products)).agg(F.first(value))
-    return points.select(pid).join(wide, pid, "left")
+    half = n // 2
+    offs = F.sequence(F.lit(0), F.lit(n - 1))
+    cells = (points.select(pid, period_key(date, res).alias("__period"), (lat_axis.nearest(lat) - half).alias("__i0"),
+                           (lon_axis.nearest(lon) - half).alias("__j0"))
+             .withColumn("__di", F.explode(offs)).withColumn("__dj", F.explode(offs))
+             .select(pid, "__period", (F.col("__i0") + F.col("__di")).alias("__lat"), (F.col("__j0") + F.col("__dj")).alias("__lon")))
+    g = grid.where(F.col(product_col).isin(list(products))).select(
+        F.col(product_col).alias("__product"), F.col(period_col).alias("__period"), F.col("lat_idx").alias("__lat"),
+        F.col("lon_idx").alias("__lon"), F.col(value).alias("__v"))
+    met = cells.join(g, ["__period", "__lat", "__lon"], "left")
+    return met.groupBy(pid).agg(*[F.avg(F.when(F.col("__product") == p, F.col("__v"))).alias(f"{p}_{res}" if named else p)
+                                  for p in products])
 
 
 def nearest_slice(points: DataFrame, axis: DataFrame, by: str, key: str, axis_key: str, out: str = "slice") -> DataFrame:

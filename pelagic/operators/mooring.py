@@ -82,20 +82,22 @@ def catalogue_pick(catalogue: DataFrame, site_col: str, url_col: str, pattern: s
 def local_linear(df: DataFrame, by: Sequence[str], x: str, y: str, half_width: int, out: str = "smooth") -> DataFrame:
     """G-19: tricube-weighted local-linear smoother on an integer axis (e.g. day of year).
 
-    Each input point is copied to the 2h+1 evaluation positions it can
-    influence (bounded fan-out, no pairing of rows), then per (by, position)
+    Points are first summed per (by, x); each such sum is copied to the 2h+1
+    evaluation positions it can influence (bounded fan-out), then per (by, position)
     the weighted moments give the local-linear fit at that position.
     Evaluated at every position that has data within ``half_width``.
     """
     h = int(half_width)
     e = (df.select(*by, F.col(x).cast("long").alias("__x"), F.col(y).cast("double").alias("__y"))
+         .groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__n"), F.sum("__y").alias("__y"))
          .withColumn("__off", F.explode(F.sequence(F.lit(-h), F.lit(h))))
          .withColumn("__at", F.col("__x") + F.col("__off")))
     u = F.abs(F.col("__off")).cast("double") / F.lit(float(h + 1))
     w = F.pow(F.lit(1.0) - F.pow(u, 3), 3)
     dx = (F.col("__x") - F.col("__at")).cast("double")
+    wn = F.col("__w") * F.col("__n")
     m = e.withColumn("__w", w).groupBy(*by, "__at").agg(
-        F.sum("__w").alias("s0"), F.sum(F.col("__w") * dx).alias("s1"), F.sum(F.col("__w") * dx * dx).alias("s2"),
+        F.sum(wn).alias("s0"), F.sum(wn * dx).alias("s1"), F.sum(wn * dx * dx).alias("s2"),
         F.sum(F.col("__w") * F.col("__y")).alias("t0"), F.sum(F.col("__w") * dx * F.col("__y")).alias("t1"))
     det = F.col("s0") * F.col("s2") - F.col("s1") * F.col("s1")
     fit: Column = F.when(F.abs(det) > F.lit(1e-12), (F.col("s2") * F.col("t0") - F.col("s1") * F.col("t1")) / det) \

@@ -78,6 +78,14 @@ def overlay(points: DataFrame, pid: str, lon: str, lat: str, vertices: DataFrame
     return out.select(*points.columns, *[F.col(f"__a.{c}").alias(c) for c in attr_cols])
 
 
+def layer_boxes(vertices: DataFrame, attrs: DataFrame, label: str, polygon: str = "polygon_id",
+                x: str = "x", y: str = "y") -> list[tuple[str, float, float, float, float]]:
+    """J-15: the bounding boxes of a polygon layer, (label, lat_lo, lat_hi, lon_lo, lon_hi) in polygon order (one row per polygon)."""
+    box = vertices.groupBy(polygon).agg(F.min(y).alias("a"), F.max(y).alias("b"), F.min(x).alias("c"), F.max(x).alias("d"))
+    rows = box.join(attrs.select(polygon, F.col(label).alias("__label")), polygon).orderBy(polygon).collect()
+    return [(r["__label"], r["a"], r["b"], r["c"], r["d"]) for r in rows]
+
+
 def bbox_fallback(df: DataFrame, region: str, lat: str, lon: str,
                   boxes: Sequence[tuple[str, float, float, float, float]]) -> DataFrame:
     """J-15: where ``region`` is null, the label of the first box (label, lat_lo, lat_hi, lon_lo, lon_hi)

@@ -154,6 +154,30 @@ SQL_GRID = """grid AS (
   FROM lineitem GROUP BY ALL)"""
 
 
+# The same layers at another resolution: the period is the key of that resolution.
+def grid_at(spark: SparkSession, sf_dir: str, res: str) -> DataFrame:
+    from pelagic.operators.grid import period_key
+
+    li = table(spark, sf_dir, "lineitem")
+    return (li.groupBy(F.col("l_returnflag").alias("product"), period_key("l_shipdate", res).alias("period"),
+                       (F.col("l_orderkey") % 60).cast("int").alias("lat_idx"),
+                       (F.col("l_partkey") % 80).cast("int").alias("lon_idx"))
+            .agg(F.avg("l_quantity").alias("value")))
+
+
+# DuckDB date formats of the period keys.
+PERIOD_SQL = {"1d": "strftime({0}, '%Y-%m-%d')", "1m": "strftime({0}, '%Y-%m')", "1y": "strftime({0}, '%Y')",
+              "1mNy": "strftime({0}, '%m')", "12mNy": "'all'"}
+
+
+def sql_grid_at(res: str) -> str:
+    return f"""grid_at AS (
+  SELECT l_returnflag AS product, {PERIOD_SQL[res].format("l_shipdate")} AS period,
+         CAST(l_orderkey % 60 AS INTEGER) AS lat_idx, CAST(l_partkey % 80 AS INTEGER) AS lon_idx,
+         avg(l_quantity) AS value
+  FROM lineitem GROUP BY ALL)"""
+
+
 # Harmonic climatology coefficients per cell (same axes), from lineitem.
 def clim(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")

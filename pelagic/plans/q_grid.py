@@ -252,6 +252,33 @@ def satellite_matchup(spark, sf_dir):
     return rounded(r)
 
 
+# ----------------------------------------------------------------- G-01 / G-02 / F-14 / F-21, the other resolutions
+def _matchup_sql(res: str) -> str:
+    cols = ", ".join(f"round(max(v) FILTER (WHERE product = '{p}'), 6) + 0.0 AS \"{p}_{res}\"" for p in ("A", "N", "R"))
+    return b.with_ctes(b.SQL_SAMPLES, b.sql_grid_at(res), _PTS) + f""",
+p AS (SELECT sample, {b.PERIOD_SQL[res].format("sample_date")} AS period,
+             least(greatest(CAST(floor(fi + 0.5) AS INTEGER), 0), 59) - 1 AS i0,
+             least(greatest(CAST(floor(fj + 0.5) AS INTEGER), 0), 79) - 1 AS j0 FROM pts),
+c AS (SELECT sample, period, i0 + di AS li, j0 + dj AS lj FROM p, range(0, 3) a(di), range(0, 3) b(dj)),
+m AS (SELECT c.sample, g.product, avg(g.value) AS v
+      FROM c JOIN grid_at g ON g.period = c.period AND g.lat_idx = c.li AND g.lon_idx = c.lj GROUP BY 1, 2)
+SELECT s.sample, {cols}
+FROM samples s LEFT JOIN m USING (sample) GROUP BY s.sample
+"""
+
+
+def _matchup(name: str, res: str) -> None:
+    @register(name, sql=_matchup_sql(res))
+    def run(spark, sf_dir):
+        return rounded(gr.match_products(b.samples(spark, sf_dir), b.grid_at(spark, sf_dir, res), "sample", "lat", "lon",
+                                         "sample_date", LAT, LON, ["A", "N", "R"], res, 3, named=True))
+
+
+for _name, _res in (("satellite_matchup_daily", "1d"), ("satellite_matchup_monthly", "1m"),
+                    ("satellite_matchup_month_of_year", "1mNy"), ("satellite_matchup_all_years", "12mNy")):
+    _matchup(_name, _res)
+
+
 # ----------------------------------------------------------------- G-03 (+ J-08) altimetry match-up
 @register("altimetry_matchup", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_ALT) + """,
 p AS (SELECT sample, CAST(year(sample_date) AS VARCHAR) AS period, CAST(dayofyear(sample_date) AS INTEGER) AS doy,

@@ -89,3 +89,20 @@ def region_bbox_fallback(spark, sf_dir):
         F.col("r_regionkey").cast("long").alias("polygon_id"), F.col("r_name").alias("region"))
     r = rg.overlay(s, "sample", "lon", "lat", vertices(spark, sf_dir), attrs, attr_cols=["region"])
     return rg.bbox_fallback(r, "region", "lat", "lon", FALLBACK_BOXES).select("sample", "region")
+
+
+# ----------------------------------------------------------------- J-15, boxes of the layer itself
+@register("region_bbox_layer", sql=_SQL_OVERLAY + """,
+box AS (SELECT polygon_id, min(y) AS a, max(y) AS b, min(x) AS c, max(x) AS d FROM v GROUP BY polygon_id),
+inb AS (SELECT r.sample, min(polygon_id) AS pid FROM r JOIN box ON r.lat BETWEEN a AND b AND r.lon BETWEEN c AND d
+        WHERE r.region IS NULL GROUP BY r.sample)
+SELECT r.sample, coalesce(r.region, g.r_name) AS region
+FROM r LEFT JOIN inb USING (sample) LEFT JOIN region g ON g.r_regionkey = inb.pid
+""")
+def region_bbox_layer(spark, sf_dir):
+    s = b.samples(spark, sf_dir).select("sample", "lat", "lon")
+    attrs = b.table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").cast("long").alias("polygon_id"), F.col("r_name").alias("region"))
+    v = vertices(spark, sf_dir)
+    r = rg.overlay(s, "sample", "lon", "lat", v, attrs, attr_cols=["region"])
+    return rg.bbox_fallback(r, "region", "lat", "lon", rg.layer_boxes(v, attrs, "region")).select("sample", "region")
