@@ -5,20 +5,19 @@ been recorded in samples taken before that date: such cells are "not looked
 for" (sentinel -999), cells after the start with no record are true absences
 (0), and a sample taken exactly on the start date with no record stays null.
 
-Output is the *sparse long form* of the source's wide matrix: one row per
-(sample, label) whose wide value is not the pivot fill 0 (observed values,
--999 sentinels and nulls).  ``to_wide(..., fill=0)`` turns it into the exact
-source matrix.  No sample x taxon product is materialised: sentinel cells are
-produced by an equi-join on a year bucket between samples and the (bounded)
-affected-label list, observed cells by ordinary aggregation.
+Long output holds the (sample, label) cells that have a record.  A cell without
+one needs no row: it is a function of the sample's date and the label's first
+start (``label_starts``), so the wide sink (``absence_wide``) writes it by an
+expression per column.  No sample x label product is made anywhere.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagic.functions.nulls import first_word, sum0
+from pelagic.operators.reshape import pivot_values
 
 SENTINEL = -999.0
 
@@ -39,12 +38,38 @@ def changelog_taxa(log: DataFrame, taxon: str = "taxon", parent: str = "parent",
     return log.where(F.coalesce(cond, F.lit(False)))
 
 
+def _sums(obs: DataFrame, log: DataFrame, key: str, taxon: str, label: str, value: str, start: str, parent: str,
+          level: str, log_taxon: str) -> DataFrame:
+    """Sums per (key, label, start); the start is null for taxa the log does not change."""
+    aff = changelog_taxa(log, log_taxon, parent, level).select(
+        F.col(log_taxon).alias("__taxon"), F.col(start).cast("timestamp_ntz").alias("__start"))
+    # The change log is a small curated dimension; AQE broadcasts it when its
+    # runtime size allows, else this is a shuffle join.
+    o = obs.join(aff, obs[taxon] == aff["__taxon"], "left")
+    o = o.where(F.col(label).isNotNull() & (F.col(label) != ""))
+    return o.groupBy(key, label, "__start").agg(sum0(value).alias("__v"))
+
+
+def _firsts(sums: DataFrame, key: str, label: str) -> DataFrame:
+    """First start date per affected label: the one of the lowest (sample, start) record (W-05)."""
+    return (sums.where(F.col("__start").isNotNull()).groupBy(label)
+            .agg(F.min_by(F.col("__start"), F.struct(F.col(key), F.col("__start"))).alias("__first")))
+
+
+def label_starts(obs: DataFrame, log: DataFrame, key: str = "sample", taxon: str = "taxon", label: str = "genus",
+                 value: str = "value", start: str = "start_date", parent: str = "parent", level: str = "genus",
+                 log_taxon: str = "taxon") -> DataFrame:
+    """(label, first_start) of the labels the change log affects: one row per label, at most one per log entry."""
+    sums = _sums(obs, log, key, taxon, label, value, start, parent, level, log_taxon)
+    return _firsts(sums, key, label).withColumnRenamed("__first", "first_start")
+
+
 def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str = "sample",
                    date: str = "sample_date", taxon: str = "taxon", label: str = "genus",
                    value: str = "value", start: str = "start_date", parent: str = "parent",
                    level: str = "genus", sentinel: float = SENTINEL, log_taxon: str = "taxon",
                    observed_flag: bool = False) -> DataFrame:
-    """R-1 in sparse long form: columns (key, label, value[, observed_flag]).
+    """R-1 in long form, cells with a record: columns (key, label, value[, observed_flag]).
 
     ``obs`` rows must already carry the matrix ``label`` (genus, or the
     ``Genus species`` label) and be filtered for the level (blank labels
@@ -54,9 +79,8 @@ def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str
     * unaffected rows: sum ignoring nulls;
     * affected rows: per start date, the sum (or ``sentinel`` when the
       sample predates the start) added up;
-    * samples with no affected record of a label: ``sentinel`` before the
-      label's first start date, 0 after, null on the same date, where the
-      first start date is that of the lowest (sample, start) record (W-05);
+    * a sample with no affected record of an affected label: ``sentinel`` before the
+      label's first start date, 0 after, null on the same date;
     * both kinds present: larger value, null if either is null (A-05).
 
     The sentinel stays in the value, as in the source, where it takes part
@@ -65,82 +89,54 @@ def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str
     the sentinel, or a per-start sum that includes it), true when the value
     comes from records and true absences only, null when the value is null.
     """
-    aff = changelog_taxa(log, log_taxon, parent, level).select(
-        F.col(log_taxon).alias("__taxon"), F.col(start).cast("timestamp_ntz").alias("__start"))
-    # The change log is a small curated dimension; AQE broadcasts it when its
-    # runtime size allows, else this is a shuffle join.
-    o = obs.join(aff, obs[taxon] == aff["__taxon"], "left")
-    o = o.where(F.col(label).isNotNull() & (F.col(label) != ""))
-
-    # One aggregation feeds both branches: start is null for unaffected rows.
-    bc = o.groupBy(key, label, "__start").agg(sum0(value).alias("__v"))
-
-    # First start date per affected label: the one of the lowest (sample, start).
-    first = (bc.where(F.col("__start").isNotNull()).groupBy(label)
-             .agg(F.min_by(F.col("__start"), F.struct(F.col(key), F.col("__start"))).alias("__first")))
-
+    sums = _sums(obs, log, key, taxon, label, value, start, parent, level, log_taxon)
     s = samples.select(F.col(key), F.col(date).cast("timestamp_ntz").alias("__date"))
-    bcs = bc.join(s, key, "inner")
-    observed = bcs.select(
-        key, label,
-        F.when(F.col("__start").isNull(), F.lit("b")).otherwise(F.lit("c")).alias("__kind"),
-        F.when(F.col("__start").isNotNull() & (F.col("__start") > F.col("__date")), F.lit(sentinel))
-         .otherwise(F.col("__v").cast("double")).alias("__val"),
-    )
-
-    expanded = _not_yet_identified(s, first, key, label, sentinel)
-    rows = observed.unionByName(expanded)
-
-    kind = F.col("__kind")
-    agg = rows.groupBy(key, label).agg(
-        F.count_if(kind == "b").alias("__nb"), F.max(F.when(kind == "b", F.col("__val"))).alias("__vb"),
-        F.count_if(kind == "c").alias("__nc"), F.sum(F.when(kind == "c", F.col("__val"))).alias("__vc"),
-        F.count_if(kind == "e").alias("__ne"), F.max(F.when(kind == "e", F.col("__val"))).alias("__ve"),
-        F.count_if((kind == "e") & F.col("__val").isNull()).alias("__ne_null"),
-        *([F.count_if((kind == "c") & (F.col("__val") == sentinel)).alias("__nc_s")] if observed_flag else []),
-    )
-    # Labels with a first start date: a sample after it with no record is a 0.
-    # (reads __first, never null, so both uses of `first` keep the same columns
-    # and the planner reuses its shuffle instead of scanning the facts again)
-    labels = first.select(label, F.col("__first").isNotNull().alias("__in_k"))
-    agg = agg.join(labels, label, "left")
-
-    aff_val: Column = (F.when(F.col("__nc") > 0, F.col("__vc"))
-                       .when(F.col("__ne") > 0, F.when(F.col("__ne_null") > 0, F.lit(None)).otherwise(F.col("__ve")))
-                       .when(F.col("__in_k"), F.lit(0.0)))
-    aff_present = (F.col("__nc") > 0) | (F.col("__ne") > 0) | F.coalesce(F.col("__in_k"), F.lit(False))
+    from_log = F.col("__start").isNotNull()
+    early = F.col("__start") > F.col("__date")
+    cells = (sums.join(s, key, "inner").groupBy(key, label).agg(
+        F.max("__date").alias("__date"),
+        F.count_if(~from_log).alias("__nb"), F.max(F.when(~from_log, F.col("__v").cast("double"))).alias("__vb"),
+        F.count_if(from_log).alias("__nc"), F.count_if(from_log & early).alias("__nc_s"),
+        F.sum(F.when(from_log, F.when(early, F.lit(sentinel)).otherwise(F.col("__v").cast("double")))).alias("__vc"))
+        .join(_firsts(sums, key, label), label, "left"))
+    first, when = F.col("__first"), F.col("__date")
+    blank = F.when(first > when, F.lit(sentinel)).when(first < when, F.lit(0.0))
+    aff_val = F.when(F.col("__nc") > 0, F.col("__vc")).otherwise(blank)
+    aff_present = (F.col("__nc") > 0) | first.isNotNull()
     result = (F.when(aff_present & (F.col("__nb") > 0),
                      F.when(aff_val.isNull(), F.lit(None)).otherwise(F.greatest(F.col("__vb"), aff_val)))
               .when(aff_present, aff_val)
               .otherwise(F.col("__vb")))
     cols = [key, label, result.cast("double").alias(value)]
     if observed_flag:
-        aff_tainted = (F.when(F.col("__nc") > 0, F.col("__nc_s") > 0)
-                       .when(F.col("__ne") > 0, F.coalesce(F.col("__ve") == sentinel, F.lit(False)))
-                       .otherwise(F.lit(False)))
+        tainted = F.when(F.col("__nc") > 0, F.col("__nc_s") > 0).otherwise(F.coalesce(blank == sentinel, F.lit(False)))
         from_b = ~aff_present | ((F.col("__nb") > 0) & (F.col("__vb") >= aff_val))
-        cols.append(F.when(result.isNotNull(), ~(~from_b & aff_tainted)).alias("observed_flag"))
-    out = agg.select(*cols)
-    return out.where(F.col(value).isNull() | (F.col(value) != 0))
+        cols.append(F.when(result.isNotNull(), ~(~from_b & tainted)).alias("observed_flag"))
+    return cells.select(*cols)
 
 
-def _not_yet_identified(s: DataFrame, first: DataFrame, key: str, label: str, sentinel: float) -> DataFrame:
-    """Cells (sample, label) with sample date <= the label's first start date.
+def absence_wide(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str = "sample", date: str = "sample_date",
+                 label: str = "genus", value: str = "value", sentinel: float = SENTINEL, labels: list | None = None,
+                 attributes: tuple[str, ...] = (), **names) -> DataFrame:
+    """R-1, the source's wide matrix: every sample, its attributes, one column per label.
 
-    Range join turned into an equi-join: each label is repeated once per
-    calendar year from the earliest sample year up to its start year (a few
-    dozen rows per label); samples join on their own year and keep dates on or
-    before the start.  Spark picks broadcast or shuffle join on the measured
-    size of the repeated label list.
+    A cell with a record takes its value from :func:`absence_matrix`; one
+    without is ``sentinel`` before the label's first start, null on that date,
+    and 0 otherwise.  ``labels`` are the columns (all labels found, if None).
     """
-    min_year = s.agg(F.min(F.year("__date"))).first()[0]
-    if min_year is None:
-        return s.sparkSession.createDataFrame([], f"`{key}` {dict(s.dtypes)[key]}, `{label}` string, "
-                                                  "__kind string, __val double")
-    reps = first.select(label, "__first",
-                        F.explode(F.sequence(F.lit(min_year), F.year("__first"))).alias("__yr"))
-    j = s.withColumn("__yr", F.year("__date")).join(reps, "__yr", "inner").where(F.col("__date") <= F.col("__first"))
-    return j.select(
-        key, label, F.lit("e").alias("__kind"),
-        F.when(F.col("__first") > F.col("__date"), F.lit(sentinel)).otherwise(F.lit(None)).cast("double").alias("__val"),
-    )
+    cells = absence_matrix(samples, obs, log, key, date, label=label, value=value, sentinel=sentinel, **names)
+    starts = {r[0]: r[1] for r in label_starts(obs, log, key, label=label, value=value, **names).collect()}  # one per log label
+    if labels is None:
+        labels = pivot_values(cells, label)
+    per_key = cells.where(F.col(label).isin(labels)).groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct(label, value))).alias("__m"))  # at most one entry per label
+    out = [F.col(key), *[F.col(a) for a in attributes]]
+    when = F.col(date).cast("timestamp_ntz")
+    for x in labels:
+        blank = F.lit(0.0)
+        if x in starts:
+            first = F.lit(str(starts[x])).cast("timestamp_ntz")
+            blank = F.when(first > when, F.lit(sentinel)).when(first < when, F.lit(0.0))
+        has = F.coalesce(F.map_contains_key("__m", F.lit(x)), F.lit(False))
+        out.append(F.when(has, F.element_at("__m", F.lit(x))).otherwise(blank).alias(str(x)))
+    return samples.join(per_key, key, "left").select(*out)

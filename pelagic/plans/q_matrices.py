@@ -2,20 +2,32 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
+from pelagic.functions.nulls import first_word
 from pelagic.operators import changelog as cl
 from pelagic.operators import indices as ix
 from pelagic.operators import reshape as rs
 from pelagic.plans import bindings as b
 from pelagic.plans.catalog import r6, register
 
+# Fixed values of the binding: the words that make up part names, and the part types.
+_COLOURS = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
+_THINGS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
+_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
+def _in(labels) -> str:
+    return "IN (" + ", ".join(f"'{x}'" for x in sorted(labels)) + ")"
+
+
 _ALL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS, b.SQL_CHANGELOG)
 
 
-def _absence_sql(label_expr: str, join_expr: str, where: str, aff_cond: str, out: str,
-                 value_expr: str = "obs.value") -> str:
-    """Literal SQL transcription of R-1: samples x affected labels, CASE rules, strict sum / max."""
+def _absence_ctes(label_expr: str, join_expr: str, where: str, aff_cond: str, value_expr: str = "obs.value") -> str:
+    """Literal SQL transcription of R-1: samples x affected labels, CASE rules, strict sum / max; ``m`` has every cell."""
     return _ALL + f""",
 aff AS (SELECT taxon, start_date FROM changelog WHERE {aff_cond}),
 o AS (SELECT obs.sample, {label_expr} AS label, {value_expr} AS value, aff.start_date
@@ -39,7 +51,23 @@ cv AS (SELECT sample, label, CASE WHEN count(*) <> count(val) THEN NULL ELSE sum
 u AS (SELECT sample, label, v FROM bs UNION ALL SELECT sample, label, v FROM cv),
 m AS (SELECT sample, label, CASE WHEN count(*) <> count(v) THEN NULL ELSE max(v) END AS value
       FROM u GROUP BY sample, label)
-SELECT sample, label AS {out}, CAST(value AS DOUBLE) AS value FROM m WHERE value IS NULL OR value <> 0
+"""
+
+
+def _absence_sql(label_expr: str, join_expr: str, where: str, aff_cond: str, out: str,
+                 value_expr: str = "obs.value") -> str:
+    """The cells that have a record."""
+    return _absence_ctes(label_expr, join_expr, where, aff_cond, value_expr) + f"""
+SELECT sample, label AS {out}, CAST(value AS DOUBLE) AS value FROM m SEMI JOIN o USING (sample, label)
+"""
+
+
+def _absence_wide_sql(label_expr: str, join_expr: str, where: str, aff_cond: str, labels) -> str:
+    """Every sample, one column per label; a cell that no rule fills is 0."""
+    cols = ", ".join(f"CASE WHEN count(*) FILTER (WHERE label = '{x}') = 0 THEN 0.0 "
+                     f"ELSE CAST(max(value) FILTER (WHERE label = '{x}') AS DOUBLE) END AS \"{x}\"" for x in labels)
+    return _absence_ctes(label_expr, join_expr, where, aff_cond) + f"""
+SELECT s.sample, {cols} FROM samples s LEFT JOIN m USING (sample) GROUP BY s.sample
 """
 
 
@@ -53,6 +81,49 @@ def absence_matrix_genus(spark, sf_dir):
                              value="value", level="genus")
 
 
+# ----------------------------------------------------------------- R-1 genus level, the wide matrix
+_GENUS = ("genus", "obs.taxon", "obs.genus IS NOT NULL AND obs.genus <> ''",
+          "split_part(taxon, ' ', 1) <> split_part(parent, ' ', 1) AND taxon IS NOT NULL")
+
+
+@register("absence_matrix_genus_wide", sql=_absence_wide_sql(*_GENUS, _COLOURS))
+def absence_matrix_genus_wide(spark, sf_dir):
+    return cl.absence_wide(b.samples(spark, sf_dir), b.obs(spark, sf_dir), b.changelog(spark, sf_dir),
+                           taxon="taxon", label="genus", level="genus", labels=list(_COLOURS))
+
+
+# ----------------------------------------------------------------- R-1 copepods (species), others (taxon), recorder (genus)
+_COPEPOD_WHERE = ("obs.grp = 'STANDARD' AND obs.species IS NOT NULL AND obs.species <> 'spp.' "
+                  "AND NOT regexp_matches(obs.species, 'cf.') AND NOT regexp_matches(obs.species, 'grp')")
+
+
+@register("absence_matrix_copepod", sql=_absence_sql(
+    "genus || ' ' || split_part(species, ' ', 1)", "obs.genus || ' ' || split_part(obs.species, ' ', 1)", _COPEPOD_WHERE,
+    "taxon <> parent", "TaxonName"))
+def absence_matrix_copepod(spark, sf_dir):
+    o = b.obs(spark, sf_dir).where(F.col("grp") == "STANDARD").withColumn("genus", first_word("genus"))  # subgenera binned, D-26
+    o = ix.species_filter(o, "genus", "species", ix.INDEX_DROP_PATTERNS, label="TaxonName")  # complexes to their first word
+    return cl.absence_matrix(b.samples(spark, sf_dir), o, b.changelog(spark, sf_dir), taxon="TaxonName", label="TaxonName",
+                             level="name")
+
+
+@register("absence_matrix_noncopepod", sql=_absence_sql(
+    "obs.taxon", "obs.taxon", "obs.grp <> 'STANDARD'", "taxon <> parent", "label"))
+def absence_matrix_noncopepod(spark, sf_dir):
+    o = b.obs(spark, sf_dir).where(F.col("grp") != "STANDARD").withColumn("label", F.col("taxon"))
+    return cl.absence_matrix(b.samples(spark, sf_dir), o, b.changelog(spark, sf_dir), taxon="taxon", label="label", level="name")
+
+
+@register("absence_matrix_recorder", sql=_absence_wide_sql(
+    "regexp_replace(obs.taxon, '[aeiou].*$', '')", "obs.taxon", "obs.flag % 2 = 0", "taxon <> parent",
+    sorted({re.sub("[aeiou].*$", "", c) for c in _COLOURS} - {""})))
+def absence_matrix_recorder(spark, sf_dir):
+    """Labels are taxa binned by a rule (here the letters before the first vowel), so one label has taxa with several starts."""
+    o = b.obs(spark, sf_dir).where(F.col("flag") % 2 == 0).withColumn("label", F.regexp_replace("taxon", "[aeiou].*$", ""))
+    return cl.absence_wide(b.samples(spark, sf_dir), o, b.changelog(spark, sf_dir), taxon="taxon", label="label", level="name",
+                           labels=sorted({re.sub("[aeiou].*$", "", c) for c in _COLOURS} - {""}))
+
+
 # ----------------------------------------------------------------- R-1 species level
 _SPECIES_WHERE = ("obs.species IS NOT NULL AND obs.species <> 'spp.' AND obs.species <> '' "
                   "AND NOT regexp_matches(obs.species, 'cf.') AND NOT regexp_matches(obs.species, '/')")
@@ -85,16 +156,6 @@ def absence_matrix_species_biovolume(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- R-2 raw matrix (wide, fill 0)
-# Fixed values of the binding: the words that make up part names, and the part types.
-_COLOURS = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
-_THINGS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
-_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-
-
-def _in(labels) -> str:
-    return "IN (" + ", ".join(f"'{x}'" for x in sorted(labels)) + ")"
-
-
 _RAW_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + """,
 sums AS (SELECT sample, taxon, sum(value) AS value FROM obs GROUP BY sample, taxon),
 taxa AS (SELECT DISTINCT taxon FROM sums),
