@@ -18,6 +18,7 @@ it is permuted, and its seed is its number.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 LAW = "key"
+OUT_ROWS = 512  # rows of one batch that goes back to Spark
 ROW_BYTES = 16  # fixed value of the contract: bytes of a record besides its text
 
 
@@ -63,17 +65,25 @@ def external_shuffle(docs: DataFrame, shards: int, *, id_col: str = "doc_id", te
     counts = spread.groupBy("__shard", "__bucket").agg(F.count("*").alias("__n"))
     first = counts.select("__shard", "__bucket", (F.sum("__n").over(W.partitionBy("__shard").orderBy("__bucket")) - F.col("__n")).alias("__first"))
 
+    # one task per bucket: the partition id is the bucket's number
+    number = F.col("__shard") * buckets + F.col("__bucket")
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    dealt = spread.withColumns({"__key": key, "__row": whole}).repartitionById(shards * buckets, number)
     own = StructType([*spread.schema.fields, StructField("__place", LongType())])
 
-    def permute(t: pa.Table) -> pa.Table:
-        shard, bucket = t.column("__shard")[0].as_py(), t.column("__bucket")[0].as_py()
-        t = t.sort_by([("__key", "ascending"), ("__row", "ascending")]).drop_columns(["__key", "__row"])
-        t = t.take(pa.array(fisher_yates(t.num_rows, seed, shard, bucket)))
-        return t.append_column("__place", pa.array(np.arange(t.num_rows, dtype=np.int64)))
-
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    mixed = spread.withColumns({"__key": key, "__row": whole}).groupBy("__shard", "__bucket").applyInArrow(permute, own)
-    few = shards * buckets <= 200_000  # one row per bucket
+    def permute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            t = pa.Table.from_batches(held).sort_by([("__key", "ascending"), ("__row", "ascending")]).drop_columns(["__key", "__row"])
+            shard, bucket = t.column("__shard")[0].as_py(), t.column("__bucket")[0].as_py()
+            order = fisher_yates(t.num_rows, seed, shard, bucket)
+            for lo in range(0, len(order), OUT_ROWS):
+                part = t.take(pa.array(order[lo:lo + OUT_ROWS]))
+                place = pa.array(np.arange(lo, lo + part.num_rows))
+                yield from part.append_column("__place", place).combine_chunks().to_batches()
+
+    mixed = dealt.mapInArrow(permute, own)
+    few = shards * buckets <= 2_000_000  # one small row per bucket
     placed = mixed.join(F.broadcast(first) if few else first, ["__shard", "__bucket"])
     slot = (F.col("__first") + F.col("__place")).alias("__slot")
     return placed.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__shard").cast(IntegerType()).alias("__shard"),
