@@ -4,8 +4,8 @@ Polygons arrive as a vertex table ``(polygon_id, ring_id, vertex_no, x, y)``
 (x = longitude, y = latitude); holes are extra rings.  The overlay is two
 equi-joins instead of a points x polygons product:
 
-1. points join polygon bounding-box tiles on a 1-degree (lat, lon) tile key;
-2. candidate (point, polygon) pairs join that polygon's edges on the
+1. distinct places join polygon bounding-box tiles on a 1-degree (lat, lon) tile key;
+2. candidate (place, polygon) pairs join that polygon's edges on the
    1-degree latitude band of the point (edges are copied to every band they
    span), which are exactly the edges a horizontal ray from the point can
    cross.
@@ -34,7 +34,7 @@ def polygon_edges(vertices: DataFrame, pid: str = "polygon_id", ring: str = "rin
                            nxt_y.cast("double").alias("y2"))
 
 
-def overlay(points: DataFrame, pid: str, lon: str, lat: str, vertices: DataFrame, attrs: DataFrame,
+def overlay(points: DataFrame, lon: str, lat: str, vertices: DataFrame, attrs: DataFrame,
             order: str = "polygon_id", attr_cols: Sequence[str] = (), tile: float = 1.0) -> DataFrame:
     """J-14: attributes of the first polygon (by ``order``) containing each point; none -> nulls.
 
@@ -50,14 +50,14 @@ def overlay(points: DataFrame, pid: str, lon: str, lat: str, vertices: DataFrame
                                                           F.floor(F.col("__ymax") / tile).cast("long"))))
              .withColumn("__tx", F.explode(F.sequence(F.floor(F.col("__xmin") / tile).cast("long"),
                                                       F.floor(F.col("__xmax") / tile).cast("long")))))
-    p = points.select(F.col(pid).alias("__pid"), F.col(lon).cast("double").alias("__px"),
-                      F.col(lat).cast("double").alias("__py"))
+    # each place is tested once, however many points share it
+    p = points.select(F.col(lon).cast("double").alias("__px"), F.col(lat).cast("double").alias("__py")).distinct()
     p = p.withColumn("__ty", F.floor(F.col("__py") / tile).cast("long")).withColumn(
         "__tx", F.floor(F.col("__px") / tile).cast("long"))
     cand = (p.join(tiles, ["__ty", "__tx"], "inner")
             .where(F.col("__px").between(F.col("__xmin"), F.col("__xmax"))
                    & F.col("__py").between(F.col("__ymin"), F.col("__ymax")))
-            .select("__pid", "__px", "__py", "__ty", "polygon_id"))
+            .select("__px", "__py", "__ty", "polygon_id"))
     # edges copied to every latitude band they span
     banded = edges.withColumn("__ty", F.explode(F.sequence(
         F.floor(F.least("y1", "y2") / tile).cast("long"), F.floor(F.greatest("y1", "y2") / tile).cast("long"))))
@@ -67,14 +67,15 @@ def overlay(points: DataFrame, pid: str, lon: str, lat: str, vertices: DataFrame
     crosses = spans & (px < x1 + (py - y1) * (x2 - x1) / F.when(spans, y2 - y1))
     on_edge = (((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)) == 0) & \
         px.between(F.least(x1, x2), F.greatest(x1, x2)) & py.between(F.least(y1, y2), F.greatest(y1, y2))
-    inside = (j.groupBy("__pid", "polygon_id")
+    inside = (j.groupBy("__px", "__py", "polygon_id")
               .agg(F.sum(F.coalesce(crosses, F.lit(False)).cast("int")).alias("__n"),
                    F.max(on_edge.cast("int")).alias("__on"))
               .where((F.col("__n") % 2 == 1) | (F.col("__on") == 1)))
     a = attrs.select("polygon_id", F.col(order).alias("__ord"), *attr_cols)
     hit = inside.join(a, "polygon_id", "inner")
-    first = hit.groupBy("__pid").agg(F.min_by(F.struct(*attr_cols), F.col("__ord")).alias("__a"))
-    out = points.join(first, points[pid] == first["__pid"], "left")
+    first = hit.groupBy("__px", "__py").agg(F.min_by(F.struct(*attr_cols), F.col("__ord")).alias("__a"))
+    same = (points[lon].cast("double") == first["__px"]) & (points[lat].cast("double") == first["__py"])
+    out = points.join(first, same, "left")
     return out.select(*points.columns, *[F.col(f"__a.{c}").alias(c) for c in attr_cols])
 
 

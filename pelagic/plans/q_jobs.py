@@ -34,7 +34,7 @@ def recorder_indices(spark, sf_dir):
     s = b.samples(spark, sf_dir).select("sample", "lat", "lon")
     attrs = b.table(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("long").alias("polygon_id"), F.col("r_name").alias("region"))
-    reg = rg.overlay(s, "sample", "lon", "lat", qr.vertices(spark, sf_dir), attrs, attr_cols=["region"])
+    reg = rg.overlay(s, "lon", "lat", qr.vertices(spark, sf_dir), attrs, attr_cols=["region"])
     reg = rg.bbox_fallback(reg, "region", "lat", "lon", qr.FALLBACK_BOXES).select("sample", "region")
     return ind.join(reg, "sample", "inner")
 

@@ -71,7 +71,7 @@ def region_overlay(spark, sf_dir):
     s = b.samples(spark, sf_dir).select("sample", "lat", "lon")
     attrs = b.table(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("long").alias("polygon_id"), F.col("r_name").alias("region"))
-    r = rg.overlay(s, "sample", "lon", "lat", vertices(spark, sf_dir), attrs, attr_cols=["region"])
+    r = rg.overlay(s, "lon", "lat", vertices(spark, sf_dir), attrs, attr_cols=["region"])
     return r.select("sample", "region")
 
 
@@ -87,7 +87,7 @@ def region_bbox_fallback(spark, sf_dir):
     s = b.samples(spark, sf_dir).select("sample", "lat", "lon")
     attrs = b.table(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("long").alias("polygon_id"), F.col("r_name").alias("region"))
-    r = rg.overlay(s, "sample", "lon", "lat", vertices(spark, sf_dir), attrs, attr_cols=["region"])
+    r = rg.overlay(s, "lon", "lat", vertices(spark, sf_dir), attrs, attr_cols=["region"])
     return rg.bbox_fallback(r, "region", "lat", "lon", FALLBACK_BOXES).select("sample", "region")
 
 
@@ -104,5 +104,5 @@ def region_bbox_layer(spark, sf_dir):
     attrs = b.table(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("long").alias("polygon_id"), F.col("r_name").alias("region"))
     v = vertices(spark, sf_dir)
-    r = rg.overlay(s, "sample", "lon", "lat", v, attrs, attr_cols=["region"])
+    r = rg.overlay(s, "lon", "lat", v, attrs, attr_cols=["region"])
     return rg.bbox_fallback(r, "region", "lat", "lon", rg.layer_boxes(v, attrs, "region")).select("sample", "region")

@@ -180,7 +180,7 @@ def test_polygons(spark):
     A = spark.createDataFrame([(p, p, f"P{p}") for p in shapes], "polygon_id long, ord int, name string")
     pts = [(1, 2.0, 2.0), (2, 7.0, 2.0), (3, 5.5, 0.5), (4, 3.0, 7.0), (5, 1.0, 6.0), (6, 4.0, 2.0), (7, 20.0, 20.0)]
     P = spark.createDataFrame(pts, "id int, x double, y double")
-    got = {r.id: r.name for r in regions.overlay(P, "id", "x", "y", V, A, order="ord", attr_cols=["name"]).collect()}
+    got = {r.id: r.name for r in regions.overlay(P, "x", "y", V, A, order="ord", attr_cols=["name"]).collect()}
     assert got == {1: "P1", 2: None, 3: "P2", 4: None, 5: "P3", 6: "P1", 7: None}
 
 
@@ -197,7 +197,7 @@ def test_zone_by_coordinates_then_utc(spark):
                                (2, 148.2, -42.6, dt.datetime(2020, 1, 5, 9, 30)),
                                (3, 0.0, 0.0, dt.datetime(2020, 1, 1, 0, 0))],
                               "id int, lon double, lat double, local timestamp_ntz")
-    z = regions.overlay(P, "id", "lon", "lat", V, A, order="ord", attr_cols=["tz"])
+    z = regions.overlay(P, "lon", "lat", V, A, order="ord", attr_cols=["tz"])
     got = {r.id: (r.tz, r.utc) for r in z.withColumn("utc", local_to_utc("local", F.col("tz"))).collect()}
     assert got == {1: ("Australia/Perth", dt.datetime(2020, 7, 7, 6, 0)),
                    2: ("Australia/Sydney", dt.datetime(2020, 1, 4, 22, 30)),   # daylight time, +11
