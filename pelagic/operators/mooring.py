@@ -74,9 +74,16 @@ def product_file_name(df: DataFrame, station: str, time: str, depth: str, var: s
     return g.select(station, depth, name.alias("file_name"))
 
 
-def catalogue_pick(catalogue: DataFrame, site_col: str, url_col: str, pattern: str = "gridded_timeseries") -> DataFrame:
-    """S-22: per site the catalogue entries whose address matches ``pattern`` (null-safe regex)."""
-    return catalogue.where(F.coalesce(F.col(url_col).rlike(pattern), F.lit(False))).select(site_col, url_col)
+def catalogue_pick(catalogue: DataFrame, site_col: str, url_col: str, pattern: str = "gridded_timeseries",
+                   version: str | None = None) -> DataFrame:
+    """S-22: per site the latest catalogue entry whose address matches ``pattern`` (null-safe regex).
+
+    Latest by ``version`` (ties to the greater address), or by the address itself,
+    whose names end in their creation date.
+    """
+    found = catalogue.where(F.coalesce(F.col(url_col).rlike(pattern), F.lit(False)))
+    order = F.struct(F.col(version), F.col(url_col)) if version else F.col(url_col)
+    return found.groupBy(site_col).agg(F.max_by(F.col(url_col), order).alias(url_col))
 
 
 def local_linear(df: DataFrame, by: Sequence[str], x: str, y: str, half_width: int, out: str = "smooth") -> DataFrame:

@@ -36,8 +36,13 @@ def write_product(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
         w.format(fmt).save(path)
 
 
-def write_grid(grid: DataFrame, path: str, partition_by: Sequence[str] = ("product", "period")) -> None:
+def write_grid(grid: DataFrame, path: str, partition_by: Sequence[str] = ("product", "resolution", "period"),
+               band: int = 256) -> None:
     """K-06: a gridded layer as one row per cell, partitioned by layer and cell-sorted within files
-    so lat/lon range filters can skip row groups."""
-    (grid.repartition(*partition_by).sortWithinPartitions("lat_idx", "lon_idx")
+    so lat/lon range filters can skip row groups.
+
+    A layer is split into bands of ``band`` latitude rows, each written by its own
+    task, so a large layer is not one task's work.
+    """
+    (grid.repartition(*partition_by, F.floor(F.col("lat_idx") / band)).sortWithinPartitions(*partition_by, "lat_idx", "lon_idx")
      .write.mode("overwrite").partitionBy(*partition_by).parquet(path))

@@ -15,7 +15,8 @@ from pelagic.functions.labels import code_map
 from pelagic.functions.timeops import local_to_utc, trip_code, utc_to_local, ymd_parts
 from pelagic.operators.asof import nearest_asof
 from pelagic.operators.qc import exclude_ids, mask_flags, replicate_mean
-from pelagic.sources.readers import SourceSpec, read_source
+from pelagic.operators.reshape import to_wide
+from pelagic.sources.readers import SourceSpec, read_source, recorder_trips
 
 # Schemas, null tokens and renames of the sources (FIXTURES.md).
 TRIPS = SourceSpec(
@@ -214,3 +215,51 @@ def load_solids(spark: SparkSession, path: str) -> DataFrame:
     s = s.where(F.col("SampleDepth_m").isNotNull())
     return replicate_mean(s, ["TripCode", "SampleDepth_m"],
                           ["TSS_MGL", "INORGANICFRACTION_MGL", "ORGANICFRACTION_MGL", "SECCHIDEPTH_M"])
+
+
+# Picoplankton measure -> quality flag column.
+PICO_FLAGS = {"PROCHLOROCOCCUS_CELLSML": "PROCHLOROCOCCUS_FLAG", "SYNECOCHOCCUS_CELLSML": "SYNECOCHOCCUS_FLAG",
+              "PICOEUKARYOTES_CELLSML": "PICOEUKARYOTES_FLAG"}
+
+
+def load_pico(spark: SparkSession, path: str) -> DataFrame:
+    """S-15: picoplankton with QC masking (P-05) and the replicate mean per (trip, depth) (A-17)."""
+    p = mask_flags(nan_to_null(read_source(spark, path, PICO)), PICO_FLAGS)
+    return replicate_mean(p, ["TripCode", "SampleDepth_m"], list(PICO_FLAGS))
+
+
+def load_larval_samples(spark: SparkSession, path: str, zone: str = "Australia/Sydney") -> DataFrame:
+    """S-17: larval-fish tows with Year/Month/Day and the sample time in UTC (F-01..F-03)."""
+    s = read_source(spark, path, LARVAL_SAMPLES)
+    return s.withColumns({**ymd_parts("SampleDateLocal"), "SampleDateUTC": local_to_utc("SampleDateLocal", F.lit(zone))})
+
+
+def load_larval_counts(spark: SparkSession, path: str) -> DataFrame:
+    """S-17: larval-fish counts with the column header ``ScientificName SPCODE`` of the matrix."""
+    c = read_source(spark, path, LARVAL_COUNTS)
+    return c.withColumn("Header", F.concat_ws(" ", "ScientificName", "SPCODE"))
+
+
+def larval_matrix(samples: DataFrame, counts: DataFrame, attributes: list[str]) -> DataFrame:
+    """R-8: every tow (also one without counts) and one column per header, 0 where nothing was counted."""
+    sums = counts.groupBy("i_Sample", "Header").agg(F.sum("TaxonCount").alias("TaxonCount"))
+    wide = to_wide(sums, ["i_Sample"], "Header", "TaxonCount", fill=0, unique_cells=True)
+    names = [c for c in wide.columns if c != "i_Sample"]
+    out = samples.select("i_Sample", *attributes).join(wide, "i_Sample", "left")
+    return out.select("i_Sample", *attributes, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in names])
+
+
+def load_recorder_trips(spark: SparkSession, path: str, spec: SourceSpec, letter: str | None = None) -> DataFrame:
+    """S-09: recorder samples with a sample type, Year/Month/Day and time of day of the UTC sample time."""
+    r = recorder_trips(read_source(spark, path, spec), letter=letter)
+    return r.withColumns(ymd_parts("SampleDateUTC"))
+
+
+# S-09 recorder sample table.
+RECORDER_SAMPLES = SourceSpec(
+    schema=("SAMPLE string, ROUTE string, REGION string, TRIP_CODE string, SAMPLETYPE string, LATITUDE double, "
+            "LONGITUDE double, PCI double, BIOMASS_MGM3 double, SAMPLEDATEUTC timestamp_ntz"),
+    null_value="(null)",
+    renames={"SAMPLE": "Sample", "ROUTE": "Route", "REGION": "Region", "TRIP_CODE": "TripCode", "LATITUDE": "Latitude",
+             "LONGITUDE": "Longitude", "BIOMASS_MGM3": "Biomass_mgm3", "SAMPLEDATEUTC": "SampleDateUTC"},
+)

@@ -115,3 +115,48 @@ def test_key_join_null_safe(spark):
     assert full.columns == ["k", "l", "r"]
     assert sorted((x.k or 0, x.l or "", x.r) for x in full.collect()) == [(0, "b", "y"), (1, "a", "x"), (3, "", "z")]
     assert pj.key_join(left, right, "k", how="anti", null_safe=True).count() == 0
+
+
+def test_pico_larval_and_recorder_loaders(spark, tmp_path):
+    p = tmp_path / "pico.csv"
+    p.write_text("TRIP_CODE,SAMPLEDEPTH_M,REPLICATE,SAMPLEDATE_LOCAL,PROCHLOROCOCCUS_CELLSML,PROCHLOROCOCCUS_FLAG,"
+                 "SYNECOCHOCCUS_CELLSML,SYNECOCHOCCUS_FLAG,PICOEUKARYOTES_CELLSML,PICOEUKARYOTES_FLAG\n"
+                 "T1,10,1,2020-01-01 00:00:00,10,1,(null),1,5,4\nT1,10,2,2020-01-01 00:00:00,20,1,7,1,6,1\n")
+    r = specs.load_pico(spark, str(p)).first()
+    assert (r.PROCHLOROCOCCUS_CELLSML, r.SYNECOCHOCCUS_CELLSML, r.PICOEUKARYOTES_CELLSML) == (15.0, 7.0, 6.0)
+
+    s = tmp_path / "larval.csv"
+    names = [x.split()[0] for x in specs.LARVAL_SAMPLES.schema.split(", ")]
+    row = lambda i, t: ",".join({"I_SAMPLE_ID": i, "SAMPLEDATE_LOCAL": t}.get(n, "") for n in names)
+    s.write_text("\n".join([",".join(names), row("a", "2020-07-07 10:00:00"), row("b", "2020-01-07 10:00:00")]) + "\n")
+    c = tmp_path / "counts.csv"
+    c.write_text("I_SAMPLE_ID,TRIP_CODE,SCIENTIFICNAME,SPCODE,COMMENTS,TAXON_COUNT\na,T,Fish one,11,,3\na,T,Fish one,11,,4\n")
+    samples = specs.load_larval_samples(spark, str(s))
+    assert {r.i_Sample: r.SampleDateUTC.hour for r in samples.collect()} == {"a": 0, "b": 23}
+    m = specs.larval_matrix(samples, specs.load_larval_counts(spark, str(c)), ["Year"])
+    assert {r.i_Sample: (r.Year, r["Fish one 11"]) for r in m.collect()} == {"a": (2020, 7), "b": (2020, 0)}  # no counts: kept
+
+    t = tmp_path / "cpr.csv"
+    t.write_text("SAMPLE,ROUTE,REGION,TRIP_CODE,SAMPLETYPE,LATITUDE,LONGITUDE,PCI,BIOMASS_MGM3,SAMPLEDATEUTC\n"
+                 "1,R,X,T,P,-30,150,0,1,2020-03-04 05:06:07\n2,R,X,T,(null),-30,150,0,1,2020-03-04 05:06:07\n")
+    r = specs.load_recorder_trips(spark, str(t), specs.RECORDER_SAMPLES, letter="P").collect()
+    assert len(r) == 1 and (r[0].Year, r[0].Month, r[0].Day, r[0].Time_24hr) == (2020, 3, 4, "05:06:07")
+
+
+def test_catalogue_pick_takes_the_latest(spark):
+    from pelagic.operators.mooring import catalogue_pick
+
+    df = spark.createDataFrame([("A", "x_gridded_timeseries_2019.nc"), ("A", "x_gridded_timeseries_2021.nc"), ("A", None),
+                                ("B", "y_hourly_2020.nc")], "site string, url string")
+    assert [tuple(r) for r in catalogue_pick(df, "site", "url").collect()] == [("A", "x_gridded_timeseries_2021.nc")]
+
+
+def test_grid_round_trip_by_layer_and_band(spark, tmp_path):
+    from pelagic.sources.readers import read_grid
+    from pelagic.sources.sinks import write_grid
+
+    rows = [(p, res, "2020", i, j, float(i * j)) for p in ("sst", "chl") for res in ("1d", "1m") for i in range(20) for j in range(3)]
+    g = spark.createDataFrame(rows, "product string, resolution string, period string, lat_idx int, lon_idx int, value double")
+    write_grid(g, str(tmp_path / "g"), band=5)
+    back = read_grid(spark, str(tmp_path / "g"), products=["sst"]).where("resolution = '1m'")
+    assert back.count() == 60 and back.agg(F.sum("value")).first()[0] == sum(r[5] for r in rows[:60])
