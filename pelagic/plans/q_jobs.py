@@ -39,8 +39,30 @@ def recorder_indices(spark, sf_dir):
     return ind.join(reg, "sample", "inner")
 
 
-# ----------------------------------------------------------------- R-12 (O-04 + G-01 + G-03), random: rows only
-@register("matchup_job")
+# ----------------------------------------------------------------- R-12 (O-04 + G-01 + G-03) on md5-seeded draws
+@register("matchup_job", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_GRID, b.SQL_ALT) + """,
+d AS (SELECT CAST(i AS INTEGER) AS pid, sample, sample_date, lat, lon, row_number() OVER (PARTITION BY i
+             ORDER BY substr(md5(concat_ws('|', '20', i, sample)), 1, 15)) AS r
+      FROM samples, (SELECT unnest(range(0, 20)) AS i)),
+p AS (SELECT pid, sample, sample_date, CAST(year(sample_date) AS VARCHAR) AS period,
+             CAST(dayofyear(sample_date) AS INTEGER) AS doy,
+             least(greatest(CAST(floor((lat - (-10.0)) / (-0.5) + 0.5) AS INTEGER), 0), 59) - 5 AS i0,
+             least(greatest(CAST(floor((lon - 110.0) / 0.5 + 0.5) AS INTEGER), 0), 79) - 5 AS j0 FROM d WHERE r = 1),
+box AS (SELECT p.*, i0 + di AS li, j0 + dj AS lj FROM p, range(0, 10) x(di), range(0, 10) y(dj)),
+colour AS (SELECT c.pid, avg(g.value) FILTER (WHERE g.product = 'A') AS a, avg(g.value) FILTER (WHERE g.product = 'N') AS n,
+                  avg(g.value) FILTER (WHERE g.product = 'R') AS r
+           FROM box c JOIN grid g ON g.period = c.period AND g.lat_idx = c.li AND g.lon_idx = c.lj GROUP BY c.pid),
+ax AS (SELECT DISTINCT period, doy AS a FROM alt),
+nd AS (SELECT p.pid, arg_min(ax.a, abs(ax.a - p.doy) * 1000 + ax.a) AS slice FROM p JOIN ax USING (period) GROUP BY p.pid),
+height AS (SELECT c.pid, avg(g.GSLA) AS gsla, avg(g.GSL) AS gsl, avg(g.UCUR) AS ucur, avg(g.VCUR) AS vcur
+           FROM box c JOIN nd USING (pid) JOIN alt g ON g.period = c.period AND g.doy = nd.slice
+                AND g.lat_idx = c.li AND g.lon_idx = c.lj GROUP BY c.pid)
+SELECT p.pid, p.sample, p.sample_date, round(k.a, 6) + 0.0 AS "A", round(k.n, 6) + 0.0 AS "N", round(k.r, 6) + 0.0 AS "R",
+       round(h.gsla, 6) + 0.0 AS "GSLA", round(h.gsl, 6) + 0.0 AS "GSL", round(h.ucur, 6) + 0.0 AS "UCUR",
+       round(h.vcur, 6) + 0.0 AS "VCUR", round(110.0 + CAST(p.j0 AS DOUBLE) * 0.5, 6) + 0.0 AS "Longitude_Actual",
+       round(-10.0 + CAST(p.i0 AS DOUBLE) * -0.5, 6) + 0.0 AS "Latitude_Actual"
+FROM p LEFT JOIN colour k USING (pid) LEFT JOIN height h USING (pid)
+""")
 def matchup_job(spark, sf_dir):
     pts = cm.sample_rows(b.samples(spark, sf_dir), 20, "sample", seed=20).select("__draw", "sample", "lat", "lon", "sample_date")
     pts = pts.withColumn("pid", F.col("__draw"))

@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_but_random_ones_has_an_oracle():
-    assert set(_c.QUERIES) - set(_c.ORACLES) <= {"matchup_job", "mooring_surface"}
+    assert set(_c.QUERIES) - set(_c.ORACLES) <= {"mooring_surface"}
 
 
 def test_entry_contract(spark):
