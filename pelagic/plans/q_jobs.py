@@ -12,7 +12,7 @@ from pelagic.plans import products as pr
 from pelagic.plans import q_products as qp
 from pelagic.plans import q_regions as qr
 from pelagic.plans.catalog import register, rounded
-from pelagic.plans.q_grid import LAT, LON
+from pelagic.plans.q_grid import LAT, LON, _matchup_sql
 
 
 def _recorder_sql() -> str:
@@ -39,6 +39,21 @@ def recorder_indices(spark, sf_dir):
     return ind.join(reg, "sample", "inner")
 
 
+# ----------------------------------------------------------------- R-7, variant with the satellite properties of each sample (D-23)
+# Recorder samples are those of two sample types; their properties come from the yearly layers.
+@register("recorder_indices_props", sql=f"""
+SELECT i.*, p."A_1y" AS sat_chla, p."N_1y" AS sat_sst, p."R_1y" AS sat_depth
+FROM ({_recorder_sql()}) i JOIN ({_matchup_sql("1y")}) p USING (sample)
+WHERE i.sample IN (SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O'))
+""")
+def recorder_indices_props(spark, sf_dir):
+    s = b.samples(spark, sf_dir).where(F.col("sample_type").isin("F", "O"))
+    props = rounded(gr.match_products(s, b.grid_at(spark, sf_dir, "1y"), "sample", "lat", "lon", "sample_date", LAT, LON,
+                                      ["A", "N", "R"], "1y", 3, named=True))
+    props = props.select("sample", F.col("A_1y").alias("sat_chla"), F.col("N_1y").alias("sat_sst"), F.col("R_1y").alias("sat_depth"))
+    return recorder_indices(spark, sf_dir).join(props, "sample")
+
+
 # ----------------------------------------------------------------- R-12 (O-04 + G-01 + G-03) on md5-seeded draws
 @register("matchup_job", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_GRID, b.SQL_ALT) + """,
 d AS (SELECT CAST(i AS INTEGER) AS pid, sample, sample_date, lat, lon, row_number() OVER (PARTITION BY i
