@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagic.functions.nulls import _c
+from pelagic.functions.timeops import month_sequence
 
 
 @dataclass(frozen=True)
@@ -204,6 +205,24 @@ def grid_area_series(grid: DataFrame, lat_axis: Axis, lon_axis: Axis, lat_range:
     return grid.where(box).groupBy(*keys).agg(F.avg(value).alias(value), F.count(value).alias("n_cells"))
 
 
+def month_spine(series: DataFrame, keys: Sequence[str], start: str, end: str, period: str = "period") -> DataFrame:
+    """G-04: a monthly series with every month from ``start`` to ``end`` for each key; months without a layer are null.
+
+    The spine is the (few) distinct keys, each exploded over the month list.
+    """
+    months = F.transform(month_sequence(F.lit(start), F.lit(end)), lambda d: F.date_format(d, "yyyy-MM"))
+    spine = series.select(*keys).distinct().withColumn(period, F.explode(months))
+    return spine.join(series, [*keys, period], "left")
+
+
+def axis_of(grid: DataFrame, index: str, coord: str) -> Axis:
+    """The regular axis of a grid's own coordinates: node 0's coordinate, the step, and the number of nodes."""
+    r = grid.agg(F.min(F.struct(index, coord)).alias("a"), F.max(F.struct(index, coord)).alias("b")).first()
+    (i0, x0), (i1, x1) = r["a"], r["b"]
+    step = (x1 - x0) / (i1 - i0) if i1 > i0 else 1.0
+    return Axis(x0 - i0 * step, step, i1 + 1)
+
+
 def period_key(date: str | Column, res: str) -> Column:
     """F-14: resolution selector -> period key of a product layer.
 

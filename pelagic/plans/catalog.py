@@ -98,5 +98,5 @@ def load_all() -> None:
     """Import every plan module so its queries are registered."""
     from pelagic.plans import (  # noqa: F401
         q_indices, q_matrices, q_qc, q_profile, q_asof, q_time, q_mooring, q_grid,
-        q_regions, q_community, q_products, q_jobs, q_surface, q_basics,
+        q_regions, q_community, q_products, q_jobs, q_surface, q_basics, q_points,
     )

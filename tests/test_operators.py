@@ -337,3 +337,8 @@ def test_index_keeps_complexes_and_matrix_drops_them(spark):
     df = spark.createDataFrame([("G", "a/b"), ("G", "x y"), ("G", "spp."), ("G", "cf. z"), ("G", "w grp")], "genus string, species string")
     names = lambda drop: sorted(r.TaxonName for r in indices.species_filter(df, "genus", "species", drop).collect())
     assert names(indices.INDEX_DROP_PATTERNS) == ["G a/b", "G x"] and names(indices.MATRIX_DROP_PATTERNS) == ["G x"]
+
+
+def test_axis_read_from_the_grid(spark):
+    g = spark.createDataFrame([(i, -10.0 - 0.25 * i) for i in range(2, 9)], "lat_idx int, lat double")
+    assert grid.axis_of(g, "lat_idx", "lat") == grid.Axis(-10.0, -0.25, 9)
