@@ -158,7 +158,7 @@ def absence_matrix_species_biovolume(spark, sf_dir):
 # ----------------------------------------------------------------- R-2 raw matrix (wide, fill 0)
 _RAW_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + """,
 sums AS (SELECT sample, taxon, sum(value) AS value FROM obs GROUP BY sample, taxon),
-taxa AS (SELECT DISTINCT taxon FROM sums),
+taxa AS (SELECT c || ' ' || t AS taxon FROM (SELECT unnest(""" + str(list(_COLOURS)) + """) AS c), (SELECT unnest(""" + str(list(_THINGS)) + """) AS t)),
 dense AS (SELECT s.sample, t.taxon, coalesce(x.value, 0.0) AS value
           FROM samples s CROSS JOIN taxa t LEFT JOIN sums x ON x.sample = s.sample AND x.taxon = t.taxon)
 PIVOT dense ON taxon """ + _in(f"{c} {t}" for c in _COLOURS for t in _THINGS) + """ USING sum(value) GROUP BY sample
@@ -169,7 +169,7 @@ PIVOT dense ON taxon """ + _in(f"{c} {t}" for c in _COLOURS for t in _THINGS) +
 def raw_matrix_wide(spark, sf_dir):
     s = b.samples(spark, sf_dir).select("sample")
     o = b.obs(spark, sf_dir)
-    taxa = rs.pivot_values(o, "taxon")
+    taxa = sorted(f"{c} {t}" for c in _COLOURS for t in _THINGS)
     sums = o.groupBy("sample", "taxon").agg(F.sum("value").alias("value"))
     return rs.to_wide(s.join(sums, "sample", "left"), ["sample"], "taxon", "value", values=taxa, fill=0.0,
                       unique_cells=True)
@@ -210,7 +210,7 @@ def group_totals_wide(spark, sf_dir):
 c AS (SELECT s.sample, o.grp || ' ' || o.genus AS header, o.value
       FROM samples s JOIN obs o USING (sample) WHERE regexp_matches(s.sample_type, 'F|O')),
 sums AS (SELECT sample, header, sum(value) AS value FROM c GROUP BY sample, header),
-hdr AS (SELECT DISTINCT header FROM sums),
+hdr AS (SELECT g || ' ' || c AS header FROM (SELECT unnest(""" + str(list(_TYPES)) + """) AS g), (SELECT unnest(""" + str(list(_COLOURS)) + """) AS c)),
 dense AS (SELECT s.sample, h.header, coalesce(x.value, 0.0) AS value
           FROM (SELECT DISTINCT sample FROM c) s CROSS JOIN hdr h
           LEFT JOIN sums x ON x.sample = s.sample AND x.header = h.header)
@@ -220,7 +220,7 @@ def larval_matrix(spark, sf_dir):
     s = b.samples(spark, sf_dir).where(F.col("sample_type").rlike("F|O")).select("sample")
     o = b.obs(spark, sf_dir).select("sample", F.concat_ws(" ", "grp", "genus").alias("header"), "value")
     counts = s.join(o, "sample", "inner").groupBy("sample", "header").agg(F.sum("value").alias("value"))
-    headers = rs.pivot_values(counts, "header")
+    headers = sorted(f"{g} {c}" for g in _TYPES for c in _COLOURS)
     return rs.to_wide(counts, ["sample"], "header", "value", values=headers, fill=0.0, unique_cells=True)
 
 
