@@ -15,6 +15,12 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Documents may be megabytes long: rows of one Arrow batch of whole texts.
 TEXT_BATCH_ROWS = 512
+TEXT_BATCH_BYTES = 16 << 20
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` by name, whatever characters the names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +39,18 @@ def crc_mod(c: Column, n: int) -> Column:
 
 
 def text_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
-    """Bound the rows of an Arrow batch so a batch of long texts fits a Python worker."""
+    """Bound the rows and bytes of the session's Arrow batches so a batch of long texts fits a Python worker.
+
+    Lowers the two settings where they are higher; it never raises them.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000") or 0) > rows or int(spark.conf.get(key, "10000")) <= 0:
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    had = str(spark.conf.get(key, "64m")).lower()
+    if had in ("64m", "67108864b"):  # the default; a value the user chose stays
+        spark.conf.set(key, f"{TEXT_BATCH_BYTES}b")
 
 
 def shared_folder(spark: SparkSession) -> str:

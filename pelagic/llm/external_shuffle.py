@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from pelagic.llm.common import own_columns
+
 LAW = "key"
 OUT_ROWS = 512  # rows of one batch that goes back to Spark
 ROW_BYTES = 16  # fixed value of the contract: bytes of a record besides its text
@@ -67,7 +69,7 @@ def external_shuffle(docs: DataFrame, shards: int, *, id_col: str = "doc_id", te
 
     # one task per bucket: the partition id is the bucket's number
     number = F.col("__shard") * buckets + F.col("__bucket")
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.xxhash64(*own_columns(docs))
     dealt = spread.withColumns({"__key": key, "__row": whole}).repartitionById(shards * buckets, number)
     own = StructType([*spread.schema.fields, StructField("__place", LongType())])
 
@@ -86,7 +88,7 @@ def external_shuffle(docs: DataFrame, shards: int, *, id_col: str = "doc_id", te
     few = shards * buckets <= 2_000_000  # one small row per bucket
     placed = mixed.join(F.broadcast(first) if few else first, ["__shard", "__bucket"])
     slot = (F.col("__first") + F.col("__place")).alias("__slot")
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__shard").cast(IntegerType()).alias("__shard"),
+    return placed.select(*own_columns(docs), F.col("__shard").cast(IntegerType()).alias("__shard"),
                          "__bucket", slot)
 
 

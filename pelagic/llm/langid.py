@@ -105,7 +105,7 @@ def sample_labelled(docs: DataFrame, lang: str, id_col: str, docs_per_lang: int)
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", *,
           docs_per_lang: int = 3000, max_words: int = 20_000, max_grams: int = 5_000,
-          max_langs: int = 500) -> Model:
+          max_langs: int = 100) -> Model:
     """Fit the model on labelled ``docs``.  Languages beyond ``max_langs`` raise an error."""
     labelled = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"), F.col(lang).alias("__lang"))
     n_langs = labelled.select(F.count_distinct("__lang")).first()[0]

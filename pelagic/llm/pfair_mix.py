@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pelagic.llm.common import small_broadcast
+from pelagic.llm.common import own_columns, small_broadcast
 
 NULL_SOURCE = "0"  # keys of named sources start with "1"
 
@@ -100,7 +100,7 @@ def numbered(docs: DataFrame, key: Column, order: Column, rows: int) -> DataFram
     d = d.withColumn("__r", F.floor((F.col("__h") / F.lit(float(1 << 62))) * ranges).cast("int"))
     counts = d.groupBy("__s", "__r").agg(F.count("*").alias("__n"))
     before = counts.select("__s", "__r", (F.sum("__n").over(W.partitionBy("__s").orderBy("__r")) - F.col("__n")).alias("__before"))
-    inside = F.row_number().over(W.partitionBy("__s", "__r").orderBy("__h", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))) - 1
+    inside = F.row_number().over(W.partitionBy("__s", "__r").orderBy("__h", F.xxhash64(*own_columns(docs)))) - 1
     return (d.withColumn("__in", inside).join(before, ["__s", "__r"])
             .withColumn("__i", F.col("__before") + F.col("__in")).drop("__r", "__h", "__in", "__before"))
 
@@ -141,4 +141,4 @@ def pfair_mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *
         (p["start"] + floor_div(k * p["period"], p["share"])).alias("release"),
         (p["start"] + floor_div((k + 1) * p["period"] + p["share"] - 1, p["share"])).alias("deadline"),
         slot.alias("slot"), (slot * block_docs + F.col("__i") % block_docs).alias("position"))
-    return d.select(*[F.col(f"`{c}`") for c in docs.columns], mix.alias("mix"))
+    return d.select(*own_columns(docs), mix.alias("mix"))

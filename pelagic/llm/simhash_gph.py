@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagic.llm.common import WORD, checkpointed, small_broadcast, text_batches
+from pelagic.llm.common import WORD, checkpointed, own_columns, small_broadcast, text_batches
 
 WORDS = re.compile(WORD)
 UPPER_RUN = re.compile("[A-Z]+")
@@ -313,4 +313,4 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", shi
     roots = found.filter(F.col("component_id").isNull()).select(F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct()
     blank = (docs.filter(F.col(id_col).isNull()).withColumn("__fp", fingerprint_column(docs, F.col(text), shingle))
              .join(roots, "__fp").dropDuplicates(["__root"]))
-    return named.unionByName(blank.select(*docs.columns))
+    return named.unionByName(blank.select(*own_columns(docs)))
