@@ -51,9 +51,14 @@ def _sums(obs: DataFrame, log: DataFrame, key: str, taxon: str, label: str, valu
 
 
 def _firsts(sums: DataFrame, key: str, label: str) -> DataFrame:
-    """First start date per affected label: the one of the lowest (sample, start) record (W-05)."""
-    return (sums.where(F.col("__start").isNotNull()).groupBy(label)
-            .agg(F.min_by(F.col("__start"), F.struct(F.col(key), F.col("__start"))).alias("__first")))
+    """First start date per affected label: the one of the lowest (sample, start) record (W-05).
+
+    Rows without a start have a null order, which ``min_by`` passes over, and the sum (never
+    null) is read: so this reads the very rows the matrix reads and their shuffle is shared.
+    """
+    order = F.when(F.col("__start").isNotNull() & F.col("__v").isNotNull(), F.struct(F.col(key), F.col("__start")))
+    first = sums.groupBy(label).agg(F.min_by(F.col("__start"), order).alias("__first"))
+    return first.where(F.col("__first").isNotNull())
 
 
 def label_starts(obs: DataFrame, log: DataFrame, key: str = "sample", taxon: str = "taxon", label: str = "genus",

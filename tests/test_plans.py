@@ -29,3 +29,15 @@ def test_scan_pruning_and_pushdown(spark):
     schema = re.findall(r"ReadSchema: struct<([^>]*)>", p)
     assert schema and all("ts" not in s.split(",") for s in schema)  # unused column not read
     assert "PushedFilters: [IsNotNull(props)" in p or "IsNotNull(props)" in p
+
+
+@pytest.mark.parametrize("name, scans", [("absence_matrix_genus", 5), ("mixed_layer", 2), ("water_quality", 6),
+                                         ("satellite_matchup", 2), ("doy_smooth", 1), ("region_overlay", 4)])
+def test_scans_are_shared_and_no_window_is_one_task(spark, name, scans):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the static plan shows what is reused
+    try:
+        p = _plan(_c.QUERIES[name](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert p.count("FileScan parquet") <= scans
+    assert "SinglePartition" not in p
