@@ -289,7 +289,8 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", s
     nodes = checkpointed(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")))
     stars = connected(near_links(nodes.select("fp"), max_distance, **plan))
     rooted = nodes.join(stars, F.col("fp") == F.col("node"), "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # materialised, so the join below shuffles both sides itself and Spark can split the root of a huge component
+    least = checkpointed(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     final = checkpointed(rooted.join(least, "root").select("fp", "n", "root", "component_id"))
     # at most hot_share fingerprints can hold more than 1 / hot_share of all rows: those are looked up by broadcast
     total = nodes.agg(F.sum("n")).first()[0] or 0
