@@ -376,3 +376,37 @@ def test_pipeline_stages_on_odd_rows(spark):
             assert got.columns[:len(odd.columns)] == odd.columns
             got.collect()
     assert sorted(r["doc_id"] or 0 for r in cp.dedup(spark, odd, SF).collect()) == [1, 3]
+
+
+def test_pipeline_rows_follow_the_mixture(spark):
+    import corpus_pipeline as cp
+
+    had = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # files are read in many splits, the largest first
+    try:
+        rows = cp.run(spark, "/root/testdata/sf0.01").select("doc_id", "source").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", had)
+    blocks = Counter(s for _, s in rows)
+    blocks = {s: -(-n // 8) for s, n in blocks.items()}
+    weights = {s: cp.TARGET_WEIGHTS[s] for s in blocks}
+    # slots before a source's last block, which may be short: blocks of 8 rows each, every source within one block of its target
+    slots = int(min((blocks[s] - 1) / (w / sum(weights.values())) for s, w in weights.items()))
+    assert slots > 15
+    had = Counter()
+    for t in range(1, slots + 1):
+        block = {s for _, s in rows[8 * t - 8:8 * t]}
+        assert len(block) == 1
+        had.update(block)
+        assert all(abs(had[s] - w / sum(weights.values()) * t) < 1 for s, w in weights.items())
+
+
+def test_encode_finds_the_position_again(spark):
+    import corpus_pipeline as cp
+
+    docs = spark.createDataFrame([(i, f"text {i}", "en", "src0" if i % 3 else "src1", 6) for i in range(900)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    want = {r["doc_id"]: r["mix"]["position"] for r in cp.pfair_mix.pfair_mix(docs, cp.TARGET_WEIGHTS).collect()}
+    got = cp.encode(spark, cp.mix(spark, docs, SF).orderBy(F.rand(1)), SF).collect()
+    assert {r["doc_id"]: r["mix_position"] for r in got} == want
+    assert [r["mix_position"] for r in got] == sorted(want.values())
