@@ -276,6 +276,49 @@ def test_period_has_less_than_one_block_of_deviation():
             assert all(abs(had[s] * total - a * (t + 1)) < total for s, a in share.items())
 
 
+def test_exact_weights_over_many_periods():
+    """0.3 and 0.0001 are no multiples of 1/2048: the lag stays below one block far beyond one period, and after run-outs."""
+    from fractions import Fraction
+
+    target = pfair_mix.target_weights(dict.fromkeys("abcd", 1), {"a": 0.3, "b": 0.0001, "c": 0.2}, 0.5)
+    assert target["a"] == Fraction(3, 10) and target["b"] == Fraction(1, 10000) and sum(target.values()) == 1
+    w = pfair_mix.whole_weights([target[s] for s in "abcd"])
+    for blocks in ([18_100, 12, 20_000, 30_000], [3_000, 40, 6, 9_000]):
+        targets = pfair_mix.Targets(blocks, w)
+        ranges = list(pfair_mix.range_starts(targets, 5000))
+        rows = []
+        for start, stop, done in ranges:
+            rows += pfair_mix.schedule(targets, np.frombuffer(done, dtype=np.int64).tolist(), start, stop)
+        assert [r[4] for r in rows] == list(range(sum(blocks)))
+        assert Counter(r[0] for r in rows) == dict(enumerate(blocks)) and len({r[:2] for r in rows}) == len(rows)
+        assert all(release <= slot < deadline for _, _, release, deadline, slot in rows)
+        # against the fluid target, advanced slot by slot in floats
+        had, want = [0] * 4, [0.0] * 4
+        for s, *_ in rows:
+            had[s] += 1
+            room = 1.0
+            while room > 1e-12 and any(n - x > 1e-9 for n, x in zip(blocks, want)):
+                live = [k for k in range(4) if blocks[k] - want[k] > 1e-9]
+                total = sum(w[k] for k in live)
+                part = min([room, *[(blocks[k] - want[k]) * total / w[k] for k in live]])
+                for k in live:
+                    want[k] += part * w[k] / total
+                room -= part
+            assert all(abs(had[k] - want[k]) < 1 + 1e-6 for k in range(4))
+
+
+def test_mix_follows_uneven_weights_beyond_a_period(spark):
+    df = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 20_000, "a").when(F.col("id") < 20_020, "b").otherwise("c").alias("source"))
+    got = pfair_mix.pfair_mix(df, {"a": 0.3, "b": 0.0001}, block_docs=1).select("source", "mix.*").collect()
+    assert sorted(r["slot"] for r in got) == list(range(60_000))
+    first = [r["source"] for r in sorted(got, key=lambda r: r["slot"]) if r["phase"] == 0]
+    assert len(first) > 50_000
+    a = b = 0
+    for t, s in enumerate(first, 1):
+        a, b = a + (s == "a"), b + (s == "b")
+        assert abs(a - 0.3 * t) < 1 and abs(b - 0.0001 * t) < 1
+
+
 def test_mix_of_nothing_and_of_repeated_rows(spark):
     df = spark.createDataFrame([(1, "a", "t")] * 30 + [(None, None, None)] * 5, "doc_id long, source string, text string")
     got = pfair_mix.pfair_mix(df).collect()
