@@ -5,15 +5,18 @@ come from all training texts (N tokens, V distinct).  Tokens are known in two
 exact ways: the commonest ``head`` (bounded) is looked up in the tasks, every
 other token by a shuffle join with the counts.
 
-The model factors a token into its class and its place in the class:
+The model factors a token into a chain of choices, the places on its path in a
+tree of ``class_size`` children a node:
 
-    P(w | h) = P(class(w) | h) * P(w | class(w), h)
+    P(w | h) = product of P(place | node, h) over the nodes of w's path
 
-The ``model_words`` commonest tokens form classes of ``class_size``; all others
-are one class, inside which P(w) = (c + 0.5) / (N' + 0.5 (V' + 1)) over its N'
-tokens, V' distinct, and one place for the unseen.  Both softmaxes are linear
-in hashed n-gram features (previous word, previous two) and skip features (the
-word before the previous, the one before that), started from the token counts.
+The tree is the Huffman tree of the counts.  Its leaves are the ``model_words``
+commonest tokens (all of the head) and the classes of all others, by the hash of
+their last three characters; there are more classes the more distinct tokens.
+Inside a class P(w) = (c + 0.5) / (N' + 0.5 (V' + 1)) over its N' tokens, V'
+distinct, and one place for the unseen.  Each choice is a softmax, linear in
+hashed n-gram features (previous word, previous two) and skip features (the word
+before the previous, the one before that), started from the token counts.
 
 Training: in each round every partition runs minibatch gradient steps over its
 share of all training texts, from the weights of the round before; the changes,
@@ -29,10 +32,11 @@ scored apart.  Rows are numbered by input partition: give it a stable input
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -47,6 +51,8 @@ from pelagic.llm.common import checkpointed, text_batches
 END = "\n"  # no word holds white space
 WINDOW = 1 << 16  # tokens of one numpy batch
 BLOCKS = 32  # pieces of the weight vector
+SUFFIX_CODES = 1 << 16  # at most so many classes of rare tokens
+DAMPING = 64.0  # keeps rare features from learning their few tokens by heart
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -81,46 +87,75 @@ class Shape:
     """Sizes of the model; all bounded parameters."""
 
     head: int = 100_000
-    model_words: int = 512
-    class_size: int = 32
-    class_bits: int = 14
-    word_bits: int = 14
+    model_words: int | None = None  # None: the whole head
+    class_size: int = 8
+    bits: int = 17
     suffix_codes: int = 4096
 
 
+def huffman(mass: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes and places on each leaf's path from the leaf up (-1 past the root), and the mass of each node's children."""
+    leaves = len(mass)
+    nodes = max(1, -(-(leaves - 1) // (size - 1)))
+    full = nodes * (size - 1) + 1  # places without a leaf have no mass and can't occur
+    heap = [(0.0, i) for i in range(leaves, full)] + [(float(x), i) for i, x in enumerate(mass)]
+    heapq.heapify(heap)
+    up, place = np.full(full + nodes, -1), np.zeros(full + nodes, dtype=np.int64)
+    below = np.zeros((nodes, size))
+    for k in range(nodes):
+        for a in range(size):
+            below[k, a], child = heapq.heappop(heap)
+            up[child], place[child] = k, a
+        heapq.heappush(heap, (below[k].sum(), full + k))
+    at, path, places = np.arange(leaves), [], []
+    while (up[at] >= 0).any():
+        path.append(up[at])
+        places.append(place[at])
+        at = np.where(up[at] >= 0, full + up[at], at)
+    return np.stack(path, axis=1).astype(np.int32), np.stack(places, axis=1).astype(np.int16), below
+
+
 class MaxEnt:
-    """Vocabulary, start values and weights."""
+    """Vocabulary, tree, start values and weights."""
 
-    def __init__(self, head: list[tuple[str, int]], n: int, v: int, shape: Shape):
+    def __init__(self, head: list[tuple[str, int]], n: int, v: int, shape: Shape, tail: dict[int, tuple[int, int]] | None = None):
+        """``tail``: tokens and distinct tokens outside the head by suffix code; None: all tokens without a leaf are one class."""
         head = sorted(head, key=lambda x: (-x[1], x[0]))
         self.shape, self.n, self.v = shape, n, v
         self.vocab = pa.array([w for w, _ in head], pa.string())
         self.end = next((i for i, (w, _) in enumerate(head) if w == END), None)
         self.start = len(head) + shape.suffix_codes  # the code before a text
         c = np.array([x for _, x in head], dtype=float)
-        m = self.model_words = min(shape.model_words, len(head))
-        s = shape.class_size
-        self.classes = -(-m // s)  # the class of all other tokens comes after these
+        m = self.model_words = len(head) if shape.model_words is None else min(shape.model_words, len(head))
         self.base_log = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
         self.rest_n, self.rest_v = n - float(c[:m].sum()), v - m
-        self.rest_log = np.log10((c + 0.5) / (self.rest_n + 0.5 * (self.rest_v + 1)))
-        mass = np.zeros(self.classes * s)
-        mass[:m] = c[:m] + 0.5
-        mass = mass.reshape(self.classes, s)
+        # the class of each code (0 for codes with a leaf), and tokens and distinct tokens of each class
+        kind = np.zeros(len(head) + shape.suffix_codes, dtype=np.int64)
+        if tail is None:
+            class_n, class_v = np.array([self.rest_n]), np.array([float(self.rest_v)])
+        else:
+            kind[len(head):] = np.arange(shape.suffix_codes)
+            kind[m:len(head)] = [self.suffix(w[-3:]) for w, _ in head[m:]]
+            class_n, class_v = np.zeros(shape.suffix_codes), np.zeros(shape.suffix_codes)
+            for k, (tokens, distinct) in tail.items():
+                class_n[k], class_v[k] = tokens, distinct
+            class_n += np.bincount(kind[m:len(head)], weights=c[m:], minlength=len(class_n))
+            class_v += np.bincount(kind[m:len(head)], minlength=len(class_v))
+        self.class_total = class_n + 0.5 * (class_v + 1)
+        self.kind = kind
+        self.rest_log = np.log10((c + 0.5) / self.class_total[kind[:len(head)]])
+        self.leaf = np.where(np.arange(len(kind)) < m, np.arange(len(kind)), m + kind)
+        self.path, self.place, below = huffman(np.r_[c[:m] + 0.5, class_n + 0.5], shape.class_size)
         with np.errstate(divide="ignore"):
-            self.class_bias = np.log(np.r_[mass.sum(axis=1), self.rest_n + 0.5]).astype(np.float32)
-            # places past the last model word can't occur
-            self.word_bias = np.where(mass > 0, np.log(mass), -30.0).astype(np.float32)
-        self.width = self.classes + 1
-        self.class_rows, self.word_rows = 1 << shape.class_bits, 1 << shape.word_bits
-        self.weights = np.zeros(self.class_rows * self.width + self.word_rows * s, dtype=np.float32)
+            log_mass = np.log(below) - np.log(below.sum(axis=1, keepdims=True))
+        self.bias = np.where(below > 0, log_mass, -30.0).astype(np.float32)
+        self.weights = np.zeros(shape.class_size << shape.bits, dtype=np.float32)
 
-    def tables(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        k = self.class_rows * self.width
-        return weights[:k].reshape(self.class_rows, self.width), weights[k:].reshape(self.word_rows, self.shape.class_size)
+    def table(self, weights: np.ndarray) -> np.ndarray:
+        return weights.reshape(-1, self.shape.class_size)
 
     def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Table]:
-        """Token codes of all texts, three start codes before each; the text of each code; (doc, token, times) outside the head."""
+        """Token codes of all texts, three start codes before each; the text of each code; (doc, token, code, times) outside the head."""
         words, owner = split_tokens(texts)
         d, h = len(texts), len(self.vocab)
         own = pc.fill_null(pc.index_in(words, value_set=self.vocab), -1).to_numpy().astype(np.int64)
@@ -135,10 +170,11 @@ class MaxEnt:
         codes = np.full(int((n + 4).sum()), self.start, dtype=np.int64)
         codes[np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first + 3, n)] = own
         codes[first + 3 + n] = h + self.suffix(END) if self.end is None else self.end
-        rest = pa.table({"doc": owner[out], "token": rare})
+        rest = pa.table({"doc": owner[out], "token": rare, "code": own[out]})
         if self.end is None:
-            rest = pa.concat_tables([rest, pa.table({"doc": np.arange(d), "token": pa.array([END] * d, pa.string())})])
-        rest = rest.group_by(["doc", "token"]).aggregate([([], "count_all")])
+            rest = pa.concat_tables([rest, pa.table({"doc": np.arange(d), "token": pa.array([END] * d, pa.string()),
+                                                    "code": np.full(d, h + self.suffix(END))})])
+        rest = rest.group_by(["doc", "token", "code"]).aggregate([([], "count_all")])
         return codes, np.repeat(np.arange(d), n + 4), rest
 
     def suffix(self, ending: str) -> int:
@@ -150,23 +186,26 @@ class MaxEnt:
         for p in parts:
             h = (h ^ p.astype(np.uint64)) * MIX
             h ^= h >> np.uint64(29)
-        return ((h * MIX) >> np.uint64(64 - bits)).astype(np.int64)
+        h = (h * MIX) >> np.uint64(64 - bits)
+        return h if bits == 64 else h.astype(np.int64)
 
-    def windows(self, codes: np.ndarray) -> Iterator[tuple]:
-        """(positions, target codes, class features, class) of windows of the target tokens."""
+    def windows(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, Iterator[tuple]]]:
+        """Positions of windows of the target tokens, and the choices on their paths."""
         at = np.flatnonzero(codes != self.start)
         for lo in range(0, len(at), WINDOW):
-            p = at[lo:lo + WINDOW]
-            w1, w2, w3 = codes[p - 1], codes[p - 2], codes[p - 3]
-            bits = self.shape.class_bits
-            feats = np.stack([self.hashed(1, bits, w1), self.hashed(2, bits, w2, w1), self.hashed(3, bits, w2), self.hashed(4, bits, w3)])
-            y = codes[p]
-            k = np.where(y < self.model_words, y // self.shape.class_size, self.classes)
-            yield p, y, feats, k, (w1, w2)
-
-    def word_feats(self, k: np.ndarray, w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
-        bits = self.shape.word_bits
-        return np.stack([self.hashed(5, bits, k, w1), self.hashed(6, bits, k, w2, w1), self.hashed(7, bits, k, w2)])
+            yield at[lo:lo + WINDOW], self.choices(codes, at[lo:lo + WINDOW])
+
+    def choices(self, codes: np.ndarray, p: np.ndarray) -> Iterator[tuple]:
+        """(which of the positions ``p``, features, node, place) of each step up the paths."""
+        leaf, bits = self.leaf[codes[p]], self.shape.bits
+        h1, h2, h3, h4 = (self.hashed(k, 64, *(codes[p - d] for d in back)) for k, back in enumerate(((1,), (2, 1), (2,), (3,)), 1))
+        for d in range(self.path.shape[1]):
+            own = np.flatnonzero(self.path[leaf, d] >= 0)
+            if not len(own):
+                return
+            node = self.path[leaf[own], d]
+            feats = np.stack([self.hashed(5, bits, node, h[own]) for h in (h1, h2, h3, h4)])
+            yield own, feats, node, self.place[leaf[own], d]
 
     @staticmethod
     def softmax_log(z: np.ndarray) -> np.ndarray:
@@ -182,47 +221,35 @@ class MaxEnt:
         return z
 
     def score(self, codes: np.ndarray) -> np.ndarray:
-        """Natural log of P(class) * P(place in class) at each code (0 at start codes; the rest class: P(class) only)."""
-        out = np.zeros(len(codes))
-        ct, wt = self.tables(self.weights)
-        for p, y, feats, k, (w1, w2) in self.windows(codes):
-            lp = self.softmax_log(self.logits(ct, self.class_bias, feats))
-            got = lp[np.arange(len(p)), k].astype(float)
-            own = np.flatnonzero(k < self.classes)
-            if len(own):
-                wf = self.word_feats(k[own], w1[own], w2[own])
-                lw = self.softmax_log(self.logits(wt, self.word_bias[k[own]], wf))
-                got[own] += lw[np.arange(len(own)), y[own] % self.shape.class_size]
-            out[p] = got
+        """Natural log of the path's probability at each code (0 at start codes; without the token's share of its class)."""
+        out, table = np.zeros(len(codes)), self.table(self.weights)
+        for p, choices in self.windows(codes):
+            for own, feats, node, place in choices:
+                out[p[own]] += self.softmax_log(self.logits(table, self.bias[node], feats))[np.arange(len(own)), place]
         return out
 
     def step(self, weights: np.ndarray, square: np.ndarray, codes: np.ndarray, rate: float) -> int:
         """Adaptive gradient steps over the windows of ``codes``, on ``weights`` in place; tokens seen."""
-        n, s = 0, self.shape.class_size
-        ct, wt = self.tables(weights)
-        cs, ws = self.tables(square)
-        for p, y, feats, k, (w1, w2) in self.windows(codes):
+        n, table = 0, self.table(weights)
+        for p, choices in self.windows(codes):
             n += len(p)
-            g = np.exp(self.softmax_log(self.logits(ct, self.class_bias, feats)))
-            g[np.arange(len(p)), k] -= 1
-            self._update(ct, cs, feats, g, rate)
-            own = np.flatnonzero(k < self.classes)
-            if len(own):
-                wf = self.word_feats(k[own], w1[own], w2[own])
-                g = np.exp(self.softmax_log(self.logits(wt, self.word_bias[k[own]], wf)))
-                g[np.arange(len(own)), y[own] % s] -= 1
-                self._update(wt, ws, wf, g, rate)
+            slopes, rows = [], []
+            for own, feats, node, place in choices:
+                g = np.exp(self.softmax_log(self.logits(table, self.bias[node], feats)))
+                g[np.arange(len(own)), place] -= 1
+                slopes.append(g)
+                rows.append(feats)
+            self._update(weights, square, np.concatenate(rows, axis=1), np.concatenate(slopes), rate)
         return n
 
     @staticmethod
-    def _update(table: np.ndarray, square: np.ndarray, feats: np.ndarray, g: np.ndarray, rate: float) -> None:
-        rows, width = table.shape
-        flat, total = g.astype(float).ravel(), np.zeros(rows * width)
+    def _update(weights: np.ndarray, square: np.ndarray, feats: np.ndarray, g: np.ndarray, rate: float) -> None:
+        width, flat, total = g.shape[1], g.astype(float).ravel(), np.zeros(len(weights))
         for f in feats:
-            total += np.bincount((f[:, None] * width + np.arange(width)).ravel(), weights=flat, minlength=rows * width)
-        total = total.reshape(rows, width).astype(np.float32)
+            total += np.bincount((f[:, None] * width + np.arange(width)).ravel(), weights=flat, minlength=len(weights))
+        total = total.astype(np.float32)
         square += total * total
-        table -= rate * total / np.sqrt(square + 1.0)
+        weights -= rate * total / np.sqrt(square + DAMPING)
 
 
 def block_edges(n: int) -> np.ndarray:
@@ -246,7 +273,12 @@ def train(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *, shape:
             break
         least = r["b"]
     head = [tuple(r) for r in counts.filter(size_class >= least).select("token", "c").collect()] if least is not None else []
-    model = MaxEnt(head, n, v, shape)
+    # all other tokens by suffix code; the codes follow the distinct tokens
+    shape = replace(shape, suffix_codes=max(shape.suffix_codes, min(SUFFIX_CODES, v // 64)))
+    code = F.pmod(F.crc32(F.substring("token", -3, 3)), F.lit(shape.suffix_codes))
+    outside = counts if least is None else counts.filter(size_class < least)
+    tail = {r[0]: (r[1], r[2]) for r in outside.groupBy(code.alias("k")).agg(F.sum("c"), F.count("*")).collect()}
+    model = MaxEnt(head, n, v, shape, tail)
     part = F.pmod(F.xxhash64(F.lit(5), F.col(id_col).cast("string")), F.lit(rounds))
     for k in range(rounds):
         model.weights = model.weights + _round(docs.filter(part == k), text, model, rate / (1 + k))
@@ -296,7 +328,7 @@ def score_texts(docs: DataFrame, model: MaxEnt, counts: DataFrame, text: str = "
     shared = spark.sparkContext.broadcast(model)
     kept = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     sums = ["n_tokens", "n_known", "base", "score"]
-    schema = f"row long, token string, times long, id {kept.schema['id'].dataType.simpleString()}, n_tokens long, n_known long, base double, score double"
+    schema = f"row long, token string, times long, class_total double, id {kept.schema['id'].dataType.simpleString()}, n_tokens long, n_known long, base double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: MaxEnt = shared.value
@@ -312,23 +344,24 @@ def score_texts(docs: DataFrame, model: MaxEnt, counts: DataFrame, text: str = "
             other = head >= m.model_words
             score = np.bincount(owner, weights=total, minlength=d).astype(float)
             score += np.bincount(whose[other], weights=m.rest_log[head[other]], minlength=d)
-            row, names = first + np.arange(d), ["row", "token", "times", "id", *sums]
+            row, names = first + np.arange(d), ["row", "token", "times", "class_total", "id", *sums]
             # one row with the document's sums, whose token no text holds, then one per token outside the head
             yield pa.RecordBatch.from_arrays([
-                pa.array(row), pa.array([f" {r}" for r in row]), pa.array(np.zeros(d, np.int64)), b.column(0),
+                pa.array(row), pa.array([f" {r}" for r in row]), pa.array(np.zeros(d, np.int64)), pa.array(np.ones(d)), b.column(0),
                 pa.array(np.bincount(owner, minlength=d) - 3), pa.array(np.bincount(whose, minlength=d)),
                 pa.array(np.bincount(whose, weights=m.base_log[head], minlength=d).astype(float)), pa.array(score.astype(float))], names=names)
             k = rest.num_rows
             if k:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(row[rest["doc"].to_numpy()]), rest["token"].combine_chunks(), rest["count_all"].combine_chunks(),
+                    pa.array(m.class_total[m.kind[rest["code"].to_numpy()]]),
                     pa.nulls(k, b.column(0).type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()),
                     pa.nulls(k, pa.float64())], names=names)
             first += d
 
     c = F.coalesce("c", F.lit(0))
     base_log = F.log10((c + 0.5) / F.lit(model.n + 0.5 * (model.v + 1)))
-    rest_log = F.log10((c + 0.5) / F.lit(model.rest_n + 0.5 * (model.rest_v + 1)))
+    rest_log = F.log10((c + 0.5) / F.col("class_total"))
     parts = kept.mapInArrow(run, schema).join(counts, "token", "left")
     summed = parts.groupBy("row").agg(
         F.max("id").alias(id_col), *[F.max(x).alias(x) for x in sums], F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("known"),

@@ -4,9 +4,10 @@ import hashlib
 import math
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +213,36 @@ def test_lm_is_a_distribution():
     assert abs(total - 1) < 1e-4
 
 
+def test_lm_covers_the_whole_vocabulary(spark):
+    """Tokens beyond the 512 commonest, and classes of tokens outside the head, are told from their history."""
+    rnd = random.Random(3)
+    pairs = [(f"a{i}x", f"b{i}y") for i in range(700)]  # each second word follows from its first
+    rows = [(i, " ".join(w for _ in range(40) for w in rnd.choice(pairs))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, _ = maxent_lm.train(docs)
+    assert model.model_words == len(model.vocab) == 1401
+    codes = model.code(pa.array([rows[0][1]]))[0]
+    first = [float(x) for x in model.score(codes)[3:-1:2]]
+    second = [float(x) for x in model.score(codes)[4:-1:2]]
+    assert np.mean(second) > np.mean(first) + 1
+    # a history changes the class of tokens outside the head, and everything still adds up to 1
+    model, counts = maxent_lm.train(docs, shape=maxent_lm.Shape(head=300))
+    inside = {r["token"]: r["c"] for r in counts.collect()}
+    assert len(model.vocab) <= 300 and len(set(model.leaf)) > 4000
+    for before in (rows[0][1].split()[:2], ["b1y", "a7x"]):
+        history = model.code(pa.array([" ".join(before)]))[0][3:5]
+        codes = np.concatenate([np.r_[model.start, history, k] for k in range(model.start)])
+        p = np.exp(model.score(codes)[3::4])
+        leaves = dict(zip(model.leaf, p))
+        assert abs(sum(leaves.values()) - 1) < 1e-3
+    share = defaultdict(float)
+    for w, c in inside.items():
+        code = int(model.code(pa.array([w]))[0][3])
+        if code >= len(model.vocab):
+            share[model.kind[code]] += (c + 0.5) / model.class_total[model.kind[code]]
+    assert share and all(abs(x + 0.5 / model.class_total[k] - 1) < 1e-9 for k, x in share.items())
+
+
 def test_lm_beats_the_base_on_held_out_texts(spark):
     r = catalog.QUERIES["op5_maxent_lm"](spark, "/root/testdata/sf0.01").filter("held_out").agg(
         F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
