@@ -17,7 +17,9 @@ count once, so copies do not make an article look like furniture.
 What markup says outright needs no statistics: menus, headers, footers, forms,
 scripts, hidden parts, and elements whose class, id or role names an advert,
 notice, sidebar or reader comments go; if the page marks its article (or main
-part), text outside of it goes, and paragraphs inside are never cut.
+part), text outside of it goes.  Nodes inside are judged like all others, but
+the mark-up speaks for them: their importance is at least their content entropy,
+and they are cut below ``threshold`` / ``MARKED_CREDIT`` only.
 
 Text: character references decoded, white space inside a block made one space,
 trimmed, blocks joined by \\n in page order; ``<br>`` counts as white space.
@@ -66,6 +68,7 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "tbody": ({"tbody", "thead", "tfoot"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}),
         "option": ({"option"}, {"select"})}
+MARKED_CREDIT = 4
 P_SCOPE = {"td", "th", "caption", "button", "html", "table"}
 
 TOKEN = re.compile(
@@ -271,36 +274,36 @@ def digest(text: str) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def style_rows(page: Page) -> list[tuple[int, int, int, int, int]]:
-    """(page text, node, kinds of children, layout, content) of each style node that holds text to judge."""
+def style_rows(page: Page) -> list[tuple[int, int, int, int, int, bool]]:
+    """(page text, node, kinds of children, layout, content, marked as content) of each style node that holds text."""
     blocks = page.main_blocks()
     whole = digest("\n".join(b.text for b in blocks))
     under: dict[str, list[str]] = {}
-    safe: set[str] = set()
+    marked: set[str] = set()
     for b in blocks:
         for k, node in enumerate(b.nodes):
             under.setdefault(node, []).append(b.text)
         if b.protected:
-            safe.update(b.nodes)
-    return [(whole, digest(node), len(set(page.layouts.get(node, ()))), digest(" ".join(page.layouts.get(node, ()))), digest("\n".join(texts)))
-            for node, texts in under.items() if node not in safe]
+            marked.update(b.nodes)
+    return [(whole, digest(node), len(set(page.layouts.get(node, ()))), digest(" ".join(page.layouts.get(node, ()))), digest("\n".join(texts)),
+             node in marked) for node, texts in under.items()]
 
 
 def main_text(source: str | None, low: set[int]) -> str:
     """Main text of a page without the branches in ``low`` (digests of style nodes)."""
     page = Page(source)
-    keep = [b for b in page.main_blocks() if b.protected or not low or not any(digest(n) in low for n in b.nodes)]
+    keep = [b for b in page.main_blocks() if not low or not any(digest(n) in low for n in b.nodes)]
     return "\n".join(b.text for b in keep)
 
 
 def style_tree(pages: DataFrame, *, host: Column, html: Column) -> DataFrame:
-    """(host, node, pages, importance) of the merged style trees."""
+    """(host, node, pages, importance, marked) of the merged style trees."""
     text_batches(pages.sparkSession)
-    schema = "array<struct<page:long,node:long,kinds:long,layout:long,content:long>>"
+    schema = "array<struct<page:long,node:long,kinds:long,layout:long,content:long,marked:boolean>>"
 
     @F.pandas_udf(schema)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        names = ["page", "node", "kinds", "layout", "content"]
+        names = ["page", "node", "kinds", "layout", "content", "marked"]
         for sources in batches:
             yield pd.Series([[dict(zip(names, r)) for r in style_rows(Page(s))] for s in sources], dtype=object)
 
@@ -308,25 +311,28 @@ def style_tree(pages: DataFrame, *, host: Column, html: Column) -> DataFrame:
     rows = checkpointed(rows)
 
     def entropy(by: str) -> DataFrame:
-        c = rows.groupBy("host", "node", by).agg(F.count("*").alias("c"), F.max("kinds").alias("kinds"))
+        c = rows.groupBy("host", "node", by).agg(F.count("*").alias("c"), F.max("kinds").alias("kinds"), F.max("marked").alias("marked"))
         return c.groupBy("host", "node").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.log(F.col("c").cast("double"))).alias("s"),
-                                             F.max("kinds").alias("kinds"))
+                                             F.max("kinds").alias("kinds"), F.max("marked").alias("marked"))
 
     def spread(m: Column, s: Column) -> Column:
         return F.when(m > 1, (F.log(m.cast("double")) - s / m) / F.log(m.cast("double"))).otherwise(F.lit(1.0))
 
     layout, content = entropy("layout"), entropy("content").select("host", "node", F.col("s").alias("sc"))
     share = F.pow(F.lit(0.9), F.col("kinds"))
+    told = spread(F.col("m"), F.col("sc"))
+    importance = (1 - share) * spread(F.col("m"), F.col("s")) + share * told
     return layout.join(content, ["host", "node"]).select(
         "host", "node", F.col("m").alias("pages"),
-        ((1 - share) * spread(F.col("m"), F.col("s")) + share * spread(F.col("m"), F.col("sc"))).alias("importance"))
+        F.when(F.col("marked"), F.greatest(importance, told)).otherwise(importance).alias("importance"), "marked")
 
 
-def extract_text(pages: DataFrame, *, html: str = "html", url: str = "url", into: str = "main_text", min_pages: int = 8,
+def extract_text(pages: DataFrame, *, html: str = "html", url: str = "url", into: str = "main_text", min_pages: int = 4,
                  threshold: float = 0.2, broadcast_hosts: int = 100_000) -> DataFrame:
     """``pages`` with the column ``into``: the main text of each page."""
     tree = style_tree(pages.select(F.col(url).alias("__url"), F.col(html).alias("__html")), host=host_of(F.col("__url")), html=F.col("__html"))
-    low = checkpointed(tree.filter((F.col("pages") >= min_pages) & (F.col("importance") < threshold))
+    limit = F.when(F.col("marked"), F.lit(threshold / MARKED_CREDIT)).otherwise(F.lit(threshold))
+    low = checkpointed(tree.filter((F.col("pages") >= min_pages) & (F.col("importance") < limit))
                        .groupBy(F.col("host").alias("__host")).agg(F.sort_array(F.collect_set("node")).alias("__low")))
     nodes = low.agg(F.sum(F.size("__low"))).first()[0] or 0
 

@@ -378,6 +378,23 @@ def test_style_tree_cuts_what_a_site_repeats(spark):
     assert sorted((r["url"] or "", r["main_text"]) for r in wide) == sorted((r["url"] or "", r["main_text"]) for r in got)
 
 
+def test_style_tree_judges_what_articles_repeat(spark):
+    """Paragraphs under neutral classes that all pages of a host repeat inside their article or main part go; own ones stay."""
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(200)]
+    want, rows = {}, []
+    for host, n, tag in (("many.org", 30, "article"), ("four.org", 4, "main"), ("three.org", 3, "article")):
+        for i in range(n):
+            own = [" ".join(rnd.choices(words, k=20)) for _ in range(2)]
+            url = f"http://{host}/{i}"
+            rows.append((url, f"<{tag}><h1>Title {i}</h1><p class=x1>Read this first</p><p>{own[0]}</p><p>{own[1]}</p>"
+                              f"<ul class=x2><li>One</li><li>Two</li></ul><p class=x3>part {i % 2}</p></{tag}>"))
+            first, last = (["Read this first"], ["One", "Two"]) if n < 4 else ([], [])
+            want[url] = "\n".join([f"Title {i}", *first, *own, *last, f"part {i % 2}"])
+    got = html_style_tree.extract_text(spark.createDataFrame(rows, "url string, html string")).collect()
+    assert {r["url"]: r["main_text"] for r in got} == want
+
+
 # ---- pipeline -------------------------------------------------------------
 
 def test_pipeline_against_its_stages_by_brute_force(spark):
