@@ -1,4 +1,4 @@
-"""Training-data operators: ten operators over documents, pages and embeddings.
+"""Training-data operators: thirteen operators over documents, pages, queries and embeddings.
 
 Nothing outside this subpackage imports it.  ``queries()`` and ``oracle_sql()``
 list the ``opN_*`` queries (and the corpus pipeline) for ``__spark_entry__``.

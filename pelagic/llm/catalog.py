@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagic.llm import (
-    bpe_automaton, decision_list, external_shuffle, html_style_tree, langid, maxent_lm, pfair_mix, segment_topk, simhash_gph, url_glob,
+    bpe_automaton, bpe_replay, decision_list, external_shuffle, html_style_tree, langid, maxent_lm, merkle_manifest, nra_search, pfair_mix,
+    segment_topk, simhash_gph, url_glob,
 )
-from pelagic.llm.common import crc_mod, table
+from pelagic.llm.common import crc_mod, lower_ascii, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,3 +149,93 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(fold == 1, F.lit(False)).alias("held_out")
     return maxent_lm.score_texts(docs, model, counts).select(
         "doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def byte_ranks() -> str:
+    """The production rank file of the byte-level encoder (a parameter of the operator)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def split_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+@query("op11_bpe_replay")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = docs.select("doc_id", bpe_replay.digest_column(spark, F.col("text"), byte_ranks(), split_pattern()).alias("__e"))
+    return out.select("doc_id", "__e.n_tokens", "__e.ids_sha256", "__e.decoded_sha256")
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP12_SQL = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d WHERE len(t) > 0),
+m AS (SELECT doc_id, 100 - 25 + ((25 * len(t) * n_docs) // n_terms) AS m FROM d, c WHERE len(t) > 0),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM p GROUP BY term), c),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op12_nra_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return nra_search.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), 20)
+
+
+def _tree_sql(t: str, levels: int) -> str:
+    """CTEs ``<t>_f<levels>`` (folds and proofs) and ``<t>_n<levels>`` (tops) over ``_f0`` (k, i, own, proof) and ``_n0`` (k, i, d)."""
+    before, after = "array_to_string(kids[1:(i % 8)], '')", "array_to_string(kids[(i % 8 + 2):], '')"
+    return ",\n".join(f"""{t}_r{j} AS (
+  SELECT k, i // 8 AS p, list(d ORDER BY i) AS kids, any_value(c) AS c FROM (SELECT *, count(*) OVER (PARTITION BY k) AS c FROM {t}_n{j}) GROUP BY 1, 2),
+{t}_n{j + 1} AS (SELECT k, p AS i, CASE WHEN c > 1 THEN sha256(array_to_string(kids, '')) ELSE kids[1] END AS d FROM {t}_r{j}),
+{t}_f{j + 1} AS (
+  SELECT x.* EXCLUDE (kids, c, i, own, proof), i // 8 AS i, CASE WHEN c > 1 THEN sha256({before} || own || {after}) ELSE own END AS own,
+         proof || {before} || {after} AS proof
+  FROM (SELECT f.*, r.kids, r.c FROM {t}_f{j} f JOIN {t}_r{j} r ON r.k = f.k AND r.p = f.i // 8) x)""" for j in range(levels))
+
+
+_FIELD = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || " + _FIELD + ")"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# Levels of the SQL: 8 to the power of 8 documents of a language, of 4 languages.
+OP13_SQL = f"""
+WITH RECURSIVE poly(b, v, n) AS (
+  SELECT b, b, 0 FROM range(256) t(b)
+  UNION ALL SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, n + 1 FROM poly WHERE n < 8),
+tab AS (SELECT list(v ORDER BY b) AS tab FROM poly WHERE n = 8),
+leaves AS (SELECT doc_id, {_LEAF.format('text')} AS leaf, {_LEAF.format(_LOWER)} AS low,
+  list_reduce([4294967295] || [ascii(s) FOR s IN string_split(CAST(doc_id AS VARCHAR), '')],
+    lambda x, y: xor(x >> 8, tab[(xor(x, y) & 255) + 1])) AS crc,
+  dense_rank() OVER (ORDER BY lang IS NOT NULL, lang) - 1 AS k,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS i FROM documents, tab),
+a_f0 AS (SELECT doc_id, leaf, k, i, CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN low ELSE leaf END AS own, '' AS proof FROM leaves),
+a_n0 AS (SELECT k, i, leaf AS d FROM leaves),
+{_tree_sql("a", 8)},
+b_f0 AS (SELECT f.doc_id, f.leaf, n.d AS subroot, 0 AS k, f.k AS i, f.own, f.proof FROM a_f8 f JOIN a_n8 n ON n.k = f.k),
+b_n0 AS (SELECT 0 AS k, k AS i, d FROM a_n8),
+{_tree_sql("b", 4)}
+SELECT f.doc_id, f.leaf, f.subroot, n.d AS root, sha256(f.proof) AS proof_sha256, f.own AS folded_root, f.own = n.d AS verified
+FROM b_f4 f, b_n4 n
+"""
+
+
+@query("op13_merkle_intervals", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = merkle_manifest.leaf_digest(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], lower_ascii(F.col("text")))
+    claim = F.when(crc_mod(F.col("doc_id"), 3) == 0, tampered)
+    m = merkle_manifest.manifest(docs, docs.columns, "lang", "doc_id", {"claim": claim})
+    m = m.withColumn("folded_root", merkle_manifest.fold(F.coalesce("claim", "leaf"), F.col("path")))
+    return m.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle_manifest.proof_digests(F.col("path")), 256).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
