@@ -1,8 +1,8 @@
 """Gridded products as long tables (J-07..J-13, F-14, F-19, A-22..A-24, G-01..G-13).
 
-A grid is a long DataFrame ``(keys..., lat_idx, lon_idx, value)`` on regular
-axes described by :class:`Axis`; a layer is a value of the key columns
-(product, period).  Every point lookup is turned into equi-joins on
+A grid is a long DataFrame ``(keys..., lat_idx, lon_idx, value)`` on two axes,
+regular (:class:`Axis`) or of any sorted nodes (:class:`NodeAxis`); a layer is a
+value of the key columns (product, period).  Every point lookup is turned into equi-joins on
 integer cell indices: a point is exploded into the bounded set of cells it
 needs (1 for nearest, n*n for a box, 4 for bilinear) and joined to the grid
 on (keys, lat_idx, lon_idx).  The grid side is never broadcast as a whole;
@@ -12,42 +12,18 @@ the grid to be small).
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagic.functions.nulls import _c
 from pelagic.functions.timeops import month_sequence
+from pelagic.operators.axes import Axis, NodeAxis, axis_from, literal_array
 
 
-@dataclass(frozen=True)
-class Axis:
-    """Regular axis: value_i = origin + i * step for i in [0, n)."""
-
-    origin: float
-    step: float
-    n: int
-
-    def frac_index(self, x: str | Column) -> Column:
-        return (_c(x) - F.lit(self.origin)) / F.lit(self.step)
-
-    def nearest(self, x: str | Column) -> Column:
-        """J-07: index of the nearest node, clipped to the axis; null for a null (or NaN) coordinate."""
-        f = self.frac_index(x)
-        i = F.floor(f + F.lit(0.5)).cast("int")
-        return F.when(f.isNotNull() & ~F.isnan(f), F.least(F.greatest(i, F.lit(0)), F.lit(self.n - 1)))
-
-    def floor_index(self, x: str | Column) -> Column:
-        """J-10: last node at or before x in axis order (may fall outside [0, n))."""
-        return F.floor(self.frac_index(x)).cast("int")
-
-    def value(self, i: str | Column) -> Column:
-        return F.lit(self.origin) + _c(i).cast("double") * F.lit(self.step)
-
-    def inside(self, i: Column) -> Column:
-        return (i >= 0) & (i < self.n)
+AnyAxis = Axis | NodeAxis
 
 
 def _join_cells(cells: DataFrame, grid: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -65,8 +41,8 @@ def _point_keys(points: DataFrame, keys: Sequence[str], point_keys: dict[str, Co
     return points.withColumns({f"__p_{k}": point_keys.get(k, F.col(k)) for k in keys})
 
 
-def grid_nearest(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, lat_axis: Axis,
-                 lon_axis: Axis, keys: Sequence[str] = (), point_keys: dict[str, Column] | None = None,
+def grid_nearest(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, lat_axis: AnyAxis,
+                 lon_axis: AnyAxis, keys: Sequence[str] = (), point_keys: dict[str, Column] | None = None,
                  value: str = "value", out: str = "value") -> DataFrame:
     """J-07 (+J-08 with a DOY key): value of the nearest cell, each axis searched independently."""
     p = _point_keys(points, keys, point_keys).withColumn("__lat", lat_axis.nearest(lat)) \
@@ -76,7 +52,7 @@ def grid_nearest(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: st
                     F.col("__v").alias(out))
 
 
-def grid_box(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, lat_axis: Axis, lon_axis: Axis,
+def grid_box(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, lat_axis: AnyAxis, lon_axis: AnyAxis,
              n: int, keys: Sequence[str] = (), point_keys: dict[str, Column] | None = None,
              value: str = "value", out: str = "value") -> DataFrame:
     """J-09: mean of the n x n box starting at nearest - floor(n/2) (off-centre for even n, N-21).
@@ -95,30 +71,27 @@ def grid_box(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, l
     return j.groupBy(pid).agg(F.avg("__v").alias(out))
 
 
-def bilinear_corners(points: DataFrame, lat: str, lon: str, lat_axis: Axis, lon_axis: Axis) -> DataFrame:
+def bilinear_corners(points: DataFrame, lat: str, lon: str, lat_axis: AnyAxis, lon_axis: AnyAxis) -> DataFrame:
     """J-12: the (up to) four surrounding nodes of each point with bilinear weights.
 
     A point on a grid line uses one node along that axis (D-09), so its
     value does not depend on a neighbour that may lie outside the grid.
     """
-    fi, fj = lat_axis.frac_index(lat), lon_axis.frac_index(lon)
-    i0, j0 = F.floor(fi), F.floor(fj)
-    ti, tj = fi - i0, fj - j0
+    (i0, ti), (j0, tj) = lat_axis.bracket(lat), lon_axis.bracket(lon)
+    t, u = F.col("__ti"), F.col("__tj")
     corners = F.array(*[
         F.struct(F.lit(di).alias("di"), F.lit(dj).alias("dj"),
-                 ((ti if di else (F.lit(1.0) - ti)) * (tj if dj else (F.lit(1.0) - tj))).alias("w"))
+                 ((t if di else (F.lit(1.0) - t)) * (u if dj else (F.lit(1.0) - u))).alias("w"))
         for di in (0, 1) for dj in (0, 1)])
-    p = (points.withColumn("__i0", i0.cast("int")).withColumn("__j0", j0.cast("int"))
-         .withColumn("__ti", ti).withColumn("__tj", tj)
-         .withColumn("__c", F.explode(corners)))
+    p = points.withColumns({"__i0": i0, "__j0": j0, "__ti": ti, "__tj": tj}).withColumn("__c", F.explode(corners))
     keep = ((F.col("__c.di") == 0) | (F.col("__ti") > 0)) & ((F.col("__c.dj") == 0) | (F.col("__tj") > 0))
     return (p.where(keep)
             .withColumn("__lat", F.col("__i0") + F.col("__c.di")).withColumn("__lon", F.col("__j0") + F.col("__c.dj"))
             .withColumn("__w", F.col("__c.w")).drop("__c", "__i0", "__j0", "__ti", "__tj"))
 
 
-def grid_bilinear(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, lat_axis: Axis,
-                  lon_axis: Axis, keys: Sequence[str] = (), point_keys: dict[str, Column] | None = None,
+def grid_bilinear(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, lat_axis: AnyAxis,
+                  lon_axis: AnyAxis, keys: Sequence[str] = (), point_keys: dict[str, Column] | None = None,
                   value: str = "value", out: str = "value",
                   corner_value: Callable[[], Column] | None = None, grid_cols: Sequence[str] = ()) -> DataFrame:
     """J-12 / G-07 / G-08 / G-11 / G-13: bilinear interpolation; null if a needed corner is missing or null.
@@ -143,8 +116,8 @@ def grid_bilinear(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: s
     return agg.select(pid, F.when(F.col("__miss") == 0, F.col("__s")).alias(out))
 
 
-def grid_edge_cell(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, lat_axis: Axis,
-                   lon_axis: Axis, keys: Sequence[str] = (), point_keys: dict[str, Column] | None = None,
+def grid_edge_cell(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, lat_axis: AnyAxis,
+                   lon_axis: AnyAxis, keys: Sequence[str] = (), point_keys: dict[str, Column] | None = None,
                    value: str = "value", out: str = "value") -> DataFrame:
     """J-10: cell at the last lon node <= x and the last lat node on the point's side (floor indices)."""
     p = (_point_keys(points, keys, point_keys).withColumn("__lat", lat_axis.floor_index(lat))
@@ -153,18 +126,13 @@ def grid_edge_cell(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon:
     return j.select(pid, F.col("__v").alias(out))
 
 
-def window_index(axis: Axis, x: str | Column, half_width: float) -> Column:
+def window_index(axis: AnyAxis, x: str | Column, half_width: float) -> Column:
     """J-11: first node index strictly inside (x - hw, x + hw), or null."""
-    a = (_c(x) - F.lit(half_width) - F.lit(axis.origin)) / F.lit(axis.step)
-    b = (_c(x) + F.lit(half_width) - F.lit(axis.origin)) / F.lit(axis.step)
-    lo, hi = F.least(a, b), F.greatest(a, b)
-    i = (F.floor(lo) + 1).cast("int")
-    i = F.greatest(i, F.lit(0))
-    return F.when((i.cast("double") < hi) & (i < axis.n), i)
+    return axis.first_within(x, half_width)
 
 
-def grid_window_cell(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, lat_axis: Axis,
-                     lon_axis: Axis, half_width: float, keys: Sequence[str] = (),
+def grid_window_cell(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, lat_axis: AnyAxis,
+                     lon_axis: AnyAxis, half_width: float, keys: Sequence[str] = (),
                      point_keys: dict[str, Column] | None = None, value: str = "value", out: str = "value") -> DataFrame:
     """J-11: value of the first cell whose node lies within the open half-width window on both axes."""
     p = (_point_keys(points, keys, point_keys).withColumn("__lat", window_index(lat_axis, lat, half_width))
@@ -197,7 +165,7 @@ def grid_trend(grid: DataFrame, t: str, keys: Sequence[str] = (), value: str = "
             .select(*keys, "lat_idx", "lon_idx", F.when(F.col("__fn") == 0, F.col("__s")).alias("slope")))
 
 
-def grid_area_series(grid: DataFrame, lat_axis: Axis, lon_axis: Axis, lat_range: tuple[float, float],
+def grid_area_series(grid: DataFrame, lat_axis: AnyAxis, lon_axis: AnyAxis, lat_range: tuple[float, float],
                      lon_range: tuple[float, float], keys: Sequence[str], value: str = "value") -> DataFrame:
     """P-13 + A-22 / G-04: bounding-box subset, then the mean per layer (a point time series)."""
     la, lo = lat_axis.value("lat_idx"), lon_axis.value("lon_idx")
@@ -215,12 +183,60 @@ def month_spine(series: DataFrame, keys: Sequence[str], start: str, end: str, pe
     return spine.join(series, [*keys, period], "left")
 
 
-def axis_of(grid: DataFrame, index: str, coord: str) -> Axis:
-    """The regular axis of a grid's own coordinates: node 0's coordinate, the step, and the number of nodes."""
-    r = grid.agg(F.min(F.struct(index, coord)).alias("a"), F.max(F.struct(index, coord)).alias("b")).first()
-    (i0, x0), (i1, x1) = r["a"], r["b"]
-    step = (x1 - x0) / (i1 - i0) if i1 > i0 else 1.0
-    return Axis(x0 - i0 * step, step, i1 + 1)
+def axis_of(grid: DataFrame, index: str, coord: str) -> AnyAxis:
+    """The axis of a grid's own coordinates, one per index (the nodes of one dimension): regular, or by its nodes."""
+    rows = grid.groupBy(index).agg(F.min(coord).alias("a"), F.max(coord).alias("b")).where(F.col(index).isNotNull()).collect()
+    if any(r["a"] != r["b"] for r in rows):
+        raise ValueError(f"an index of {index} has several coordinates")
+    return axis_from({r[index]: r["a"] for r in rows})
+
+
+def _shares(axis: AnyAxis, to: AnyAxis) -> list[list[tuple[int, float, int]]]:
+    """Per node of ``axis`` the nodes of ``to`` it helps to make: (target, weight, nodes the target needs)."""
+    nodes = axis.coordinates()
+    up = -1.0 if len(nodes) > 1 and nodes[1] < nodes[0] else 1.0
+    rising = [v * up for v in nodes]
+    out: list[list[tuple[int, float, int]]] = [[] for _ in nodes]
+    for j, x in enumerate(to.coordinates()):
+        k = bisect_right(rising, x * up) - 1
+        if k < 0 or x * up > rising[-1]:
+            continue  # beyond the source's ends
+        t = (x * up - rising[k]) / (rising[k + 1] - rising[k]) if k + 1 < len(nodes) else 0.0
+        if t == 0.0:  # on a node: no neighbour is needed (D-09)
+            out[k].append((j, 1.0, 1))
+        else:
+            out[k].append((j, 1.0 - t, 2))
+            out[k + 1].append((j, t, 2))
+    return out
+
+
+def regrid(grid: DataFrame, lat_axis: AnyAxis, lon_axis: AnyAxis, to_lat: AnyAxis, to_lon: AnyAxis,
+           keys: Sequence[str] = (), value: str = "value") -> DataFrame:
+    """G-13: every layer on the nodes of two other axes, bilinear between any sorted nodes.
+
+    Each source cell is sent to the target cells it helps to make, with its
+    weight, and they are summed per layer and target: one shuffle, combined
+    map-side, no join.  Null if a needed source cell is missing or null; target
+    cells beyond the source's ends, or without any source cell, have no row.
+    """
+    def sent(axis: AnyAxis, to: AnyAxis, index: str) -> Column:
+        flat, ends = [], [0]
+        for s in _shares(axis, to):
+            flat += s
+            ends.append(len(flat))
+        i = F.col(index)
+        first = F.get(literal_array(ends, "int"), i)
+        many = F.get(literal_array(ends, "int"), i + 1) - first
+        whole = F.arrays_zip(literal_array([f[0] for f in flat], "int").alias("j"), literal_array([f[1] for f in flat]).alias("w"),
+                             literal_array([f[2] for f in flat], "int").alias("need"))
+        return F.slice(whole, first + 1, many)
+
+    near = (grid.select(*keys, F.col(value).alias("__v"), sent(lat_axis, to_lat, "lat_idx").alias("__a"), sent(lon_axis, to_lon, "lon_idx").alias("__b"))
+            .withColumn("__a", F.explode("__a")).withColumn("__b", F.explode("__b")))
+    sums = near.groupBy(*keys, F.col("__a.j").alias("lat_idx"), F.col("__b.j").alias("lon_idx")).agg(
+        F.sum(F.col("__a.w") * F.col("__b.w") * F.col("__v")).alias("__s"), F.count("__v").alias("__n"),
+        F.max(F.col("__a.need") * F.col("__b.need")).alias("__need"))
+    return sums.select(*keys, "lat_idx", "lon_idx", F.when(F.col("__n") == F.col("__need"), F.col("__s")).alias(value))
 
 
 def period_key(date: str | Column, res: str) -> Column:
@@ -244,7 +260,7 @@ def period_key(date: str | Column, res: str) -> Column:
 
 
 def match_products(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, date: str,
-                   lat_axis: Axis, lon_axis: Axis, products: Sequence[str], res: str, n: int,
+                   lat_axis: AnyAxis, lon_axis: AnyAxis, products: Sequence[str], res: str, n: int,
                    product_col: str = "product", period_col: str = "period", value: str = "value",
                    named: bool = False) -> DataFrame:
     """G-01 / G-02: box-mean match-up of every point for each product, one column per product.
@@ -290,7 +306,7 @@ def nearest_slice(points: DataFrame, axis: DataFrame, by: str, key: str, axis_ke
 
 
 def match_altimetry(points: DataFrame, grid: DataFrame, pid: str, lat: str, lon: str, date: str,
-                    lat_axis: Axis, lon_axis: Axis, measures: Sequence[str], n: int = 1,
+                    lat_axis: AnyAxis, lon_axis: AnyAxis, measures: Sequence[str], n: int = 1,
                     period: str = "period", slice_col: str = "doy") -> DataFrame:
     """G-03: altimetry match-up: yearly layer, nearest day-of-year slice (J-08), n x n box mean of
     every measure (nulls ignored), and the coordinates of the box origin cell.

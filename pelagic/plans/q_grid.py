@@ -301,3 +301,94 @@ def altimetry_matchup(spark, sf_dir):
     r = gr.match_altimetry(b.samples(spark, sf_dir), b.alt_grid(spark, sf_dir), "sample", "lat", "lon",
                            "sample_date", LAT, LON, ["GSLA", "GSL", "UCUR", "VCUR"], n=3)
     return rounded(r)
+
+
+# ----------------------------------------------------------------- irregular axes: J-07, J-10, J-11, J-12, G-13
+# The same layers on axes whose steps widen towards the south and east; the grid carries its own coordinates,
+# and the operators take the axes from it.
+_LAT_NODE, _LON_NODE = "-10.0 - 0.375 * {0} - 0.00390625 * {0} * {0}", "110.0 + 0.25 * {0} + 0.0078125 * {0} * {0}"
+_NODES = f""",
+la AS (SELECT CAST(i AS INTEGER) AS i, {_LAT_NODE.format("i")} AS x FROM range(0, 60) t(i)),
+lo AS (SELECT CAST(i AS INTEGER) AS i, {_LON_NODE.format("i")} AS x FROM range(0, 80) t(i))"""
+
+
+def _widening(spark, sf_dir):
+    """The layers with their coordinates, and the two axes read from them."""
+    i, j = F.col("lat_idx").cast("double"), F.col("lon_idx").cast("double")
+    g = b.grid(spark, sf_dir).withColumns({"lat": F.lit(-10.0) - F.lit(0.375) * i - F.lit(0.00390625) * i * i,
+                                           "lon": F.lit(110.0) + F.lit(0.25) * j + F.lit(0.0078125) * j * j})
+    return g, gr.axis_of(g, "lat_idx", "lat"), gr.axis_of(g, "lon_idx", "lon")
+
+
+def _lookup_sql(lat: str, lon: str) -> str:
+    return _G + _NODES + f""",
+a AS (SELECT lat, {lat} AS li FROM (SELECT DISTINCT lat FROM pts)),
+o AS (SELECT lon, {lon} AS lj FROM (SELECT DISTINCT lon FROM pts))
+SELECT p.sample, a.li AS lat_idx, o.lj AS lon_idx, g.value
+FROM pts p JOIN a USING (lat) JOIN o USING (lon)
+LEFT JOIN grid g ON g.product = 'N' AND g.period = p.period AND g.lat_idx = a.li AND g.lon_idx = o.lj
+"""
+
+
+def _cell(spark, sf_dir, index):
+    g, la, lo = _widening(spark, sf_dir)
+    p = _points(spark, sf_dir).withColumns({"lat_idx": index(la, "lat"), "lon_idx": index(lo, "lon")})
+    cells = g.where(F.col("product") == "N").select("period", "lat_idx", "lon_idx", "value")
+    return p.join(cells, ["period", "lat_idx", "lon_idx"], "left").select("sample", "lat_idx", "lon_idx", "value")
+
+
+@register("grid_nearest_irregular", sql=_lookup_sql("(SELECT i FROM la ORDER BY abs(x - lat), i DESC LIMIT 1)",
+                                                    "(SELECT i FROM lo ORDER BY abs(x - lon), i DESC LIMIT 1)"))
+def grid_nearest_irregular(spark, sf_dir):
+    g, la, lo = _widening(spark, sf_dir)
+    r = gr.grid_nearest(_points(spark, sf_dir), g, "sample", "lat", "lon", la, lo, keys=["product", "period"], point_keys=_keys("N"))
+    return r.select("sample", "lat_idx", "lon_idx", "value")
+
+
+@register("grid_edge_irregular", sql=_lookup_sql("coalesce((SELECT max(i) FROM la WHERE x >= lat), -1)",
+                                                 "coalesce((SELECT max(i) FROM lo WHERE x <= lon), -1)"))
+def grid_edge_irregular(spark, sf_dir):
+    return _cell(spark, sf_dir, lambda axis, x: axis.floor_index(x))
+
+
+@register("grid_window_irregular", sql=_lookup_sql("(SELECT min(i) FROM la WHERE x > lat - 0.3 AND x < lat + 0.3)",
+                                                   "(SELECT min(i) FROM lo WHERE x > lon - 0.3 AND x < lon + 0.3)"))
+def grid_window_irregular(spark, sf_dir):
+    return _cell(spark, sf_dir, lambda axis, x: gr.window_index(axis, x, 0.3))
+
+
+# nodes around a coordinate: (index, weight); one node where the coordinate is on it, none beyond the ends
+_AROUND = """{0}axis AS (SELECT i, x, lead(x) OVER (ORDER BY i) AS nx FROM {1}),
+{0}w AS (SELECT c.{2} AS c, n.i AS i, 1.0 - (CASE WHEN c.{2} = x THEN 0.0 ELSE (c.{2} - x) / (nx - x) END) AS w FROM (SELECT DISTINCT {2} FROM {3}) c
+         JOIN {0}axis n ON c.{2} = x OR (c.{2} > least(x, nx) AND c.{2} < greatest(x, nx))
+       UNION ALL SELECT c.{2}, n.i + 1, (c.{2} - x) / (nx - x) FROM (SELECT DISTINCT {2} FROM {3}) c
+         JOIN {0}axis n ON c.{2} > least(x, nx) AND c.{2} < greatest(x, nx))"""
+
+
+@register("grid_bilinear_irregular", sql=_G + _NODES + "," + _AROUND.format("a", "la", "lat", "pts") + "," + _AROUND.format("o", "lo", "lon", "pts") + """,
+c AS (SELECT p.sample, p.period, aw.i AS li, ow.i AS lj, aw.w * ow.w AS w FROM pts p JOIN aw ON aw.c = p.lat JOIN ow ON ow.c = p.lon)
+SELECT s.sample, CASE WHEN count(c.w) > 0 AND count(c.w) = count(g.value) THEN round(sum(c.w * g.value), 6) + 0.0 END AS value
+FROM samples s LEFT JOIN c USING (sample)
+LEFT JOIN grid g ON g.product = 'A' AND g.period = c.period AND g.lat_idx = c.li AND g.lon_idx = c.lj
+GROUP BY s.sample
+""")
+def grid_bilinear_irregular(spark, sf_dir):
+    g, la, lo = _widening(spark, sf_dir)
+    return rounded(gr.grid_bilinear(_points(spark, sf_dir), g, "sample", "lat", "lon", la, lo, keys=["product", "period"],
+                                    point_keys=_keys("A")))
+
+
+@register("regrid_irregular", sql=b.with_ctes(b.SQL_GRID) + _NODES + """,
+ta AS (SELECT CAST(j AS INTEGER) AS j, -10.0 + j * -0.3 AS lat FROM range(0, 120) t(j)),
+tb AS (SELECT CAST(j AS INTEGER) AS j, 110.0 + j * 0.3 AS lon FROM range(0, 160) t(j)),""" + _AROUND.format("a", "la", "lat", "ta") + ","
+          + _AROUND.format("o", "lo", "lon", "tb") + """,
+an AS (SELECT ta.j, aw.i, aw.w, count(*) OVER (PARTITION BY ta.j) AS n FROM ta JOIN aw ON aw.c = ta.lat),
+bn AS (SELECT tb.j, ow.i, ow.w, count(*) OVER (PARTITION BY tb.j) AS n FROM tb JOIN ow ON ow.c = tb.lon)
+SELECT g.product, g.period, an.j AS lat_idx, bn.j AS lon_idx,
+       CASE WHEN count(g.value) = max(an.n * bn.n) THEN round(sum(an.w * bn.w * g.value), 6) + 0.0 END AS value
+FROM grid g JOIN an ON an.i = g.lat_idx JOIN bn ON bn.i = g.lon_idx
+GROUP BY g.product, g.period, an.j, bn.j
+""")
+def regrid_irregular(spark, sf_dir):
+    g, la, lo = _widening(spark, sf_dir)
+    return rounded(gr.regrid(g, la, lo, gr.Axis(-10.0, -0.3, 120), gr.Axis(110.0, 0.3, 160), keys=["product", "period"]))

@@ -342,3 +342,78 @@ def test_index_keeps_complexes_and_matrix_drops_them(spark):
 def test_axis_read_from_the_grid(spark):
     g = spark.createDataFrame([(i, -10.0 - 0.25 * i) for i in range(2, 9)], "lat_idx int, lat double")
     assert grid.axis_of(g, "lat_idx", "lat") == grid.Axis(-10.0, -0.25, 9)
+
+
+IRREGULAR = [(-10.0, -9.5, -8.0, -1.0), (5.0, 4.0, 1.5, 1.25, -30.0), (3.0,), tuple(0.5 * i + 0.001 * i * i for i in range(37))]
+
+
+@pytest.mark.parametrize("nodes", IRREGULAR)
+def test_irregular_axis_against_brute_force(spark, nodes):
+    """Nearest, edge, window and bracket of any sorted nodes: on nodes, half-way, beyond the ends, null and NaN."""
+    from pelagic.operators.axes import NodeAxis
+
+    rnd = random.Random(len(nodes))
+    xs = [*nodes, *[(a + b) / 2 for a, b in zip(nodes, nodes[1:])], -99.0, 99.0, None, float("nan"), *[rnd.uniform(-12, 6) for _ in range(60)]]
+    ax, up = NodeAxis(nodes), -1 if len(nodes) > 1 and nodes[1] < nodes[0] else 1
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(xs)], "k int, x double")
+    i0, t = ax.bracket("x")
+    got = df.select("k", ax.nearest("x").alias("near"), ax.floor_index("x").alias("edge"), ax.first_within("x", 0.3).alias("win"),
+                    i0.alias("i0"), t.alias("t"), ax.value(ax.nearest("x")).alias("v")).collect()
+    for r in got:
+        x = xs[r.k]
+        if x is None or x != x:
+            assert (r.near, r.edge, r.win, r.i0, r.t, r.v) == (None,) * 6
+            continue
+        near = min(range(len(nodes)), key=lambda i: (abs(nodes[i] - x), -i))
+        edge = max((i for i, v in enumerate(nodes) if v * up <= x * up), default=-1)
+        win = next((i for i, v in enumerate(nodes) if x - 0.3 < v < x + 0.3), None)
+        inside = min(nodes) <= x <= max(nodes)
+        share = (x - nodes[edge]) / (nodes[edge + 1] - nodes[edge]) if inside and edge + 1 < len(nodes) else 0.0
+        assert (r.near, r.edge, r.win, r.i0, r.t, r.v) == (near, edge, win, edge if inside else -1, share, nodes[near])
+
+
+def test_axis_of_uneven_steps_is_searched(spark):
+    g = spark.createDataFrame(list(enumerate([-10.0, -9.5, -8.0, -1.0])), "lat_idx int, lat double")
+    ax = grid.axis_of(g, "lat_idx", "lat")
+    assert ax.nodes == (-10.0, -9.5, -8.0, -1.0)
+    assert spark.range(1).select(ax.nearest(F.lit(-8.0))).first()[0] == 2
+    with pytest.raises(ValueError):
+        grid.axis_of(g.where("lat_idx <> 1"), "lat_idx", "lat")  # a node without a row
+    with pytest.raises(ValueError):
+        grid.NodeAxis((1.0, 1.0, 2.0))
+
+
+def test_axis_search_is_a_constant_array_and_no_join(spark):
+    ax = grid.NodeAxis(tuple(0.01 * i + 1e-6 * i * i for i in range(5000)))
+    p = spark.range(10).select(ax.nearest(F.col("id").cast("double")).alias("i"))._jdf.queryExecution()
+    text = p.optimizedPlan().toString()
+    assert "split(" not in text and "Join" not in p.executedPlan().toString()  # folded once, not per row
+
+
+def test_regrid_between_irregular_axes(spark):
+    """Against interpolation by hand: targets on nodes, between them, at the ends, beyond; a null and a missing cell."""
+    lat, lon = grid.NodeAxis((0.0, 1.0, 4.0)), grid.NodeAxis((10.0, 8.0, 7.0, 2.0))
+    cells = {(i, j): float(3 * i + j * j) for i in range(3) for j in range(4) if (i, j) != (2, 3)}
+    cells[(0, 1)] = None
+    g = spark.createDataFrame([("a", i, j, v) for (i, j), v in cells.items()], "layer string, lat_idx int, lon_idx int, value double")
+    to_lat, to_lon = (-1.0, 0.0, 0.5, 1.0, 3.0, 4.0, 5.0), (11.0, 10.0, 9.0, 8.0, 7.5, 4.0, 2.0)
+
+    def around(nodes, c):
+        if c in nodes:
+            return [(nodes.index(c), 1.0)]
+        for k, (a, b) in enumerate(zip(nodes, nodes[1:])):
+            if min(a, b) < c < max(a, b):
+                return [(k, (b - c) / (b - a)), (k + 1, (c - a) / (b - a))]
+        return []
+
+    got = {(r.lat_idx, r.lon_idx): r.value for r in grid.regrid(g, lat, lon, grid.NodeAxis(to_lat), grid.NodeAxis(to_lon), ["layer"]).collect()}
+    for a, y in enumerate(to_lat):
+        for b, x in enumerate(to_lon):
+            ys, xs = around(lat.nodes, y), around(lon.nodes, x)
+            needed = [cells.get((i, j), "gone") for i, _ in ys for j, _ in xs]
+            if all(v == "gone" for v in needed):
+                assert (a, b) not in got
+            elif any(v in (None, "gone") for v in needed):
+                assert got[(a, b)] is None
+            else:
+                assert abs(got[(a, b)] - sum(p * q * cells[(i, j)] for i, p in ys for j, q in xs)) < 1e-9
