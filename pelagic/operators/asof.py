@@ -1,9 +1,9 @@
 """As-of joins (J-05, J-06, F-23).
 
 Spark has no native as-of join.  Both operators are a union of the two
-sides followed by ordered window scans, partitioned by (group, time bucket)
-so that a hot group is split across many tasks; no pair of rows is ever
-materialised.
+sides' instants followed by ordered window scans over slices of a group's time,
+so that a hot group is split across many tasks; what lies beyond a slice's edges
+is carried over by a scan over the slices.  No pair of rows is ever materialised.
 """
 
 from __future__ import annotations
@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagic.functions.timeops import epoch_micros
+from pelagic.operators.axes import count_up_to
 
 _US_PER_HOUR = 3_600_000_000
 
 
 def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str,
                  left_id: str, right_id: str, tolerance_h: Column | float = 3.0,
-                 max_tolerance_h: float | None = None) -> DataFrame:
+                 max_tolerance_h: float | None = None, slice_rows: int = 100_000) -> DataFrame:
     """J-05: for each left row, the right row(s) of the same ``by`` group nearest in time.
 
     Ties in distance go to the earlier right time; a match further than the
@@ -28,10 +29,11 @@ def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_time: str, rig
     matches nothing.  All right rows at the matched time are returned, as the
     source inner-joins on the cast time.  Output: left columns + ``match_time``, ``<right_id>``, ``diff_h``.
 
-    Partitioning: time is cut into buckets of the largest tolerance; each
-    right row is copied into its own and both neighbouring buckets, so the
-    nearest right row within tolerance of any left row is always in the left
-    row's bucket.  Windows then run per (group, bucket).
+    The work is done on distinct (group, time) instants, so rows of one instant
+    are one.  A group with more than ``slice_rows`` instants is cut at its time
+    quantiles; each slice is scanned on its own, and the last cast before and the
+    first cast after it are carried over its edges by a scan over the slices
+    (a few rows per group).  No slice depends on the tolerance, no row is copied.
     """
     if isinstance(tolerance_h, Column):
         if max_tolerance_h is None:
@@ -39,33 +41,23 @@ def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_time: str, rig
         too_wide = F.raise_error(F.lit(f"tolerance above max_tolerance_h = {max_tolerance_h} h")).cast("double")
         tol = F.when(tolerance_h > F.lit(float(max_tolerance_h)), too_wide).otherwise(tolerance_h.cast("double"))
     else:
-        max_tolerance_h = float(tolerance_h)
-        tol = F.lit(max_tolerance_h)
-    bucket_us = max(1, int(max_tolerance_h * _US_PER_HOUR))
-
-    l_us = epoch_micros(left_time)
-    lt = left.withColumn("__t", l_us).withColumn("__tol", tol)
-    lk = lt.select(F.col(by).alias("__by"), "__t", F.lit(1).alias("__side"),
-                   F.col(left_id).alias("__lid"), F.lit(None).cast("long").alias("__rt"),
-                   F.floor(F.col("__t") / bucket_us).alias("__b"))
-    rt = right.select(F.col(by).alias("__by"), epoch_micros(right_time).alias("__t")).distinct()
-    rk = (rt.withColumn("__b0", F.floor(F.col("__t") / bucket_us))
-          .withColumn("__b", F.explode(F.array(F.col("__b0") - 1, F.col("__b0"), F.col("__b0") + 1)))
-          .select("__by", "__t", F.lit(0).alias("__side"), F.lit(None).cast(lk.schema["__lid"].dataType).alias("__lid"),
-                  F.col("__t").alias("__rt"), "__b"))
-    u = lk.unionByName(rk)
-    w = Window.partitionBy("__by", "__b").orderBy("__t", "__side")
-    prev = F.last("__rt", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = F.first("__rt", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    m = u.select("__lid", "__t", "__side", prev.alias("__prev"), nxt.alias("__next")).where(F.col("__side") == 1)
+        tol = F.lit(float(tolerance_h))
+
+    lt = left.withColumn("__t", epoch_micros(left_time)).withColumn("__tol", tol)
+    lk = lt.select(F.col(by).alias("__by"), "__t", F.lit(False).alias("__cast"))
+    rk = right.select(F.col(by).alias("__by"), epoch_micros(right_time).alias("__t"), F.lit(True).alias("__cast"))
+    instants = (lk.unionByName(rk).where(F.col("__by").isNotNull() & F.col("__t").isNotNull())
+                .groupBy("__by", "__t").agg(F.max("__cast").alias("__cast")))
+    m = _neighbours(instants, slice_rows)
     dp = F.col("__t") - F.col("__prev")
     dn = F.col("__next") - F.col("__t")
     best = (F.when(F.col("__prev").isNull(), F.col("__next"))
             .when(F.col("__next").isNull(), F.col("__prev"))
             .when(dp <= dn, F.col("__prev")).otherwise(F.col("__next")))
-    m = m.select("__lid", best.alias("__best"), (F.abs(best - F.col("__t")) / F.lit(float(_US_PER_HOUR))).alias("__diff"))
+    m = m.select(F.col("__by").alias("__mby"), F.col("__t").alias("__mt"), best.alias("__best"),
+                 (F.abs(best - F.col("__t")) / F.lit(float(_US_PER_HOUR))).alias("__diff")).where(F.col("__best").isNotNull())
 
-    lm = lt.join(m, lt[left_id] == m["__lid"], "left").drop("__lid")
+    lm = lt.join(m, (lt[by] == m["__mby"]) & (lt["__t"] == m["__mt"]), "left").drop("__mby", "__mt")
     ok = F.col("__diff") <= F.col("__tol")
     lm = lm.withColumn("__best", F.when(ok, F.col("__best"))).withColumn("__diff", F.when(ok, F.col("__diff")))
     r2 = right.select(F.col(by).alias("__rby"), epoch_micros(right_time).alias("__rbest"),
@@ -74,6 +66,42 @@ def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_time: str, rig
     return out.drop("__rby", "__rbest", "__t", "__tol", "__best").withColumnRenamed("__diff", "diff_h")
 
 
+def time_slices(instants: DataFrame, slice_rows: int) -> DataFrame:
+    """``instants`` (__by, __t, ...) with ``__slice``: groups above ``slice_rows`` rows are cut at their time quantiles.
+
+    The quantiles are sketched per group map-side; a group gets a slice per
+    ``slice_rows`` rows, at most one per shuffle partition, so the groups that
+    are cut are few and their cuts small.
+    """
+    most = max(2, int(instants.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shares = [k / most for k in range(1, most)]
+    stats = instants.groupBy("__by").agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__t", shares, 20 * most).alias("__q"))
+    slices = F.least(F.ceil(F.col("__n") / F.lit(slice_rows)), F.lit(most)).cast("int")
+    # every (most / slices)-th quantile; a hot instant may fill several, which then are one
+    picked = F.transform(F.sequence(F.lit(1), slices - 1), lambda k: F.get("__q", F.floor(k * F.lit(most) / slices).cast("int") - 1))
+    cuts = stats.where(F.col("__n") > F.lit(slice_rows)).select(F.col("__by").alias("__cby"), F.array_distinct(picked).alias("__cuts"))
+    cut = instants.join(cuts, instants["__by"] == cuts["__cby"], "left").drop("__cby")
+    at = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(count_up_to(F.col("__cuts"), F.col("__t"), most))
+    return cut.withColumn("__slice", at).drop("__cuts")
+
+
+def _neighbours(instants: DataFrame, slice_rows: int) -> DataFrame:
+    """Per instant without or with a cast the nearest cast times at or before (``__prev``) and at or after it (``__next``)."""
+    s = time_slices(instants, slice_rows)
+    when = F.when(F.col("__cast"), F.col("__t"))
+    w = Window.partitionBy("__by", "__slice").orderBy("__t")
+    inside = s.select("__by", "__slice", "__t",
+                      F.last(when, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__prev"),
+                      F.first(when, ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("__next"))
+    edges = s.groupBy("__by", "__slice").agg(F.min(when).alias("__lo"), F.max(when).alias("__hi"))
+    e = Window.partitionBy("__by").orderBy("__slice")
+    edges = edges.select(F.col("__by").alias("__eby"), F.col("__slice").alias("__es"),
+                         F.max("__hi").over(e.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
+                         F.min("__lo").over(e.rowsBetween(1, Window.unboundedFollowing)).alias("__after"))
+    j = inside.join(edges, (inside["__by"] == edges["__eby"]) & (inside["__slice"] == edges["__es"]))
+    return j.select("__by", "__t", F.coalesce("__prev", "__before").alias("__prev"), F.coalesce("__next", "__after").alias("__next"))
+
+
 def forward_asof(points: DataFrame, axis: DataFrame, point_key: str, axis_value: str,
                  bucket: float = 366.0) -> DataFrame:
     """J-06: for each point key value, the first axis value strictly greater.

@@ -28,6 +28,12 @@ def literal_array(values: Sequence[float], of: str = "double") -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{of}>") if values else F.array().cast(f"array<{of}>")
 
 
+def count_up_to(rising: Column, x: Column, most: int) -> Column:
+    """How many entries of a rising array of at most ``most`` are <= x: a binary search, one step per halving."""
+    steps = [1 << b for b in range(max(most, 1).bit_length() - 1, -1, -1)]
+    return F.aggregate(literal_array(steps, "int"), F.lit(0), lambda k, s: F.when(F.get(rising, k + s - 1) <= x, k + s).otherwise(k))
+
+
 @dataclass(frozen=True)
 class Axis:
     """Regular axis: value_i = origin + i * step for i in [0, n)."""
@@ -108,12 +114,7 @@ class NodeAxis:
 
     def _count_to(self, up: Column) -> Column:
         """How many nodes lie at or before a rising coordinate: a binary search, one step per halving."""
-        steps, s = [], 1
-        while s <= self.n:
-            steps.insert(0, s)
-            s *= 2
-        return F.aggregate(literal_array(steps, "int"), F.lit(0),
-                           lambda k, s: F.when(self._node(k + s - 1) <= up, k + s).otherwise(k))
+        return count_up_to(literal_array([v * self.sign for v in self.nodes]), up, self.n)
 
     def nearest(self, x: str | Column) -> Column:
         """J-07: index of the nearest node, clipped to the axis; null for a null (or NaN) coordinate."""

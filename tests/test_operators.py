@@ -417,3 +417,32 @@ def test_regrid_between_irregular_axes(spark):
                 assert got[(a, b)] is None
             else:
                 assert abs(got[(a, b)] - sum(p * q * cells[(i, j)] for i, p in ys for j, q in xs)) < 1e-9
+
+
+@pytest.mark.parametrize("slice_rows", [5, 40, 10**6])
+def test_asof_of_a_hot_station_is_cut_and_equals_brute_force(spark, slice_rows):
+    """A station with most rows, one instant with many, stations without casts, null keys; edges carried over empty slices."""
+    rnd = random.Random(slice_rows)
+    t0 = dt.datetime(2020, 1, 1)
+    at = lambda h: t0 + dt.timedelta(hours=h)
+    left = [(i, "hot", at(rnd.choice([rnd.uniform(0, 900), 333.0]))) for i in range(300)]
+    left += [(1000 + i, rnd.choice(["a", "b", "bare"]), at(rnd.randint(0, 40))) for i in range(90)] + [(2000, None, at(1)), (2001, "hot", None)]
+    casts = [(i, "hot", at(rnd.choice([rnd.uniform(0, 100), rnd.uniform(800, 900)]))) for i in range(60)]
+    casts += [(500 + i, rnd.choice(["a", "b"]), at(rnd.randint(0, 40))) for i in range(30)] + [(900, None, at(1)), (901, "hot", None)]
+    L = spark.createDataFrame(left, "id long, st string, t timestamp_ntz")
+    R = spark.createDataFrame(casts, "cid long, st string, t timestamp_ntz")
+    for hours in (3.0, 1000.0):
+        got = {(r.id, r.cid) for r in asof.nearest_asof(L, R, "st", "t", "t", "id", "cid", hours, slice_rows=slice_rows).collect()}
+        want = set()
+        for i, st, t in left:
+            near = [(abs(c[2] - t), c[2]) for c in casts if st is not None and c[1] == st and t is not None and c[2] is not None]
+            best = min(near, default=None)
+            if best is None or best[0] > dt.timedelta(hours=hours):
+                want.add((i, None))
+            else:
+                want |= {(i, c[0]) for c in casts if c[1] == st and c[2] == best[1]}
+        assert got == want
+    sides = L.select(F.col("st").alias("__by"), F.col("t").alias("__t")).unionByName(R.select(F.col("st").alias("__by"), F.col("t").alias("__t")))
+    instants = sides.where("__by is not null and __t is not null").distinct().withColumn("__t", F.unix_micros(F.col("__t").cast("timestamp")))
+    n = asof.time_slices(instants, slice_rows).where("__by = 'hot'").groupBy("__slice").count().agg(F.count("*"), F.max("count")).first()
+    assert n[0] == 1 if slice_rows == 10**6 else n[0] >= 5 and n[1] <= 200
