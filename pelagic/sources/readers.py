@@ -177,8 +177,14 @@ def read_registry(spark: SparkSession, registry: DataFrame, station: str = "stat
 
 
 def read_vertices(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """S-23: polygon layer as a vertex table (polygon_id, ring_id, vertex_no, x, y, attributes...)."""
-    return spark.read.format(fmt).option("header", True).option("inferSchema", False).load(path)
+    """S-23: polygon layer as a vertex table (polygon_id, ring_id, vertex_no, x, y, attributes...).
+
+    A text source gets the vertex table's types: numbers for the keys and
+    coordinates (a malformed one is null), text for layer and attributes.
+    """
+    df = spark.read.format(fmt).option("header", True).option("inferSchema", False).load(path)
+    typed = {"polygon_id": "long", "ring_id": "int", "vertex_no": "long", "x": "double", "y": "double"}
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in typed.items() if c in df.columns and df.schema[c].dataType.simpleString() == "string"})
 
 
 __all__ = ["SourceSpec", "read_delimited", "read_with_preamble", "read_source", "STATIONS", "ZOOP_CHANGELOG",

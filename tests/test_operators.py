@@ -446,3 +446,72 @@ def test_asof_of_a_hot_station_is_cut_and_equals_brute_force(spark, slice_rows):
     instants = sides.where("__by is not null and __t is not null").distinct().withColumn("__t", F.unix_micros(F.col("__t").cast("timestamp")))
     n = asof.time_slices(instants, slice_rows).where("__by = 'hot'").groupBy("__slice").count().agg(F.count("*"), F.max("count")).first()
     assert n[0] == 1 if slice_rows == 10**6 else n[0] >= 5 and n[1] <= 200
+
+
+def _inside_brute(x, y, rings):
+    odd = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                return True
+            if (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+                odd = not odd
+    return odd
+
+
+@pytest.mark.parametrize("tile, depth", [(1.0, 3), (4.0, 0), (0.5, 1), (8.0, 5)])
+def test_layers_against_brute_force(spark, tile, depth):
+    """Stars, holes, slivers and overlaps in three layers; places on corners, edges, cell lines, far outside, null and repeated."""
+    rnd = random.Random(depth)
+    layers, order = {}, {}
+    for name, count in (("a", 3), ("b", 2), ("c", 1)):
+        for pid in range(count):
+            cx, cy, n = rnd.uniform(-10, 10), rnd.uniform(-10, 10), rnd.randint(3, 16)
+            star = [(round(cx + r * math.cos(6.283 * k / n), 2), round(cy + r * math.sin(6.283 * k / n), 2))
+                    for k in range(n) for r in [rnd.uniform(2, 9)]]
+            rings = [star] + ([[(cx - 1, cy - 1), (cx + 1, cy - 1), (cx, cy + 1)]] if pid == 0 else [])
+            layers[(name, pid)], order[(name, pid)] = rings, rnd.random()
+    layers[("c", 7)], order[("c", 7)] = [[(-6.0, -6.0), (6.0, -6.0), (6.0, -5.98), (-6.0, -5.98)]], -1.0
+    places = [(rnd.uniform(-20, 20), rnd.uniform(-20, 20)) for _ in range(150)] + [(float(x), float(y)) for x in range(-8, 9, 2) for y in range(-8, 9, 2)]
+    places += [p for rings in layers.values() for ring in rings for p in ring] + [(500.0, 3.0), (0.0, -5.99), (0.0, -6.0)]
+    places += [((a[0] + b[0]) / 2, (a[1] + b[1]) / 2) for rings in layers.values() for r in rings for a, b in zip(r, r[1:])]
+    places += [None, places[0]]
+    pts = spark.createDataFrame([(i, *(p or (None, 1.0))) for i, p in enumerate(places)], "i int, lon double, lat double")
+    v = spark.createDataFrame([(name, pid, g, str(k), x, y) for (name, pid), rings in layers.items() for g, r in enumerate(rings) for k, (x, y) in enumerate(r)],
+                              "layer string, polygon_id long, ring_id int, vertex_no string, x double, y double").repartition(5)
+    attrs = spark.createDataFrame([(name, pid, order[(name, pid)], f"{name}{pid}") for name, pid in layers], "layer string, polygon_id long, ord double, label string")
+    got = {r.i: (r.a, r.b, r.c) for r in regions.overlay_layers(pts, "lon", "lat", v, attrs, ["a", "b", "c"], "label", "ord", tile, depth).collect()}
+    assert len(got) == len(places)
+    for i, p in enumerate(places):
+        want = [min(((order[k], f"{k[0]}{k[1]}") for k, rings in layers.items() if k[0] == name and p and _inside_brute(*p, rings)), default=(0, None))[1]
+                for name in "abc"]
+        assert got[i] == tuple(want), (p, got[i], want)
+
+
+def test_inner_cells_need_no_edges(spark):
+    """Most places of a big polygon lie in inner cells; only those near its outline meet edges."""
+    v = spark.createDataFrame([(1, 1, k, float(x), float(y)) for k, (x, y) in enumerate([(0, 0), (40, 0), (40, 40), (0, 40)])],
+                              "polygon_id long, ring_id int, vertex_no int, x double, y double").withColumn("layer", F.lit(""))
+    edges = regions.polygon_edges(v)
+    border = regions.border_cells(edges, 0.125)
+    inner = regions.inner_cells(edges, border, 1.0, 3)
+    area = inner.select(F.sum(F.pow(F.lit(0.25), F.col("level"))).alias("a")).first()["a"]
+    assert 39.7 ** 2 <= area < 40 ** 2 and inner.where("level = 0").count() == 38 * 38
+    assert border.count() <= 4 * 2 * 324  # two rows of cells along each side at most
+    plan = inner.join(spark.range(1).select(F.lit(0).alias("level"), F.lit(5).cast("long").alias("cx"), F.lit(5).cast("long").alias("cy")), ["level", "cx", "cy"])
+    assert plan.count() == 1
+
+
+def test_vertices_of_a_text_source_keep_their_order(spark, tmp_path):
+    """16 numbered vertices written as text: 10 comes after 9, not after 1."""
+    from pelagic.sources import readers
+
+    ring = [(0, 0), (1, 0), (2, 0), (3, 0), (4, 0), (4, 1), (4, 2), (4, 3), (4, 4), (3, 4), (2, 4), (1, 4), (0, 4), (0, 3), (0, 2), (0, 1)]
+    spark.createDataFrame([(1, 1, k, float(x), float(y)) for k, (x, y) in enumerate(ring)], "polygon_id int, ring_id int, vertex_no int, x double, y double") \
+        .write.option("header", True).csv(f"{tmp_path}/v")
+    v = readers.read_vertices(spark, f"{tmp_path}/v", "csv")
+    assert dict(v.dtypes)["vertex_no"] == "bigint" and dict(v.dtypes)["x"] == "double"
+    pts = spark.createDataFrame([(x + 0.5, y + 0.5) for x in range(4) for y in range(4)], "lon double, lat double")
+    attrs = spark.createDataFrame([(1, "box")], "polygon_id long, region string")
+    for vertices in (v, v.withColumn("vertex_no", F.col("vertex_no").cast("string"))):
+        assert regions.overlay(pts, "lon", "lat", vertices, attrs, attr_cols=["region"]).where("region = 'box'").count() == 16
