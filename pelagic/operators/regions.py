@@ -117,7 +117,8 @@ def containing(places: DataFrame, vertices: DataFrame, tile: float = 1.0, depth:
                                 _cell(F.col("__py"), tile / (1 << lv)).alias("cy")) for lv in range(depth + 1)])
     at = places.select("__px", "__py", F.explode(levels).alias("c")).select("__px", "__py", "c.*")
     inner = at.join(inner_cells(edges, border, tile, depth), ["level", "cx", "cy"]).select(*keys)
-    near = places.withColumns({"cx": _cell(F.col("__px"), fine), "cy": _cell(F.col("__py"), fine)}).join(border, ["cx", "cy"])
+    # the finest level, from the same rows: both branches read the places once
+    near = at.join(border.withColumn("level", F.lit(depth)), ["level", "cx", "cy"]).drop("level")
     on_border = _inside(near.withColumnRenamed("cy", "band"), _rows(edges, fine, "band"), keys, "__px", "__py")
     return inner.unionByName(on_border)
 
