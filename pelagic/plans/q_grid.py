@@ -3,12 +3,17 @@ coarsening, trend, area series and multi-product match-up."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pelagic.functions.timeops import harmonic
 from pelagic.operators import grid as gr
 from pelagic.plans import bindings as b
 from pelagic.plans.catalog import register, rounded
+from pelagic.session import checkpoint_dir
+from pelagic.sources.readers import asked_periods, read_grid
+from pelagic.sources.sinks import write_grid
 
 LAT = gr.Axis(-10.0, -0.5, 60)
 LON = gr.Axis(110.0, 0.5, 80)
@@ -392,3 +397,15 @@ GROUP BY g.product, g.period, an.j, bn.j
 def regrid_irregular(spark, sf_dir):
     g, la, lo = _widening(spark, sf_dir)
     return rounded(gr.regrid(g, la, lo, gr.Axis(-10.0, -0.3, 120), gr.Axis(110.0, 0.3, 160), keys=["product", "period"]))
+
+
+# ----------------------------------------------------------------- K-06 -> S-20 -> G-01: layers stored, pruned by what the points ask for
+@register("satellite_matchup_layers", sql=_matchup_sql("1y"))
+def satellite_matchup_layers(spark, sf_dir):
+    """Yearly layers are written clustered in both axes; the match-up reads the layers of its points' years only."""
+    path = f"{checkpoint_dir(spark)}/grid-layers-{uuid.uuid4()}"
+    write_grid(b.grid_at(spark, sf_dir, "1y").withColumn("resolution", F.lit("1y")), path)
+    s = b.samples(spark, sf_dir)
+    schema = "lat_idx int, lon_idx int, value double, product string, resolution string, period string"
+    layers = read_grid(spark, path, ["A", "N", "R"], asked_periods(s, gr.period_key("sample_date", "1y")), "1y", schema)
+    return rounded(gr.match_products(s, layers, "sample", "lat", "lon", "sample_date", LAT, LON, ["A", "N", "R"], "1y", 3, named=True))

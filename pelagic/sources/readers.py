@@ -142,38 +142,73 @@ def recorder_trips(df: DataFrame, sample_type: str = "SAMPLETYPE", letter: str |
 
 
 def read_grid(spark: SparkSession, path: str, products: Sequence[str] | None = None,
-              periods: Sequence[str] | None = None) -> DataFrame:
+              periods: Sequence[str] | DataFrame | None = None, resolution: str | None = None,
+              schema: str | None = None) -> DataFrame:
     """S-20: long grid table stored as parquet partitioned by (product, resolution, period).
 
     Filters on the partition columns prune whole directories; lat/lon range
-    filters use the row-group statistics of the cell-sorted files.
+    filters use the row-group statistics of the cell-clustered files.  ``periods``
+    may be a frame with a column ``period`` (see :func:`asked_periods`): the layers
+    to read are then found at run time, by dynamic partition pruning.
     """
-    df = spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(path)
+    # a period such as 2010 is a directory name, not a number
+    df = df.withColumns({c: F.col(c).cast("string") for c in ("product", "resolution", "period") if c in df.columns and dict(df.dtypes)[c] != "string"})
     if products is not None:
         df = df.where(F.col("product").isin(list(products)))
-    if periods is not None:
+    if resolution is not None:
+        df = df.where(F.col("resolution") == resolution)
+    if isinstance(periods, DataFrame):
+        # at most one row per calendar period: a few million at the finest resolution
+        df = df.join(F.broadcast(periods.select("period")), "period", "left_semi")
+    elif periods is not None:
         df = df.where(F.col("period").isin(list(periods)))
     return df
 
 
+def asked_periods(points: DataFrame, period: Column) -> DataFrame:
+    """The distinct periods that points ask for, as the filter of :func:`read_grid`."""
+    return points.select(period.alias("period")).where(F.col("period") > "").distinct()
+
+
 def read_registry(spark: SparkSession, registry: DataFrame, station: str = "station", path: str = "path",
                   fmt: str = "parquet", schema: str | None = None) -> DataFrame:
-    """S-24: every source listed in a (station, path) registry, station as a column.
+    """S-24: every source listed in a (station, path) registry in one scan, station as a column.
 
     The registry is a list of sources (one row each); a path is a file or a
-    folder.  Each source is scanned with its station as a literal, so no data
-    row is compared with a path.
+    folder, with all files below it.  All paths are read together (parquet schemas are merged by name; a
+    text source needs ``schema``).  A row's station is found by its file's path:
+    the leading segments, cut to each length that a registered path has, meet the
+    registry in a hash join on the small side.  A file below two registered paths
+    belongs to both.
     """
-    out = None
-    for name, where in [tuple(r) for r in registry.select(station, path).collect()]:
-        reader = spark.read.format(fmt)
-        if schema:
-            reader = reader.schema(schema)
-        part = reader.load(where).withColumn(station, F.lit(name).cast("string"))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
+    listed = [(r[0], *_qualified(spark, r[1])) for r in registry.select(station, path).distinct().collect()]
+    if not listed:
         raise ValueError("the registry lists no source")
-    return out
+    roots = {uri: plain for _, uri, plain in listed}
+    top = [plain for uri, plain in sorted(roots.items()) if not any(uri[:k] in roots for k in range(len(uri)) if uri[k] == "/")]
+    reader = spark.read.format(fmt).option("header", True).option("recursiveFileLookup", True)
+    if schema:
+        reader = reader.schema(schema)
+    elif fmt == "parquet":
+        reader = reader.option("mergeSchema", True)
+    df = reader.load(top)
+    lengths = sorted({p.count("/") + 1 for p in roots})
+    segments = F.split(F.regexp_replace("_metadata.file_path", "^file:/+", "file:/"), "/")
+    heads = F.array(*[F.array_join(F.slice(segments, 1, n), "/") for n in lengths])
+    own = [c for c in df.columns if c != station]
+    rows = df.select(*[F.col(f"`{c}`") for c in own], F.explode(F.array_distinct(heads)).alias("__head"))
+    known = spark.createDataFrame([(uri, name) for name, uri, _ in listed], f"__head string, `{station}` string")
+    return rows.join(F.broadcast(known), "__head").drop("__head")  # one row per source, already on the driver
+
+
+def _qualified(spark: SparkSession, path: str) -> tuple[str, str]:
+    """A path as the file source reports it (with its scheme, encoded, no closing slash), and as it is read."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    p = p.makeQualified(fs.getUri(), fs.getWorkingDirectory())
+    return p.toUri().toString().replace("file:///", "file:/").rstrip("/"), p.toString()
 
 
 def read_vertices(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -188,4 +223,4 @@ def read_vertices(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 __all__ = ["SourceSpec", "read_delimited", "read_with_preamble", "read_source", "STATIONS", "ZOOP_CHANGELOG",
-           "SATELLITE_VALUES", "recorder_trips", "read_grid", "read_registry", "read_vertices", "nan_to_null"]
+           "SATELLITE_VALUES", "recorder_trips", "read_grid", "asked_periods", "read_registry", "read_vertices", "nan_to_null"]

@@ -157,6 +157,6 @@ def test_grid_round_trip_by_layer_and_band(spark, tmp_path):
 
     rows = [(p, res, "2020", i, j, float(i * j)) for p in ("sst", "chl") for res in ("1d", "1m") for i in range(20) for j in range(3)]
     g = spark.createDataFrame(rows, "product string, resolution string, period string, lat_idx int, lon_idx int, value double")
-    write_grid(g, str(tmp_path / "g"), band=5)
+    write_grid(g, str(tmp_path / "g"), tasks=5)
     back = read_grid(spark, str(tmp_path / "g"), products=["sst"]).where("resolution = '1m'")
     assert back.count() == 60 and back.agg(F.sum("value")).first()[0] == sum(r[5] for r in rows[:60])

@@ -89,3 +89,84 @@ def test_streaming_depth_bins_match_batch(spark, tmp_path):
     b = {(r.station, r.depth_bin, r.time): round(r.temp, 9) for r in batch.collect()}
     s = [(r.station, r.depth_bin, r.time, round(r.temp, 9)) for r in streamed.collect()]
     assert s and all(b[(st, db, t)] == v for st, db, t, v in s)
+
+
+def test_registry_is_one_scan_for_any_number_of_sources(spark, tmp_path):
+    """300 sources, nested folders, a name with a blank, a column that only some have; a file below two paths counts for both."""
+    (tmp_path / "x y").mkdir()
+    for k in range(3):
+        spark.createDataFrame([(k, float(k))], "id int, temp double").coalesce(1).write.parquet(str(tmp_path / "x y" / f"s{k}" / "deep"))
+    spark.createDataFrame([(9, 2.5)], "id int, salt double").coalesce(1).write.parquet(str(tmp_path / "x y" / "s9"))
+    rows = [(f"S{k}", str(tmp_path / "x y" / f"s{k}")) for k in (0, 1, 9)] + [("deep", str(tmp_path / "x y" / "s1" / "deep") + "/")]
+    reg = spark.createDataFrame(rows, "station string, path string")
+    got = rd.read_registry(spark, reg)
+    assert sorted((r.station, r.id, r.temp, r.salt) for r in got.collect()) == [
+        ("S0", 0, 0.0, None), ("S1", 1, 1.0, None), ("S9", 9, None, 2.5), ("deep", 1, 1.0, None)]
+    one = str(tmp_path / "x y" / "s9")
+    many = spark.createDataFrame([(f"T{k}", one if k < 150 else str(tmp_path / "x y" / "s0")) for k in range(300)], "station string, path string")
+    df = rd.read_registry(spark, many)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan and df.count() == 300
+
+
+def _asked(spark, path, n):
+    from pelagic.operators.grid import period_key
+
+    spark.createDataFrame([(k, dt.date(2010, 1 + k % 2, 5)) for k in range(n)], "id int, day date").write.parquet(path + "-points")
+    pts = spark.read.parquet(path + "-points")
+    return pts, rd.asked_periods(pts, period_key("day", "1m"))
+
+
+def test_only_layers_that_points_ask_for_are_read(spark, tmp_path):
+    """Dynamic pruning by (product, resolution, period): the layers nobody asks for are broken files."""
+    path = str(tmp_path / "g")
+    g = spark.range(100).select((F.col("id") % 10).cast("int").alias("lat_idx"), (F.col("id") / 10).cast("int").alias("lon_idx"),
+                                F.col("id").cast("double").alias("value"))
+    layers = spark.createDataFrame([(p, "1m", f"2010-{m:02d}") for p in ("sst", "chl") for m in range(1, 7)], "product string, resolution string, period string")
+    sk.write_grid(g.crossJoin(layers), path, tasks=4)
+    for d, _, files in os.walk(path):
+        for f in files:
+            if f.endswith(".parquet") and ("product=chl" in d or not any(f"period=2010-{m}" in d for m in ("01", "02"))):
+                with open(os.path.join(d, f), "wb") as out:
+                    out.write(b"broken")
+                crc = os.path.join(d, "." + f + ".crc")
+                if os.path.exists(crc):
+                    os.remove(crc)
+    schema = "lat_idx int, lon_idx int, value double, product string, resolution string, period string"
+    pts, asked = _asked(spark, path, 6)
+    df = rd.read_grid(spark, path, ["sst"], asked, "1m", schema=schema)
+    assert df.count() == 200 and {r.period for r in df.select("period").distinct().collect()} == {"2010-01", "2010-02"}
+    assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_box_reads_few_row_groups(spark, tmp_path):
+    """Z-order clustering: a box of a tenth by a tenth meets under a tenth of the row groups (latitude bands: over a tenth)."""
+    import pyarrow.parquet as pq
+
+    n, path = 256, str(tmp_path / "g")
+    g = spark.range(n * n).select(F.lit("sst").alias("product"), F.lit("1m").alias("resolution"), F.lit("all").alias("period"),
+                                  F.floor(F.col("id") / n).cast("int").alias("lat_idx"), (F.col("id") % n).cast("int").alias("lon_idx"),
+                                  F.xxhash64("id").cast("double").alias("value"))
+    sk.write_grid(g, path, row_group_bytes=8 * 1024, tasks=4)
+    lo, hi = 100, 124
+    groups = met = cells = 0
+    for d, _, files in os.walk(path):
+        for f in files:
+            if f.endswith(".parquet"):
+                m = pq.ParquetFile(os.path.join(d, f)).metadata
+                for k in range(m.num_row_groups):
+                    col = {m.row_group(k).column(c).path_in_schema: m.row_group(k).column(c).statistics for c in range(m.num_columns)}
+                    groups += 1
+                    cells += m.row_group(k).num_rows
+                    met += all(col[c].min <= hi and col[c].max >= lo for c in ("lat_idx", "lon_idx"))
+    assert cells == n * n and groups >= 40 and 0 < met <= 0.1 * groups
+    box = rd.read_grid(spark, path).where(F.col("lat_idx").between(lo, hi) & F.col("lon_idx").between(lo, hi))
+    assert box.count() == 25 * 25
+    assert "PushedFilters: [IsNotNull(lat_idx), IsNotNull(lon_idx)" in box._jdf.queryExecution().executedPlan().toString()
+
+
+def test_z_order_interleaves_bits(spark):
+    rows = [(a, b) for a in (0, 1, 2, 3, 5, 1000, 4095) for b in (0, 1, 2, 7, 4096)]
+    df = spark.createDataFrame(rows, "a int, b int").withColumn("z", sk.z_order("a", "b"))
+    for r in df.collect():
+        assert r.z == sum(((r.a >> k) & 1) << (2 * k + 1) | ((r.b >> k) & 1) << (2 * k) for k in range(24))
