@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagic.functions.timeops import epoch_micros
-from pelagic.operators.axes import count_up_to
+from pelagic.operators.slices import cut_slices
 
 _US_PER_HOUR = 3_600_000_000
 
@@ -66,28 +66,9 @@ def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_time: str, rig
     return out.drop("__rby", "__rbest", "__t", "__tol", "__best").withColumnRenamed("__diff", "diff_h")
 
 
-def time_slices(instants: DataFrame, slice_rows: int) -> DataFrame:
-    """``instants`` (__by, __t, ...) with ``__slice``: groups above ``slice_rows`` rows are cut at their time quantiles.
-
-    The quantiles are sketched per group map-side; a group gets a slice per
-    ``slice_rows`` rows, at most one per shuffle partition, so the groups that
-    are cut are few and their cuts small.
-    """
-    most = max(2, int(instants.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shares = [k / most for k in range(1, most)]
-    stats = instants.groupBy("__by").agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__t", shares, 20 * most).alias("__q"))
-    slices = F.least(F.ceil(F.col("__n") / F.lit(slice_rows)), F.lit(most)).cast("int")
-    # every (most / slices)-th quantile; a hot instant may fill several, which then are one
-    picked = F.transform(F.sequence(F.lit(1), slices - 1), lambda k: F.get("__q", F.floor(k * F.lit(most) / slices).cast("int") - 1))
-    cuts = stats.where(F.col("__n") > F.lit(slice_rows)).select(F.col("__by").alias("__cby"), F.array_distinct(picked).alias("__cuts"))
-    cut = instants.join(cuts, instants["__by"] == cuts["__cby"], "left").drop("__cby")
-    at = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(count_up_to(F.col("__cuts"), F.col("__t"), most))
-    return cut.withColumn("__slice", at).drop("__cuts")
-
-
 def _neighbours(instants: DataFrame, slice_rows: int) -> DataFrame:
     """Per instant without or with a cast the nearest cast times at or before (``__prev``) and at or after it (``__next``)."""
-    s = time_slices(instants, slice_rows)
+    s = cut_slices(instants, "__by", "__t", slice_rows)
     when = F.when(F.col("__cast"), F.col("__t"))
     w = Window.partitionBy("__by", "__slice").orderBy("__t")
     inside = s.select("__by", "__slice", "__t",

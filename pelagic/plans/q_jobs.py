@@ -12,6 +12,7 @@ from pelagic.plans import products as pr
 from pelagic.plans import q_products as qp
 from pelagic.plans import q_regions as qr
 from pelagic.plans.catalog import register, rounded
+from pelagic.plans.q_community import random_rows_sql
 from pelagic.plans.q_grid import LAT, LON, _matchup_sql
 
 
@@ -55,14 +56,11 @@ def recorder_indices_props(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- R-12 (O-04 + G-01 + G-03) on md5-seeded draws
-@register("matchup_job", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_GRID, b.SQL_ALT) + """,
-d AS (SELECT CAST(i AS INTEGER) AS pid, sample, sample_date, lat, lon, row_number() OVER (PARTITION BY i
-             ORDER BY substr(md5(concat_ws('|', '20', i, sample)), 1, 15)) AS r
-      FROM samples, (SELECT unnest(range(0, 20)) AS i)),
+@register("matchup_job", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_GRID, b.SQL_ALT) + "," + random_rows_sql(20, "sample, sample_date, lat, lon") + """,
 p AS (SELECT pid, sample, sample_date, CAST(year(sample_date) AS VARCHAR) AS period,
              CAST(dayofyear(sample_date) AS INTEGER) AS doy,
              least(greatest(CAST(floor((lat - (-10.0)) / (-0.5) + 0.5) AS INTEGER), 0), 59) - 5 AS i0,
-             least(greatest(CAST(floor((lon - 110.0) / 0.5 + 0.5) AS INTEGER), 0), 79) - 5 AS j0 FROM d WHERE r = 1),
+             least(greatest(CAST(floor((lon - 110.0) / 0.5 + 0.5) AS INTEGER), 0), 79) - 5 AS j0 FROM d),
 box AS (SELECT p.*, i0 + di AS li, j0 + dj AS lj FROM p, range(0, 10) x(di), range(0, 10) y(dj)),
 colour AS (SELECT c.pid, avg(g.value) FILTER (WHERE g.product = 'A') AS a, avg(g.value) FILTER (WHERE g.product = 'N') AS n,
                   avg(g.value) FILTER (WHERE g.product = 'R') AS r

@@ -281,7 +281,7 @@ def test_envfit_permutation_p_values(spark):
     scores = spark.createDataFrame(sc, "site string, axis1 double, axis2 double")
     env = spark.createDataFrame([(s, 2 * a - b, rnd.uniform(0, 1)) for s, a, b in sc], "site string, lin double, noise double")
     r = {x.variable: x for x in community.fit_vectors_perm(scores, env, "site", ("axis1", "axis2"), ["lin", "noise"],
-                                                           perm=99, seed=2, ranges=5).collect()}
+                                                           perm=99, seed=2, stratum=20).collect()}
     assert abs(r["lin"].r2 - 1.0) < 1e-9 and r["lin"].p_value == 0.01   # no permutation fits as well
     assert 0.01 <= r["noise"].p_value <= 1.0 and r["noise"].p_value > 0.01
 
@@ -444,7 +444,9 @@ def test_asof_of_a_hot_station_is_cut_and_equals_brute_force(spark, slice_rows):
         assert got == want
     sides = L.select(F.col("st").alias("__by"), F.col("t").alias("__t")).unionByName(R.select(F.col("st").alias("__by"), F.col("t").alias("__t")))
     instants = sides.where("__by is not null and __t is not null").distinct().withColumn("__t", F.unix_micros(F.col("__t").cast("timestamp")))
-    n = asof.time_slices(instants, slice_rows).where("__by = 'hot'").groupBy("__slice").count().agg(F.count("*"), F.max("count")).first()
+    from pelagic.operators.slices import cut_slices
+
+    n = cut_slices(instants, "__by", "__t", slice_rows).where("__by = 'hot'").groupBy("__slice").count().agg(F.count("*"), F.max("count")).first()
     assert n[0] == 1 if slice_rows == 10**6 else n[0] >= 5 and n[1] <= 200
 
 
@@ -515,3 +517,80 @@ def test_vertices_of_a_text_source_keep_their_order(spark, tmp_path):
     attrs = spark.createDataFrame([(1, "box")], "polygon_id long, region string")
     for vertices in (v, v.withColumn("vertex_no", F.col("vertex_no").cast("string"))):
         assert regions.overlay(pts, "lon", "lat", vertices, attrs, attr_cols=["region"]).where("region = 'box'").count() == 16
+
+
+@pytest.mark.parametrize("slice_rows", [3, 50, 10**6])
+def test_quartiles_by_selection_equal_the_built_in(spark, slice_rows):
+    """A hot taxon, a hot value, few values, one value, nulls, NaN and a null taxon; slices of any size."""
+    rnd = random.Random(slice_rows)
+    rows = [("hot", rnd.choice([rnd.uniform(-5, 5), 1.25, rnd.choice([0.0, -2.5])])) for _ in range(900)]
+    rows += [(t, float(rnd.randint(0, 9))) for t in "abcdefg" for _ in range(rnd.randint(1, 7))] + [("n", None), ("n", 3.0), ("void", None)]
+    rows += [("nan", float("nan")), ("nan", 1.0), ("nan", 2.0), (None, 4.0), (None, 6.0)]
+    df = spark.createDataFrame(rows, "t string, v double").repartition(7)
+    got = {r.t: r.asDict() for r in reshape.column_summary(df, "t", "v", slice_rows=slice_rows).collect()}
+    want = {r.t: r.asDict() for r in df.groupBy("t").agg(
+        F.sum("v").alias("total"), F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.count(F.lit(1)).alias("n"),
+        *[F.percentile("v", q).alias(n) for n, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]).collect()}
+    assert set(got) == set(want)
+    for t, w in want.items():
+        for c, x in w.items():
+            assert got[t][c] == x or (x != x and got[t][c] != got[t][c]) or (isinstance(x, float) and abs(got[t][c] - x) < 1e-9), (t, c, got[t][c], x)
+
+
+def test_quartiles_hold_no_value_list(spark):
+    """No aggregate keeps the distinct values of a taxon."""
+    df = spark.createDataFrame([("a", 1.0)], "t string, v double")
+    p = reshape.column_summary(df, "t", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile(" not in p and "collect_" not in p
+
+
+def test_random_draws_follow_ranks(spark):
+    """Draw d takes the row at floor(u_d n) of the md5 order, wherever rows lie; more draws than rows; no copies of rows per draw."""
+    import hashlib
+
+    key = lambda *p: int(hashlib.md5("|".join(map(str, p)).encode()).hexdigest()[:15], 16)
+    ids = [f"k{i}" for i in range(157)]
+    df = spark.createDataFrame([(i,) for i in ids], "id string").repartition(6)
+    order = sorted(ids, key=lambda i: (key(5, i), i))
+    for n, ranges in ((20, 64), (500, 8), (0, 4)):
+        got = {r["__draw"]: r.id for r in community.sample_rows(df, n, "id", seed=5, ranges=ranges).collect()}
+        assert got == {d: order[key(6, d) * 157 >> 60] for d in range(n)}
+    assert community.sample_rows(df.limit(0), 5, "id").count() == 0
+    plan = community.sample_rows(df, 1000, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan.lower()
+
+
+def test_permutations_in_place_equal_brute_force(spark):
+    """Strata by hash, ranks once, Feistel partners: p-values equal those of the same pairing by hand; every partner map is a bijection."""
+    import numpy as np
+
+    for m in (1, 2, 3, 7, 64, 100, 257):
+        for p in (1, 2, 999):
+            assert sorted(community.feistel(np.arange(m), m, p, 3).tolist()) == list(range(m))
+    assert len({tuple(community.feistel(np.arange(50), 50, p, 3)) for p in range(200)}) == 200
+    rnd = random.Random(8)
+    s = [(i, rnd.gauss(0, 1), rnd.gauss(0, 1)) for i in range(60)]
+    env = [(i, s[i][1] + rnd.gauss(0, 0.4), rnd.gauss(5, 1) if i % 7 else None) for i in range(60)]
+    S = spark.createDataFrame(s, "site int, x double, y double")
+    E = spark.createDataFrame(env, "site int, near double, noise double")
+    for stratum in (10**6, 16):
+        got = {r.variable: r for r in community.fit_vectors_perm(S, E, "site", ("x", "y"), ["near", "noise"], 99, 4, stratum).collect()}
+        for k, name in ((1, "near"), (2, "noise")):
+            rows = [(i, s[i][1], s[i][2], env[i][k]) for i in range(60) if env[i][k] is not None]
+            n_strata = -(-len(rows) // stratum)
+            order = sorted(rows, key=lambda r: (community.md5_int(4, name, r[0]), r[0]))
+            cells = {}
+            for r in order:
+                cells.setdefault(community.md5_int(4, name, r[0]) * n_strata >> 60, []).append(r)
+
+            def r2(pairs):
+                a = np.array(pairs)
+                a = a - a.mean(0)
+                fit = a[:, :2] @ np.linalg.lstsq(a[:, :2], a[:, 2], rcond=None)[0]
+                return (fit ** 2).sum() / (a[:, 2] ** 2).sum()
+
+            base = r2([r[1:] for r in rows])
+            ge = sum(r2([(c[o][1], c[o][2], c[q][3]) for c in cells.values()
+                         for o, q in enumerate(community.feistel(np.arange(len(c)), len(c), p, 4).tolist())]) >= base for p in range(1, 100))
+            assert abs(got[name].r2 - base) < 1e-9 and got[name].p_value == (ge + 1) / 100
+    assert got["near"].p_value == 0.01 and got["noise"].p_value > 0.05
