@@ -594,3 +594,53 @@ def test_permutations_in_place_equal_brute_force(spark):
                          for o, q in enumerate(community.feistel(np.arange(len(c)), len(c), p, 4).tolist())]) >= base for p in range(1, 100))
             assert abs(got[name].r2 - base) < 1e-9 and got[name].p_value == (ge + 1) / 100
     assert got["near"].p_value == 0.01 and got["noise"].p_value > 0.05
+
+
+@pytest.mark.parametrize("block_rows", [7, 8192])
+def test_nearest_sites_equal_brute_force(spark, block_rows):
+    """Ties, copies, sites that share nothing, empty sites, null and repeated records, several query blocks."""
+    from pelagic.operators.nearest_sites import nearest_sites
+
+    rnd = random.Random(block_rows)
+    rows = [(i, rnd.choice("abcdefghij"), float(rnd.randint(0, 4))) for i in range(80) for _ in range(rnd.randint(1, 6))]
+    rows += [(100 + i, t, v) for i in range(9) for t, v in (("a", 4.0), ("b", 9.0))] + [(200, "z", 50.0), (201, "a", 0.0), (202, "a", None), (203, "q", 900.0)]
+    df = spark.createDataFrame(rows, "s int, t string, v double").repartition(4)
+    x = {}
+    for s, t, v in rows:
+        x.setdefault(s, {}).setdefault(t, 0.0)
+        x[s][t] += v or 0.0
+    x = {s: {t: math.sqrt(v) for t, v in c.items() if v > 0} for s, c in x.items()}
+    asked = [0, 20, 40, 60, 100, 104, 200, 201]
+    want = []
+    for q in asked:
+        d = []
+        for s, c in x.items():
+            both = sum(c.values()) + sum(x[q].values())
+            if s != q and both > 0:
+                d.append((round(1 - 2 * sum(min(v, x[q][t]) for t, v in c.items() if t in x[q]) / both, 9) + 0.0, s))
+        want += [(q, k + 1, s, bc) for k, (bc, s) in enumerate(sorted(d)[:5])]
+    for query_block in (4096, 3):
+        got = nearest_sites(df, spark.createDataFrame([(q,) for q in [*asked, 0, 999]], "site int"), "s", "t", "v", 5,
+                            block_rows=block_rows, query_block=query_block).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+    assert nearest_sites(df.limit(0), df.select(F.col("s").alias("site")).limit(0), "s", "t", "v").count() == 0
+
+
+def test_nearest_sites_skip_blocks_by_their_totals():
+    """A block whose totals are far from a query's is not read once the query has a close match."""
+    import numpy as np
+    import pyarrow as pa
+    from pelagic.operators.nearest_sites import _Best
+
+    def block(total, ids):
+        return pa.table({"site": pa.array(ids), "total": [float(total)] * len(ids), "taxa": [["a"]] * len(ids), "xs": [[float(total)]] * len(ids)})
+
+    best = _Best([(1, 10.0, [(0, 10.0)])], pa.array(["a"]), [np.inf], 2)
+    best.block(block(10, [2, 3, 4]), False)
+    assert best.bound == [0.0]
+    kept = []
+    best._keep = lambda *a: kept.append(a)
+    best.block(block(30, [5, 6, 7]), False)
+    assert kept == []
+    best.block(block(10, [8]), False)
+    assert len(kept) == 1
