@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagic.functions.nulls import first_word, sum0
-from pelagic.operators.reshape import pivot_values
+from pelagic.session import stored
 
 SENTINEL = -999.0
 
@@ -95,6 +95,12 @@ def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str
     comes from records and true absences only, null when the value is null.
     """
     sums = _sums(obs, log, key, taxon, label, value, start, parent, level, log_taxon)
+    return _cells(samples, sums, key, date, label, value, sentinel, observed_flag)
+
+
+def _cells(samples: DataFrame, sums: DataFrame, key: str, date: str, label: str, value: str, sentinel: float,
+           observed_flag: bool = False) -> DataFrame:
+    """The matrix cells that have a record, from the sums per (key, label, start)."""
     s = samples.select(F.col(key), F.col(date).cast("timestamp_ntz").alias("__date"))
     from_log = F.col("__start").isNotNull()
     early = F.col("__start") > F.col("__date")
@@ -121,18 +127,27 @@ def absence_matrix(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str
 
 
 def absence_wide(samples: DataFrame, obs: DataFrame, log: DataFrame, key: str = "sample", date: str = "sample_date",
-                 label: str = "genus", value: str = "value", sentinel: float = SENTINEL, labels: list | None = None,
-                 attributes: tuple[str, ...] = (), **names) -> DataFrame:
+                 taxon: str = "taxon", label: str = "genus", value: str = "value", start: str = "start_date", parent: str = "parent",
+                 level: str = "genus", sentinel: float = SENTINEL, labels: list | None = None, log_taxon: str = "taxon",
+                 attributes: tuple[str, ...] = ()) -> DataFrame:
     """R-1, the source's wide matrix: every sample, its attributes, one column per label.
 
     A cell with a record takes its value from :func:`absence_matrix`; one
     without is ``sentinel`` before the label's first start, null on that date,
     and 0 otherwise.  ``labels`` are the columns (all labels found, if None).
+
+    The facts are read and summed once: the sums per (key, label, start) are
+    stored, one job over them finds the labels and their first starts (the schema
+    of the matrix), another makes the cells.
     """
-    cells = absence_matrix(samples, obs, log, key, date, label=label, value=value, sentinel=sentinel, **names)
-    starts = {r[0]: r[1] for r in label_starts(obs, log, key, label=label, value=value, **names).collect()}  # one per log label
+    sums = stored(_sums(obs, log, key, taxon, label, value, start, parent, level, log_taxon), "absence-sums")
+    known = sums.join(samples.select(key, F.lit(True).alias("__known")), key, "left")
+    order = F.when(F.col("__start").isNotNull() & F.col("__v").isNotNull(), F.struct(F.col(key), F.col("__start")))
+    found = known.groupBy(label).agg(F.min_by("__start", order).alias("__first"), F.max("__known").alias("__known")).collect()  # one row per label
+    starts = {r[0]: r["__first"] for r in found if r["__first"] is not None}
     if labels is None:
-        labels = pivot_values(cells, label)
+        labels = sorted(r[0] for r in found if r["__known"])
+    cells = _cells(samples, sums, key, date, label, value, sentinel)
     per_key = cells.where(F.col(label).isin(labels)).groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct(label, value))).alias("__m"))  # at most one entry per label
     out = [F.col(key), *[F.col(a) for a in attributes]]

@@ -157,6 +157,13 @@ def overlay(points: DataFrame, lon: str, lat: str, vertices: DataFrame, attrs: D
     return out.select(*points.columns, *[F.col(f"__a.{c}").alias(c) for c in attr_cols])
 
 
+def zone_by_place(df: DataFrame, lon: str, lat: str, vertices: DataFrame, attrs: DataFrame, default: str,
+                  zone: str = "zone", out: str = "tz") -> DataFrame:
+    """J-17: the time zone of each row's place from a layer of zone polygons; ``default`` outside all of them."""
+    found = overlay(df, lon, lat, vertices, attrs.withColumnRenamed(zone, out), attr_cols=[out])
+    return found.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
+
+
 def layer_boxes(vertices: DataFrame, attrs: DataFrame, label: str, polygon: str = "polygon_id",
                 x: str = "x", y: str = "y") -> list[tuple[str, float, float, float, float]]:
     """J-15: the bounding boxes of a polygon layer, (label, lat_lo, lat_hi, lon_lo, lon_hi) in polygon order (one row per polygon)."""

@@ -56,12 +56,13 @@ def melt_measures(spark, sf_dir):
 
 # ----------------------------------------------------------------- V-02 (absent cells stay null)
 @register("group_totals_sparse_wide", sql=b.with_ctes(b.SQL_OBS) + """
-SELECT sample, sum(value) FILTER (WHERE grp = 'LARGE') AS "LARGE", sum(value) FILTER (WHERE grp = 'SMALL') AS "SMALL"
+SELECT sample, """ + ", ".join(f"sum(value) FILTER (WHERE grp = '{g}') AS \"{g}\"" for g in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")) + """
 FROM obs GROUP BY sample
 """)
 def group_totals_sparse_wide(spark, sf_dir):
-    sums = rs.sparse_matrix(b.obs(spark, sf_dir), "sample", "grp", "value")
-    return rs.to_wide(sums, ["sample"], "grp", "value", values=["LARGE", "SMALL"], unique_cells=True)
+    o = b.obs(spark, sf_dir)
+    sums = rs.sparse_matrix(o, "sample", "grp", "value")
+    return rs.to_wide(sums, ["sample"], "grp", "value", values=rs.pivot_values(o, "grp"), unique_cells=True)
 
 
 # ----------------------------------------------------------------- J-01 / N-8 (null keys match null keys)

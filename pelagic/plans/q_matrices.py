@@ -12,6 +12,7 @@ from pelagic.operators import indices as ix
 from pelagic.operators import reshape as rs
 from pelagic.plans import bindings as b
 from pelagic.plans.catalog import r6, register
+from pelagic.sources.specs import larval_matrix as larval
 
 # Fixed values of the binding: the words that make up part names, and the part types.
 _COLOURS = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
@@ -89,7 +90,7 @@ _GENUS = ("genus", "obs.taxon", "obs.genus IS NOT NULL AND obs.genus <> ''",
 @register("absence_matrix_genus_wide", sql=_absence_wide_sql(*_GENUS, _COLOURS))
 def absence_matrix_genus_wide(spark, sf_dir):
     return cl.absence_wide(b.samples(spark, sf_dir), b.obs(spark, sf_dir), b.changelog(spark, sf_dir),
-                           taxon="taxon", label="genus", level="genus", labels=list(_COLOURS))
+                           taxon="taxon", label="genus", level="genus")
 
 
 # ----------------------------------------------------------------- R-1 copepods (species), others (taxon), recorder (genus)
@@ -115,13 +116,12 @@ def absence_matrix_noncopepod(spark, sf_dir):
 
 
 @register("absence_matrix_recorder", sql=_absence_wide_sql(
-    "regexp_replace(obs.taxon, '[aeiou].*$', '')", "obs.taxon", "obs.flag % 2 = 0", "taxon <> parent",
+    "regexp_replace(obs.taxon, '[aeiou].*$', '')", "obs.taxon", "regexp_replace(obs.taxon, '[aeiou].*$', '') <> ''", "taxon <> parent",
     sorted({re.sub("[aeiou].*$", "", c) for c in _COLOURS} - {""})))
 def absence_matrix_recorder(spark, sf_dir):
     """Labels are taxa binned by a rule (here the letters before the first vowel), so one label has taxa with several starts."""
-    o = b.obs(spark, sf_dir).where(F.col("flag") % 2 == 0).withColumn("label", F.regexp_replace("taxon", "[aeiou].*$", ""))
-    return cl.absence_wide(b.samples(spark, sf_dir), o, b.changelog(spark, sf_dir), taxon="taxon", label="label", level="name",
-                           labels=sorted({re.sub("[aeiou].*$", "", c) for c in _COLOURS} - {""}))
+    o = b.obs(spark, sf_dir).withColumn("label", F.regexp_replace("taxon", "[aeiou].*$", ""))
+    return cl.absence_wide(b.samples(spark, sf_dir), o, b.changelog(spark, sf_dir), taxon="taxon", label="label", level="name")
 
 
 # ----------------------------------------------------------------- R-1 species level
@@ -169,9 +169,8 @@ PIVOT dense ON taxon """ + _in(f"{c} {t}" for c in _COLOURS for t in _THINGS) +
 def raw_matrix_wide(spark, sf_dir):
     s = b.samples(spark, sf_dir).select("sample")
     o = b.obs(spark, sf_dir)
-    taxa = sorted(f"{c} {t}" for c in _COLOURS for t in _THINGS)
     sums = o.groupBy("sample", "taxon").agg(F.sum("value").alias("value"))
-    return rs.to_wide(s.join(sums, "sample", "left"), ["sample"], "taxon", "value", values=taxa, fill=0.0,
+    return rs.to_wide(s.join(sums, "sample", "left"), ["sample"], "taxon", "value", values=rs.pivot_values(o, "taxon"), fill=0.0,
                       unique_cells=True)
 
 
@@ -205,23 +204,36 @@ def group_totals_wide(spark, sf_dir):
     return rs.to_wide(long, ["sample"], "grp", "value", fill=0.0, unique_cells=True)
 
 
-# ----------------------------------------------------------------- R-8 larval-fish style count matrix
-@register("larval_matrix", sql=b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + """,
-c AS (SELECT s.sample, o.grp || ' ' || o.genus AS header, o.value
-      FROM samples s JOIN obs o USING (sample) WHERE regexp_matches(s.sample_type, 'F|O')),
+# ----------------------------------------------------------------- R-8 larval-fish count matrices: all tows, and those of a project
+# Binding: tow = sample, project = order status, header = part type and colour, count = rounded quantity.
+def _larval_sql(where: str) -> str:
+    return b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS) + f""",
+tows AS (SELECT sample, sample_date, sample_type FROM samples WHERE {where}),
+c AS (SELECT s.sample, o.grp || ' ' || o.genus AS header, CAST(o.value AS BIGINT) AS value FROM tows s JOIN obs o USING (sample)),
 sums AS (SELECT sample, header, sum(value) AS value FROM c GROUP BY sample, header),
 hdr AS (SELECT g || ' ' || c AS header FROM (SELECT unnest(""" + str(list(_TYPES)) + """) AS g), (SELECT unnest(""" + str(list(_COLOURS)) + """) AS c)),
-dense AS (SELECT s.sample, h.header, coalesce(x.value, 0.0) AS value
-          FROM (SELECT DISTINCT sample FROM c) s CROSS JOIN hdr h
-          LEFT JOIN sums x ON x.sample = s.sample AND x.header = h.header)
-PIVOT dense ON header """ + _in(f"{g} {c}" for g in _TYPES for c in _COLOURS) + """ USING sum(value) GROUP BY sample
-""")
+dense AS (SELECT s.sample, s.sample_date, s.sample_type, h.header, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+          FROM tows s CROSS JOIN hdr h LEFT JOIN sums x ON x.sample = s.sample AND x.header = h.header)
+PIVOT dense ON header """ + _in(f"{g} {c}" for g in _TYPES for c in _COLOURS) + """ USING max(value) GROUP BY sample, sample_date, sample_type
+"""
+
+
+def _larval(spark, sf_dir, project):
+    s = b.samples(spark, sf_dir).select(F.col("sample").alias("i_Sample"), "sample_date", F.col("sample_type").alias("ProjectName"))
+    o = b.obs(spark, sf_dir).select(F.col("sample").alias("i_Sample"), F.concat_ws(" ", "grp", "genus").alias("Header"),
+                                    F.col("value").cast("long").alias("TaxonCount"))
+    m = larval(s, o, ["sample_date", "ProjectName"], project)
+    return m.withColumnsRenamed({"i_Sample": "sample", "ProjectName": "sample_type"})
+
+
+@register("larval_matrix", sql=_larval_sql("true"))
 def larval_matrix(spark, sf_dir):
-    s = b.samples(spark, sf_dir).where(F.col("sample_type").rlike("F|O")).select("sample")
-    o = b.obs(spark, sf_dir).select("sample", F.concat_ws(" ", "grp", "genus").alias("header"), "value")
-    counts = s.join(o, "sample", "inner").groupBy("sample", "header").agg(F.sum("value").alias("value"))
-    headers = sorted(f"{g} {c}" for g in _TYPES for c in _COLOURS)
-    return rs.to_wide(counts, ["sample"], "header", "value", values=headers, fill=0.0, unique_cells=True)
+    return _larval(spark, sf_dir, None)
+
+
+@register("larval_matrix_project", sql=_larval_sql("sample_type LIKE '%F%'"))
+def larval_matrix_project(spark, sf_dir):
+    return _larval(spark, sf_dir, "F")
 
 
 # ----------------------------------------------------------------- P-15 drop all-zero taxa

@@ -15,7 +15,8 @@ from pelagic.functions.labels import code_map
 from pelagic.functions.timeops import local_to_utc, trip_code, utc_to_local, ymd_parts
 from pelagic.operators.asof import nearest_asof
 from pelagic.operators.qc import exclude_ids, mask_flags, replicate_mean
-from pelagic.operators.reshape import to_wide
+from pelagic.operators.regions import zone_by_place
+from pelagic.operators.reshape import pivot_values, to_wide
 from pelagic.sources.readers import SourceSpec, read_source, recorder_trips
 
 # Schemas, null tokens and renames of the sources (FIXTURES.md).
@@ -228,10 +229,20 @@ def load_pico(spark: SparkSession, path: str) -> DataFrame:
     return replicate_mean(p, ["TripCode", "SampleDepth_m"], list(PICO_FLAGS))
 
 
-def load_larval_samples(spark: SparkSession, path: str, zone: str = "Australia/Sydney") -> DataFrame:
-    """S-17: larval-fish tows with Year/Month/Day and the sample time in UTC (F-01..F-03)."""
+def load_larval_samples(spark: SparkSession, path: str, zone: str = "Australia/Sydney",
+                        zones: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """S-17: larval-fish tows with Year/Month/Day, the time zone of the place and the sample time in UTC (F-01..F-03, J-17).
+
+    ``zones``: vertices and attributes (with a column ``zone``) of a time-zone
+    layer; each tow takes the zone that holds it.  ``zone`` serves tows outside
+    every polygon or without a place.
+    """
     s = read_source(spark, path, LARVAL_SAMPLES)
-    return s.withColumns({**ymd_parts("SampleDateLocal"), "SampleDateUTC": local_to_utc("SampleDateLocal", F.lit(zone))})
+    if zones is None:
+        s = s.withColumn("tz", F.lit(zone))
+    else:
+        s = zone_by_place(s, "Longitude", "Latitude", *zones, default=zone)
+    return s.withColumns({**ymd_parts("SampleDateLocal"), "SampleDateUTC": local_to_utc("SampleDateLocal", F.col("tz"))})
 
 
 def load_larval_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -240,10 +251,16 @@ def load_larval_counts(spark: SparkSession, path: str) -> DataFrame:
     return c.withColumn("Header", F.concat_ws(" ", "ScientificName", "SPCODE"))
 
 
-def larval_matrix(samples: DataFrame, counts: DataFrame, attributes: list[str]) -> DataFrame:
-    """R-8: every tow (also one without counts) and one column per header, 0 where nothing was counted."""
+def larval_matrix(samples: DataFrame, counts: DataFrame, attributes: list[str], project: str | None = None) -> DataFrame:
+    """R-8: every tow (also one without counts) and one column per header, 0 where nothing was counted.
+
+    ``project``: only tows whose ProjectName contains it (the project product).
+    """
+    if project is not None:
+        samples = samples.where(F.col("ProjectName").contains(project))
+        counts = counts.join(samples.select("i_Sample"), "i_Sample", "left_semi")
     sums = counts.groupBy("i_Sample", "Header").agg(F.sum("TaxonCount").alias("TaxonCount"))
-    wide = to_wide(sums, ["i_Sample"], "Header", "TaxonCount", fill=0, unique_cells=True)
+    wide = to_wide(sums, ["i_Sample"], "Header", "TaxonCount", pivot_values(counts, "Header"), fill=0, unique_cells=True)
     names = [c for c in wide.columns if c != "i_Sample"]
     out = samples.select("i_Sample", *attributes).join(wide, "i_Sample", "left")
     return out.select("i_Sample", *attributes, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in names])

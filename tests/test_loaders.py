@@ -160,3 +160,42 @@ def test_grid_round_trip_by_layer_and_band(spark, tmp_path):
     write_grid(g, str(tmp_path / "g"), tasks=5)
     back = read_grid(spark, str(tmp_path / "g"), products=["sst"]).where("resolution = '1m'")
     assert back.count() == 60 and back.agg(F.sum("value")).first()[0] == sum(r[5] for r in rows[:60])
+
+
+def test_larval_tows_take_the_zone_of_their_place(spark, tmp_path):
+    """Tows in two zone polygons, outside both, and without a place; the project variant keeps its tows and their headers only."""
+    cols = specs.LARVAL_SAMPLES.schema
+    names = [c.split()[0] for c in cols.split(", ")]
+    rows = [("1", "IMOS x", "150", "-34"), ("2", "IMOS", "115", "-32"), ("3", "other", "140", "-20"), ("4", "other", "", "")]
+    text = [",".join(names)]
+    for i, project, lon, lat in rows:
+        v = {"I_SAMPLE_ID": i, "PROJECTNAME": project, "LONGITUDE": lon, "LATITUDE": lat, "SAMPLEDATE_LOCAL": "2015-01-10 12:00:00"}
+        text.append(",".join(v.get(n, "") for n in names))
+    p = tmp_path / "s.csv"
+    p.write_text("\n".join(text) + "\n")
+    square = lambda x, y: [(x - 2, y - 2), (x + 2, y - 2), (x + 2, y + 2), (x - 2, y + 2)]
+    v = spark.createDataFrame([(k, 1, n, float(x), float(y)) for k, ring in enumerate((square(150, -34), square(115, -32))) for n, (x, y) in enumerate(ring)],
+                              "polygon_id long, ring_id int, vertex_no int, x double, y double")
+    a = spark.createDataFrame([(0, "Australia/Sydney"), (1, "Australia/Perth")], "polygon_id long, zone string")
+    s = specs.load_larval_samples(spark, str(p), zone="UTC", zones=(v, a))
+    got = {str(r.i_Sample): (r.tz, r.SampleDateUTC.hour) for r in s.collect()}
+    assert got == {"1": ("Australia/Sydney", 1), "2": ("Australia/Perth", 4), "3": ("UTC", 12), "4": ("UTC", 12)}
+    counts = spark.createDataFrame([("1", "a 1", 2), ("3", "b 2", 5)], "i_Sample string, Header string, TaxonCount long")
+    tows = s.withColumn("i_Sample", F.col("i_Sample").cast("string"))
+    m = specs.larval_matrix(tows, counts, ["ProjectName"], project="IMOS")
+    assert sorted((r.i_Sample, r["a 1"]) for r in m.collect()) == [("1", 2), ("2", 0)] and "b 2" not in m.columns
+
+
+def test_wide_absence_matrix_reads_the_facts_once(spark, tmp_path):
+    """The sums are stored: the plan of the result has no scan of the observations."""
+    from pelagic.operators import changelog as cl
+
+    path = str(tmp_path / "obs")
+    spark.createDataFrame([(1, "Aa x", "Aa", 2.0), (2, "Bb y", "Bb", 3.0), (9, "Cc z", "Cc", 1.0)],
+                          "sample int, taxon string, genus string, value double").write.parquet(path)
+    samples = spark.createDataFrame([(k, dt.datetime(2000 + k, 1, 1)) for k in (1, 2, 3)], "sample int, sample_date timestamp_ntz")
+    log = spark.createDataFrame([("Bb y", dt.datetime(2001, 6, 1), "Qq y")], "taxon string, start_date timestamp_ntz, parent string")
+    w = cl.absence_wide(samples, spark.read.parquet(path), log)
+    assert w.columns == ["sample", "Aa", "Bb"]  # a label that only unknown samples have is no column
+    assert path not in w._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, w.collect())) == [(1, 2.0, -999.0), (2, 0.0, 3.0), (3, 0.0, 0.0)]
