@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pelagic.functions.labels import genus_species, sample_code
@@ -45,90 +45,121 @@ def water_quality(trips: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[
     return out.select(trip, depth, sample_code("NRS", trip, depth).alias("sample_code"), *attributes, *columns)
 
 
-def station_indices(trips: DataFrame, zoo: DataFrame, phyto: DataFrame, traits: DataFrame,
-                    key: str = "sample", water: Sequence[DataFrame] = ()) -> DataFrame:
-    """R-6: per-trip zooplankton and phytoplankton indices, left-joined to every trip.
+# Columns of one stacked observation row; a source fills those it has.
+OBSERVATION = ("zoo boolean, counted boolean, phyto boolean, taxon string, genus string, species string, copepod string, "
+               "abund double, count double, group string, cells double, biovolume double")
+PLANKTON = ("ZoopAbundance", "CopeAbundance", "AvgTotalLengthCopepod", "HerbivoreCarnivoreCopepodRatio", "cope_n_species", "cope_shannon",
+            "cope_evenness", "PhytoBiomassCarbon", "AbundancePhyto", "DiatomDinoflagellateRatio", "AvgCellVol",
+            *[f"{p}_{c}" for p in ("phyto", "diatom", "dino") for c in ("n_species", "shannon", "evenness")])
+
 
-    ``water``: further per-trip frames (nutrient means, surface pigment, mixed
-    layer depths), each with ``key`` and one row per trip; their columns follow.
+def stack_observations(key: str, zoo: DataFrame, phyto: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """The sources of a plankton product as one frame (see ``OBSERVATION``).
 
-    ``trips``: (key, biomass); ``zoo``: (key, taxon, genus, species, copepod, abund);
-    ``phyto``: (key, genus, species, group, cells, biovolume); ``traits``: (taxon, size, diet).
+    ``zoo``: (key, taxon, genus, species, copepod, abund); ``phyto``: (key, genus,
+    species, group, cells, biovolume); ``counts``: (key, genus, species, copepod,
+    count), the records of the copepod diversity (S-11).  Without it the zooplankton
+    records count, by their abundance.
+    """
+    z = zoo.withColumns({"zoo": F.lit(True), "counted": F.lit(counts is None), "count": F.col("abund")})
+    parts = [z, phyto.withColumn("phyto", F.lit(True))]
+    if counts is not None:
+        parts.append(counts.withColumn("counted", F.lit(True)))
+    names = [c.split() for c in OBSERVATION.split(", ")]
+    out = None
+    for part in parts:
+        part = part.select(key, *[(F.col(n) if n in part.columns else F.lit(None)).cast(t).alias(n) for n, t in names])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def plankton_indices(obs: DataFrame, traits: DataFrame, key: str = "sample") -> DataFrame:
+    """The plankton columns of R-6 and R-7 (``PLANKTON``) per key, from stacked observations read once.
+
+    ``traits``: (taxon, size, diet), one row per taxon.  One two-level aggregation:
+    per (key, what the record counts for, taxon label), where map-side partial sums
+    absorb a hot sample, then per key.
     """
     t = traits.select(F.col("taxon").alias("__tt"), F.col("size").alias("__size"), F.col("diet").alias("__diet"))
-    cope = zoo.where(F.col("copepod") == COPEPOD)
-    ct = cope.join(t, cope["taxon"] == t["__tt"], "inner")
+    o = obs.join(t, obs["taxon"] == t["__tt"], "left")
+
+    def true(c: Column) -> Column:
+        return F.coalesce(c, F.lit(False))
+
+    grp, cells, bv = F.col("group"), F.col("cells"), F.col("biovolume")
+    zoo, cope = true(F.col("zoo")), true(F.col("zoo") & (F.col("copepod") == COPEPOD))
+    phyto = true(F.col("phyto") & (grp != OTHER_GROUP))
+    species = ix.species_condition("species", ix.INDEX_DROP_PATTERNS)
+    qc = true(F.col("counted") & (F.col("copepod") == COPEPOD)) & species
+    qp = phyto & species
+    traited = cope & F.col("__tt").isNotNull()
     diet = F.when(F.col("__diet") == DIET_CARNIVORE, F.lit("CC")).when(F.col("__diet").isNotNull(), F.lit("CO"))
-    ok = F.col("__diet").isNotNull() & F.col("abund").isNotNull()
-    z_size = ct.groupBy(key).agg(
-        safe_div(F.sum(F.col("__size") * F.col("abund")), F.sum("abund")).alias("AvgTotalLengthCopepod"),
-        F.max(F.when(ok & (diet == "CO"), F.lit(1))).alias("__has_co"),
-        F.max(F.when(ok & (diet == "CC"), F.lit(1))).alias("__has_cc"),
-        sum0(F.when(ok & (diet == "CO"), F.col("abund"))).alias("__co"),
-        sum0(F.when(ok & (diet == "CC"), F.col("abund"))).alias("__cc"))
-    co = F.when(F.col("__has_co").isNotNull(), F.col("__co"))
-    cc = F.when(F.col("__has_cc").isNotNull(), F.col("__cc"))
-    z_size = z_size.select(key, "AvgTotalLengthCopepod", safe_div(co, co + cc).alias("HerbivoreCarnivoreCopepodRatio"))
-
-    # Totals and copepod diversity in one two-level aggregation: per (sample,
-    # species-filter flag, taxon label), then per sample.  The zooplankton
-    # table is read twice (here and in the trait join above), not once per index.
-    is_cope = F.col("copepod") == COPEPOD
-    zq = F.coalesce(is_cope, F.lit(False)) & ix.species_condition("species", ix.INDEX_DROP_PATTERNS)
-    z1 = zoo.groupBy(key, zq.alias("__q"), F.when(zq, genus_species("genus", "species")).alias("__tn")).agg(
-        F.sum("abund").alias("__tot"),
-        F.max(F.when(is_cope, F.lit(1))).alias("__hc"),
-        F.sum(F.when(is_cope, F.col("abund"))).alias("__ca"),
-        sum0("abund").alias("__x"), F.count(F.lit(1)).alias("__rows"))
-    q = F.col("__q")
-    z_all = z1.groupBy(key).agg(
-        sum0("__tot").alias("ZoopAbundance"),
-        F.when(F.max("__hc").isNotNull(), sum0("__ca")).alias("CopeAbundance"),
-        F.count_if(q).alias("__k"), F.sum(F.when(q, F.col("__rows"))).alias("__n"), *ix.diversity_sums("__x", q))
-    z_all = z_all.select(key, "ZoopAbundance", "CopeAbundance", *ix.diversity_columns("cope_", F.col("__k") > 0))
-
-    # Phytoplankton totals, carbon, ratios, cell volume and diversity: one pass.
-    p = phyto.where(F.col("group") != OTHER_GROUP)
+    eats = traited & F.col("__diet").isNotNull() & F.col("abund").isNotNull()
     carbon = ix.cell_carbon_expr("group", "cells", "biovolume")
-    grp = F.col("group")
-    is_diatom, is_dino = grp.isin(*DIATOM_GROUPS), grp == DINOFLAGELLATE
-    bv_ok = F.col("biovolume").isNotNull()
-    pq = ix.species_condition("species", ix.INDEX_DROP_PATTERNS)
-    p1 = p.groupBy(key, pq.alias("__q"), F.when(pq, genus_species("genus", "species")).alias("__tn")).agg(
-        F.count_if(carbon.isNull()).alias("__c_null"), F.sum(carbon).alias("__c"),
-        F.sum("cells").alias("__cells"),
-        F.max(F.when(is_diatom, F.lit(1))).alias("__hd"), F.max(F.when(is_dino, F.lit(1))).alias("__hn"),
-        F.sum(F.when(is_diatom, F.col("cells"))).alias("__d"), F.sum(F.when(is_dino, F.col("cells"))).alias("__dn"),
-        F.count_if(bv_ok & F.col("cells").isNull()).alias("__cn"),
-        F.sum(F.when(bv_ok, F.col("biovolume"))).alias("__bv"), F.sum(F.when(bv_ok, F.col("cells"))).alias("__bc"),
-        sum0("cells").alias("__x"), F.count(F.lit(1)).alias("__rows"),
-        sum0(F.when(is_diatom, F.col("cells"))).alias("__xd"), F.count_if(is_diatom).alias("__rd"),
-        sum0(F.when(is_dino, F.col("cells"))).alias("__xn"), F.count_if(is_dino).alias("__rn"))
-    qd, qn = q & (F.col("__rd") > 0), q & (F.col("__rn") > 0)
-    p_all = p1.groupBy(key).agg(
-        F.when(F.sum("__c_null") > 0, F.lit(None)).otherwise(F.sum("__c")).alias("PhytoBiomassCarbon"),
-        sum0("__cells").alias("AbundancePhyto"),
-        F.max("__hd").alias("__hd"), F.max("__hn").alias("__hn"), sum0("__d").alias("__d"), sum0("__dn").alias("__dn"),
-        F.sum("__cn").alias("__cn"), F.sum("__bv").alias("__bv"), F.sum("__bc").alias("__bc"),
-        F.count_if(q).alias("__k"), F.sum(F.when(q, F.col("__rows"))).alias("__n"), *ix.diversity_sums("__x", q),
-        F.sum(F.when(qd, F.col("__rd"))).alias("__n_d"), *ix.diversity_sums("__xd", qd, "_d"),
-        F.sum(F.when(qn, F.col("__rn"))).alias("__n_n"), *ix.diversity_sums("__xn", qn, "_n"))
-    d = F.when(F.col("__hd").isNotNull(), F.col("__d"))
-    n = F.when(F.col("__hn").isNotNull(), F.col("__dn"))
-    p_all = p_all.select(key, "PhytoBiomassCarbon", "AbundancePhyto",
-                         safe_div(d, d + n).alias("DiatomDinoflagellateRatio"),
-                         F.when(F.col("__cn") == 0, safe_div(F.col("__bv"), F.col("__bc"))).alias("AvgCellVol"),
-                         *ix.diversity_columns("phyto_", F.col("__k") > 0),
-                         *ix.diversity_columns("diatom_", F.col("__n_d") > 0, "_d"),
-                         *ix.diversity_columns("dino_", F.col("__n_n") > 0, "_n"))
-
-    out = trips.select(key, "biomass")
-    for part in (z_all, z_size, p_all, *water):
+    diatom, dino = phyto & grp.isin(*DIATOM_GROUPS), phyto & (grp == DINOFLAGELLATE)
+
+    def flag(c: Column) -> Column:
+        return F.when(c, F.lit(1))
+
+    # what each record adds, computed once per row; the aggregation only sums and takes maxima
+    sums = {"__z": F.when(zoo, F.col("abund")), "__ca": F.when(cope, F.col("abund")),
+            "__sn": F.when(traited, F.col("__size") * F.col("abund")), "__sa": F.when(traited, F.col("abund")),
+            "__co": F.when(eats & (diet == "CO"), F.col("abund")), "__cc": F.when(eats & (diet == "CC"), F.col("abund")),
+            "__xc": F.when(qc, F.col("count")), "__carbon": F.when(phyto, carbon), "__cells": F.when(phyto, cells),
+            "__d": F.when(diatom, cells), "__dn": F.when(dino, cells), "__bv": F.when(phyto & bv.isNotNull(), bv),
+            "__bc": F.when(phyto & bv.isNotNull(), cells), "__x": F.when(qp, cells), "__xd": F.when(qp & diatom, cells),
+            "__xn": F.when(qp & dino, cells), "__rows": F.lit(1).cast("long"), "__rd": flag(diatom).cast("long"), "__rn": flag(dino).cast("long")}
+    tops = {"__hc": flag(cope), "__h_co": flag(eats & (diet == "CO")), "__h_cc": flag(eats & (diet == "CC")), "__hp": flag(phyto),
+            "__hd": flag(diatom), "__hn": flag(dino), "__c_null": flag(phyto & carbon.isNull()), "__cn": flag(phyto & bv.isNotNull() & cells.isNull())}
+    label = F.when(qc | qp, genus_species("genus", "species"))
+    row = o.select(key, qc.alias("__qc"), qp.alias("__qp"), label.alias("__tn"), *[c.alias(n) for n, c in {**sums, **tops}.items()])
+    one = row.groupBy(key, "__qc", "__qp", "__tn").agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in tops])
+    q_c, q_p = F.col("__qc"), F.col("__qp")
+    q_d, q_n = q_p & (F.col("__rd") > 0), q_p & (F.col("__rn") > 0)
+    per_taxon = one.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("__xc", "__x", "__xd", "__xn")})
+    two = per_taxon.groupBy(key).agg(
+        sum0("__z").alias("ZoopAbundance"), *[F.max(c).alias(c) for c in tops],
+        *[F.sum(c).alias(c) for c in ("__sn", "__sa", "__carbon", "__bv", "__bc")],
+        *[sum0(c).alias(c) for c in ("__ca", "__co", "__cc", "__cells", "__d", "__dn")],
+        F.sum(F.when(q_c, F.col("__rows"))).alias("__n_c"), *ix.diversity_sums("__xc", q_c, "_c"),
+        F.sum(F.when(q_p, F.col("__rows"))).alias("__n"), *ix.diversity_sums("__x", q_p),
+        F.sum(F.when(q_d, F.col("__rd"))).alias("__n_d"), *ix.diversity_sums("__xd", q_d, "_d"),
+        F.sum(F.when(q_n, F.col("__rn"))).alias("__n_n"), *ix.diversity_sums("__xn", q_n, "_n"))
+
+    def where(has: str, c: Column) -> Column:
+        return F.when(F.col(has).isNotNull(), c)
+
+    co, cc = where("__h_co", F.col("__co")), where("__h_cc", F.col("__cc"))
+    d, n = where("__hd", F.col("__d")), where("__hn", F.col("__dn"))
+    return two.select(
+        key, "ZoopAbundance", where("__hc", F.col("__ca")).alias("CopeAbundance"),
+        safe_div(F.col("__sn"), F.col("__sa")).alias("AvgTotalLengthCopepod"),
+        safe_div(co, co + cc).alias("HerbivoreCarnivoreCopepodRatio"), *ix.diversity_columns("cope_", F.col("__n_c") > 0, "_c"),
+        F.when(F.col("__c_null").isNull(), F.col("__carbon")).alias("PhytoBiomassCarbon"),
+        where("__hp", F.col("__cells")).alias("AbundancePhyto"), safe_div(d, d + n).alias("DiatomDinoflagellateRatio"),
+        F.when(F.col("__cn").isNull(), safe_div(F.col("__bv"), F.col("__bc"))).alias("AvgCellVol"),
+        *ix.diversity_columns("phyto_", F.col("__n") > 0), *ix.diversity_columns("diatom_", F.col("__n_d") > 0, "_d"),
+        *ix.diversity_columns("dino_", F.col("__n_n") > 0, "_n"))
+
+
+def indices_product(trips: DataFrame, plankton: DataFrame, key: str = "sample", attributes: Sequence[str] = ("biomass",),
+                    parts: Sequence[DataFrame] = ()) -> DataFrame:
+    """R-6 / R-7: every trip with its attributes, its plankton columns, and those of further per-trip ``parts``.
+
+    A part has ``key`` and one row per trip (surface cast means, mixed layer,
+    nutrient means, pigment; or the property table of a recorder sample).
+    """
+    out = trips.select(key, *attributes)
+    for part in (plankton, *parts):
         out = out.join(part, key, "left")
     # trips with no zooplankton row at all still total 0 (sum over a left join)
     out = out.withColumn("ZoopAbundance", F.coalesce(F.col("ZoopAbundance"), F.lit(0.0)))
-    return out.select(key, "biomass", "ZoopAbundance", "CopeAbundance", "AvgTotalLengthCopepod",
-                      "HerbivoreCarnivoreCopepodRatio", "cope_n_species", "cope_shannon", "cope_evenness",
-                      "PhytoBiomassCarbon", "AbundancePhyto", "DiatomDinoflagellateRatio", "AvgCellVol",
-                      *[f"{p}_{c}" for p in ("phyto", "diatom", "dino") for c in ("n_species", "shannon", "evenness")],
-                      *[c for w in water for c in w.columns if c != key])
+    return out.select(key, *attributes, *PLANKTON, *[c for p in parts for c in p.columns if c != key])
+
+
+def station_indices(trips: DataFrame, zoo: DataFrame, phyto: DataFrame, traits: DataFrame,
+                    key: str = "sample", water: Sequence[DataFrame] = (), counts: DataFrame | None = None,
+                    attributes: Sequence[str] = ("biomass",)) -> DataFrame:
+    """R-6 from separate sources (see :func:`stack_observations`): each is read once."""
+    plankton = plankton_indices(stack_observations(key, zoo, phyto, counts), traits, key)
+    return indices_product(trips, plankton, key, attributes, water)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pelagic.functions.timeops import ymd_parts
 from pelagic.operators import community as cm
 from pelagic.operators import grid as gr
 from pelagic.operators import regions as rg
@@ -13,46 +14,55 @@ from pelagic.plans import q_products as qp
 from pelagic.plans import q_regions as qr
 from pelagic.plans.catalog import register, rounded
 from pelagic.plans.q_community import random_rows_sql
-from pelagic.plans.q_grid import LAT, LON, _matchup_sql
+from pelagic.plans.q_grid import LAT, LON
+from pelagic.sources.readers import recorder_trips
 
 
-def _recorder_sql() -> str:
-    cut = qp._SQL.rindex("\nSELECT s.sample, round(s.biomass")
-    station_ctes, station_select = qp._SQL[:cut], qp._SQL[cut:]
-    region_head = b.with_ctes(b.SQL_SAMPLES, qr._sql_vertices())
-    region_tail = qr._SQL_OVERLAY[len(region_head):]
-    boxes = " ".join(f"WHEN r.lat BETWEEN {la0} AND {la1} AND r.lon BETWEEN {lo0} AND {lo1} THEN '{label}'"
-                     for label, la0, la1, lo0, lo1 in qr.FALLBACK_BOXES)
-    return (station_ctes + ",\nsi AS (" + station_select + ")" + ",\n" + qr._sql_vertices() + region_tail
-            + f"SELECT si.*, coalesce(r.region, CASE {boxes} END) AS region FROM si JOIN r USING (sample)\n")
+# ----------------------------------------------------------------- R-7 (plankton indices + J-14 + J-15), the recorder's own columns
+# Binding: a recorder sample has a sample type (F or O); route, colour index and region derive from its keys.
+_REGION_CTES = qr._sql_vertices() + qr._SQL_OVERLAY[len(b.with_ctes(b.SQL_SAMPLES, qr._sql_vertices())):]
+_BOXES = " ".join(f"WHEN r.lat BETWEEN {la0} AND {la1} AND r.lon BETWEEN {lo0} AND {lo1} THEN '{label}'"
+                  for label, la0, la1, lo0, lo1 in qr.FALLBACK_BOXES)
+_RECORDER_HEAD = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS, qp._PLANKTON_CTES, _REGION_CTES)
+_RECORDER_COLUMNS = f"""s.sample, s.lat AS "Latitude", s.lon AS "Longitude", strftime(s.sample_date, '%Y-%m-%d %H:%M:%S') AS "SampleDateUTC",
+       CAST(year(s.sample_date) AS INTEGER) AS "Year", CAST(month(s.sample_date) AS INTEGER) AS "Month", CAST(day(s.sample_date) AS INTEGER) AS "Day",
+       strftime(s.sample_date, '%H:%M:%S') AS "Time_24hr", 'Region ' || (s.station % 3) AS "Region", 'Route ' || (s.station % 4) AS "Route",
+       CAST(s.sample % 5 AS INTEGER) AS "PCI", round(s.biomass, 6) + 0.0 AS "Biomass_mgm3", coalesce(r.region, CASE {_BOXES} END) AS "BioRegion",
+       {qp._PLANKTON_COLUMNS}"""
+_RECORDER_FROM = f"FROM samples s JOIN r USING (sample){qp._PLANKTON_JOINS}"
+_RECORDER_ATTRIBUTES = ("Latitude", "Longitude", "SampleDateUTC", "Year", "Month", "Day", "Time_24hr", "Region", "Route", "PCI", "Biomass_mgm3", "BioRegion")
 
 
-# ----------------------------------------------------------------- R-7 (R-6 + J-14 + J-15)
-@register("recorder_indices", sql=_recorder_sql())
+def _recorder(spark, sf_dir, parts=()):
+    s = recorder_trips(b.samples(spark, sf_dir).withColumn("sample_type", F.when(F.col("sample_type") != "P", F.col("sample_type"))), "sample_type")
+    s = s.withColumns(ymd_parts("sample_date")).select(
+        "sample", F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"), F.date_format("sample_date", "yyyy-MM-dd HH:mm:ss").alias("SampleDateUTC"),
+        "Year", "Month", "Day", "Time_24hr", F.concat(F.lit("Region "), F.col("station") % 3).alias("Region"),
+        F.concat(F.lit("Route "), F.col("station") % 4).alias("Route"), (F.col("sample") % 5).cast("int").alias("PCI"), F.col("biomass").alias("Biomass_mgm3"))
+    attrs = b.table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("polygon_id"), F.col("r_name").alias("BioRegion"))
+    s = rg.overlay(s, "Longitude", "Latitude", qr.vertices(spark, sf_dir), attrs, attr_cols=["BioRegion"])
+    s = rg.bbox_fallback(s, "BioRegion", "Latitude", "Longitude", qr.FALLBACK_BOXES)
+    plankton = pr.plankton_indices(qp.observations(spark, sf_dir), qp.traits(spark, sf_dir))
+    out = pr.indices_product(s, plankton, attributes=_RECORDER_ATTRIBUTES, parts=parts)
+    return rounded(out, keep=("AvgCellVol", "Latitude", "Longitude"))
+
+
+@register("recorder_indices", sql=_RECORDER_HEAD + f"SELECT {_RECORDER_COLUMNS} {_RECORDER_FROM} WHERE s.sample_type <> 'P'")
 def recorder_indices(spark, sf_dir):
-    trips, zoo, phyto, traits = qp._inputs(spark, sf_dir)
-    ind = rounded(pr.station_indices(trips, zoo, phyto, traits, water=qp._water(spark, sf_dir)), keep=("AvgCellVol",))
-    s = b.samples(spark, sf_dir).select("sample", "lat", "lon")
-    attrs = b.table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").cast("long").alias("polygon_id"), F.col("r_name").alias("region"))
-    reg = rg.overlay(s, "lon", "lat", qr.vertices(spark, sf_dir), attrs, attr_cols=["region"])
-    reg = rg.bbox_fallback(reg, "region", "lat", "lon", qr.FALLBACK_BOXES).select("sample", "region")
-    return ind.join(reg, "sample", "inner")
+    return _recorder(spark, sf_dir)
 
 
-# ----------------------------------------------------------------- R-7, variant with the satellite properties of each sample (D-23)
-# Recorder samples are those of two sample types; their properties come from the yearly layers.
-@register("recorder_indices_props", sql=f"""
-SELECT i.*, p."A_1y" AS sat_chla, p."N_1y" AS sat_sst, p."R_1y" AS sat_depth
-FROM ({_recorder_sql()}) i JOIN ({_matchup_sql("1y")}) p USING (sample)
-WHERE i.sample IN (SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O'))
+# ----------------------------------------------------------------- R-7, variant with the property table of the samples (S-19, D-23)
+# Binding of the side table: some samples only, chlorophyll unknown for some.
+@register("recorder_indices_props", sql=_RECORDER_HEAD + f"""SELECT {_RECORDER_COLUMNS}, round(p.chla, 6) + 0.0 AS "ChlorophyllSatellite_mgm3", p.depth AS "WaterDepth_m"
+{_RECORDER_FROM} LEFT JOIN (SELECT o_orderkey AS sample, CASE WHEN o_custkey % 4 <> 0 THEN o_totalprice / 65536 END AS chla, CAST(o_custkey % 200 AS DOUBLE) AS depth
+  FROM orders WHERE o_custkey % 3 <> 0) p USING (sample) WHERE s.sample_type <> 'P'
 """)
 def recorder_indices_props(spark, sf_dir):
-    s = b.samples(spark, sf_dir).where(F.col("sample_type").isin("F", "O"))
-    props = rounded(gr.match_products(s, b.grid_at(spark, sf_dir, "1y"), "sample", "lat", "lon", "sample_date", LAT, LON,
-                                      ["A", "N", "R"], "1y", 3, named=True))
-    props = props.select("sample", F.col("A_1y").alias("sat_chla"), F.col("N_1y").alias("sat_sst"), F.col("R_1y").alias("sat_depth"))
-    return recorder_indices(spark, sf_dir).join(props, "sample")
+    side = b.table(spark, sf_dir, "orders").where(F.col("o_custkey") % 3 != 0).select(
+        F.col("o_orderkey").alias("sample"), F.when(F.col("o_custkey") % 4 != 0, F.col("o_totalprice") / 65536).alias("ChlorophyllSatellite_mgm3"),
+        (F.col("o_custkey") % 200).cast("double").alias("WaterDepth_m"))
+    return _recorder(spark, sf_dir, [side])
 
 
 # ----------------------------------------------------------------- R-12 (O-04 + G-01 + G-03) on md5-seeded draws

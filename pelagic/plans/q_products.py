@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pelagic.functions.timeops import ymd_parts
 from pelagic.operators import qc
-from pelagic.operators.profile import surface_mean
+from pelagic.operators.profile import mixed_layer, surface_mean
 from pelagic.plans import bindings as b
 from pelagic.plans import products as pr
 from pelagic.plans import q_qc as qq
@@ -18,30 +19,58 @@ _GROUP_SQL = ("CASE grp WHEN 'PROMO' THEN 'Dinoflagellate' WHEN 'SMALL' THEN 'Ci
               "WHEN 'ECONOMY' THEN 'Centric diatom' WHEN 'MEDIUM' THEN 'Pennate diatom' ELSE 'Other' END")
 
 
-def _inputs(spark, sf_dir):
+# Fixed value of the binding: the station that the product leaves out.
+EXCLUDED_STATION = 4
+
+
+def observations(spark, sf_dir):
+    """Both plankton sources and the counts table as one stacked frame, from one pass over the observations."""
     o = b.obs(spark, sf_dir)
-    zoo = o.where(F.col("flag") % 2 == 1).select(
-        "sample", "taxon", "genus", "species",
-        F.when(F.col("grp") == "STANDARD", F.lit("COPEPOD")).otherwise(F.lit("NON-COPEPOD")).alias("copepod"),
-        F.col("value").alias("abund"))
     m = F.create_map(*[x for k, v in GROUPS.items() for x in (F.lit(k), F.lit(v))])
-    phyto = o.where(F.col("flag") % 2 == 0).select(
-        "sample", "genus", "species", F.element_at(m, F.col("grp")).alias("group"), F.col("value").alias("cells"),
-        F.when(F.col("flag") == 6, F.lit(None)).otherwise(F.floor("biovolume").cast("double")).alias("biovolume"))
+    zoo = F.col("flag") % 2 == 1
+    return o.select(
+        "sample", zoo.alias("zoo"), (zoo & (F.col("discount") > 0.02)).alias("counted"), (~zoo).alias("phyto"),
+        F.when(zoo, F.col("taxon")).alias("taxon"), "genus", "species",
+        F.when(F.col("grp") == "STANDARD", F.lit("COPEPOD")).otherwise(F.lit("NON-COPEPOD")).alias("copepod"),
+        F.col("value").alias("abund"), F.ceil(F.col("value") / 3).cast("double").alias("count"),
+        F.element_at(m, F.col("grp")).alias("group"), F.col("value").alias("cells"),
+        F.when(F.col("flag") != 6, F.floor("biovolume").cast("double")).alias("biovolume"))
+
+
+def traits(spark, sf_dir):
     part = b.table(spark, sf_dir, "part")
-    traits = part.groupBy(F.col("p_name").alias("taxon")).agg(
+    return part.groupBy(F.col("p_name").alias("taxon")).agg(
         F.avg("p_size").alias("size"),
         F.when(F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)) == "red", F.lit(None))
          .when(F.avg("p_size") > 25, F.lit("CC")).otherwise(F.lit("CO")).alias("diet"))
-    return b.samples(spark, sf_dir), zoo, phyto, traits
+
+
+# Fixed values of the binding: nine flagged chemistry measures and a cast per trip, all from lineitem.
+NUTRIENTS = {"silicate": ("l_quantity", "l_partkey % 10"), "phosphate": ("l_discount * 10", "l_orderkey % 10"),
+             "ammonium": ("l_tax * 100", "(l_partkey + 1) % 10"), "nitrate": ("l_extendedprice", "l_suppkey % 10"),
+             "nitrite": ("l_quantity / 16", "(l_suppkey + 3) % 10"), "oxygen": ("l_extendedprice / 128", "l_linenumber + 1"),
+             "dic": ("2000 + l_quantity", "l_partkey % 7"), "alkalinity": ("2300 + l_discount * 100", "l_suppkey % 7"),
+             "salinity": ("35 + l_tax", "l_orderkey % 7")}
 
 
 def _water(spark, sf_dir):
-    """Per-trip nutrient means over the depth means, and the mean pigment of the upper 10 m."""
-    nutrients = qc.mean_of_means(qq._masked(spark, sf_dir), "trip", "depth", ["silicate", "nitrate"])
+    """Per trip: surface cast means, mixed layer, nutrient means over the depth means, pigment of the upper 10 m."""
+    li = b.table(spark, sf_dir, "lineitem")
+    cast = li.select(F.col("l_orderkey").alias("sample"), (F.col("l_linenumber") * 4 - 1).cast("double").alias("depth"),
+                     F.when(F.col("l_orderkey") % 7 == 0, F.lit(5.0)).otherwise(F.lit(10.0)).alias("ref_depth"),
+                     F.col("l_quantity").alias("temp"), (F.col("l_extendedprice") / 65536 + 30).alias("salinity"),
+                     F.when(F.col("l_linenumber") != 6, F.col("l_tax") * 10).alias("chl"), F.col("l_extendedprice").alias("row"))
+    surface = surface_mean(cast, "sample", "depth", ["temp", "chl", "salinity"], 15.0)
+    surface = surface.withColumnsRenamed({"temp": "CTD_SST", "chl": "CTDChla", "salinity": "CTDSalinity"})
+    mld = mixed_layer(cast, "sample", "depth", "temp", "salinity", "chl", "ref_depth", order="row")
+    depth = F.when(F.col("l_linenumber") == 7, F.lit("WC")).otherwise(((F.col("l_linenumber") % 3) * 10).cast("string"))
+    chem = li.select(F.col("l_orderkey").alias("sample"), depth.alias("depth"), *[F.expr(v).cast("double").alias(n) for n, (v, _) in NUTRIENTS.items()],
+                     *[F.expr(f).cast("int").alias(f"{n}_flag") for n, (_, f) in NUTRIENTS.items()])
+    chem = qc.mask_flags(chem, {n: f"{n}_flag" for n in NUTRIENTS})
+    nutrients = qc.mean_of_means(chem, "sample", "depth", list(NUTRIENTS))
     pig = qq.pigments(spark, sf_dir).withColumn("depth", F.col("depth").cast("double"))
-    pigment = surface_mean(pig, "trip", "depth", ["chla"], 10.0, inclusive=True)
-    return [w.withColumnRenamed("trip", "sample") for w in (nutrients, pigment)]
+    pigment = surface_mean(pig, "trip", "depth", ["chla"], 10.0, inclusive=True).withColumnRenamed("trip", "sample")
+    return [surface, mld, nutrients, pigment]
 
 
 def _diversity_sql(name: str, where: str) -> str:
@@ -52,8 +81,7 @@ def _diversity_sql(name: str, where: str) -> str:
        FROM {name}x JOIN (SELECT sample, sum(x) AS t FROM {name}x GROUP BY sample) USING (sample) GROUP BY sample)"""
 
 
-_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS, qq.SQL_CHEM, qq._MASKED, qq.SQL_PIG) + f""",
-zoo AS (SELECT sample, taxon, genus, species, CASE WHEN grp = 'STANDARD' THEN 'COPEPOD' ELSE 'NON-COPEPOD' END AS copepod,
+_PLANKTON_CTES = f"""zoo AS (SELECT sample, taxon, genus, species, CASE WHEN grp = 'STANDARD' THEN 'COPEPOD' ELSE 'NON-COPEPOD' END AS copepod,
                value AS abund FROM obs WHERE flag % 2 = 1),
 phyto AS (SELECT sample, genus, species, {_GROUP_SQL} AS grp2, value AS cells,
                  CASE WHEN flag = 6 THEN NULL ELSE CAST(floor(biovolume) AS DOUBLE) END AS biovolume FROM obs WHERE flag % 2 = 0),
@@ -68,7 +96,9 @@ hc AS (SELECT sample, sum(abund) FILTER (WHERE d = 'CO') AS co, sum(abund) FILTE
          SELECT z.sample, z.abund, CASE WHEN t.diet = 'CC' THEN 'CC' ELSE 'CO' END AS d
          FROM zoo z JOIN traits t USING (taxon) WHERE z.copepod = 'COPEPOD' AND t.diet IS NOT NULL AND z.abund IS NOT NULL)
        GROUP BY sample),
-zf AS (SELECT sample, genus || ' ' || split_part(species, ' ', 1) AS tn, abund AS v FROM zoo
+counts AS (SELECT sample, genus, species, CASE WHEN grp = 'STANDARD' THEN 'COPEPOD' ELSE 'NON-COPEPOD' END AS copepod,
+                  CAST(ceil(value / 3) AS DOUBLE) AS n FROM obs WHERE flag % 2 = 1 AND discount > 0.02),
+zf AS (SELECT sample, genus || ' ' || split_part(species, ' ', 1) AS tn, n AS v FROM counts
        WHERE copepod = 'COPEPOD' AND species IS NOT NULL AND species <> 'spp.' AND NOT regexp_matches(species, 'cf.')
          AND NOT regexp_matches(species, 'grp')),
 zn AS (SELECT sample, count(*) AS n FROM zf GROUP BY sample),
@@ -90,37 +120,57 @@ pf AS (SELECT sample, grp2, genus || ' ' || split_part(species, ' ', 1) AS tn, c
        WHERE species IS NOT NULL AND species <> 'spp.' AND NOT regexp_matches(species, 'cf.') AND NOT regexp_matches(species, 'grp')),
 {_diversity_sql("p", "true")},
 {_diversity_sql("d", "grp2 IN ('Centric diatom', 'Pennate diatom')")},
-{_diversity_sql("f", "grp2 = 'Dinoflagellate'")},
-nutrients AS (SELECT trip AS sample, avg(silicate) AS silicate, avg(nitrate) AS nitrate FROM (
-                SELECT trip, depth, avg(silicate) AS silicate, avg(nitrate) AS nitrate FROM masked GROUP BY trip, depth)
-              GROUP BY trip),
-pigment AS (SELECT trip AS sample, avg(chla) AS chla FROM pig WHERE CAST(depth AS DOUBLE) <= 10 GROUP BY trip)
-SELECT s.sample, round(s.biomass, 6) + 0.0 AS biomass, round(tz.ZoopAbundance, 6) + 0.0 AS ZoopAbundance,
-       round(tc.CopeAbundance, 6) + 0.0 AS CopeAbundance,
+{_diversity_sql("f", "grp2 = 'Dinoflagellate'")}"""
+
+_PLANKTON_COLUMNS = """round(tz.ZoopAbundance, 6) + 0.0 AS ZoopAbundance, round(tc.CopeAbundance, 6) + 0.0 AS CopeAbundance,
        round(sz.AvgTotalLengthCopepod, 6) + 0.0 AS AvgTotalLengthCopepod,
        round(hc.co / (hc.co + hc.cc), 6) + 0.0 AS HerbivoreCarnivoreCopepodRatio,
        zn.n AS cope_n_species, round(zh.h, 6) + 0.0 AS cope_shannon,
        round(CASE WHEN zn.n > 1 THEN zh.h / ln(zn.n) END, 6) + 0.0 AS cope_evenness,
        round(pc.PhytoBiomassCarbon, 6) + 0.0 AS PhytoBiomassCarbon, round(pc.AbundancePhyto, 6) + 0.0 AS AbundancePhyto,
-       round(pc.dia / (pc.dia + pc.dino), 6) + 0.0 AS DiatomDinoflagellateRatio,
-       cv.AvgCellVol + 0.0 AS AvgCellVol,
+       round(pc.dia / (pc.dia + pc.dino), 6) + 0.0 AS DiatomDinoflagellateRatio, cv.AvgCellVol + 0.0 AS AvgCellVol,
        pn.n AS phyto_n_species, round(ph.h, 6) + 0.0 AS phyto_shannon,
        round(CASE WHEN pn.n > 1 THEN ph.h / ln(pn.n) END, 6) + 0.0 AS phyto_evenness,
        dn.n AS diatom_n_species, round(dh.h, 6) + 0.0 AS diatom_shannon,
        round(CASE WHEN dn.n > 1 THEN dh.h / ln(dn.n) END, 6) + 0.0 AS diatom_evenness,
        fn.n AS dino_n_species, round(fh.h, 6) + 0.0 AS dino_shannon,
-       round(CASE WHEN fn.n > 1 THEN fh.h / ln(fn.n) END, 6) + 0.0 AS dino_evenness,
-       round(nutrients.silicate, 6) + 0.0 AS silicate, round(nutrients.nitrate, 6) + 0.0 AS nitrate,
-       round(pigment.chla, 6) + 0.0 AS chla
-FROM samples s LEFT JOIN tz USING (sample) LEFT JOIN tc USING (sample) LEFT JOIN sz USING (sample)
-     LEFT JOIN hc USING (sample) LEFT JOIN zn USING (sample) LEFT JOIN zh USING (sample)
-     LEFT JOIN pc USING (sample) LEFT JOIN cv USING (sample) LEFT JOIN pn USING (sample) LEFT JOIN ph USING (sample)
-     LEFT JOIN dn USING (sample) LEFT JOIN dh USING (sample) LEFT JOIN fn USING (sample) LEFT JOIN fh USING (sample)
-     LEFT JOIN nutrients USING (sample) LEFT JOIN pigment USING (sample)
+       round(CASE WHEN fn.n > 1 THEN fh.h / ln(fn.n) END, 6) + 0.0 AS dino_evenness"""
+_PLANKTON_JOINS = "".join(f" LEFT JOIN {t} USING (sample)" for t in "tz tc sz hc zn zh pc cv pn ph dn dh fn fh".split())
+
+_WATER_CTES = """ctd AS (
+  SELECT l_orderkey AS sample, CAST(l_linenumber * 4 - 1 AS DOUBLE) AS depth, CASE WHEN l_orderkey % 7 = 0 THEN 5.0 ELSE 10.0 END AS ref_depth,
+         l_quantity AS temp, l_extendedprice / 65536 + 30 AS salinity, CASE WHEN l_linenumber <> 6 THEN l_tax * 10 END AS chl, l_extendedprice AS row FROM lineitem),
+surface AS (SELECT sample, avg(temp) AS CTD_SST, avg(chl) AS CTDChla, avg(salinity) AS CTDSalinity FROM ctd WHERE depth < 15 GROUP BY sample),
+ref AS (SELECT * FROM (SELECT sample, depth AS rdepth, temp AS rtemp, salinity AS rsal,
+          row_number() OVER (PARTITION BY sample ORDER BY abs(depth - ref_depth), depth, row) AS rn FROM ctd) WHERE rn = 1),
+below AS (SELECT c.*, r.rtemp, r.rsal FROM ctd c JOIN ref r USING (sample) WHERE c.depth > r.rdepth),
+mt AS (SELECT sample, depth AS MLD_temp FROM (SELECT sample, depth,
+          row_number() OVER (PARTITION BY sample ORDER BY abs(temp - (rtemp - 0.4)), depth, row) AS rn FROM below) WHERE rn = 1),
+ms AS (SELECT sample, depth AS MLD_sal FROM (SELECT sample, depth,
+          row_number() OVER (PARTITION BY sample ORDER BY abs(salinity - (rsal - 0.03)), depth, row) AS rn FROM below) WHERE rn = 1),
+mx AS (SELECT sample, max(chl) AS mchl, count(*) - count(chl) AS nnull FROM below GROUP BY sample),
+dc AS (SELECT b.sample, min(b.depth) AS DCM FROM below b JOIN mx USING (sample) WHERE mx.nnull = 0 AND b.chl > 0 AND b.chl = mx.mchl GROUP BY b.sample),
+chem9 AS (SELECT l_orderkey AS sample, CASE WHEN l_linenumber = 7 THEN 'WC' ELSE CAST((l_linenumber % 3) * 10 AS VARCHAR) END AS depth, """ + ", ".join(
+    f"CASE WHEN {f} NOT IN (3, 4, 9) THEN CAST({v} AS DOUBLE) END AS {n}" for n, (v, f) in NUTRIENTS.items()) + """ FROM lineitem),
+nutrients AS (SELECT sample, """ + ", ".join(f"avg({n}) AS {n}" for n in NUTRIENTS) + """ FROM (
+                SELECT sample, depth, """ + ", ".join(f"avg({n}) AS {n}" for n in NUTRIENTS) + """ FROM chem9 GROUP BY sample, depth) GROUP BY sample),
+pigment AS (SELECT trip AS sample, avg(chla) AS chla FROM pig WHERE CAST(depth AS DOUBLE) <= 10 GROUP BY trip)"""
+_WATER_COLUMNS = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in ("CTD_SST", "CTDChla", "CTDSalinity", "MLD_temp", "MLD_sal", "DCM", *NUTRIENTS, "chla"))
+_WATER_JOINS = "".join(f" LEFT JOIN {t} USING (sample)" for t in "surface mt ms dc nutrients pigment".split())
+
+_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS, qq.SQL_PIG, _PLANKTON_CTES, _WATER_CTES) + f"""
+SELECT s.sample, s.station, s.sample_date, s.lat, s.lon, round(s.biomass, 6) + 0.0 AS biomass, CAST(year(s.sample_date) AS INTEGER) AS "Year",
+       CAST(month(s.sample_date) AS INTEGER) AS "Month", CAST(day(s.sample_date) AS INTEGER) AS "Day", strftime(s.sample_date, '%H:%M:%S') AS "Time_24hr",
+       {_PLANKTON_COLUMNS}, {_WATER_COLUMNS}
+FROM samples s{_PLANKTON_JOINS}{_WATER_JOINS} WHERE s.station <> {EXCLUDED_STATION}
 """
 
 
+# ----------------------------------------------------------------- R-6, all columns of the product
 @register("station_indices", bench=True, sql=_SQL)
 def station_indices(spark, sf_dir):
-    trips, zoo, phyto, traits = _inputs(spark, sf_dir)
-    return rounded(pr.station_indices(trips, zoo, phyto, traits, water=_water(spark, sf_dir)), keep=("AvgCellVol",))
+    trips = b.samples(spark, sf_dir).where(F.col("station") != EXCLUDED_STATION).withColumns(ymd_parts("sample_date"))
+    plankton = pr.plankton_indices(observations(spark, sf_dir), traits(spark, sf_dir))
+    out = pr.indices_product(trips, plankton, attributes=("station", "sample_date", "lat", "lon", "biomass", "Year", "Month", "Day", "Time_24hr"),
+                             parts=_water(spark, sf_dir))
+    return rounded(out, keep=("AvgCellVol", "lat", "lon"))
