@@ -173,6 +173,25 @@ def grid_area_series(grid: DataFrame, lat_axis: AnyAxis, lon_axis: AnyAxis, lat_
     return grid.where(box).groupBy(*keys).agg(F.avg(value).alias(value), F.count(value).alias("n_cells"))
 
 
+def area_map(grid: DataFrame, lat_axis: AnyAxis, lon_axis: AnyAxis, lat_range: tuple[float, float], lon_range: tuple[float, float],
+             k: int, keys: Sequence[str] = (), value: str = "value") -> DataFrame:
+    """R-14: the map of an area: box subset (P-13), means of k x k blocks from the box's first node on (A-23), and their log10.
+
+    One row per layer and block with a value: keys, lat and lon (mean of the block's
+    nodes that have a cell), ``value`` and ``log10`` (null for a value that is not positive).
+    """
+    def block(axis: AnyAxis, index: str, bounds: tuple[float, float]) -> tuple[Column, Column]:
+        inside = [i for i, x in enumerate(axis.coordinates()) if min(bounds) <= x <= max(bounds)]
+        first, last = (inside[0], inside[-1]) if inside else (0, -1)
+        return F.col(index).between(first, last), F.floor((F.col(index) - F.lit(first)) / F.lit(k)).cast("int")
+
+    (in_lat, by_lat), (in_lon, by_lon) = block(lat_axis, "lat_idx", lat_range), block(lon_axis, "lon_idx", lon_range)
+    cells = grid.where(in_lat & in_lon).select(*keys, by_lat.alias("lat_block"), by_lon.alias("lon_block"), lat_axis.value("lat_idx").alias("__lat"),
+                                               lon_axis.value("lon_idx").alias("__lon"), F.col(value).alias(value))
+    means = cells.groupBy(*keys, "lat_block", "lon_block").agg(F.avg("__lat").alias("lat"), F.avg("__lon").alias("lon"), F.avg(value).alias(value))
+    return means.where(F.col(value).isNotNull()).withColumn("log10", F.when(F.col(value) > 0, F.log10(value)))
+
+
 def month_spine(series: DataFrame, keys: Sequence[str], start: str, end: str, period: str = "period") -> DataFrame:
     """G-04: a monthly series with every month from ``start`` to ``end`` for each key; months without a layer are null.
 

@@ -56,6 +56,20 @@ def available_depths(df: DataFrame, station: str, depth: str) -> DataFrame:
     return df.select(station, depth).distinct()
 
 
+def slice_or_depths(df: DataFrame, station: str, time: str, depth: str, values: Sequence[str], at_depth: float,
+                    start: str = "1970-01-01", end: str | None = None) -> DataFrame:
+    """P-14 / R-11: the slice of one exact depth, and for each station that does not offer it the depths it does.
+
+    Columns: station, time, depth, ``values``, ``available`` (null on rows of the
+    slice; else the station's depths, ascending, and all else null).  A station that
+    offers the depth but has no row in the period answers with neither.
+    """
+    rows = depth_slice(df, station, time, depth, at_depth, start, end)
+    offers = df.where(F.col(depth).isNotNull()).groupBy(station).agg(F.sort_array(F.collect_set(depth)).alias("available"))  # a station's depth axis
+    offers = offers.where(~F.array_contains("available", F.lit(at_depth)))
+    return rows.select(station, time, depth, *values).unionByName(offers, allowMissingColumns=True)
+
+
 def series_summary(df: DataFrame, station: str, time: str, depth: str,
                    lat: str | None = None, lon: str | None = None) -> DataFrame:
     """A-26 / A-27: per station depth count and range, time coverage and position centre (D-18)."""

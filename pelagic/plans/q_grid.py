@@ -409,3 +409,16 @@ def satellite_matchup_layers(spark, sf_dir):
     schema = "lat_idx int, lon_idx int, value double, product string, resolution string, period string"
     layers = read_grid(spark, path, ["A", "N", "R"], asked_periods(s, gr.period_key("sample_date", "1y")), "1y", schema)
     return rounded(gr.match_products(s, layers, "sample", "lat", "lon", "sample_date", LAT, LON, ["A", "N", "R"], "1y", 3, named=True))
+
+
+# ----------------------------------------------------------------- R-14 the map of an area (P-13 + A-23 + log10)
+@register("area_map_log", sql=b.with_ctes(b.SQL_GRID) + """,
+c AS (SELECT product, period, -10.0 + CAST(lat_idx AS DOUBLE) * -0.5 AS lat, 110.0 + CAST(lon_idx AS DOUBLE) * 0.5 AS lon, lat_idx, lon_idx, value FROM grid),
+k AS (SELECT *, CAST((lat_idx - 10) // 4 AS INTEGER) AS lat_block, CAST((lon_idx - 20) // 4 AS INTEGER) AS lon_block FROM c
+      WHERE lat BETWEEN -30.0 AND -15.0 AND lon BETWEEN 120.0 AND 140.0)
+SELECT product, period, lat_block, lon_block, round(avg(lat), 6) + 0.0 AS lat, round(avg(lon), 6) + 0.0 AS lon, round(avg(value), 6) + 0.0 AS value,
+       round(log10(avg(value)), 6) + 0.0 AS log10
+FROM k GROUP BY product, period, lat_block, lon_block
+""")
+def area_map_log(spark, sf_dir):
+    return rounded(gr.area_map(b.grid(spark, sf_dir), LAT, LON, (-30.0, -15.0), (120.0, 140.0), 4, keys=["product", "period"]))

@@ -103,3 +103,18 @@ FROM s
 def doy_smooth(spark, sf_dir):
     clim = mo.doy_climatology(series(spark, sf_dir), "station", "time", "depth", "temp")
     return rounded(mo.local_linear(clim, ["station", "depth_bin"], "doy", "temp", _H))
+
+
+# ----------------------------------------------------------------- P-14 / R-11 the slice, or the depths on offer (station = user)
+@register("depth_slice_or_available", sql="""
+WITH series AS (SELECT user_id AS station, date_trunc('hour', ts) AS time, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS depth, value AS temp FROM events),
+offers AS (SELECT station, string_agg(CAST(CAST(depth AS BIGINT) AS VARCHAR), ', ' ORDER BY depth) AS available
+           FROM (SELECT DISTINCT station, depth FROM series WHERE depth IS NOT NULL) GROUP BY station HAVING max(CASE WHEN depth = 50 THEN 1 ELSE 0 END) = 0)
+SELECT station, time, depth, temp, NULL AS available FROM series WHERE depth = 50 AND time >= TIMESTAMP '2024-01-05 00:00:00' AND time <= TIMESTAMP '2024-01-25 00:00:00'
+UNION ALL SELECT station, NULL, NULL, NULL, available FROM offers
+""")
+def depth_slice_or_available(spark, sf_dir):
+    users = b.table(spark, sf_dir, "events").select(F.col("user_id").alias("station"), F.date_trunc("hour", "ts").alias("time"),
+                                                    F.get_json_object("props", "$.k").cast("double").alias("depth"), F.col("value").alias("temp"))
+    r = mo.slice_or_depths(users, "station", "time", "depth", ["temp"], 50.0, "2024-01-05 00:00:00", "2024-01-25 00:00:00")
+    return r.withColumn("available", F.array_join(F.transform("available", lambda d: d.cast("long").cast("string")), ", "))
