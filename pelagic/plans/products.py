@@ -27,20 +27,24 @@ OTHER_GROUP = "Other"
 
 
 def water_quality(trips: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str]]], trip: str = "trip",
-                  depth: str = "depth", attributes: Sequence[str] = ()) -> DataFrame:
+                  depth: str = "depth", attributes: Sequence[str] = (),
+                  attached: Sequence[tuple[DataFrame, Sequence[str]]] = ()) -> DataFrame:
     """R-5: replicate means of every source per (trip, depth), with the trip's attributes and the sample code.
 
     ``sources``: (frame, value columns) pairs, each frame with the key columns.
     The sources are stacked, each filling its own columns, and averaged by one
     aggregation: the key spine is its group key and each source is scanned
-    once.  A key found in any source is kept, also without a trip row.
+    once.  A key found in any source is kept, also without a trip row; a key that
+    only ``attached`` sources (cast means) have is not.
     """
     stacked = None
-    for frame, values in sources:
-        part = frame.select(trip, depth, *[F.col(v).cast("double").alias(v) for v in values])
+    for k, (frame, values) in enumerate([*sources, *attached]):
+        spine = [F.lit(1).alias("__spine")] if k < len(sources) else []
+        part = frame.select(trip, depth, *spine, *[F.col(v).cast("double").alias(v) for v in values])
         stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
-    columns = [v for _, values in sources for v in values]
-    means = stacked.groupBy(trip, depth).agg(*[F.avg(v).alias(v) for v in columns])
+    columns = [v for _, values in [*sources, *attached] for v in values]
+    means = stacked.groupBy(trip, depth).agg(F.max("__spine").alias("__spine"), *[F.avg(v).alias(v) for v in columns])
+    means = means.where(F.col("__spine") == 1)
     out = means.join(trips.select(trip, *attributes), trip, "left") if attributes else means
     return out.select(trip, depth, sample_code("NRS", trip, depth).alias("sample_code"), *attributes, *columns)
 

@@ -11,6 +11,7 @@ from pelagic.plans import bindings as b
 from pelagic.plans import products as pr
 from pelagic.plans import q_qc as qq
 from pelagic.plans.catalog import register, rounded
+from pelagic.plans.q_qc import NUTRIENTS
 
 # Fixed values of the binding: part type -> plankton taxon group.
 GROUPS = {"PROMO": "Dinoflagellate", "SMALL": "Ciliate", "LARGE": "Cyanobacteria",
@@ -45,14 +46,6 @@ def traits(spark, sf_dir):
          .when(F.avg("p_size") > 25, F.lit("CC")).otherwise(F.lit("CO")).alias("diet"))
 
 
-# Fixed values of the binding: nine flagged chemistry measures and a cast per trip, all from lineitem.
-NUTRIENTS = {"silicate": ("l_quantity", "l_partkey % 10"), "phosphate": ("l_discount * 10", "l_orderkey % 10"),
-             "ammonium": ("l_tax * 100", "(l_partkey + 1) % 10"), "nitrate": ("l_extendedprice", "l_suppkey % 10"),
-             "nitrite": ("l_quantity / 16", "(l_suppkey + 3) % 10"), "oxygen": ("l_extendedprice / 128", "l_linenumber + 1"),
-             "dic": ("2000 + l_quantity", "l_partkey % 7"), "alkalinity": ("2300 + l_discount * 100", "l_suppkey % 7"),
-             "salinity": ("35 + l_tax", "l_orderkey % 7")}
-
-
 def _water(spark, sf_dir):
     """Per trip: surface cast means, mixed layer, nutrient means over the depth means, pigment of the upper 10 m."""
     li = b.table(spark, sf_dir, "lineitem")
@@ -63,11 +56,7 @@ def _water(spark, sf_dir):
     surface = surface_mean(cast, "sample", "depth", ["temp", "chl", "salinity"], 15.0)
     surface = surface.withColumnsRenamed({"temp": "CTD_SST", "chl": "CTDChla", "salinity": "CTDSalinity"})
     mld = mixed_layer(cast, "sample", "depth", "temp", "salinity", "chl", "ref_depth", order="row")
-    depth = F.when(F.col("l_linenumber") == 7, F.lit("WC")).otherwise(((F.col("l_linenumber") % 3) * 10).cast("string"))
-    chem = li.select(F.col("l_orderkey").alias("sample"), depth.alias("depth"), *[F.expr(v).cast("double").alias(n) for n, (v, _) in NUTRIENTS.items()],
-                     *[F.expr(f).cast("int").alias(f"{n}_flag") for n, (_, f) in NUTRIENTS.items()])
-    chem = qc.mask_flags(chem, {n: f"{n}_flag" for n in NUTRIENTS})
-    nutrients = qc.mean_of_means(chem, "sample", "depth", list(NUTRIENTS))
+    nutrients = qc.mean_of_means(qq.nutrients(spark, sf_dir), "trip", "depth", list(NUTRIENTS)).withColumnRenamed("trip", "sample")
     pig = qq.pigments(spark, sf_dir).withColumn("depth", F.col("depth").cast("double"))
     pigment = surface_mean(pig, "trip", "depth", ["chla"], 10.0, inclusive=True).withColumnRenamed("trip", "sample")
     return [surface, mld, nutrients, pigment]
@@ -150,15 +139,13 @@ ms AS (SELECT sample, depth AS MLD_sal FROM (SELECT sample, depth,
           row_number() OVER (PARTITION BY sample ORDER BY abs(salinity - (rsal - 0.03)), depth, row) AS rn FROM below) WHERE rn = 1),
 mx AS (SELECT sample, max(chl) AS mchl, count(*) - count(chl) AS nnull FROM below GROUP BY sample),
 dc AS (SELECT b.sample, min(b.depth) AS DCM FROM below b JOIN mx USING (sample) WHERE mx.nnull = 0 AND b.chl > 0 AND b.chl = mx.mchl GROUP BY b.sample),
-chem9 AS (SELECT l_orderkey AS sample, CASE WHEN l_linenumber = 7 THEN 'WC' ELSE CAST((l_linenumber % 3) * 10 AS VARCHAR) END AS depth, """ + ", ".join(
-    f"CASE WHEN {f} NOT IN (3, 4, 9) THEN CAST({v} AS DOUBLE) END AS {n}" for n, (v, f) in NUTRIENTS.items()) + """ FROM lineitem),
-nutrients AS (SELECT sample, """ + ", ".join(f"avg({n}) AS {n}" for n in NUTRIENTS) + """ FROM (
-                SELECT sample, depth, """ + ", ".join(f"avg({n}) AS {n}" for n in NUTRIENTS) + """ FROM chem9 GROUP BY sample, depth) GROUP BY sample),
+nutrients AS (SELECT trip AS sample, """ + ", ".join(f"avg({n}) AS {n}" for n in NUTRIENTS) + """ FROM (
+                SELECT trip, depth, """ + ", ".join(f"avg({n}) AS {n}" for n in NUTRIENTS) + """ FROM chem9 GROUP BY trip, depth) GROUP BY trip),
 pigment AS (SELECT trip AS sample, avg(chla) AS chla FROM pig WHERE CAST(depth AS DOUBLE) <= 10 GROUP BY trip)"""
 _WATER_COLUMNS = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in ("CTD_SST", "CTDChla", "CTDSalinity", "MLD_temp", "MLD_sal", "DCM", *NUTRIENTS, "chla"))
 _WATER_JOINS = "".join(f" LEFT JOIN {t} USING (sample)" for t in "surface mt ms dc nutrients pigment".split())
 
-_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS, qq.SQL_PIG, _PLANKTON_CTES, _WATER_CTES) + f"""
+_SQL = b.with_ctes(b.SQL_SAMPLES, b.SQL_OBS, qq.SQL_PIG, qq.SQL_CHEM9, _PLANKTON_CTES, _WATER_CTES) + f"""
 SELECT s.sample, s.station, s.sample_date, s.lat, s.lon, round(s.biomass, 6) + 0.0 AS biomass, CAST(year(s.sample_date) AS INTEGER) AS "Year",
        CAST(month(s.sample_date) AS INTEGER) AS "Month", CAST(day(s.sample_date) AS INTEGER) AS "Day", strftime(s.sample_date, '%H:%M:%S') AS "Time_24hr",
        {_PLANKTON_COLUMNS}, {_WATER_COLUMNS}

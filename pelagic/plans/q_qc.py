@@ -68,6 +68,27 @@ def mean_of_means(spark, sf_dir):
     return rounded(qc.mean_of_means(_masked(spark, sf_dir), "trip", "depth", ["silicate", "nitrate"]))
 
 
+# Fixed values of the binding: nine flagged chemistry measures (value, flag).
+NUTRIENTS = {"silicate": ("l_quantity", "l_partkey % 10"), "phosphate": ("l_discount * 10", "l_orderkey % 10"),
+             "ammonium": ("l_tax * 100", "(l_partkey + 1) % 10"), "nitrate": ("l_extendedprice", "l_suppkey % 10"),
+             "nitrite": ("l_quantity / 16", "(l_suppkey + 3) % 10"), "oxygen": ("l_extendedprice / 128", "l_linenumber + 1"),
+             "dic": ("2000 + l_quantity", "l_partkey % 7"), "alkalinity": ("2300 + l_discount * 100", "l_suppkey % 7"),
+             "salinity": ("35 + l_tax", "l_orderkey % 7")}
+
+
+def nutrients(spark, sf_dir):
+    """All chemistry measures per (trip, depth), bad ones masked."""
+    li = b.table(spark, sf_dir, "lineitem")
+    depth = F.when(F.col("l_linenumber") == 7, F.lit("WC")).otherwise(((F.col("l_linenumber") % 3) * 10).cast("string"))
+    c = li.select(F.col("l_orderkey").alias("trip"), depth.alias("depth"), *[F.expr(v).cast("double").alias(n) for n, (v, _) in NUTRIENTS.items()],
+                  *[F.expr(f).cast("int").alias(f"{n}_flag") for n, (_, f) in NUTRIENTS.items()])
+    return qc.mask_flags(c, {n: f"{n}_flag" for n in NUTRIENTS})
+
+
+SQL_CHEM9 = ("chem9 AS (SELECT l_orderkey AS trip, CASE WHEN l_linenumber = 7 THEN 'WC' ELSE CAST((l_linenumber % 3) * 10 AS VARCHAR) END AS depth, "
+             + ", ".join(f"CASE WHEN {f} NOT IN (3, 4, 9) THEN CAST({v} AS DOUBLE) END AS {n}" for n, (v, f) in NUTRIENTS.items()) + " FROM lineitem)")
+
+
 # ----------------------------------------------------------------- R-5 water quality
 SQL_PIG = """pig AS (
   SELECT l_orderkey AS trip, CAST((l_linenumber % 2) * 20 AS VARCHAR) AS depth, l_tax * 100.0 AS chla
@@ -80,56 +101,53 @@ def pigments(spark, sf_dir):
         (F.col("l_tax") * 100.0).alias("chla"))
 
 
-SQL_WC = """wc AS (SELECT o_orderkey AS trip, 'WC' AS depth, o_totalprice / 10000.0 AS secchi FROM orders)"""
-SQL_PICO = """pico AS (
-  SELECT l_orderkey AS trip, CAST((l_linenumber % 3) * 25 AS VARCHAR) AS depth, l_quantity AS prochlorococcus
-  FROM lineitem WHERE l_returnflag = 'A')"""
-SQL_TSS = """tss AS (
-  SELECT l_orderkey AS trip, CAST((l_linenumber % 2) * 20 AS VARCHAR) AS depth, l_discount * 100.0 AS solids
-  FROM lineitem WHERE l_returnflag = 'N')"""
-
-
-@register("water_quality", bench=True, sql=b.with_ctes(b.SQL_SAMPLES, SQL_CHEM, _MASKED, SQL_PIG, SQL_WC, SQL_PICO, SQL_TSS) + """,
-c AS (SELECT trip, depth, avg(silicate) AS silicate, avg(nitrate) AS nitrate FROM masked GROUP BY trip, depth),
-p AS (SELECT trip, depth, avg(chla) AS chla FROM pig GROUP BY trip, depth),
-w AS (SELECT trip, depth, avg(secchi) AS secchi FROM wc GROUP BY trip, depth),
-q AS (SELECT trip, depth, avg(prochlorococcus) AS prochlorococcus FROM pico GROUP BY trip, depth),
-t AS (SELECT trip, depth, avg(solids) AS solids FROM tss GROUP BY trip, depth),
-k AS (SELECT trip, depth FROM c UNION SELECT trip, depth FROM p UNION SELECT trip, depth FROM w
-      UNION SELECT trip, depth FROM q UNION SELECT trip, depth FROM t)
-SELECT k.trip, k.depth,
-       'NRS' || CAST(k.trip AS VARCHAR) || '_' ||
-         CASE WHEN regexp_full_match(k.depth, '[0-9]+') THEN
-              CASE WHEN length(k.depth) >= 3 THEN k.depth ELSE lpad(k.depth, 3, '0') END
-         ELSE k.depth END AS sample_code, s.station, s.sample_date, s.lat, s.lon,
-       round(c.silicate, 6) + 0.0 AS silicate, round(c.nitrate, 6) + 0.0 AS nitrate,
-       round(p.chla, 6) + 0.0 AS chla, round(w.secchi, 6) + 0.0 AS secchi,
-       round(q.prochlorococcus, 6) + 0.0 AS prochlorococcus, round(t.solids, 6) + 0.0 AS solids
-FROM k LEFT JOIN c ON c.trip = k.trip AND c.depth = k.depth
-       LEFT JOIN p ON p.trip = k.trip AND p.depth = k.depth
-       LEFT JOIN w ON w.trip = k.trip AND w.depth = k.depth
-       LEFT JOIN q ON q.trip = k.trip AND q.depth = k.depth
-       LEFT JOIN t ON t.trip = k.trip AND t.depth = k.depth
-       LEFT JOIN samples s ON s.sample = k.trip
-""")
+# Fixed values of the binding: the other sources, (return flag, depth step, depths, value columns).
+_SOURCES = {"pico": ("A", 25, 3, {"prochlorococcus": "l_quantity", "synecochoccus": "l_extendedprice / 64", "picoeukaryotes": "l_discount * 1000"}),
+            "tss": ("N", 20, 2, {"tss": "l_discount * 100", "inorganic": "l_tax * 100", "organic": "l_quantity / 32"})}
+# The cast's depth is rounded to whole metres; its means only join keys that another source has.
+_CTD = {"CTDDensity": "1020 + l_discount", "CTDTemperature": "l_quantity", "CTDConductivity": "l_tax * 10", "CTDSalinity": "35 + l_tax",
+        "CTDChlF": "l_extendedprice / 4096", "CTDTurbidity": "l_discount * 8"}
+_CTD_DEPTH = "l_linenumber * 5 + l_discount"
+_KEYED = [("chem9", list(NUTRIENTS)), ("pig", ["chla"]), ("wc", ["biomass", "secchi"]), *[(n, list(v[3])) for n, v in _SOURCES.items()]]
+
+
+def _water_sql() -> str:
+    every = [*_KEYED, ("ctd", list(_CTD))]
+    ctes = [b.SQL_SAMPLES, SQL_CHEM9, SQL_PIG,
+            "wc AS (SELECT o_orderkey AS trip, 'WC' AS depth, o_totalprice / 16384.0 AS biomass, o_totalprice / 65536.0 AS secchi FROM orders)"]
+    for name, (flag, step, n, values) in _SOURCES.items():
+        columns = ", ".join(f"CAST({v} AS DOUBLE) AS {c}" for c, v in values.items())
+        ctes.append(f"{name} AS (SELECT l_orderkey AS trip, CAST((l_linenumber % {n}) * {step} AS VARCHAR) AS depth, {columns} "
+                    f"FROM lineitem WHERE l_returnflag = '{flag}')")
+    columns = ", ".join(f"CAST({v} AS DOUBLE) AS {c}" for c, v in _CTD.items())
+    ctes.append(f"ctd AS (SELECT l_orderkey AS trip, CAST(CAST(round_even({_CTD_DEPTH}, 0) AS BIGINT) AS VARCHAR) AS depth, {columns} FROM lineitem)")
+    for name, values in every:
+        means = ", ".join(f"avg({v}) AS {v}" for v in values)
+        ctes.append(f"m_{name} AS (SELECT trip, depth, {means} FROM {name} GROUP BY trip, depth)")
+    spine = " UNION ".join(f"SELECT trip, depth FROM {name}" for name, _ in _KEYED)
+    columns = ", ".join(f"round(m_{name}.{v}, 6) + 0.0 AS {v}" for name, values in every for v in values)
+    joins = " ".join(f"LEFT JOIN m_{name} ON m_{name}.trip = k.trip AND m_{name}.depth = k.depth" for name, _ in every)
+    code = "CASE WHEN regexp_full_match(k.depth, '[0-9]+') AND length(k.depth) < 3 THEN lpad(k.depth, 3, '0') ELSE k.depth END"
+    return (b.with_ctes(*ctes, f"k AS ({spine})") + f"SELECT k.trip, k.depth, 'NRS' || CAST(k.trip AS VARCHAR) || '_' || {code} AS sample_code, "
+            f"s.station, s.sample_date, s.lat, s.lon, {columns} FROM k {joins} LEFT JOIN samples s ON s.sample = k.trip")
+
+
+# ----------------------------------------------------------------- R-5, all columns of the product
+@register("water_quality", bench=True, sql=_water_sql())
 def water_quality(spark, sf_dir):
     li = b.table(spark, sf_dir, "lineitem")
-
-    def of(flag, step, every, name, value):
-        return li.where(F.col("l_returnflag") == flag).select(
-            F.col("l_orderkey").alias("trip"), ((F.col("l_linenumber") % every) * step).cast("string").alias("depth"),
-            value.alias(name))
-
-    wc = b.table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("trip"), F.lit("WC").alias("depth"), (F.col("o_totalprice") / 10000.0).alias("secchi"))
+    wc = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("trip"), F.lit("WC").alias("depth"),
+                                                 (F.col("o_totalprice") / 16384.0).alias("biomass"), (F.col("o_totalprice") / 65536.0).alias("secchi"))
+    frames = {"chem9": nutrients(spark, sf_dir), "pig": pigments(spark, sf_dir), "wc": wc}
+    for name, (flag, step, n, values) in _SOURCES.items():
+        frames[name] = li.where(F.col("l_returnflag") == flag).select(
+            F.col("l_orderkey").alias("trip"), ((F.col("l_linenumber") % n) * step).cast("string").alias("depth"),
+            *[F.expr(v).cast("double").alias(c) for c, v in values.items()])
+    cast = li.select(F.col("l_orderkey").alias("trip"), F.bround(F.expr(_CTD_DEPTH), 0).cast("long").cast("string").alias("depth"),
+                     *[F.expr(v).cast("double").alias(c) for c, v in _CTD.items()])
     trips = b.samples(spark, sf_dir).withColumnRenamed("sample", "trip")
-    return rounded(pr.water_quality(trips, [
-        (_masked(spark, sf_dir), ["silicate", "nitrate"]),
-        (pigments(spark, sf_dir), ["chla"]),
-        (wc, ["secchi"]),
-        (of("A", 25, 3, "prochlorococcus", F.col("l_quantity")), ["prochlorococcus"]),
-        (of("N", 20, 2, "solids", F.col("l_discount") * 100.0), ["solids"]),
-    ], attributes=["station", "sample_date", "lat", "lon"]), keep=("lat", "lon"))
+    return rounded(pr.water_quality(trips, [(frames[n], v) for n, v in _KEYED], attributes=["station", "sample_date", "lat", "lon"],
+                                    attached=[(cast, list(_CTD))]), keep=("lat", "lon"))
 
 
 # ----------------------------------------------------------------- A-06 audit

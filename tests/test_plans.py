@@ -31,7 +31,7 @@ def test_scan_pruning_and_pushdown(spark):
     assert "PushedFilters: [IsNotNull(props)" in p or "IsNotNull(props)" in p
 
 
-@pytest.mark.parametrize("name, scans", [("absence_matrix_genus", 5), ("mixed_layer", 2), ("water_quality", 6),
+@pytest.mark.parametrize("name, scans", [("absence_matrix_genus", 5), ("mixed_layer", 2), ("water_quality", 7), ("station_indices", 9), ("region_layers", 4), ("nearest_asof", 4),
                                          ("satellite_matchup", 2), ("doy_smooth", 1), ("region_overlay", 4)])
 def test_scans_are_shared_and_no_window_is_one_task(spark, name, scans):
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # the static plan shows what is reused
