@@ -44,10 +44,11 @@ def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_time: str, rig
         tol = F.lit(float(tolerance_h))
 
     lt = left.withColumn("__t", epoch_micros(left_time)).withColumn("__tol", tol)
-    lk = lt.select(F.col(by).alias("__by"), "__t", F.lit(False).alias("__cast"))
-    rk = right.select(F.col(by).alias("__by"), epoch_micros(right_time).alias("__t"), F.lit(True).alias("__cast"))
+    lk = lt.select(F.col(by).alias("__by"), "__t", F.lit(0).alias("__cast"))
+    rk = right.select(F.col(by).alias("__by"), epoch_micros(right_time).alias("__t"), F.lit(1).alias("__cast"))
+    # one column holds the instant and whether a cast lies on it, so every use below reads the same shuffle
     instants = (lk.unionByName(rk).where(F.col("__by").isNotNull() & F.col("__t").isNotNull())
-                .groupBy("__by", "__t").agg(F.max("__cast").alias("__cast")))
+                .groupBy("__by", "__t").agg(F.max(F.col("__t") * 2 + F.col("__cast")).alias("__tc")).select("__by", "__tc"))
     m = _neighbours(instants, slice_rows)
     dp = F.col("__t") - F.col("__prev")
     dn = F.col("__next") - F.col("__t")
@@ -67,11 +68,12 @@ def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_time: str, rig
 
 
 def _neighbours(instants: DataFrame, slice_rows: int) -> DataFrame:
-    """Per instant without or with a cast the nearest cast times at or before (``__prev``) and at or after it (``__next``)."""
-    s = cut_slices(instants, "__by", "__t", slice_rows)
-    when = F.when(F.col("__cast"), F.col("__t"))
-    w = Window.partitionBy("__by", "__slice").orderBy("__t")
-    inside = s.select("__by", "__slice", "__t",
+    """Per instant (``__tc``: twice its time, plus one on a cast) its time ``__t`` and the nearest cast times at or
+    before (``__prev``) and at or after it (``__next``)."""
+    s = cut_slices(instants, "__by", "__tc", slice_rows)
+    when = F.when(F.col("__tc").bitwiseAND(1) == 1, F.shiftright("__tc", 1))
+    w = Window.partitionBy("__by", "__slice").orderBy("__tc")
+    inside = s.select("__by", "__slice", F.shiftright("__tc", 1).alias("__t"),
                       F.last(when, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__prev"),
                       F.first(when, ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("__next"))
     edges = s.groupBy("__by", "__slice").agg(F.min(when).alias("__lo"), F.max(when).alias("__hi"))
