@@ -49,7 +49,9 @@ from pyspark.sql import functions as F
 from pelagic.llm.common import checkpointed, text_batches
 
 END = "\n"  # no word holds white space
-WINDOW = 1 << 16  # tokens of one numpy batch
+WINDOW = 1 << 16  # tokens of one gradient step
+BATCH = 1 << 13  # tokens of one numpy batch: its arrays stay in the processor's cache
+LARGEST = 80.0  # logits above are taken for it, so their powers fit 32-bit floats
 BLOCKS = 32  # pieces of the weight vector
 SUFFIX_CODES = 1 << 16  # at most so many classes of rare tokens
 DAMPING = 64.0  # keeps rare features from learning their few tokens by heart
@@ -150,6 +152,7 @@ class MaxEnt:
             log_mass = np.log(below) - np.log(below.sum(axis=1, keepdims=True))
         self.bias = np.where(below > 0, log_mass, -30.0).astype(np.float32)
         self.weights = np.zeros(shape.class_size << shape.bits, dtype=np.float32)
+        self.node_hash = self.hashed(5, 64, np.arange(len(self.bias)))
 
     def table(self, weights: np.ndarray) -> np.ndarray:
         return weights.reshape(-1, self.shape.class_size)
@@ -189,65 +192,69 @@ class MaxEnt:
         h = (h * MIX) >> np.uint64(64 - bits)
         return h if bits == 64 else h.astype(np.int64)
 
-    def windows(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, Iterator[tuple]]]:
-        """Positions of windows of the target tokens, and the choices on their paths."""
-        at = np.flatnonzero(codes != self.start)
-        for lo in range(0, len(at), WINDOW):
-            yield at[lo:lo + WINDOW], self.choices(codes, at[lo:lo + WINDOW])
-
     def choices(self, codes: np.ndarray, p: np.ndarray) -> Iterator[tuple]:
         """(which of the positions ``p``, features, node, place) of each step up the paths."""
-        leaf, bits = self.leaf[codes[p]], self.shape.bits
-        h1, h2, h3, h4 = (self.hashed(k, 64, *(codes[p - d] for d in back)) for k, back in enumerate(((1,), (2, 1), (2,), (3,)), 1))
+        leaf, own, shift = self.leaf[codes[p]], np.arange(len(p)), np.uint64(64 - self.shape.bits)
+        past = [self.hashed(k, 64, *(codes[p - d] for d in back)) for k, back in enumerate(((1,), (2, 1), (2,), (3,)), 1)]
         for d in range(self.path.shape[1]):
-            own = np.flatnonzero(self.path[leaf, d] >= 0)
+            node = self.path[:, d][leaf]
+            live = node >= 0
+            if not live.all():
+                keep = np.flatnonzero(live)
+                own, leaf, node, past = own[keep], leaf[keep], node[keep], [h[keep] for h in past]
             if not len(own):
                 return
-            node = self.path[leaf[own], d]
-            feats = np.stack([self.hashed(5, bits, node, h[own]) for h in (h1, h2, h3, h4)])
-            yield own, feats, node, self.place[leaf[own], d]
-
-    @staticmethod
-    def softmax_log(z: np.ndarray) -> np.ndarray:
-        z -= z.max(axis=1, keepdims=True)
-        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-        return z
-
-    def logits(self, table: np.ndarray, bias: np.ndarray, feats: np.ndarray) -> np.ndarray:
-        z = table[feats[0]]
+            # history and node are hashed already: one xor and one product mix them
+            named = self.node_hash[node]
+            feats = [(((named ^ h) * MIX) >> shift).view(np.int64) for h in past]
+            yield own, feats, node, self.place[:, d][leaf]
+
+    def powers(self, table: np.ndarray, feats: list[np.ndarray], node: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per choice: e to the logits, their sum, the logit taken, and the taken places in the flat logits."""
+        z = table.take(feats[0], axis=0, mode="clip")
         for f in feats[1:]:
-            z += table[f]
-        z += bias
-        return z
+            z += table.take(f, axis=0, mode="clip")
+        z += self.bias.take(node, axis=0)
+        np.minimum(z, LARGEST, out=z)
+        at = np.arange(len(z)) * z.shape[1] + place
+        taken = z.ravel()[at]
+        np.exp(z, out=z)
+        return z, z @ np.ones(z.shape[1], dtype=np.float32), taken, at
 
     def score(self, codes: np.ndarray) -> np.ndarray:
         """Natural log of the path's probability at each code (0 at start codes; without the token's share of its class)."""
-        out, table = np.zeros(len(codes)), self.table(self.weights)
-        for p, choices in self.windows(codes):
-            for own, feats, node, place in choices:
-                out[p[own]] += self.softmax_log(self.logits(table, self.bias[node], feats))[np.arange(len(own)), place]
+        out, table, targets = np.zeros(len(codes)), self.table(self.weights), np.flatnonzero(codes != self.start)
+        for lo in range(0, len(targets), BATCH):
+            p = targets[lo:lo + BATCH]
+            found = np.zeros(len(p))
+            for own, feats, node, place in self.choices(codes, p):
+                _, total, taken, _ = self.powers(table, feats, node, place)
+                found[own] += taken - np.log(total)
+            out[p] = found
         return out
 
     def step(self, weights: np.ndarray, square: np.ndarray, codes: np.ndarray, rate: float) -> int:
         """Adaptive gradient steps over the windows of ``codes``, on ``weights`` in place; tokens seen."""
-        n, table = 0, self.table(weights)
-        for p, choices in self.windows(codes):
-            n += len(p)
-            slopes, rows = [], []
-            for own, feats, node, place in choices:
-                g = np.exp(self.softmax_log(self.logits(table, self.bias[node], feats)))
-                g[np.arange(len(own)), place] -= 1
-                slopes.append(g)
-                rows.append(feats)
+        table, targets = self.table(weights), np.flatnonzero(codes != self.start)
+        for first in range(0, len(targets), WINDOW):
+            window, slopes, rows = targets[first:first + WINDOW], [], []
+            for lo in range(0, len(window), BATCH):
+                for own, feats, node, place in self.choices(codes, window[lo:lo + BATCH]):
+                    g, total, _, at = self.powers(table, feats, node, place)
+                    g /= total[:, None]
+                    g.ravel()[at] -= 1
+                    slopes.append(g)
+                    rows.append(np.stack(feats))
             self._update(weights, square, np.concatenate(rows, axis=1), np.concatenate(slopes), rate)
-        return n
+        return len(targets)
 
     @staticmethod
     def _update(weights: np.ndarray, square: np.ndarray, feats: np.ndarray, g: np.ndarray, rate: float) -> None:
-        width, flat, total = g.shape[1], g.astype(float).ravel(), np.zeros(len(weights))
-        for f in feats:
-            total += np.bincount((f[:, None] * width + np.arange(width)).ravel(), weights=flat, minlength=len(weights))
-        total = total.astype(np.float32)
+        width = g.shape[1]
+        total = np.empty((len(weights) // width, width), dtype=np.float32)
+        for place, slope in enumerate(g.T.astype(float)):  # a column at a time: no index of single weights
+            total[:, place] = sum(np.bincount(f, weights=slope, minlength=len(total)) for f in feats)
+        total = total.ravel()
         square += total * total
         weights -= rate * total / np.sqrt(square + DAMPING)
 

@@ -213,6 +213,50 @@ def test_lm_is_a_distribution():
     assert abs(total - 1) < 1e-4
 
 
+def test_lm_scores_and_steps_against_plain_softmaxes():
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(30)]
+    head = [(maxent_lm.END, 50), *[(w, 90 - 2 * i) for i, w in enumerate(words)]]
+    n, v = sum(c for _, c in head) + 60, len(head) + 40
+    m = maxent_lm.MaxEnt(head, n, v, maxent_lm.Shape(class_size=4, bits=6))
+    m.weights = np.random.default_rng(3).normal(size=len(m.weights)).astype(np.float32)
+    m.weights[7] = 500  # a logit beyond 32-bit powers
+    texts = pa.array([" ".join(rnd.choices([*words, "rare", "odd"], k=rnd.randint(0, 40))) for _ in range(30)])
+    codes = m.code(texts)[0]
+
+    def hashed(bits, salt, *parts):
+        h = (salt + 1) * 0x9E3779B97F4A7C15 % 2**64
+        for x in parts:
+            h = (h ^ int(x)) * 0x9E3779B97F4A7C15 % 2**64
+            h ^= h >> 29
+        return h * 0x9E3779B97F4A7C15 % 2**64 >> 64 - bits
+
+    def choices(k):
+        past = [hashed(64, i, *(codes[k - d] for d in back)) for i, back in enumerate([(1,), (2, 1), (2,), (3,)], 1)]
+        for node, place in zip(m.path[m.leaf[codes[k]]], m.place[m.leaf[codes[k]]]):
+            if node >= 0:
+                own = hashed(64, 5, node)
+                rows = [((own ^ h) * 0x9E3779B97F4A7C15 % 2**64) >> 64 - 6 for h in past]
+                z = [min(80.0, float(m.bias[node][a]) + sum(float(m.weights[4 * r + a]) for r in rows)) for a in range(4)]
+                total = sum(math.exp(x) for x in z)
+                yield rows, [math.exp(x) / total for x in z], place, z[place] - math.log(total)
+
+    targets = [k for k in range(len(codes)) if codes[k] != m.start]
+    got = m.score(codes)
+    for k in range(len(codes)):
+        assert got[k] == pytest.approx(sum(c[3] for c in choices(k)) if k in targets else 0, rel=1e-4, abs=1e-4)
+    slope = np.zeros(len(m.weights))
+    for k in targets:
+        for rows, shares, place, _ in choices(k):
+            for r in rows:
+                for a in range(4):
+                    slope[4 * r + a] += shares[a] - (a == place)
+    weights, square = m.weights.copy(), np.zeros_like(m.weights)
+    assert m.step(weights, square, codes, 0.5) == len(targets)
+    moved = m.weights - 0.5 * slope / np.sqrt(slope**2 + maxent_lm.DAMPING)
+    assert weights == pytest.approx(moved, rel=1e-3, abs=1e-3)
+
+
 def test_lm_covers_the_whole_vocabulary(spark):
     """Tokens beyond the 512 commonest, and classes of tokens outside the head, are told from their history."""
     rnd = random.Random(3)
