@@ -131,7 +131,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return out.select("doc_id", external_shuffle.record_bytes(F.col("text")).alias("size"), F.crc32(text).alias("text_crc32"),
                       F.lit(external_shuffle.LAW).alias("law"), F.col("__shard").alias("shard"), F.col("__slot").alias("slot"),
-                      external_shuffle.shard_of(F.col("doc_id").cast("string"), shards + 1, 17).alias("grown_shard"))
+                      external_shuffle.shard_of(F.col("doc_id").cast("string"), shards + 1, external_shuffle.SEED).alias("grown_shard"))
 
 
 @query("op1_site_style_tree")

@@ -23,6 +23,18 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """For each name one like it that no column of ``df`` bears (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, through Spark's reader only (the path may be remote)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

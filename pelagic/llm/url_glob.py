@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagic.llm.common import lower_ascii, text_batches
+from pelagic.llm.common import fresh, lower_ascii, text_batches
 
 CELLS = 1 << 21  # characters stepped together
 
@@ -175,8 +175,7 @@ def judge_urls(df: DataFrame, rules: list[Rule], url: str = "url", default: str
                                 "verdict": [verdicts[k] if k >= 0 else default for k in best]})
 
     host, path = host_of(F.col(url)), path_of(F.col(url))
-    out = df.withColumns({"__h": host, "__p": path})
-    out = out.withColumn("__v", run.asNondeterministic()(F.concat("__h", "__p")))
-    return out.withColumn(into, F.struct(F.col("__h").alias("host"), F.col("__p").alias("path"),
-                                         F.col("__v.rule").alias("rule"), F.col("__v.verdict").alias("verdict"))
-                          ).drop("__h", "__p", "__v")
+    h, p, v = fresh(df, "__h", "__p", "__v")
+    out = df.withColumns({h: host, p: path}).withColumn(v, run.asNondeterministic()(F.concat(h, p)))
+    return out.withColumn(into, F.struct(F.col(h).alias("host"), F.col(p).alias("path"), F.col(v)["rule"].alias("rule"),
+                                         F.col(v)["verdict"].alias("verdict"))).drop(h, p, v)

@@ -231,6 +231,36 @@ def test_sharding_in_many_buckets_with_nulls(spark, tmp_path):
     assert external_shuffle.external_shuffle(df.limit(0), 3).count() == 0
 
 
+def test_sharding_spreads_one_id_and_copies_of_one_row(spark):
+    rows = [(7, f"text {i}" * 3) for i in range(1500)] + [(7, "copy" * 6)] * 1500 + [(i, "other") for i in range(100, 1600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    got = external_shuffle.external_shuffle(df, 4, bucket_bytes=4000).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(rows)
+    assert len({r["__shard"] for r in got if r["doc_id"] == 7}) == 1
+    for hot in ([r for r in got if r["doc_id"] == 7], [r for r in got if r["text"] == "copy" * 6]):
+        of = Counter(r["__bucket"] for r in hot)
+        assert len(of) > 15 and max(of.values()) < 0.15 * len(hot)
+    assert max(Counter((r["__shard"], r["__bucket"]) for r in got).values()) < 400
+    for s in range(4):
+        assert sorted(r["__slot"] for r in got if r["__shard"] == s) == list(range(sum(r["__shard"] == s for r in got)))
+    few = external_shuffle.external_shuffle(df, 4, bucket_bytes=4000, most_buckets=8).select("__shard", "__bucket").distinct()
+    assert few.count() <= 12
+
+
+def test_sharding_and_urls_with_clashing_columns(spark):
+    df = spark.createDataFrame([(i, "a", 1, 2, 3, f"k{i}", 5, 6) for i in range(40)],
+                               "doc_id long, text string, __shard int, __slot int, __n int, __Key string, __row int, __place int")
+    got = external_shuffle.external_shuffle(df, 3)
+    assert got.columns == ["doc_id", "text", "__n", "__Key", "__row", "__place", "__shard", "__bucket", "__slot"]
+    assert all((r["__n"], r["__Key"], r["__row"], r["__place"]) == (3, f"k{r['doc_id']}", 5, 6) for r in got.collect())
+    urls = spark.createDataFrame([("http://a.net/x", "kept", "p", 1)], "url string, __h string, __P string, __v int")
+    out = url_glob.judge_urls(urls, [url_glob.site_rule("net/", "block")])
+    assert out.columns == ["url", "__h", "__P", "__v", "url_filter"]
+    r = out.first()
+    assert (r["__h"], r["__P"], r["__v"], r["url_filter"]["verdict"]) == ("kept", "p", 1, "block")
+    assert url_glob.judge_urls(urls.limit(0), []).count() == 0
+
+
 def test_fisher_yates_is_a_uniform_permutation():
     assert list(external_shuffle.fisher_yates(0, 1)) == []
     seen = Counter(tuple(external_shuffle.fisher_yates(3, 1, k)) for k in range(6000))
