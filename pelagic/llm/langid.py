@@ -4,7 +4,7 @@ Training counts words per language, in Spark, over a bounded sample of labelled
 documents (``docs_per_lang`` of each language, drawn by a hash of the id).  The
 model keeps the ``max_words`` commonest words of each language and, for each
 order n, its ``max_grams`` commonest character n-grams (words padded with one
-space at either end).  Its size is bounded by those parameters.
+space at either end, which is no n-gram by itself).  Its size is bounded by those parameters.
 
 Scoring: a word that any language knows costs each language -log10 of the
 word's share there (a fixed penalty where it is unknown).  A word that no
@@ -12,13 +12,16 @@ language knows falls back to its n-grams of the longest order of which any
 language knows one, then to shorter ones; it costs the mean over the known
 n-grams.  A word without any known n-gram says nothing.  A document's cost is
 the mean over its words; the cheapest language wins, ties go to the smaller name.
+Only the languages that know an entry are held with it, so any number of labels
+can be learned; ``max_entries`` shares the model's room among many of them.
 
 ``score`` is the softmax of minus the cost per word times ln 10 times the
 number of words that say something, at most ``evidence`` of them: 1 / languages
 if no word says anything, near 1 for clear texts.
 
-Null text, or text without a letter: ``und`` with score 0, also if there is
-nothing to learn from.  Texts are read whole.  Null ids are neither held out
+Null text, or text without a letter (a character of Unicode category L; number
+signs are none): ``und`` with score 0, also if there is nothing to learn from.
+An empty table gives no rows.  Texts are read whole, of any length.  Null ids are neither held out
 nor learned from.  Equal rows give equal results; extra columns pass untouched.
 """
 
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -37,32 +41,62 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pelagic.llm.common import BoundedCache, checkpointed, text_batches, worker_cache
+from pelagic.llm.common import BoundedCache, checkpointed, small_broadcast, text_batches, worker_cache
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# What counts as a word character without being a letter or a decimal digit (a half, a Roman number sign)
+NUMBER_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{NUMBER_SIGNS}]+")
 ORDERS = (6, 5, 4, 3, 2, 1)
 UNDETERMINED = "und"
 CACHED_WORDS = 100_000
+FEW_LANGUAGES = 100_000  # so many small rows are broadcast
 MISSING = object()
 
 
+@dataclass
+class Costs:
+    """Per entry (word or n-gram) the languages that know it and what that saves them of the fixed penalty."""
+
+    at: dict[str, int] = field(default_factory=dict)
+    start: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))
+    lang: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
+    saved: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    penalty: float = 0.0
+
+    @classmethod
+    def of(cls, rows: list[tuple[str, int, float]]) -> "Costs":
+        """From (entry, number of the language, share there)."""
+        rows = sorted(rows)
+        at = {g: i for i, g in enumerate(dict.fromkeys(r[0] for r in rows))}
+        share = np.array([r[2] for r in rows], dtype=float)
+        penalty = 1.0 - math.log10(share.min()) if len(rows) else 0.0
+        known = np.bincount([at[r[0]] for r in rows], minlength=len(at)) if rows else np.zeros(0, dtype=np.int64)
+        return cls(at, np.r_[0, np.cumsum(known)], np.array([r[1] for r in rows], dtype=np.int32), np.log10(share) + penalty, penalty)
+
+    def total(self, entries: list[int], times: list[int], langs: int) -> np.ndarray:
+        """Cost of the entries to each language, each so many times."""
+        entries, times = np.asarray(entries), np.asarray(times, dtype=float)
+        first, known = self.start[entries], self.start[entries + 1] - self.start[entries]
+        where = np.arange(known.sum()) + np.repeat(first - (np.cumsum(known) - known), known)
+        saved = np.bincount(self.lang[where], weights=self.saved[where] * np.repeat(times, known), minlength=langs)
+        return self.penalty * times.sum() - saved
+
+
 @dataclass
 class Model:
-    """Languages, and per word or n-gram its row of -log10 shares."""
+    """Languages, sorted, and the costs of words and of n-grams."""
 
     langs: list[str]
-    words: dict[str, int] = field(default_factory=dict)
-    word_cost: np.ndarray | None = None
-    grams: dict[str, int] = field(default_factory=dict)
-    gram_cost: np.ndarray | None = None
+    words: Costs = field(default_factory=Costs)
+    grams: Costs = field(default_factory=Costs)
 
     def unseen(self, word: str) -> np.ndarray | None:
         """Cost of a word no language knows, from its longest known n-grams."""
-        padded = f" {word} "
+        padded, grams = f" {word} ", self.grams.at
         for n in ORDERS:
-            at = [g for i in range(len(padded) - n + 1) if (g := self.grams.get(padded[i:i + n])) is not None]
+            at = [g for i in range(len(padded) - n + 1) if (g := grams.get(padded[i:i + n])) is not None]
             if at:
-                return self.gram_cost[at].mean(axis=0)
+                return self.grams.total(at, [1] * len(at), len(self.langs)) / len(at)
         return None
 
     def predict(self, text: str | None, cache: BoundedCache, evidence: int) -> tuple[str, float]:
@@ -71,7 +105,7 @@ class Model:
             return UNDETERMINED, 0.0
         total, n = np.zeros(len(self.langs)), 0
         known, times = [], []
-        words = self.words
+        words = self.words.at
         for w, c in counts.items():
             k = words.get(w)
             if k is not None:
@@ -87,7 +121,7 @@ class Model:
                 total += cost * c
                 n += c
         if known:
-            total += np.asarray(times, dtype=float) @ self.word_cost[known]
+            total += self.words.total(known, times, len(self.langs))
             n += sum(times)
         mean = total / max(n, 1)
         best = int(np.argmin(mean))  # the first of equals; languages are sorted
@@ -97,50 +131,44 @@ class Model:
 
 def sample_labelled(docs: DataFrame, lang: str, id_col: str, docs_per_lang: int) -> DataFrame:
     """About ``docs_per_lang`` documents of each language, by a hash of the id."""
+    langs = docs.select(F.count_distinct(lang)).first()[0]
     share = (docs.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("__l")).agg(F.count("*").alias("__n"))
              .select("__l", (F.lit(float(docs_per_lang)) / F.col("__n")).alias("__share")))
     draw = F.pmod(F.xxhash64(F.lit(11), F.col(id_col).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return docs.join(F.broadcast(share), F.col(lang) == F.col("__l")).filter(draw < F.col("__share"))
+    return docs.join(small_broadcast(share, langs, FEW_LANGUAGES), F.col(lang) == F.col("__l")).filter(draw < F.col("__share"))
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", *,
           docs_per_lang: int = 3000, max_words: int = 20_000, max_grams: int = 5_000,
-          max_langs: int = 100) -> Model:
-    """Fit the model on labelled ``docs``.  Languages beyond ``max_langs`` raise an error."""
+          max_entries: int = 5_000_000) -> Model:
+    """Fit the model on labelled ``docs``; many languages share ``max_entries``, in the proportion of the other bounds."""
     labelled = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"), F.col(lang).alias("__lang"))
-    n_langs = labelled.select(F.count_distinct("__lang")).first()[0]
-    if n_langs > max_langs:
-        raise ValueError(f"{n_langs} labels: raise max_langs ({max_langs})")
     sample = sample_labelled(labelled, "__lang", "__id", docs_per_lang)
     word = F.explode(F.regexp_extract_all(F.lower("__text"), F.lit(r"\p{L}+"), 0))
     words = checkpointed(sample.select(F.col("__lang").alias("l"), word.alias("w")).groupBy("l", "w").agg(F.count("*").alias("c")))
     padded = F.concat(F.lit(" "), "w", F.lit(" "))
-    grams = words.select("l", "c", F.explode(F.array(*[F.struct(
-        F.lit(n).alias("n"),
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1))),
-                    lambda i, n=n: F.substring(padded, i, F.lit(n))).alias("g")) for n in ORDERS])).alias("x"))
-    grams = (grams.select("l", "c", "x.n", F.explode("x.g").alias("g")).filter(F.length("g") == F.col("n"))
+
+    def pieces(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1))), lambda i: F.substring(padded, i, F.lit(n)))
+
+    grams = words.select("l", "c", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), pieces(n).alias("g")) for n in ORDERS])).alias("x"))
+    grams = (grams.select("l", "c", "x.n", F.explode("x.g").alias("g")).filter((F.length("g") == F.col("n")) & (F.col("g") != " "))
              .groupBy("l", "n", "g").agg(F.sum("c").alias("c")))
     langs = sorted(r[0] for r in words.select("l").distinct().collect())
-    m = Model(langs)
-    m.words, m.word_cost = _costs(words.withColumn("n", F.lit(0)).withColumnRenamed("w", "g"), langs, max_words)
-    m.grams, m.gram_cost = _costs(grams, langs, max_grams)
-    return m
+    share = min(1.0, max_entries / max(1, len(langs) * (max_words + len(ORDERS) * max_grams)))
+    return Model(langs, _costs(words.withColumn("n", F.lit(0)).withColumnRenamed("w", "g"), langs, max(1, int(share * max_words))),
+                 _costs(grams, langs, max(1, int(share * max_grams))))
 
 
-def _costs(counts: DataFrame, langs: list[str], keep: int) -> tuple[dict[str, int], np.ndarray]:
-    """The ``keep`` commonest entries of each (language, order) with -log10 of their share of all its entries."""
+def _costs(counts: DataFrame, langs: list[str], keep: int) -> Costs:
+    """The ``keep`` commonest entries of each (language, order) with their share of all its entries."""
     total = counts.groupBy("l", "n").agg(F.sum("c").alias("t"))
     top = (counts.withColumn("k", F.row_number().over(W.partitionBy("l", "n").orderBy(F.desc("c"), "g")))
            .filter(F.col("k") <= keep))
-    rows = top.join(F.broadcast(total), ["l", "n"]).select("l", "g", (F.col("c") / F.col("t")).alias("p")).collect()
-    at = {g: i for i, g in enumerate(sorted({r["g"] for r in rows}))}
-    lowest = min((r["p"] for r in rows), default=1.0)
-    cost = np.full((len(at), len(langs)), -math.log10(lowest) + 1.0)
-    col = {x: i for i, x in enumerate(langs)}
-    for r in rows:
-        cost[at[r["g"]], col[r["l"]]] = -math.log10(r["p"])
-    return at, cost
+    total = small_broadcast(total, len(langs) * len(ORDERS), FEW_LANGUAGES)
+    rows = top.join(total, ["l", "n"]).select("l", "g", (F.col("c") / F.col("t")).alias("p")).collect()
+    number = {x: i for i, x in enumerate(langs)}
+    return Costs.of([(r["g"], number[r["l"]], r["p"]) for r in rows])
 
 
 def predict_columns(docs: DataFrame, model: Model, text: Column, evidence: int = 20) -> Column:

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -116,6 +117,70 @@ def test_language_backoff_and_edges(spark):
     assert out.columns == ["doc_id", "text", "score", "language"] and out.count() == 3
 
 
+def naive_language(train, text, max_words, max_grams, evidence):
+    """Prediction and score by plain dictionaries."""
+    def shares(counts, keep):
+        total = sum(counts.values())
+        return {g: c / total for g, c in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:keep]}
+
+    def letters(t):
+        return "".join(c if unicodedata.category(c)[0] == "L" else " " for c in t.lower()).split()
+
+    langs = sorted({lang for _, lang in train})
+    words, grams = {}, {}
+    for x in langs:
+        seen = Counter(w for t, lang in train if lang == x for w in letters(t))
+        words[x] = shares(seen, max_words)
+        for n in range(1, 7):
+            of = Counter()
+            for w, c in seen.items():
+                for i in range(len(w) + 3 - n):
+                    of[f" {w} "[i:i + n]] += c
+            del of[" "]
+            grams[x, n] = shares(of, max_grams)
+    rarest = [1 - math.log10(min(v for d in ds for v in d.values())) for ds in (words.values(), grams.values())]
+    total, told = dict.fromkeys(langs, 0.0), 0
+    for w in letters(text):
+        parts = [(w, words)] if any(w in words[x] for x in langs) else []
+        for n in (6, 5, 4, 3, 2, 1):
+            if not parts:
+                own = {x: grams[x, n] for x in langs}
+                parts = [(g, own) for i in range(len(w) + 3 - n) if any((g := f" {w} "[i:i + n]) in own[x] for x in langs)]
+        for x in langs:
+            for g, own in parts:
+                total[x] += (-math.log10(own[x][g]) if g in own[x] else rarest[own is not words]) / len(parts)
+        told += bool(parts)
+    if not letters(text):
+        return "und", 0.0
+    mean = {x: total[x] / max(told, 1) for x in langs}
+    best = min(langs, key=lambda x: (round(mean[x], 9), x))
+    return best, 1 / sum(10 ** ((mean[best] - mean[x]) * min(told, evidence)) for x in langs)
+
+
+def test_language_against_brute_force(spark):
+    rnd = random.Random(4)
+    stems = {x: ["".join(rnd.choices(alphabet, k=rnd.randint(1, 7))) for _ in range(40)]
+             for x, alphabet in (("aa", "abcdef"), ("bb", "bcdxyz"), ("cc", "éàñabc"), ("dd", "жшюab"))}
+    train = [(i, " ".join(rnd.choices(stems[x], k=12)), x) for i, x in enumerate(rnd.choices(list(stems), k=120))]
+    m = langid.train(spark.createDataFrame(train, "doc_id long, text string, lang string"), max_words=25, max_grams=30)
+    cache = BoundedCache(50)
+    odd = ["½ ² Ⅷ ①", "½a", "一二", "abc1def", "жж_ш", "12 34", "\u0f33"]
+    for text in [*odd, *[" ".join(rnd.choices([w + rnd.choice(["", "", "q", "ab"]) for w in sum(stems.values(), [])], k=rnd.randint(1, 9)))
+                         for _ in range(150)]]:
+        got, want = m.predict(text, cache, 20), naive_language([(t, x) for _, t, x in train], text, 25, 30, 20)
+        assert got[1] == pytest.approx(want[1], rel=1e-6), text
+        assert got[0] == want[0] or want[1] < 0.5 + 1e-6  # equal but for rounding
+    assert m.predict("½ ² Ⅷ ①", cache, 20) == ("und", 0.0) and m.predict("一", cache, 20)[0] == "aa"
+
+
+def test_language_of_many_labels(spark):
+    rows = [(i, f"word{chr(97 + i // 26 % 26)}{chr(97 + i % 26)} common", f"l{i:03d}") for i in range(300)]
+    m = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_entries=300 * 20)
+    assert len(m.langs) == 300 and len(m.words.lang) == 600
+    cache = BoundedCache(50)
+    assert all(m.predict(t, cache, 20)[0] == x for _, t, x in rows)
+
+
 def naive_stats(text):
     words = decision_list.WORDS.findall(text or "")
     windows = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
