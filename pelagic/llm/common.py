@@ -35,6 +35,19 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def set_aside(df: DataFrame, *temporary: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with other names for its columns that bear a temporary one, and the name each column has there."""
+    others = fresh(df, *temporary)
+    clash = {t.lower(): o for t, o in zip(temporary, others)}
+    now = {c: clash.get(c.lower(), c) for c in df.columns}
+    return df.toDF(*now.values()), now
+
+
+def named_back(now: dict[str, str]) -> list[Column]:
+    """The columns that ``set_aside`` was given, under their own names."""
+    return [F.col(f"`{n}`").alias(c) for c, n in now.items()]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, through Spark's reader only (the path may be remote)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

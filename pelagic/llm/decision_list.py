@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagic.llm.common import WORD, checkpointed, text_batches
+from pelagic.llm.common import WORD, checkpointed, fresh, text_batches
 
 WORDS = re.compile(WORD)
 # Fixed values of the contract.
@@ -263,6 +263,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
 
 def judge(docs: DataFrame, rules: DecisionList, text: str = "text", into: str = "quality_rules") -> DataFrame:
     """``docs`` with the struct ``into``: the statistics, ``base_failed`` and ``kept``."""
-    s = docs.withColumn("__stats", stats_column(docs, F.col(text)))
-    kept = ~base_failed("__stats") & rules.verdict(ratios("__stats"))
-    return s.withColumn(into, F.struct("__stats.*", base_failed("__stats").alias("base_failed"), kept.alias("kept"))).drop("__stats")
+    (stats,) = fresh(docs, "__stats")
+    s = docs.withColumn(stats, stats_column(docs, F.col(text)))
+    kept = ~base_failed(stats) & rules.verdict(ratios(stats))
+    return s.withColumn(into, F.struct(f"{stats}.*", base_failed(stats).alias("base_failed"), kept.alias("kept"))).drop(stats)

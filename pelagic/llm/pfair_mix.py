@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pelagic.llm.common import own_columns, small_broadcast
+from pelagic.llm.common import named_back, own_columns, set_aside, small_broadcast
 
 NULL_SOURCE = "0"  # keys of named sources start with "1"
 RANGES = 256  # at most so many ranges of slots
@@ -180,8 +180,9 @@ def numbered(docs: DataFrame, key: Column, order: Column, rows: int) -> DataFram
 
 
 def pfair_mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *, source: str = "source",
-              id_col: str = "doc_id", block_docs: int = 8, quantum: int = 2048, power: float = 0.5, seed: int = 4) -> DataFrame:
-    """All rows of ``docs`` with the struct ``mix`` (phase, block, release, deadline, slot, position).
+              id_col: str = "doc_id", block_docs: int = 8, quantum: int = 2048, power: float = 0.5, seed: int = 4,
+              into: str = "mix") -> DataFrame:
+    """All rows of ``docs`` with the struct ``into`` (phase, block, release, deadline, slot, position).
 
     ``weights``: share of the mixture per source.  Sources it leaves out (all, if
     None) divide the rest of 1, a thousandth at least, as their number of
@@ -189,8 +190,9 @@ def pfair_mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *
     ``position`` orders the mixture.  Tasks schedule ``quantum`` slots at least.
     """
     spark = docs.sparkSession
-    key = source_key(F.col(source))
-    order = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col).cast("string")), 2)
+    docs, now = set_aside(docs, "__s", "__i", "__h", "__r", "__n", "__in", "__before", "__b", "__phase", "__release", "__deadline", "__slot")
+    key = source_key(F.col(f"`{now[source]}`"))
+    order = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(f"`{now[id_col]}`").cast("string")), 2)
     counts = {r[0]: r[1] for r in docs.groupBy(key.alias("s")).agg(F.count("*").alias("n")).collect()}  # one row per source
     given = {NULL_SOURCE if s is None else f"1{s}": w for s, w in (weights or {}).items()}
     target = target_weights(counts, given, power)
@@ -200,8 +202,9 @@ def pfair_mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *
     placed = placed_blocks(spark, keys, targets, max(quantum, 4 * len(keys), -(-blocks // RANGES)))
     d = numbered(docs, key, order, sum(counts.values())).withColumn("__b", F.floor(F.col("__i") / block_docs).cast("long"))
     d = d.join(small_broadcast(placed, blocks, 400_000), ["__s", "__b"])
-    mix = F.struct(
+    mixed = F.struct(
         F.col("__phase").alias("phase"), F.col("__b").alias("block"), F.col("__release").alias("release"),
         F.col("__deadline").alias("deadline"), F.col("__slot").alias("slot"),
         (F.col("__slot") * block_docs + F.col("__i") % block_docs).alias("position"))
-    return d.select(*own_columns(docs), mix.alias("mix"))
+    kept = {c: n for c, n in now.items() if c.lower() != into.lower()}
+    return d.select(*named_back(kept), mixed.alias(into))

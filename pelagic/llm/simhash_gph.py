@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagic.llm.common import WORD, checkpointed, own_columns, small_broadcast, text_batches
+from pelagic.llm.common import WORD, checkpointed, fresh, own_columns, small_broadcast, text_batches
 
 WORDS = re.compile(WORD)
 UPPER_RUN = re.compile("[A-Z]+")
@@ -311,7 +311,8 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", shi
     found = checkpointed(components(docs, id_col=id_col, text=text, shingle=shingle, max_distance=max_distance))
     kept = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept")).distinct()
     named = docs.filter(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
-    roots = found.filter(F.col("component_id").isNull()).select(F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct()
-    blank = (docs.filter(F.col(id_col).isNull()).withColumn("__fp", fingerprint_column(docs, F.col(text), shingle))
-             .join(roots, "__fp").dropDuplicates(["__root"]))
+    fp, root = fresh(docs, "__fp", "__root")
+    roots = found.filter(F.col("component_id").isNull()).select(F.col("fp").alias(fp), F.col("root").alias(root)).distinct()
+    blank = (docs.filter(F.col(id_col).isNull()).withColumn(fp, fingerprint_column(docs, F.col(text), shingle))
+             .join(roots, fp).dropDuplicates([root]))
     return named.unionByName(blank.select(*own_columns(docs)))

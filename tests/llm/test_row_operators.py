@@ -466,6 +466,14 @@ def test_pipeline_stages_on_odd_rows(spark):
             assert got.columns[:len(odd.columns)] == odd.columns
             got.collect()
     assert sorted(r["doc_id"] or 0 for r in cp.dedup(spark, odd, SF).collect()) == [1, 3]
+    own = ["__fp", "__root", "__language", "__quality", "__mix", "__stats", "__s", "__Slot", "__b", "mix", "mix_position", "N_tokens", "token_ids"]
+    clash = odd.drop("odd.name", "fp", "n_tokens_").withColumns({c: F.lit(f"own {c}") for c in own})
+    for name, stage in cp.STAGES:
+        for df in (clash, clash.limit(0)):
+            got = stage(spark, df, SF)
+            kept = [c for c in clash.columns if name != "encode" or c.lower() not in cp.ENCODED]
+            assert got.columns[:len(kept)] == kept
+            assert all(r[c] == f"own {c}" for r in got.collect() for c in own if c in kept)
 
 
 def test_pipeline_rows_follow_the_mixture(spark):
