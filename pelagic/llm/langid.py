@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -43,9 +42,8 @@ from pyspark.sql import functions as F
 
 from pelagic.llm.common import BoundedCache, checkpointed, small_broadcast, text_batches, worker_cache
 
-# What counts as a word character without being a letter or a decimal digit (a half, a Roman number sign)
-NUMBER_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{NUMBER_SIGNS}]+")
+WORD_CHARACTERS = re.compile(r"[^\W\d_]+")  # letters, and number signs such as a half
+HELD_GRAMS = 1 << 17  # n-grams of unseen words summed at a time
 ORDERS = (6, 5, 4, 3, 2, 1)
 UNDETERMINED = "und"
 CACHED_WORDS = 100_000
@@ -53,6 +51,16 @@ FEW_LANGUAGES = 100_000  # so many small rows are broadcast
 MISSING = object()
 
 
+def letter_runs(text: str) -> Counter:
+    """How often each run of letters is in the lower-cased text."""
+    counts = Counter(WORD_CHARACTERS.findall(text.lower()))
+    for w in [w for w in counts if not w.isalpha()]:
+        c = counts.pop(w)
+        for run in "".join(x if x.isalpha() else " " for x in w).split():
+            counts[run] += c
+    return counts
+
+
 @dataclass
 class Costs:
     """Per entry (word or n-gram) the languages that know it and what that saves them of the fixed penalty."""
@@ -90,39 +98,46 @@ class Model:
     words: Costs = field(default_factory=Costs)
     grams: Costs = field(default_factory=Costs)
 
-    def unseen(self, word: str) -> np.ndarray | None:
-        """Cost of a word no language knows, from its longest known n-grams."""
+    def unseen(self, word: str) -> list[int]:
+        """The longest known n-grams of a word no language knows."""
         padded, grams = f" {word} ", self.grams.at
         for n in ORDERS:
             at = [g for i in range(len(padded) - n + 1) if (g := grams.get(padded[i:i + n])) is not None]
             if at:
-                return self.grams.total(at, [1] * len(at), len(self.langs)) / len(at)
-        return None
+                return at
+        return []
 
     def predict(self, text: str | None, cache: BoundedCache, evidence: int) -> tuple[str, float]:
-        counts = Counter(LETTERS.findall(text.lower())) if text else None
+        counts = letter_runs(text) if text else None
         if not counts or not self.langs:
             return UNDETERMINED, 0.0
-        total, n = np.zeros(len(self.langs)), 0
-        known, times = [], []
+        langs, n = len(self.langs), 0
+        total = np.zeros(langs)
+        known, times, parts, shares = [], [], [], []
         words = self.words.at
         for w, c in counts.items():
             k = words.get(w)
             if k is not None:
                 known.append(k)
                 times.append(c)
+                n += c
                 continue
-            cost = cache.get(w, MISSING)
-            if cost is MISSING:
-                cost = cache.recall(w, MISSING)
-                if cost is MISSING:
-                    cost = cache[w] = self.unseen(w)
-            if cost is not None:
-                total += cost * c
+            at = cache.get(w, MISSING)
+            if at is MISSING:
+                at = cache.recall(w, MISSING)
+                if at is MISSING:
+                    at = cache[w] = self.unseen(w)
+            if at:
+                parts += at
+                shares += [c / len(at)] * len(at)
                 n += c
+                if len(parts) >= HELD_GRAMS:
+                    total += self.grams.total(parts, shares, langs)
+                    parts, shares = [], []
         if known:
-            total += self.words.total(known, times, len(self.langs))
-            n += sum(times)
+            total += self.words.total(known, times, langs)
+        if parts:
+            total += self.grams.total(parts, shares, langs)
         mean = total / max(n, 1)
         best = int(np.argmin(mean))  # the first of equals; languages are sorted
         odds = np.exp(-(mean - mean[best]) * math.log(10) * min(n, evidence))
