@@ -596,6 +596,33 @@ def test_permutations_in_place_equal_brute_force(spark):
     assert got["near"].p_value == 0.01 and got["noise"].p_value > 0.05
 
 
+def test_whole_permutations_equal_brute_force(spark, catalog):
+    """Without strata a permutation moves values between all sites; the registered query asks for that."""
+    import numpy as np
+
+    rnd = random.Random(9)
+    s = [(i, rnd.gauss(0, 1), rnd.gauss(0, 1)) for i in range(150)]
+    env = [(i, s[i][1] + rnd.gauss(0, 4), rnd.gauss(5, 1) if i % 7 else None) for i in range(150)]
+    S = spark.createDataFrame(s, "site int, x double, y double")
+    E = spark.createDataFrame(env, "site int, near double, noise double")
+    got = {r.variable: r for r in community.fit_vectors_perm(S, E, "site", ("x", "y"), ["near", "noise"], 49, 4, None).collect()}
+
+    def r2(pairs):
+        a = np.array(pairs)
+        a = a - a.mean(0)
+        fit = a[:, :2] @ np.linalg.lstsq(a[:, :2], a[:, 2], rcond=None)[0]
+        return (fit ** 2).sum() / (a[:, 2] ** 2).sum()
+
+    for k, name in ((1, "near"), (2, "noise")):
+        rows = [(i, s[i][1], s[i][2], env[i][k]) for i in range(150) if env[i][k] is not None]
+        sites = sorted(rows, key=lambda r: (community.md5_int(4, name, r[0]), r[0]))
+        base = r2([r[1:] for r in rows])
+        ge = sum(r2([(a[1], a[2], b[3]) for a, b in zip(sites, sorted(rows, key=lambda r: (community.md5_int(5, name, p, r[0]), r[0])))]) >= base
+                 for p in range(1, 50))
+        assert abs(got[name].r2 - base) < 1e-9 and abs(got[name].p_value - (ge + 1) / 50) < 1e-12
+    assert "stratum" not in catalog.ORACLES["envfit_permutation"]
+
+
 @pytest.mark.parametrize("block_rows", [7, 8192])
 def test_nearest_sites_equal_brute_force(spark, block_rows):
     """Ties, copies, sites that share nothing, empty sites, null and repeated records, several query blocks."""
