@@ -7,11 +7,11 @@ the columns of ``documents``; the last one adds the token ids.
   below ``MIN_LANGUAGE_SCORE``).  The model learns from the labelled documents.
 * quality: documents that fail the base rule or the learned decision list go.
 * dedup: of each group of linked fingerprints the smallest id stays.
-* mix: every document stays; the files hold them in the order of the mixture to
-  ``TARGET_WEIGHTS``.
-* encode: adds ``n_tokens``, ``token_ids`` and ``mix_position``, the document's
-  place in the mixture (Spark may read the files of a stage in any order, so the
-  place is derived again from the documents), and writes in its order.
+* mix: every document stays and gets its place in the mixture to ``TARGET_WEIGHTS``
+  (Spark may read the files of a stage in any order), in a column after the others
+  that its metadata tells, as the documents may have any column names.
+* encode: adds ``token_ids``, ``n_tokens`` and ``mix_position``, the place that the
+  mix stage gave (null without one), and writes in its order.
 
 The result of ``run`` has its rows in the order of the mixture, without ``mix_position``.
 
@@ -34,6 +34,7 @@ from pelagic.llm.common import fresh, own_columns, shared_folder, table
 MIN_LANGUAGE_SCORE = 0.5
 # Share of each source in the mixture; sources not listed share a thousandth.
 TARGET_WEIGHTS = {"src0": 0.24, **{f"src{k}": 0.04 for k in range(1, 20)}}
+PLACE = {"pelagic": "mix_position"}  # metadata of the column that the mix stage adds
 ENCODED = ("token_ids", "n_tokens", "mix_position")  # columns of the last stage
 ORACLE_SQL = None
 
@@ -56,21 +57,23 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_gph.keep_one(docs).select(*own_columns(docs))
 
 
-def in_mixture_order(docs: DataFrame, position: str) -> DataFrame:
-    """``docs`` with ``position``, range-partitioned and sorted by it; the same documents get the same positions."""
-    (mix,) = fresh(docs, "__mix")
-    mixed = pfair_mix.pfair_mix(docs, TARGET_WEIGHTS, into=mix).select(*own_columns(docs), F.col(mix)["position"].alias(position))
-    return mixed.repartitionByRange(position).sortWithinPartitions(position)
-
-
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return in_mixture_order(docs, *fresh(docs, "mix_position")).select(*own_columns(docs))
+    """``docs`` with their places in the mixture, range-partitioned and sorted by it."""
+    mix, position = fresh(docs, "__mix", "mix_position")
+    place = F.col(mix)["position"].alias(position, metadata=PLACE)
+    mixed = pfair_mix.pfair_mix(docs, TARGET_WEIGHTS, into=mix).select(*own_columns(docs), place)
+    return mixed.repartitionByRange(position).sortWithinPartitions(position)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*[c for c, name in zip(own_columns(docs), docs.columns) if name.lower() not in ENCODED])
-    out = bpe_automaton.bpe_encode(in_mixture_order(docs, "mix_position"), catalog.vocabulary())
-    return out.select(*own_columns(docs), "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), "mix_position")
+    places = [f.name for f in docs.schema.fields if f.metadata == PLACE]
+    own = [c for c in docs.columns if c not in places and c.lower() not in ENCODED]
+    place = F.col(f"`{places[0]}`") if places else F.lit(None).cast("long")
+    docs = docs.select(*[F.col(f"`{c}`") for c in own], place.alias("mix_position", metadata={}))
+    if places:
+        docs = docs.repartitionByRange("mix_position").sortWithinPartitions("mix_position")
+    out = bpe_automaton.bpe_encode(docs, catalog.vocabulary())
+    return out.select(*[F.col(f"`{c}`") for c in own], "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), "mix_position")
 
 
 STAGES = [("language", language), ("quality", quality), ("dedup", dedup), ("mix", mix), ("encode", encode)]

@@ -508,3 +508,20 @@ def test_encode_finds_the_position_again(spark):
     got = cp.encode(spark, cp.mix(spark, docs, SF).orderBy(F.rand(1)), SF).collect()
     assert {r["doc_id"]: r["mix_position"] for r in got} == want
     assert [r["mix_position"] for r in got] == sorted(want.values())
+
+
+def test_encode_follows_the_mix_stage(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    docs = spark.createDataFrame([(i, f"text {i}", "en", "src0" if i % 3 else "src1", 6, "own") for i in range(90)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, mix_position string")
+    mixed = cp.mix(spark, docs, SF)
+    assert mixed.columns[:-1] == docs.columns
+    place = mixed.columns[-1]
+    other = mixed.withColumn(place, (1000 - F.col(place)).alias(place, metadata=mixed.schema[place].metadata))
+    other.write.parquet(str(tmp_path / "mix"))  # as between two stages
+    want = {r["doc_id"]: r[place] for r in other.collect()}
+    got = cp.encode(spark, spark.read.parquet(str(tmp_path / "mix")), SF).collect()
+    assert {r["doc_id"]: r["mix_position"] for r in got} == want
+    assert [r["mix_position"] for r in got] == sorted(want.values())
+    assert all(r["mix_position"] is None for r in cp.encode(spark, docs, SF).collect())  # not mixed: no place
