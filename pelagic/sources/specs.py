@@ -17,6 +17,7 @@ from pelagic.operators.asof import nearest_asof
 from pelagic.operators.qc import exclude_ids, mask_flags, replicate_mean
 from pelagic.operators.regions import zone_by_place
 from pelagic.operators.reshape import pivot_values, to_wide
+from pelagic.session import dealt, stored
 from pelagic.sources.readers import SourceSpec, read_source, recorder_trips
 
 # Schemas, null tokens and renames of the sources (FIXTURES.md).
@@ -255,12 +256,18 @@ def larval_matrix(samples: DataFrame, counts: DataFrame, attributes: list[str],
     """R-8: every tow (also one without counts) and one column per header, 0 where nothing was counted.
 
     ``project``: only tows whose ProjectName contains it (the project product).
+
+    The counts are read and summed once, stored by tow and header: one pass over the sums
+    finds the headers, another makes the rows, both dealt by tow to partitions of bounded rows.
     """
     if project is not None:
         samples = samples.where(F.col("ProjectName").contains(project))
-        counts = counts.join(samples.select("i_Sample"), "i_Sample", "left_semi")
-    sums = counts.groupBy("i_Sample", "Header").agg(F.sum("TaxonCount").alias("TaxonCount"))
-    wide = to_wide(sums, ["i_Sample"], "Header", "TaxonCount", pivot_values(counts, "Header"), fill=0, unique_cells=True)
+    sums = stored(counts.groupBy("i_Sample", "Header").agg(F.sum("TaxonCount").alias("TaxonCount")), "larval-sums")
+    rows = sums.count()
+    sums, samples = dealt(sums, rows, "i_Sample"), dealt(samples.select("i_Sample", *attributes), rows, "i_Sample")
+    if project is not None:
+        sums = sums.join(samples.select("i_Sample"), "i_Sample", "left_semi")
+    wide = to_wide(sums, ["i_Sample"], "Header", "TaxonCount", pivot_values(sums, "Header"), fill=0, unique_cells=True)
     names = [c for c in wide.columns if c != "i_Sample"]
     out = samples.select("i_Sample", *attributes).join(wide, "i_Sample", "left")
     return out.select("i_Sample", *attributes, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in names])

@@ -671,3 +671,28 @@ def test_nearest_sites_skip_blocks_by_their_totals():
     assert kept == []
     best.block(block(10, [8]), False)
     assert len(kept) == 1
+
+
+def test_matrix_shuffles_grow_with_the_rows(spark, monkeypatch):
+    """Sums are dealt by sample to partitions of bounded rows, however few partitions the session shuffles to."""
+    from pelagic import session
+    from pelagic.operators import changelog
+    from pelagic.sources import specs
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    had = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        day = dt.datetime(2000, 1, 1)
+        samples = spark.createDataFrame([(i, day) for i in range(500)], "sample long, sample_date timestamp_ntz")
+        obs = spark.createDataFrame([(i, f"g{j} x", f"g{j}", 1.0) for i in range(500) for j in range(4)], "sample long, taxon string, genus string, value double")
+        log = spark.createDataFrame([("g0 x", "old x", day)], "taxon string, parent string, start_date timestamp_ntz")
+        cells = changelog.absence_matrix(samples, obs, log)
+        assert cells.count() == 2000 and "hashpartitioning(sample#" in (plan := cells._jdf.queryExecution().toString())
+        assert ", 20), REPARTITION_BY_NUM" in plan
+        tows = samples.select(F.col("sample").alias("i_Sample"), F.lit("F").alias("ProjectName"))
+        counts = obs.select(F.col("sample").alias("i_Sample"), F.col("genus").alias("Header"), F.lit(1).cast("long").alias("TaxonCount"))
+        wide = specs.larval_matrix(tows, counts, ["ProjectName"], "F")
+        assert wide.count() == 500 and ", 20), REPARTITION_BY_NUM" in wide._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", had)
