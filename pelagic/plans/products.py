@@ -32,8 +32,8 @@ def water_quality(trips: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[
     """R-5: replicate means of every source per (trip, depth), with the trip's attributes and the sample code.
 
     ``sources``: (frame, value columns) pairs, each frame with the key columns.
-    The sources are stacked and averaged per key and source, then spread to their
-    columns per key: the key spine is the group key and each source is scanned once.  A key found in any source is kept, also without a trip row; a key that
+    The sources are stacked and averaged per key, each into its own columns: the key
+    spine is the group key and each source is scanned once.  A key found in any source is kept, also without a trip row; a key that
     only ``attached`` sources (cast means) have is not.
     """
     every = [*sources, *attached]
@@ -43,11 +43,10 @@ def water_quality(trips: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[
         own = [F.col(v).cast("double") for v in values] + [F.lit(None).cast("double")] * (len(slots) - len(values))
         part = frame.select(trip, depth, F.lit(k).alias("__source"), *[c.alias(n) for c, n in zip(own, slots)])
         stacked = part if stacked is None else stacked.unionByName(part)
-    # the sources share the slots, so the aggregation is as wide as the widest source, not as all of them
-    means = stacked.groupBy(trip, depth, "__source").agg(*[F.avg(n).alias(n) for n in slots])
+    # one shuffle: a key's sources meet map-side, its means need no second grouping
+    means = [F.avg(F.when(F.col("__source") == k, F.col(slots[j]))).alias(v) for k, (_, values) in enumerate(every) for j, v in enumerate(values)]
     columns = [v for _, values in every for v in values]
-    spread = [F.max(F.when(F.col("__source") == k, F.col(slots[j]))).alias(v) for k, (_, values) in enumerate(every) for j, v in enumerate(values)]
-    means = means.groupBy(trip, depth).agg(F.min("__source").alias("__first"), *spread).where(F.col("__first") < len(sources))
+    means = stacked.groupBy(trip, depth).agg(F.min("__source").alias("__first"), *means).where(F.col("__first") < len(sources))
     out = means.join(trips.select(trip, *attributes), trip, "left") if attributes else means
     return out.select(trip, depth, sample_code("NRS", trip, depth).alias("sample_code"), *attributes, *columns)
 

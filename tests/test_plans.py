@@ -49,3 +49,8 @@ def test_recorder_queries_take_every_sample(spark, catalog):
         out = catalog.QUERIES[name](spark, SF_SMALL)
         assert more <= set(out.columns) and out.count() == n
         assert "sample_type <>" not in catalog.ORACLES[name]
+
+
+def test_water_quality_shuffles_its_sources_once(spark):
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(_c.QUERIES["water_quality"](spark, SF_SMALL)))
+    assert sum("depth#" in keys for keys in dealt) == 1 and not any("__source#" in keys for keys in dealt)
