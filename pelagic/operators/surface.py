@@ -4,9 +4,9 @@ Lee, Wolberg & Shin (1997): at level k a cubic B-spline control lattice of
 (m_x 2^k + 3) x (m_y 2^k + 3) nodes is fitted to the residuals of the
 previous levels; the surface is the sum of the level functions.
 
-Distributed form, per level: points are summed per lattice *cell* (16 pairs of
+Points at one place are merged once.  Distributed form, per level: places are summed per lattice *cell* (16 pairs of
 numerator and denominator, combined map-side, so only cells are shuffled);
-the small cell table fans out to its 16 control nodes; and points look up
+the small cell table fans out to its 16 control nodes; and places look up
 their cell's 16 node values by one equi-join, the residual being an expression.
 The iteration cuts lineage once per level with a reliable checkpoint into the
 shared checkpoint folder.
@@ -48,13 +48,15 @@ def _weights() -> list[Column]:
 
 
 def _lattice(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """BA step: phi_c = w z / sum(w^2); node = sum(w^2 phi_c) / sum(w^2), null where no point has weight."""
+    """BA step: phi_c = w z / sum(w^2); node = sum(w^2 phi_c) / sum(w^2), null where no point has weight.
+
+    A row stands for ``__n`` points at its place, ``__r`` is their mean (phi_c is linear in z)."""
     s, t = F.col("__s"), F.col("__t")
     w2 = sum(_basis(s, a) ** 2 for a in range(4)) * sum(_basis(t, c) ** 2 for c in range(4))
     w = _weights()
     cells = rows.groupBy(*by, "__ci", "__cj").agg(
-        *[F.sum(w[k] ** 3 * F.col("__r") / w2).alias(f"__num{k}") for k in range(16)],
-        *[F.sum(w[k] ** 2).alias(f"__den{k}") for k in range(16)])
+        *[F.sum(w[k] ** 3 * F.col("__r") * F.col("__n") / w2).alias(f"__num{k}") for k in range(16)],
+        *[F.sum(w[k] ** 2 * F.col("__n")).alias(f"__den{k}") for k in range(16)])
     nodes = F.inline(F.array(*[F.struct((F.col("__ci") + k // 4).alias("__ni"), (F.col("__cj") + k % 4).alias("__nj"),
                                         F.col(f"__num{k}").alias("__num"), F.col(f"__den{k}").alias("__den")) for k in range(16)]))
     return (cells.select(*by, nodes).groupBy(*by, "__ni", "__nj")
@@ -101,6 +103,9 @@ def bspline_surface(df: DataFrame, x: str, y: str, z: str, by: Sequence[str] = (
     pts = df.select(*by, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"),
                     F.col(z).cast("double").alias("__r")).where(
         F.col("__x").isNotNull() & F.col("__y").isNotNull() & F.col("__r").isNotNull())
+    checkpoint_dir(df.sparkSession)
+    # points at one place get one surface value and have the same weights: one row, their number and mean, does for all levels
+    pts = _cut(pts.groupBy(*by, "__x", "__y").agg(F.avg("__r").alias("__r"), F.count(F.lit(1)).alias("__n")))
     bbox = pts.groupBy(*by).agg(F.min("__x").alias("__xmin"), F.max("__x").alias("__xmax"),
                                 F.min("__y").alias("__ymin"), F.max("__y").alias("__ymax"))
     if not by:
@@ -118,8 +123,7 @@ def bspline_surface(df: DataFrame, x: str, y: str, z: str, by: Sequence[str] = (
             .withColumn("__x", F.col("__xmin") + (F.col("__xmax") - F.col("__xmin")) * F.col("gx") / max(nx - 1, 1))
             .withColumn("__y", F.col("__ymin") + (F.col("__ymax") - F.col("__ymin")) * F.col("gy") / max(ny - 1, 1))
             .select(*by, "gx", "gy", "__x", "__y"))
-    checkpoint_dir(df.sparkSession)
-    # Levels run over the data rows only (residual update); each level's
+    # Levels run over the data places only (residual update); each level's
     # lattice is kept (small: one row per control node) and the grid is
     # evaluated once at the end against all levels in a single join.
     rows = pts

@@ -68,3 +68,18 @@ def test_surface_by_group_fits_data(spark):
     # grid nodes coincide with the data: after 5 levels the surface reproduces them closely
     for g, x, y, z in rows:
         assert abs(out[(g, int(x), int(y))] - z) < 0.05
+
+
+def test_surface_works_on_places_not_points(spark, monkeypatch):
+    """Repeated readings of a place are merged once, with the surface of all of them."""
+    from pelagic.operators import surface
+
+    rnd = random.Random(3)
+    pts = [(float(i % 5), float(i % 4), rnd.uniform(0, 9)) for i in range(200)]
+    held, lattice = [], surface._lattice
+    monkeypatch.setattr(surface, "_lattice", lambda rows, by: (held.append(rows.count()), lattice(rows, by))[1])
+    got = bspline_surface(spark.createDataFrame(pts, "x double, y double, z double"), "x", "y", "z", nx=4, ny=3, mx=1, my=2, levels=2).collect()
+    assert held == [20, 20]
+    x, y, z = (np.array(c) for c in zip(*pts))
+    exp = _brute(x, y, z, np.array([4.0 * r.gx / 3 for r in got]), np.array([3.0 * r.gy / 2 for r in got]), 1, 2, 2)
+    assert np.allclose([r.z for r in got], exp, atol=1e-9)
