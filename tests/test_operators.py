@@ -696,3 +696,41 @@ def test_matrix_shuffles_grow_with_the_rows(spark, monkeypatch):
         assert wide.count() == 500 and ", 20), REPARTITION_BY_NUM" in wide._jdf.queryExecution().toString()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", had)
+
+
+def test_absence_matrix_sums_nothing_over_a_file_split(spark, monkeypatch):
+    """Records are dealt to tasks of bounded rows before the first aggregation, and a hot sample to several of them."""
+    import json
+
+    from pelagic import session
+    from pelagic.operators import changelog
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    day = dt.datetime(2000, 1, 1)
+    samples = spark.createDataFrame([(i, day) for i in range(3)], "sample long, sample_date timestamp_ntz")
+    obs = spark.createDataFrame([(i % 3 if i < 90 else 1, f"g{i % 2} x", f"g{i % 2}", float(i)) for i in range(2000)],
+                                "sample long, taxon string, genus string, value double").coalesce(1)
+    log = spark.createDataFrame([("g0 x", "old x", dt.datetime(1999, 1, 1))], "taxon string, parent string, start_date timestamp_ntz")
+    cells = changelog.absence_matrix(samples, obs, log)
+    want = {}
+    for i in range(2000):
+        k = (i % 3 if i < 90 else 1, f"g{i % 2}")
+        want[k] = want.get(k, 0.0) + i
+    assert {(r.sample, r.genus): r.value for r in cells.collect()} == want
+
+    def below(node):
+        return [node["class"].rsplit(".", 1)[-1]] + below(node["kids"][0]) if node["kids"] else []
+
+    plan = json.loads(cells._jdf.queryExecution().sparkPlan().toJSON())
+
+    def tree(at):
+        node = {"class": plan[at]["class"], "kids": []}
+        after = at + 1
+        for _ in range(plan[at]["num-children"]):
+            kid, after = tree(after)
+            node["kids"].append(kid)
+        return node, after
+
+    chain = below(tree(0)[0])  # along the first children: the facts
+    exchanges = [i for i, c in enumerate(chain) if c.startswith("ShuffleExchange")]
+    assert len(exchanges) == 2 and not any("Aggregate" in c for c in chain[exchanges[-1]:])
