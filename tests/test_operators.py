@@ -734,3 +734,26 @@ def test_absence_matrix_sums_nothing_over_a_file_split(spark, monkeypatch):
     chain = below(tree(0)[0])  # along the first children: the facts
     exchanges = [i for i, c in enumerate(chain) if c.startswith("ShuffleExchange")]
     assert len(exchanges) == 2 and not any("Aggregate" in c for c in chain[exchanges[-1]:])
+
+
+def test_nearest_sites_compare_few_rows_and_find_every_near_one():
+    """Only rows that share a query's needed taxa are compared; the nearest are those of brute force."""
+    import numpy as np
+    import pyarrow as pa
+    from pelagic.operators.nearest_sites import DIGITS, _Best
+
+    rnd = random.Random(3)
+    taxa = [f"t{i:02}" for i in range(40)]
+    sites = [{t: math.sqrt(rnd.randint(1, 50)) for t in rnd.sample(range(40), rnd.randint(1, 6))} for _ in range(4000)]
+    table = pa.table({"site": pa.array(range(4000)), "total": [sum(x.values()) for x in sites],
+                      "taxa": [[taxa[t] for t in x] for x in sites], "xs": [list(x.values()) for x in sites]})
+    asked = list(range(0, 4000, 50))
+    queries = [(q, sum(sites[q].values()), sorted(sites[q].items(), key=lambda c: (-c[1], c[0]))) for q in asked]
+    best = _Best(queries, pa.array(taxa), [np.inf] * len(asked), 5)
+    for lo in range(0, 4000, 2000):
+        best.block(table.slice(lo, 2000), False)
+    for q, (bc, found) in zip(asked, best.found):
+        want = sorted((round(1 - 2 * sum(min(v, x[t]) for t, v in sites[q].items() if t in x) / (sum(x.values()) + sum(sites[q].values())), DIGITS), s)
+                      for s, x in enumerate(sites) if s != q)[:5]
+        assert list(zip(bc.tolist(), found.to_pylist())) == want
+    assert best.compared < 0.3 * len(asked) * 4000
