@@ -25,8 +25,12 @@ EXCLUDED_STATION = 4
 
 
 def observations(spark, sf_dir):
-    """Both plankton sources and the counts table as one stacked frame, from one pass over the observations."""
-    o = b.obs(spark, sf_dir)
+    """Both plankton sources and the counts table as one stacked frame, from one pass over the observations.
+
+    The narrow records are dealt by sample once: the sums per taxon and per sample, both
+    wide, need no shuffle of their own.
+    """
+    o = b.obs(spark, sf_dir).select("sample", "taxon", "genus", "species", "grp", "value", "biovolume", "flag", "discount").repartition("sample")
     m = F.create_map(*[x for k, v in GROUPS.items() for x in (F.lit(k), F.lit(v))])
     zoo = F.col("flag") % 2 == 1
     return o.select(
@@ -47,7 +51,10 @@ def traits(spark, sf_dir):
 
 
 def _water(spark, sf_dir):
-    """Per trip: surface cast means, mixed layer, nutrient means over the depth means, pigment of the upper 10 m."""
+    """Per trip: surface cast means, mixed layer, nutrient means over the depth means, pigment of the upper 10 m.
+
+    Casts and nutrients have few rows per trip, which sums before the shuffle do not make fewer: they are dealt by trip first.
+    """
     li = b.table(spark, sf_dir, "lineitem")
     cast = li.select(F.col("l_orderkey").alias("sample"), (F.col("l_linenumber") * 4 - 1).cast("double").alias("depth"),
                      F.when(F.col("l_orderkey") % 7 == 0, F.lit(5.0)).otherwise(F.lit(10.0)).alias("ref_depth"),
@@ -55,8 +62,8 @@ def _water(spark, sf_dir):
                      F.when(F.col("l_linenumber") != 6, F.col("l_tax") * 10).alias("chl"), F.col("l_extendedprice").alias("row"))
     surface = surface_mean(cast, "sample", "depth", ["temp", "chl", "salinity"], 15.0)
     surface = surface.withColumnsRenamed({"temp": "CTD_SST", "chl": "CTDChla", "salinity": "CTDSalinity"})
-    mld = mixed_layer(cast, "sample", "depth", "temp", "salinity", "chl", "ref_depth", order="row")
-    nutrients = qc.mean_of_means(qq.nutrients(spark, sf_dir), "trip", "depth", list(NUTRIENTS)).withColumnRenamed("trip", "sample")
+    mld = mixed_layer(cast.repartition("sample"), "sample", "depth", "temp", "salinity", "chl", "ref_depth", order="row")
+    nutrients = qc.mean_of_means(qq.nutrients(spark, sf_dir).repartition("trip"), "trip", "depth", list(NUTRIENTS)).withColumnRenamed("trip", "sample")
     pig = qq.pigments(spark, sf_dir).withColumn("depth", F.col("depth").cast("double"))
     pigment = surface_mean(pig, "trip", "depth", ["chla"], 10.0, inclusive=True).withColumnRenamed("trip", "sample")
     return [surface, mld, nutrients, pigment]

@@ -54,3 +54,9 @@ def test_recorder_queries_take_every_sample(spark, catalog):
 def test_water_quality_shuffles_its_sources_once(spark):
     dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(_c.QUERIES["water_quality"](spark, SF_SMALL)))
     assert sum("depth#" in keys for keys in dealt) == 1 and not any("__source#" in keys for keys in dealt)
+
+
+@pytest.mark.parametrize("name", ["station_indices", "recorder_indices"])
+def test_station_records_are_dealt_by_sample_once(spark, name):
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(_c.QUERIES[name](spark, SF_SMALL)))
+    assert dealt and not any("__tn#" in keys or "depth#" in keys for keys in dealt)  # no second shuffle of sums per taxon or depth
