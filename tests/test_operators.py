@@ -736,6 +736,24 @@ def test_absence_matrix_sums_nothing_over_a_file_split(spark, monkeypatch):
     assert len(exchanges) == 2 and not any("Aggregate" in c for c in chain[exchanges[-1]:])
 
 
+def test_stored_records_fill_the_bytes_that_file_splits_are_cut_by(spark):
+    """Records that encode to almost nothing are stored at full width, so the rows of a file split are bounded."""
+    import os
+    from urllib.parse import urlparse
+
+    from pelagic.operators import changelog
+
+    day, n = dt.datetime(2000, 1, 1), 40_000
+    samples = spark.createDataFrame([(i, day) for i in range(20)], "sample long, sample_date timestamp_ntz")
+    obs = spark.range(n, numPartitions=2).select((F.col("id") % 20).alias("sample"), F.lit("g0 x").alias("taxon"), F.lit("g0").alias("genus"), F.lit(1.0).alias("value"))
+    log = spark.createDataFrame([("g0 x", "old x", dt.datetime(1999, 1, 1))], "taxon string, parent string, start_date timestamp_ntz")
+    for matrix in (changelog.absence_matrix, changelog.absence_wide):
+        cells = matrix(samples, obs, log)
+        files = [urlparse(f).path for f in cells.inputFiles() if "absence-records" in f]
+        assert files and sum(map(os.path.getsize, files)) >= 28 * n  # sample, start and value: 8 bytes each, the label: 4 at least
+        assert {r[0]: r[-1] for r in cells.collect()} == {i: n / 20 for i in range(20)}
+
+
 def test_nearest_sites_compare_few_rows_and_find_every_near_one():
     """Only rows that share a query's needed taxa are compared; the nearest are those of brute force."""
     import numpy as np
