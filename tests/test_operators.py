@@ -736,6 +736,23 @@ def test_absence_matrix_sums_nothing_over_a_file_split(spark, monkeypatch):
     assert len(exchanges) == 2 and not any("Aggregate" in c for c in chain[exchanges[-1]:])
 
 
+def test_absence_matrix_deals_samples_without_records_to_bounded_tasks(spark, monkeypatch):
+    """Few records, many samples: the samples of a task are bounded too, and every one keeps its row."""
+    from pelagic import session
+    from pelagic.operators import changelog
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    day = dt.datetime(2000, 1, 1)
+    samples = spark.createDataFrame([(i, day) for i in range(3000)], "sample long, sample_date timestamp_ntz")
+    obs = spark.createDataFrame([(i, "g0 x", "g0", 2.0) for i in range(5)], "sample long, taxon string, genus string, value double")
+    log = spark.createDataFrame([("g0 x", "old x", dt.datetime(1999, 1, 1))], "taxon string, parent string, start_date timestamp_ntz")
+    cells, wide = changelog.absence_matrix(samples, obs, log), changelog.absence_wide(samples, obs, log)
+    assert {r.sample: r.value for r in cells.collect()} == {i: 2.0 for i in range(5)}
+    assert {r.sample: r.g0 for r in wide.collect()} == {i: 2.0 if i < 5 else 0.0 for i in range(3000)}
+    for matrix in (cells, wide):
+        assert ", 30), REPARTITION_BY_NUM" in matrix._jdf.queryExecution().toString()
+
+
 def test_stored_records_fill_the_bytes_that_file_splits_are_cut_by(spark):
     """Records that encode to almost nothing are stored at full width, so the rows of a file split are bounded."""
     import os
