@@ -263,7 +263,7 @@ def larval_matrix(samples: DataFrame, counts: DataFrame, attributes: list[str],
     if project is not None:
         samples = samples.where(F.col("ProjectName").contains(project))
     sums = stored(counts.groupBy("i_Sample", "Header").agg(F.sum("TaxonCount").alias("TaxonCount")), "larval-sums")
-    rows = sums.count()
+    rows = max(sums.count(), samples.count())  # tows may outnumber the sums
     sums, samples = dealt(sums, rows, "i_Sample"), dealt(samples.select("i_Sample", *attributes), rows, "i_Sample")
     if project is not None:
         sums = sums.join(samples.select("i_Sample"), "i_Sample", "left_semi")

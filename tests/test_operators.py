@@ -753,6 +753,27 @@ def test_absence_matrix_deals_samples_without_records_to_bounded_tasks(spark, mo
         assert ", 30), REPARTITION_BY_NUM" in matrix._jdf.queryExecution().toString()
 
 
+def test_larval_and_raw_matrices_deal_samples_without_counts_to_bounded_tasks(spark, monkeypatch, tmp_path):
+    """As above for the matrices of tows and of all taxa."""
+    from pelagic import session
+    from pelagic.plans import q_matrices
+    from pelagic.sources import specs
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    tows = spark.range(3000).select(F.col("id").alias("i_Sample"), F.lit("F").alias("ProjectName"))
+    counts = spark.createDataFrame([(i, "h", 2) for i in range(5)], "i_Sample long, Header string, TaxonCount long")
+    wide = specs.larval_matrix(tows, counts, ["ProjectName"])
+    assert {r.i_Sample: r.h for r in wide.collect()} == {i: 2 if i < 5 else 0 for i in range(3000)}
+    for name, rows in (("orders", spark.read.parquet("/root/testdata/sf0.01/orders.parquet")),
+                       ("part", spark.read.parquet("/root/testdata/sf0.01/part.parquet")),
+                       ("lineitem", spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").limit(50))):
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    cells = q_matrices.raw_matrix_long(spark, str(tmp_path))
+    assert 0 < cells.count() <= 50
+    for matrix, tasks in ((wide, 30), (cells, 150)):
+        assert f", {tasks}), REPARTITION_BY_NUM" in matrix._jdf.queryExecution().toString()
+
+
 def test_stored_records_fill_the_bytes_that_file_splits_are_cut_by(spark):
     """Records that encode to almost nothing are stored at full width, so the rows of a file split are bounded."""
     import os
