@@ -813,3 +813,81 @@ def test_nearest_sites_compare_few_rows_and_find_every_near_one():
                       for s, x in enumerate(sites) if s != q)[:5]
         assert list(zip(bc.tolist(), found.to_pylist())) == want
     assert best.compared < 0.3 * len(asked) * 4000
+
+
+@pytest.mark.parametrize("indexed", [300, 24_000_000])
+def test_nearest_sites_index_sets_of_taxa(monkeypatch, indexed):
+    """Narrow, wide and very wide rows, copies, more than 64 taxa, empty rows and cut blocks: as brute force."""
+    import numpy as np
+    import pyarrow as pa
+    from pelagic.operators import nearest_sites as ns
+
+    monkeypatch.setattr(ns, "INDEXED", indexed, raising=False)
+    rnd = random.Random(indexed)
+    taxa = [f"t{i:03}" for i in range(90)]
+    sites = [{t: math.sqrt(rnd.randint(1, 50)) for t in rnd.sample(range(30), rnd.randint(1, 5))} for _ in range(6000)]
+    sites += [{t: math.sqrt(rnd.randint(1, 50)) for t in rnd.sample(range(90), n)} for n in [17, 20, 40, 64, 65, 80] * 6]
+    sites += [sites[50], sites[6000]] * 4 + [sites[100]] + [{}, {}]
+    n, totals = len(sites), [sum(v for _, v in sorted(x.items())) for x in sites]
+    table = pa.table({"site": pa.array(range(n)), "total": totals, "taxa": pa.array([[taxa[t] for t in sorted(x)] for x in sites], pa.list_(pa.string())),
+                      "xs": pa.array([[x[t] for t in sorted(x)] for x in sites], pa.list_(pa.float64()))})
+    asked = [*range(0, 6000, 100), *range(6000, 6012), n - 2]
+    queries = [(q, totals[q], sorted(sites[q].items(), key=lambda c: (-c[1], c[0]))) for q in asked]
+    bounds = [np.inf] * len(asked)
+    for own_only in (True, False):
+        best = ns._Best(queries, pa.array(taxa), bounds, 5)
+        for lo in range(0, n, 4000):
+            best.block(table.slice(lo, 4000), own_only)
+        bounds = best.bound
+    for q, found in zip(asked, best.found):
+        want = sorted((round(1 - 2 * sum(min(v, x[t]) for t, v in sites[q].items() if t in x) / (totals[s] + totals[q]), ns.DIGITS) + 0.0, s)
+                      for s, x in enumerate(sites) if s != q and totals[s] + totals[q] > 0)[:5]
+        assert list(zip(found[0].tolist(), found[1].to_pylist())) == want
+
+
+def test_nearest_sites_read_a_site_across_batches(spark):
+    """A site's records may lie in several batches; unknown taxa count in the total only."""
+    from pelagic.operators.nearest_sites import nearest_sites, site_rows
+
+    had = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rows = [(i, t, float(i + j)) for i in range(20) for j, t in enumerate("abcdefgh"[:i % 8 + 1])] + [(3, None, 4.0), (3, "a", 1.0), (None, "a", 1.0), (30, "a", None)]
+        df = spark.createDataFrame(rows, "s int, t string, v double")
+        got = {r.site: dict(zip(r.taxa, r.xs)) for r in site_rows(df, "s", "t", "v", None).collect()}
+        want = {i: {t: float(i + j) for j, t in enumerate("abcdefgh"[:i % 8 + 1]) if i + j > 0} for i in range(20)} | {30: {}}
+        want[3] |= {None: 4.0, "a": 4.0}
+        assert got == want
+        near = nearest_sites(df, spark.createDataFrame([(3,)], "site int"), "s", "t", "v", 1, None).collect()
+        x, t = {k: v for k, v in want[3].items() if k}, {s: sum(c.values()) for s, c in want.items()}
+        bc = sorted((round(1 - 2 * sum(min(v, x[k]) for k, v in c.items() if k in x) / (t[3] + t[s]), 9), s) for s, c in want.items() if s != 3)
+        assert [(r.site_i, r["rank"], r.bc, r.site_j) for r in near] == [(3, 1, *bc[0])]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", had)
+
+
+def test_nearest_sites_compare_few_of_many_rows():
+    """Of many narrow rows over few taxa, all in one block, only those that share most of a query are compared."""
+    import numpy as np
+    import pyarrow as pa
+    from pelagic.operators.nearest_sites import DIGITS, _Best
+
+    rnd = np.random.default_rng(4)
+    n, taxa = 60_000, [f"t{i:02}" for i in range(64)]
+    x = np.zeros((n, 64))
+    for s, width in enumerate(rnd.integers(1, 9, n)):
+        x[s, rnd.permutation(64)[:width]] = np.sqrt(rnd.integers(1, 51, width))
+    row, code = np.nonzero(x)
+    ends, total = pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32)), x.sum(1)
+    table = pa.table({"site": pa.array(range(n)), "total": total, "taxa": pa.ListArray.from_arrays(ends, pa.array(taxa).take(pa.array(code))),
+                      "xs": pa.ListArray.from_arrays(ends, pa.array(x[row, code]))})
+    asked = list(range(0, n, 600))
+    best = _Best([(q, total[q], sorted(((c, x[q, c]) for c in np.flatnonzero(x[q]).tolist()), key=lambda c: (-c[1], c[0]))) for q in asked],
+                 pa.array(taxa), [np.inf] * len(asked), 5)
+    best.block(table, False)
+    for q, (bc, found) in zip(asked, best.found):
+        want = np.round(1 - 2 * np.minimum(x, x[q]).sum(1) / (total + total[q]), DIGITS)
+        want[q] = 9
+        first = np.lexsort((np.arange(n), want))[:5]
+        assert found.to_pylist() == first.tolist() and np.allclose(bc, want[first], rtol=0, atol=1e-9)
+    assert best.compared < 0.015 * len(asked) * n
